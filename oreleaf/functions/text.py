@@ -1,4 +1,4 @@
-"""String and XML-fragment column expressions.
+"""String column expressions.
 
 Everything here is a plain Catalyst expression: no Python worker is involved,
 and nothing needs more than the row it is evaluated on.
@@ -9,25 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-TEI_NAMESPACE = "http://www.tei-c.org/ns/1.0"
-
-# Stand-ins (private-use characters) for the five predefined XML entities while
-# a fragment is being cut and parsed: a literal "<" in the text must survive
-# several passes of from_xml without turning into a tag.
-_STAND_INS = [
-    ("&", "\ue000", r"&(?:amp|#0*38|#[xX]0*26);"),
-    ("<", "\ue001", r"&(?:lt|#0*60|#[xX]0*3[cC]);"),
-    (">", "\ue002", r"&(?:gt|#0*62|#[xX]0*3[eE]);"),
-    ('"', "\ue003", r"&(?:quot|#0*34|#[xX]0*22);"),
-    ("'", "\ue004", r"&(?:apos|#0*39|#[xX]0*27);"),
-]
-_STAND_IN_CHARS = "".join(s for _, s, _ in _STAND_INS)
-_LITERAL_CHARS = "".join(c for c, _, _ in _STAND_INS)
-
-# from_xml keeps blanks around values; stripping is always explicit here.
-XML_OPTIONS = {"ignoreSurroundingSpaces": "false"}
-
-
 def strip(col: Column) -> Column:
     """Remove all Unicode white space from both ends (``trim`` removes only spaces)."""
     return F.regexp_replace(col, r"(?U)^\s+|\s+$", "")
@@ -78,145 +59,3 @@ def fill_template(template: str, **values: Column) -> Column:
         pieces.append(values[name])
         rest = rest[at + len(name) + 2:]
     return F.concat(*pieces)
-
-
-# --------------------------------------------------------------------------
-# XML fragments
-# --------------------------------------------------------------------------
-
-def let(value: Column, body) -> Column:
-    """``body(value)`` with ``value`` evaluated once per row, however often it is used."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
-def _escape_cdata(xml: Column) -> Column:
-    def piece(part: Column, i: Column) -> Column:
-        inner = F.substring_index(part, "]]>", 1)
-        escaped = F.replace(F.replace(F.replace(
-            inner, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
-        tail = F.substring(part, F.length(inner) + 4, F.length(part))
-        return F.when(i == 0, part).otherwise(F.concat(escaped, tail))
-
-    return F.array_join(F.transform(F.split(xml, r"<!\[CDATA\["), piece), "")
-
-
-def _drop_prolog(xml: Column) -> Column:
-    return F.regexp_replace(xml, r"(?s)^(?:\s|\x{FEFF}|<\?.*?\?>|<!--.*?-->|<!DOCTYPE[^>\[]*>)+", "")
-
-
-def _mark_comments(xml: Column) -> Column:
-    marked = F.regexp_replace(xml, r"(?s)<!--.*?-->|<\?.*?\?>", "<_/>")
-    return F.regexp_replace(marked, r"(?:<_/>|\s)+$", "")
-
-
-_BOUND_PREFIX = r"xmlns:([\w.-]+)\s*=\s*[\"']" + TEI_NAMESPACE.replace(".", r"\.")
-
-
-def _drop_prefix(xml: Column) -> Column:
-    def drop(prefix: Column) -> Column:
-        opened = F.replace(xml, F.concat(F.lit("<"), prefix, F.lit(":")), F.lit("<"))
-        return F.replace(opened, F.concat(F.lit("</"), prefix, F.lit(":")), F.lit("</"))
-
-    return let(F.regexp_extract(xml, _BOUND_PREFIX, 1), lambda p: F.when(p != "", drop(p)).otherwise(xml))
-
-
-def _protect_entities(xml: Column) -> Column:
-    for _, stand_in, pattern in _STAND_INS:
-        xml = F.regexp_replace(xml, pattern, stand_in)
-    return xml
-
-
-def normalise_tei(xml: Column) -> Column:
-    """Bring a well-formed TEI string into the form the fragment helpers expect.
-
-    CDATA becomes escaped text; comments and processing instructions become an
-    empty marker element (they end a text node but hold no text); a prefix bound
-    to the TEI namespace is dropped; the predefined entities become stand-ins.
-    A step runs only on the documents that contain what it replaces.
-    """
-    def when_has(*needles: str):
-        def test(x: Column) -> Column:
-            found = x.contains(needles[0])
-            for n in needles[1:]:
-                found = found | x.contains(n)
-            return found
-        return test
-
-    steps = [
-        (when_has("<![CDATA["), _escape_cdata),
-        (None, _drop_prolog),
-        (when_has("<!--", "<?"), _mark_comments),
-        (when_has("xmlns:"), _drop_prefix),
-        (when_has("&"), _protect_entities),
-    ]
-    def guarded(test, step):
-        return lambda x: F.when(test(x), step(x)).otherwise(x)
-
-    for test, step in steps:
-        xml = step(xml) if test is None else let(xml, guarded(test, step))
-    return xml
-
-
-def restore_entities(col: Column) -> Column:
-    return F.translate(col, _STAND_IN_CHARS, _LITERAL_CHARS)
-
-
-def element_text(inner_xml: Column) -> Column:
-    """All descendant text nodes of an element joined by one space, stripped.
-
-    ``inner_xml`` is the element's content as from_xml returns it for a STRING
-    field. Adjacent tags form a single text-node boundary.
-    """
-    spaced = F.regexp_replace(inner_xml, r"(?:<[^>]*>)+", " ")
-    return F.coalesce(restore_entities(strip(spaced)), F.lit(""))
-
-
-def leading_text(inner_xml: Column) -> Column:
-    """The text before an element's first child, unstripped."""
-    return restore_entities(F.regexp_replace(inner_xml, r"(?s)<.*$", ""))
-
-
-def _depths(pieces: Column) -> Column:
-    """Nesting depth after each piece's own tag."""
-    step = lambda s: F.when(s.startswith("</"), -1).when(s.startswith("<"), 1).otherwise(0)
-    return F.aggregate(
-        pieces, F.array().cast("array<int>"),
-        lambda acc, s: F.array_append(acc, F.coalesce(F.get(acc, F.size(acc) - 1), F.lit(0)) + step(s)))
-
-
-def _elements(xml: Column, tag: str, body) -> Column:
-    """Apply ``body(pieces, depths)`` to the span of every ``tag`` element in document order.
-
-    A span runs from the element's opening tag up to the piece before its
-    closing tag.
-    """
-    def build(pieces: Column, depth: Column) -> Column:
-        def one(piece: Column, i: Column) -> Column:
-            inside = F.array_position(F.slice(depth, i + 2, F.size(depth)), F.get(depth, i) - 1).cast("int")
-            span = let(F.when(inside > 0, inside).otherwise(F.size(depth)), lambda n: body(
-                F.slice(pieces, i + 1, n), F.slice(depth, i + 1, n)))
-            return F.when(piece.startswith("<") & ~piece.startswith("</"), span)
-
-        return F.filter(F.transform(pieces, one), lambda s: s.isNotNull())
-
-    # Pieces start at an opening or a closing tag of this element; the leading
-    # blank keeps the text before the first tag from looking like one.
-    paired = F.regexp_replace(xml, rf"<{tag}((?:\s[^<>]*)?)/>", rf"<{tag}$1></{tag}>")
-    pieces = F.split(F.concat(F.lit(" "), paired), rf"(?=</?{tag}[\s>])")
-    found = let(pieces, lambda p: let(_depths(p), lambda d: build(p, d)))
-    return F.when(xml.contains(f"<{tag}"), found).otherwise(F.array().cast("array<string>"))
-
-
-def xml_elements(xml: Column, tag: str) -> Column:
-    """Every ``tag`` element at any depth, in document order, with its full content."""
-    return _elements(xml, tag, lambda pieces, depth: F.concat(F.array_join(pieces, ""), F.lit(f"</{tag}>")))
-
-
-def xml_own_content(xml: Column, tag: str) -> Column:
-    """As :func:`xml_elements`, but without the nested elements of the same tag."""
-    def body(pieces: Column, depth: Column) -> Column:
-        own = F.filter(pieces, lambda s, k: F.get(depth, k) == F.get(depth, F.lit(0)))
-        texts = F.transform(own, lambda s: F.regexp_replace(s, rf"^</{tag}\s*>", ""))
-        return F.concat(F.array_join(texts, ""), F.lit(f"</{tag}>"))
-
-    return _elements(xml, tag, body)

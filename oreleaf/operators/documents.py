@@ -10,132 +10,97 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from oreleaf.functions import text as X
+from oreleaf.functions import sqltext as Q
+from oreleaf.functions import xml as X
+from oreleaf.functions.text import null_if_empty, strip, strip_chars
 
 UNTITLED = "Untitled section"
 UNKNOWN = "UNKNOWN"
 MALFORMED = "malformed XML"
 
-_CORRUPT = "_corrupt"
-_FIGURE_FIELDS = (
-    "label ARRAY<STRING>, head ARRAY<STRING>, "
-    "table ARRAY<STRUCT<row: ARRAY<STRUCT<cell: ARRAY<STRING>>>>>"
-)
-_PERSON_FIELDS = "persName ARRAY<STRUCT<forename: ARRAY<STRING>, surname: ARRAY<STRING>>>"
-_SECTIONS = "array<struct<heading:string,text:string>>"
-_TABLES = "array<struct<label:string,caption:string,rows:array<array<string>>>>"
+_CELLS = "ARRAY<STRUCT<cell: ARRAY<STRING>>>"
+_FIGURE_FIELDS = f"label ARRAY<STRING>, head ARRAY<STRING>, table ARRAY<STRUCT<row: {_CELLS}>>"
+_PEOPLE = "ARRAY<STRUCT<forename: ARRAY<STRING>, surname: ARRAY<STRING>>>"
 
 
-def _from_xml(xml: Column, fields: str) -> Column:
-    return F.from_xml(xml, fields, X.XML_OPTIONS)
-
-
-def _or_empty(array: Column, array_type: str) -> Column:
-    return F.coalesce(array, F.array().cast(array_type))
-
-
-def malformed(xml: Column, normal: Column) -> Column:
+def _malformed(xml: str, normal: str) -> str:
     """True for what a strict XML parser rejects; ``normal`` is the normalised string."""
-    checked = F.from_xml(
-        xml, f"{_CORRUPT} STRING", {"columnNameOfCorruptRecord": _CORRUPT, "mode": "PERMISSIVE"})
+    broken = (f"from_xml({xml}, '_corrupt STRING', map('columnNameOfCorruptRecord', '_corrupt', "
+              "'mode', 'PERMISSIVE'))._corrupt IS NOT NULL")
     # from_xml stops behind the root element; content after it is found here.
-    closed = F.regexp_replace(normal, r"\s*>\s*$", ">")
-    close_tag = F.concat(F.lit("</"), F.regexp_extract(normal, r"^<([^\s/>]+)", 1), F.lit(">"))
-    closes_at_end = F.instr(closed, close_tag) == F.length(closed) - F.length(close_tag) + 1
-    bare_root = normal.rlike(r"^<[^<>]*/>\s*$")
-    return F.coalesce(checked[_CORRUPT].isNotNull() | ~(closes_at_end | bare_root), F.lit(True))
-
-
-def _child_fields(xml: Column, tag: str, fields: str) -> Column:
-    """Parse every ``tag`` element of ``xml``, at any depth, into ``fields``."""
-    return F.transform(X.xml_elements(xml, tag), lambda e: _from_xml(e, fields))
+    closed = Q.replace_all(normal, r"\s*>\s*$", ">")
+    close_tag = f"concat('</', {Q.extract(normal, r'^<([^\s/>]+)', 1)}, '>')"
+    at_end = Q.let(closed, lambda c: Q.let(close_tag, lambda t: f"instr({c}, {t}) = length({c}) - length({t}) + 1"))
+    bare_root = Q.matches(normal, r"^<[^<>]*/>\s*$")
+    return f"coalesce({broken} OR NOT ({at_end} OR {bare_root}), true)"
 
 
-def _first_child(xml: Column, tag: str, child: str, child_type: str = "string") -> Column:
-    """The first direct ``child`` of a ``tag`` element, in document order."""
-    found = F.flatten(F.transform(
-        _child_fields(xml, tag, f"{child} ARRAY<{child_type}>"),
-        lambda e: _or_empty(e[child], f"array<{child_type}>")))
-    return F.get(found, F.lit(0))
+def _title(header: str) -> str:
+    return Q.null_if_empty(X.element_text(X.first_child(header, "titleStmt", "title")))
 
 
-def _content(element: Column, tag: str) -> Column:
-    return _from_xml(F.concat(F.lit("<r>"), element, F.lit("</r>")), f"{tag} STRING")[tag]
+def _doi(header: str) -> str:
+    is_doi = lambda e: Q.matches(Q.extract(e, "^<idno[^>]*>"), r"\stype\s*=\s*[\x22\x27]DOI[\x22\x27]")
+    first = f"get({Q.keep(X.elements(header, 'idno'), is_doi)}, 0)"
+    return Q.strip(Q.null_if_empty(X.leading_text(X.content(first, "idno"))))
 
 
-def _title(header: Column) -> Column:
-    return X.null_if_empty(X.element_text(_first_child(header, "titleStmt", "title")))
+def _year(header: str) -> str:
+    when = f"{X.first_child(header, 'publicationStmt', 'date', 'STRUCT<_when: STRING>')}._when"
+    return Q.let(f"left({when}, 4)", lambda y: f"if({Q.matches(y, '^[0-9]+$')}, cast({y} AS int), NULL)")
 
 
-def _doi(header: Column) -> Column:
-    first = F.get(F.filter(
-        X.xml_elements(header, "idno"),
-        lambda e: F.regexp_extract(e, "^<idno[^>]*>", 0).rlike(r"\stype\s*=\s*[\"']DOI[\"']")), F.lit(0))
-    return X.strip(X.null_if_empty(X.leading_text(_content(first, "idno"))))
+def _abstract(header: str) -> str:
+    return X.element_text(X.content(f"get({X.elements(header, 'abstract')}, 0)", "abstract"))
 
 
-def _year(header: Column) -> Column:
-    when = _first_child(header, "publicationStmt", "date", "struct<_when:string>")["_when"]
-    digits = F.substring(when, 1, 4)
-    return F.when(digits.rlike("^[0-9]+$"), digits.cast("int"))
+def _authors(header: str) -> str:
+    source = f"array_join({X.elements(header, 'sourceDesc')}, '')"
+    people = Q.each(X.child_fields(source, "author", f"persName {_PEOPLE}"),
+                    lambda a: Q.or_empty(f"{a}.persName", _PEOPLE))
+    part = lambda p, name: Q.null_if_empty(X.leading_text(f"get({p}.{name}, 0)"))
+    names = Q.each(f"flatten({people})", lambda p: f"concat_ws(' ', {part(p, 'forename')}, {part(p, 'surname')})")
+    return Q.or_empty(Q.each(Q.keep(names, lambda n: f"{n} <> ''"), Q.strip), "ARRAY<STRING>")
 
 
-def _abstract(header: Column) -> Column:
-    return X.element_text(_content(F.get(X.xml_elements(header, "abstract"), F.lit(0)), "abstract"))
+def _sections(body: str) -> str:
+    divs = Q.each(X.own_content(body, "div"), lambda d: X.from_xml(d, "head ARRAY<STRING>, p ARRAY<STRING>"))
 
+    def section(d: str) -> str:
+        heading = Q.null_if_empty(X.element_text(f"get({d}.head, 0)"))
+        paragraphs = Q.keep(Q.each(f"{d}.p", X.element_text), lambda p: f"{p} <> ''")
+        return Q.named_struct({
+            "heading": f"coalesce({heading}, '{UNTITLED}')",
+            "text": rf"coalesce(array_join({paragraphs}, '\n'), '')"})
 
-def _authors(header: Column) -> Column:
-    source = F.array_join(X.xml_elements(header, "sourceDesc"), "")
-    people = F.flatten(F.transform(
-        _child_fields(source, "author", _PERSON_FIELDS),
-        lambda a: _or_empty(a["persName"], "array<struct<forename:array<string>,surname:array<string>>>")))
-    names = F.transform(people, lambda p: F.concat_ws(
-        " ", *[X.null_if_empty(X.leading_text(F.get(p[part], F.lit(0)))) for part in ("forename", "surname")]))
-    return _or_empty(F.transform(F.filter(names, lambda n: n != ""), X.strip), "array<string>")
+    return Q.or_empty(Q.keep(Q.each(divs, section), lambda s: f"{s}.text <> ''"),
+                      "ARRAY<STRUCT<heading: STRING, text: STRING>>")
 
 
-def _sections(body: Column) -> Column:
-    divs = F.transform(
-        X.xml_own_content(body, "div"), lambda d: _from_xml(d, "head ARRAY<STRING>, p ARRAY<STRING>"))
+def _tables(text: str) -> str:
+    is_table = lambda f: Q.matches(Q.extract(f, "^<figure[^>]*>"), r"\stype\s*=\s*[\x22\x27]table[\x22\x27]")
+    figures = Q.each(Q.keep(X.elements(text, "figure"), is_table), lambda f: Q.named_struct(
+        {"xml": f, "field": X.from_xml(f, _FIGURE_FIELDS)}))
 
-    def section(d: Column) -> Column:
-        heading = X.null_if_empty(X.element_text(F.get(d["head"], F.lit(0))))
-        paragraphs = F.filter(F.transform(d["p"], X.element_text), lambda p: p != "")
-        return F.struct(F.coalesce(heading, F.lit(UNTITLED)).alias("heading"),
-                        F.coalesce(F.array_join(paragraphs, "\n"), F.lit("")).alias("text"))
-
-    return _or_empty(F.filter(F.transform(divs, section), lambda s: s["text"] != ""), _SECTIONS)
-
-
-def _tables(text: Column) -> Column:
-    figures = F.filter(
-        X.xml_elements(text, "figure"),
-        lambda f: F.regexp_extract(f, "^<figure[^>]*>", 0).rlike(r"\stype\s*=\s*[\"']table[\"']"))
-    parsed = F.transform(figures, lambda f: F.struct(
-        f.alias("xml"), _from_xml(f, _FIGURE_FIELDS).alias("field")))
-
-    def cells_of_rows(figure: Column) -> Column:
-        no_rows = "array<struct<cell:array<string>>>"
-        direct = F.flatten(F.transform(
-            _or_empty(figure["field"]["table"], "array<struct<row:array<struct<cell:array<string>>>>>"),
-            lambda t: _or_empty(t["row"], no_rows)))
+    def cells_of_rows(figure: str) -> str:
+        tables = Q.or_empty(f"{figure}.field.table", f"ARRAY<STRUCT<row: {_CELLS}>>")
+        direct = f"flatten({Q.each(tables, lambda t: Q.or_empty(f'{t}.row', _CELLS))})"
         # Rows that are not table/row children of the figure (nested or wrapped
         # tables) are cut out one by one, which keeps document order.
-        nested = F.transform(X.xml_elements(figure["xml"], "row"), lambda r: _from_xml(r, "cell ARRAY<STRING>"))
-        whole = F.regexp_count(figure["xml"], F.lit(r"<row[\s/>]")) == F.size(direct)
-        return F.transform(F.when(whole, direct).otherwise(nested), lambda r: r["cell"])
+        nested = X.child_fields(f"{figure}.xml", "row", "cell ARRAY<STRING>")
+        all_rows = f"regexp_count({figure}.xml, {Q.literal(r'<row[\s/>]')})"
+        chosen = Q.let(direct, lambda d: f"if({all_rows} = size({d}), {d}, {nested})")
+        return Q.each(chosen, lambda r: Q.or_empty(f"{r}.cell", "ARRAY<STRING>"))
 
-    def table(figure: Column) -> Column:
-        rows = F.transform(
-            F.filter(cells_of_rows(figure), lambda cells: F.size(F.coalesce(cells, F.array().cast("array<string>"))) > 0),
-            lambda cells: F.transform(cells, X.element_text))
-        return F.struct(
-            X.element_text(F.get(figure["field"]["label"], F.lit(0))).alias("label"),
-            X.element_text(F.get(figure["field"]["head"], F.lit(0))).alias("caption"),
-            _or_empty(rows, "array<array<string>>").alias("rows"))
+    def table(figure: str) -> str:
+        rows = Q.each(Q.keep(cells_of_rows(figure), lambda c: f"size({c}) > 0"), lambda c: Q.each(c, X.element_text))
+        return Q.named_struct({
+            "label": X.element_text(f"get({figure}.field.label, 0)"),
+            "caption": X.element_text(f"get({figure}.field.head, 0)"),
+            "rows": rows})
 
-    kept = F.filter(F.transform(parsed, table), lambda t: (F.size(t["rows"]) > 0) | (t["caption"] != ""))
-    return _or_empty(kept, _TABLES)
+    return Q.or_empty(Q.keep(Q.each(figures, table), lambda t: f"size({t}.rows) > 0 OR {t}.caption <> ''"),
+                      "ARRAY<STRUCT<label: STRING, caption: STRING, rows: ARRAY<ARRAY<STRING>>>>")
 
 
 def parse_tei(tei: DataFrame) -> DataFrame:
@@ -146,30 +111,26 @@ def parse_tei(tei: DataFrame) -> DataFrame:
     everything else null or empty. Elements outside the TEI namespace are not
     seen, as in a namespace-aware search.
     """
-    xml = F.col("tei_xml")
+    headers = f"regexp_extract_all(_doc, {Q.literal(r'(?s)<teiHeader[\s>].*?</teiHeader>')}, 0)"
     prepared = (
-        tei.withColumn("_normal", X.normalise_tei(xml))
-        .withColumn("parse_error", F.when(malformed(xml, F.col("_normal")), MALFORMED))
-        .withColumn("_doc", F.when(F.col("parse_error").isNull() & xml.contains(X.TEI_NAMESPACE), F.col("_normal")))
-        .withColumn("_header", F.when(F.col("_doc").isNotNull(), F.concat(
-            F.lit("<h>"),
-            F.array_join(F.regexp_extract_all("_doc", F.lit(r"(?s)<teiHeader[\s>].*?</teiHeader>"), F.lit(0)), ""),
-            F.lit("</h>"))))
-        .withColumn("_text", F.get(F.split("_doc", r"(?=<text[\s>])", 2), F.lit(1)))
-        .withColumn("_body", F.get(X.xml_elements(F.col("_text"), "body"), F.lit(0)))
-    )
-    header = F.col("_header")
-    return (
-        prepared
-        .withColumn("title", _title(header))
-        .withColumn("doi", _doi(header))
-        .withColumn("authors", _authors(header))
-        .withColumn("year", _year(header))
-        .withColumn("abstract", _abstract(header))
-        .withColumn("sections", _sections(F.col("_body")))
-        .withColumn("tables", _tables(F.col("_text")))
-        .drop("_normal", "_doc", "_header", "_text", "_body")
+        tei.withColumn("_normal", F.expr(X.normalise_tei("tei_xml")))
+        .withColumn("parse_error", F.expr(f"if({_malformed('tei_xml', '_normal')}, '{MALFORMED}', NULL)"))
+        .withColumn("_doc", F.expr(
+            f"if(parse_error IS NULL AND contains(tei_xml, '{X.TEI_NAMESPACE}'), _normal, NULL)"))
+        .withColumns({
+            "_header": F.expr(f"if(_doc IS NULL, NULL, concat('<h>', array_join({headers}, ''), '</h>'))"),
+            "_text": F.expr(f"get(split(_doc, {Q.literal(r'(?=<text[\s>])')}, 2), 1)")})
+        .withColumn("_body", F.expr(f"get({X.elements('_text', 'body')}, 0)"))
     )
+    return prepared.withColumns({
+        "title": F.expr(_title("_header")),
+        "doi": F.expr(_doi("_header")),
+        "authors": F.expr(_authors("_header")),
+        "year": F.expr(_year("_header")),
+        "abstract": F.expr(_abstract("_header")),
+        "sections": F.expr(_sections("_body")),
+        "tables": F.expr(_tables("_text")),
+    }).drop("_normal", "_doc", "_header", "_text", "_body")
 
 
 def quarantine(papers: DataFrame) -> DataFrame:
@@ -199,14 +160,14 @@ def table_cells(papers: DataFrame) -> DataFrame:
 
 def table_text(label: Column, caption: Column, rows: Column) -> Column:
     """Caption line, then one ``a | b | c`` line per row."""
-    head = X.strip_chars(F.concat(F.lit("Table "), label, F.lit(": "), caption), ": ")
-    lines = F.transform(rows, lambda r: F.array_join(F.transform(r, X.strip), " | "))
+    head = strip_chars(F.concat(F.lit("Table "), label, F.lit(": "), caption), ": ")
+    lines = F.transform(rows, lambda r: F.array_join(F.transform(r, strip), " | "))
     return F.array_join(F.concat(F.array(head), lines), "\n")
 
 
 def document_text(max_chars: int | None = None) -> Column:
     """The paper as one text: header, abstract, sections, then all tables."""
-    known = lambda c: F.coalesce(X.null_if_empty(c), F.lit(UNKNOWN))
+    known = lambda c: F.coalesce(null_if_empty(c), F.lit(UNKNOWN))
     year = F.nullif(F.col("year"), F.lit(0)).cast("string")
     header = F.concat(
         F.lit("Title: "), known(F.col("title")), F.lit("\nDOI: "), known(F.col("doi")),

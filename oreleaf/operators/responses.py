@@ -13,104 +13,89 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from oreleaf.functions import coerce as C
-from oreleaf.functions.text import let
+from oreleaf.functions import sqltext as Q
 from oreleaf.schemas import ExtractionSchema
 
 _FENCE = r"```(?:json)?\s*([\s\S]*?)\s*```"
 
 
-def unfence(body: Column) -> Column:
+def unfence(body: str) -> str:
     """The content of the first fenced block, or the text itself when there is none."""
-    return F.when(body.contains("```"), F.coalesce(
-        F.nullif(F.regexp_extract(body, _FENCE, 1), F.lit("")), body)).otherwise(body)
+    fenced = f"coalesce({Q.null_if_empty(Q.extract(body, _FENCE, 1))}, {body})"
+    return f"if(contains({body}, '```'), {fenced}, {body})"
 
 
-def parse_json(body: Column) -> Column:
+def parse_json(body: str) -> str:
     """VARIANT of a text that holds exactly one JSON value, else null."""
     # The parser stops behind the first value; inside brackets it cannot.
-    wrapped = F.try_parse_json(F.concat(F.lit("["), body, F.lit("]")))
-    return let(wrapped, lambda w: F.when(
-        F.try_variant_get(w, "$[1]", "variant").isNull(), F.try_variant_get(w, "$[0]", "variant")))
+    return Q.let(f"try_parse_json(concat('[', {body}, ']'))", lambda w:
+                 f"if(try_variant_get({w}, '$[1]', 'variant') IS NULL, try_variant_get({w}, '$[0]', 'variant'), NULL)")
 
 
-def _is_object(value: Column) -> Column:
-    return F.schema_of_variant(value).startswith("OBJECT")
-
-
-def _is_array(value: Column) -> Column:
-    return F.schema_of_variant(value).startswith("ARRAY")
+def _is_object(value: str) -> str:
+    return f"startswith({C.kind_of(value)}, 'OBJECT')"
 
 
 def _flat_name(path: str) -> str:
     return path.replace(".", "__")
 
 
-def _fields(values: Column, schema: ExtractionSchema) -> Column:
-    """Typed flat struct, one field per leaf; ``values`` holds the raw variants."""
-    return F.struct(*[
-        C.coerce(values[_flat_name(p)], t, p in schema.scalar_or_list).alias(_flat_name(p))
-        for p, t in schema.leaves()])
-
-
-def _nest(flat: Column, schema: ExtractionSchema) -> Column:
-    """Rebuild the nested record; a missing sub-record becomes a struct of empty fields."""
-    out = []
+def nest(leaf, schema: ExtractionSchema) -> str:
+    """The nested record; ``leaf(path, type)`` gives each field. Sub-records are never null."""
+    out = {}
     for f in schema.record.fields:
         if isinstance(f.dataType, T.StructType):
-            out.append(F.struct(*[
-                flat[_flat_name(f"{f.name}.{c.name}")].alias(c.name) for c in f.dataType.fields]).alias(f.name))
+            out[f.name] = Q.named_struct({c.name: leaf(f"{f.name}.{c.name}", c.dataType) for c in f.dataType.fields})
         else:
-            out.append(flat[_flat_name(f.name)].alias(f.name))
-    return F.struct(*out)
+            out[f.name] = leaf(f.name, f.dataType)
+    return Q.named_struct(out)
 
 
-def record_with_errors(record: Column, schema: ExtractionSchema) -> Column:
+def checked_record(record: str, schema: ExtractionSchema) -> str:
     """STRUCT<record, errors ARRAY<STRING>> of one record's VARIANT.
 
     ``errors`` names the fields that are present but cannot be converted.
     Unknown keys are ignored.
     """
     parents = [f.name for f in schema.record.fields if isinstance(f.dataType, T.StructType)]
+    leaves = schema.leaves()
 
-    def raw(r: Column) -> Column:
-        return F.struct(
-            *[C.at(r, p).alias(_flat_name(p)) for p, _ in schema.leaves()],
-            *[C.at(r, p).alias(f"{p}__") for p in parents],
-            _is_object(r).alias("is_object__"))
-
-    def typed(v: Column) -> Column:
-        return F.struct(v.alias("raw"), _fields(v, schema).alias("flat"))
-
-    def result(x: Column) -> Column:
-        rejected = [
-            F.when(x["flat"][_flat_name(p)].isNull() & C.given(x["raw"][_flat_name(p)]), F.lit(p))
-            for p, _ in schema.leaves()]
-        not_objects = [
-            F.when(C.given(x["raw"][f"{p}__"]) & ~_is_object(x["raw"][f"{p}__"]), F.lit(p)) for p in parents]
-        no_record = F.when(~F.coalesce(x["raw"]["is_object__"], F.lit(False)), F.lit("record"))
-        errors = F.filter(F.array(no_record, *not_objects, *rejected), lambda e: e.isNotNull())
-        return F.struct(_nest(x["flat"], schema).alias("record"), errors.alias("errors"))
+    def raw(r: str) -> str:
+        return Q.named_struct({
+            **{_flat_name(p): C.at(r, p) for p, _ in leaves},
+            **{f"{p}__": C.at(r, p) for p in parents},
+            "is_object__": f"coalesce({_is_object(r)}, false)"})
 
-    return let(let(let(record, raw), typed), result)
+    def typed(v: str) -> str:
+        return Q.named_struct({"raw": v, "flat": Q.named_struct({
+            _flat_name(p): C.coerce(f"{v}.{_flat_name(p)}", t, p in schema.scalar_or_list) for p, t in leaves})})
 
+    def result(x: str) -> str:
+        field = lambda p: f"{x}.raw.{p}"
+        errors = [f"if({x}.raw.is_object__, NULL, 'record')"]
+        errors += [f"if({C.given(field(p + '__'))} AND NOT {_is_object(field(p + '__'))}, '{p}', NULL)" for p in parents]
+        errors += [f"if({x}.flat.{_flat_name(p)} IS NULL AND {C.given(field(_flat_name(p)))}, '{p}', NULL)"
+                   for p, _ in leaves]
+        return Q.named_struct({
+            "record": nest(lambda p, _: f"{x}.flat.{_flat_name(p)}", schema),
+            "errors": f"array_compact(array({', '.join(errors)}))"})
 
-def _response_error(parsed: Column) -> Column:
-    rows = C.at(parsed, "rows")
-    return (F.when(parsed.isNull(), F.lit("malformed JSON"))
-            .when(~_is_object(parsed), F.lit("response is not an object"))
-            .when(C.given(rows) & ~_is_array(rows), F.lit("rows is not a list")))
+    return Q.let(Q.let(Q.let(record, raw), typed), result)
 
 
 def parse_rows(responses: DataFrame) -> DataFrame:
     """Adds ``raw_rows ARRAY<VARIANT>`` and ``response_error``; null or missing rows give no rows."""
-    parsed = F.col("_parsed")
-    no_rows = F.array().cast("array<variant>")
+    rows = C.at("_parsed", "rows")
+    error = Q.case(
+        ("_parsed IS NULL", "'malformed JSON'"),
+        (f"NOT {_is_object('_parsed')}", "'response is not an object'"),
+        (f"{C.given(rows)} AND NOT startswith({C.kind_of(rows)}, 'ARRAY')", "'rows is not a list'"))
+    raw = Q.or_empty("try_variant_get(_parsed, '$.rows', 'array<variant>')", "array<variant>")
     return (
         responses
-        .withColumn("_parsed", parse_json(unfence(F.col("body"))))
-        .withColumn("response_error", _response_error(parsed))
-        .withColumn("raw_rows", F.when(F.col("response_error").isNull(), F.coalesce(
-            F.try_variant_get(parsed, "$.rows", "array<variant>"), no_rows)))
+        .withColumn("_parsed", F.expr(parse_json(unfence("body"))))
+        .withColumn("response_error", F.expr(error))
+        .withColumn("raw_rows", F.expr(f"if(response_error IS NULL, {raw}, NULL)"))
         .drop("_parsed")
     )
 
@@ -122,17 +107,15 @@ def validate(responses: DataFrame, schema: ExtractionSchema) -> DataFrame:
     ``response_error`` and ``field_errors ARRAY<STRUCT<row_idx, field>>``. One bad
     field rejects the whole response.
     """
-    checked = F.col("_checked")
-    errors = F.flatten(F.transform(checked, lambda c, i: F.transform(
-        c["errors"], lambda e: F.struct(i.alias("row_idx"), e.alias("field")))))
+    errors = Q.each_indexed("_checked", lambda c, i: Q.each(
+        f"{c}.errors", lambda e: Q.named_struct({"row_idx": i, "field": e})))
     return (
         parse_rows(responses)
-        .withColumn("_checked", F.transform("raw_rows", lambda r: record_with_errors(r, schema)))
-        .withColumn("field_errors", errors)
-        .withColumn("response_error", F.coalesce(
-            F.col("response_error"), F.when(F.size("field_errors") > 0, F.lit("invalid fields"))))
-        .withColumn("rows", F.when(
-            F.col("response_error").isNull(), F.transform(checked, lambda c: c["record"])))
+        .withColumn("_checked", F.expr(Q.each("raw_rows", lambda r: checked_record(r, schema))))
+        .withColumn("field_errors", F.expr(f"flatten({errors})"))
+        .withColumn("response_error", F.expr(
+            "coalesce(response_error, if(size(field_errors) > 0, 'invalid fields', NULL))"))
+        .withColumn("rows", F.expr(f"if(response_error IS NULL, {Q.each('_checked', lambda c: c + '.record')}, NULL)"))
         .drop("_checked", "raw_rows")
     )
 
@@ -141,9 +124,10 @@ def validate_single(responses: DataFrame, schema: ExtractionSchema) -> DataFrame
     """As :func:`validate` for bodies that are one bare record; adds ``record`` and ``response_error``."""
     return (
         responses
-        .withColumn("_checked", record_with_errors(parse_json(unfence(F.col("body"))), schema))
-        .withColumn("response_error", F.when(F.size("_checked.errors") > 0, F.array_join("_checked.errors", ",")))
-        .withColumn("record", F.when(F.col("response_error").isNull(), F.col("_checked.record")))
+        .withColumn("_checked", F.expr(checked_record(parse_json(unfence("body")), schema)))
+        .withColumn("response_error", F.expr(
+            "if(size(_checked.errors) > 0, array_join(_checked.errors, ','), NULL)"))
+        .withColumn("record", F.expr("if(response_error IS NULL, _checked.record, NULL)"))
         .drop("_checked")
     )
 
@@ -169,5 +153,5 @@ def record_json(record: Column, pretty: bool = False) -> Column:
     return F.to_json(record, options)
 
 
-def record_from_json(body: Column, schema: ExtractionSchema) -> Column:
-    return record_with_errors(parse_json(body), schema)["record"]
+def record_from_json(column: str, schema: ExtractionSchema) -> Column:
+    return F.expr(checked_record(parse_json(column), schema))["record"]

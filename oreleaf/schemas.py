@@ -78,8 +78,10 @@ class ExtractionSchema:
     record: T.StructType
     # list fields for which a bare string stands for a one-item list
     scalar_or_list: frozenset[str]
-    # fields that identify a record; records equal in all of them are variants
+    # records equal in all of these fields are variants of one record
     key: tuple[str, ...]
+    # material and condition: what a verification must not change
+    identity: tuple[str, ...]
     extract_prompt: str
     verify_prompt: str
     batch_prompt: str
@@ -128,6 +130,10 @@ CATALYST = ExtractionSchema(
         "performance.co2_conversion", "performance.co_selectivity", "performance.ch4_selectivity",
         "performance.methanol_selectivity",
     ),
+    identity=(
+        "material_id", "performance.temperature", "performance.temperature_units", "performance.pressure",
+        "performance.pressure_units", "performance.feed_composition",
+    ),
     extract_prompt=templates.EXTRACT["catalyst"],
     verify_prompt=templates.VERIFY["catalyst"],
     batch_prompt=templates.BATCH["catalyst"],
@@ -145,6 +151,10 @@ ADSORPTION = ExtractionSchema(
         "measurement.adsorption_temperature_c", "measurement.pressure_bar", "measurement.gas_composition",
         "measurement.wet_dry_air", "measurement.co2_adsorption_capacity_mmol_g",
     ),
+    identity=(
+        "material_id", "measurement.adsorption_temperature_c", "measurement.pressure_bar",
+        "measurement.gas_composition", "measurement.wet_dry_air",
+    ),
     extract_prompt=templates.EXTRACT["adsorption"],
     verify_prompt=templates.VERIFY["adsorption"],
     batch_prompt=templates.BATCH["adsorption"],
@@ -160,6 +170,7 @@ USECASE = ExtractionSchema(
         "material_properties.m3_metals_ratios", "material_properties.m2_m3_ratio", "material_properties.anions",
         "material_properties.impregnation", "material_properties.impregnation_compound",
     ),
+    identity=("material_id",),
     extract_prompt=templates.EXTRACT["usecase"],
     verify_prompt=templates.VERIFY["usecase"],
     batch_prompt=templates.BATCH["usecase"],

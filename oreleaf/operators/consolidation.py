@@ -12,39 +12,41 @@ one place before it has been reduced.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from oreleaf.functions.text import collapse_spaces, normalised_phrase
+from oreleaf.functions import sqltext as Q
+from oreleaf.operators.responses import nest
 from oreleaf.schemas import ExtractionSchema
 
 
-def _value(path: str, record: str = "record") -> Column:
-    return F.col(f"{record}.{path}")
-
-
-def _filled(value: Column, kind: T.DataType) -> Column:
+def _filled(path: str, kind: T.DataType) -> str:
     """The value, or null when it says nothing."""
-    if isinstance(kind, T.ArrayType):
-        return F.when(F.size(value) > 0, value)
-    return value
+    value = f"record.{path}"
+    return f"if(size({value}) > 0, {value}, NULL)" if isinstance(kind, T.ArrayType) else value
 
 
-def completeness(schema: ExtractionSchema) -> Column:
+def completeness(schema: ExtractionSchema) -> str:
     """Number of non-null scalars and non-empty lists."""
-    total = F.lit(0)
-    for path, kind in schema.leaves():
-        total = total + _filled(_value(path), kind).isNotNull().cast("int")
-    return total
+    return " + ".join(f"int({_filled(p, t)} IS NOT NULL)" for p, t in schema.leaves())
+
 
+def _comparable(value: str) -> str:
+    return Q.strip(Q.replace_all(f"lower({value})", r"(?U)\s+", " "))
 
-def _key_column(path: str, kind: T.DataType) -> Column:
-    value = _value(path)
+
+def normalised_phrase(value: str) -> str:
+    """Comparison form of a phrase: lower case, no punctuation, single spaces."""
+    return _comparable(Q.replace_all(value, r"[\p{Punct}]+", " "))
+
+
+def _key(path: str, kind: T.DataType) -> str:
+    value = f"record.{path}"
     if isinstance(kind, T.StringType):
-        return collapse_spaces(F.lower(value))
+        return _comparable(value)
     if isinstance(kind, T.ArrayType):
-        return F.array_sort(F.transform(value, lambda v: collapse_spaces(F.lower(v))))
+        return f"array_sort({Q.each(value, _comparable)})"
     return value
 
 
@@ -52,66 +54,56 @@ def _name(path: str) -> str:
     return path.replace(".", "__")
 
 
-def _nested(schema: ExtractionSchema) -> Column:
+def _merged_record(schema: ExtractionSchema) -> str:
     """Record from the picked columns; lists without a value are empty."""
-    def leaf(path: str, kind: T.DataType) -> Column:
-        picked = F.col(f"{_name(path)}.value") if path not in schema.united else F.col(_name(path))
-        if isinstance(kind, T.ArrayType):
-            picked = F.coalesce(picked, F.array().cast("array<string>"))
-        return picked
-
-    out = []
-    for f in schema.record.fields:
-        if isinstance(f.dataType, T.StructType):
-            out.append(F.struct(*[
-                leaf(f"{f.name}.{c.name}", c.dataType).alias(c.name) for c in f.dataType.fields]).alias(f.name))
-        else:
-            out.append(leaf(f.name, f.dataType).alias(f.name))
-    return F.struct(*out)
+    def leaf(path: str, kind: T.DataType) -> str:
+        picked = _name(path) if path in schema.united else f"{_name(path)}.value"
+        return Q.or_empty(picked, "array<string>") if isinstance(kind, T.ArrayType) else picked
+
+    return nest(leaf, schema)
 
 
 def consolidate(records: DataFrame, schema: ExtractionSchema) -> DataFrame:
     """records(paper_id, row_idx, record) -> one record per paper and key.
 
     Adds n_variants; row_idx is that of the first variant. Fields named in
-    ``schema.united`` hold the union of the variants' items, with items that
-    differ only in case, spacing or punctuation counted once.
+    ``schema.united`` hold the union of the variants' items in the order of their
+    first mention, with items that differ only in case, spacing or punctuation
+    counted once.
     """
     kinds = dict(schema.leaves())
-    keys = [f"k{i}" for i in range(len(schema.key))]
-    keyed = records.select(
-        "paper_id", "row_idx", "record", completeness(schema).alias("completeness"),
-        *[_key_column(p, kinds[p]).alias(k) for k, p in zip(keys, schema.key)])
+    keys = {f"k{i}": _key(p, kinds[p]) for i, p in enumerate(schema.key)}
+    keyed = records.selectExpr(
+        "paper_id", "row_idx", "record", f"{completeness(schema)} AS completeness",
+        *[f"{expr} AS {k}" for k, expr in keys.items()])
     picks = [(p, t) for p, t in schema.leaves() if p not in schema.united]
 
-    def best(path: str, kind: T.DataType) -> Column:
-        value = _filled(_value(path), kind)
-        return F.max(F.when(value.isNotNull(), F.struct(
-            F.col("completeness"), (-F.col("row_idx")).alias("order"), value.alias("value")))).alias(_name(path))
+    def best(path: str, kind: T.DataType):
+        value = _filled(path, kind)
+        ranked = Q.named_struct({"completeness": "completeness", "order": "-row_idx", "value": value})
+        return F.expr(f"max(if({value} IS NULL, NULL, {ranked}))").alias(_name(path))
 
     group = ["paper_id", *keys]
+    out = ["paper_id", "row_idx", f"{_merged_record(schema)} AS record", "n_variants"]
     if not schema.united:
-        merged = keyed.groupBy(*group).agg(
+        return keyed.groupBy(*group).agg(
             *[best(p, t) for p, t in picks],
-            F.min("row_idx").alias("row_idx"), F.count(F.lit(1)).alias("n_variants"))
-        return merged.select("paper_id", "row_idx", _nested(schema).alias("record"), "n_variants")
+            F.min("row_idx").alias("row_idx"), F.count(F.lit(1)).alias("n_variants")).selectExpr(*out)
 
     (united,) = schema.united
-    # First level: one row per item and key, carrying the partial picks along;
-    # the row number 0 item counts its record once.
-    items = keyed.withColumn("items", _value(united)).select(
-        *keyed.columns, F.posexplode_outer("items").alias("pos", "item"))
-    per_item = items.groupBy(*group, normalised_phrase(F.col("item")).alias("phrase")).agg(
+    # First level: one row per key and phrase, carrying the partial picks along.
+    # A record is counted with its first item only.
+    items = keyed.select(*keyed.columns, F.posexplode_outer(f"record.{united}").alias("pos", "item"))
+    per_item = items.groupBy(*group, F.expr(normalised_phrase("item")).alias("phrase")).agg(
         *[best(p, t) for p, t in picks],
-        F.min(F.when(F.col("item").isNotNull(), F.struct("row_idx", "pos", "item"))).alias("first"),
+        F.expr("min(if(item IS NULL, NULL, named_struct('row_idx', row_idx, 'pos', pos, 'item', item)))").alias("first"),
         F.min("row_idx").alias("row_idx"),
-        F.sum((F.coalesce("pos", F.lit(0)) == 0).cast("bigint")).alias("n_variants"))
-    # Second level: the distinct phrases of a key, which is the size of the result.
-    merged = per_item.groupBy(*group).agg(
+        F.expr("count_if(coalesce(pos, 0) = 0)").alias("n_variants"))
+    # Second level: only the distinct phrases of a key, which is the size of the result.
+    return per_item.groupBy(*group).agg(
         *[F.max(_name(p)).alias(_name(p)) for p, _ in picks],
-        F.transform(F.array_sort(F.collect_list("first")), lambda x: x["item"]).alias(_name(united)),
-        F.min("row_idx").alias("row_idx"), F.sum("n_variants").alias("n_variants"))
-    return merged.select("paper_id", "row_idx", _nested(schema).alias("record"), "n_variants")
+        F.expr("transform(array_sort(collect_list(first)), f -> f.item)").alias(_name(united)),
+        F.min("row_idx").alias("row_idx"), F.sum("n_variants").alias("n_variants")).selectExpr(*out)
 
 
 def assess_or_keep(records: DataFrame, assessed: DataFrame, outcome: DataFrame) -> DataFrame:

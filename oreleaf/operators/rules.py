@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from oreleaf.functions import sqltext as Q
 from oreleaf.functions.text import normalised_phrase, null_if_empty, strip
 from oreleaf.schemas import ADSORPTION, ExtractionSchema
 
@@ -148,14 +149,13 @@ def text_measurements(sections: DataFrame, text_units: Mapping[str, tuple[str, s
     """
     per_field = []
     for name, (dimension, units) in text_units.items():
-        matches = F.regexp_extract_all(
-            F.col("text"), F.lit(rf"(?<![\w.]){_NUMBER}\s*(?:{units})(?![\w/])"), F.lit(0))
-        per_field.append(F.transform(matches, lambda m, i, name=name, dimension=dimension: F.struct(
-            F.lit(name).alias("field"), i.alias("match_idx"), F.lit(dimension).alias("dimension"),
-            F.regexp_extract(m, _NUMBER, 0).cast("double").alias("value"),
-            F.regexp_extract(m, rf"^{_NUMBER}\s*(.*)$", 1).alias("unit"))))
+        pattern = Q.literal(rf"(?<![\w.]){_NUMBER}\s*(?:{units})(?![\w/])")
+        per_field.append(Q.each_indexed(f"regexp_extract_all(text, {pattern}, 0)", lambda m, i: Q.named_struct({
+            "field": f"'{name}'", "match_idx": i, "dimension": f"'{dimension}'",
+            "value": f"cast({Q.extract(m, _NUMBER)} AS double)",
+            "unit": Q.extract(m, rf"^{_NUMBER}\s*(.*)$", 1)})))
     return (
-        sections.select("paper_id", "section_idx", F.explode(F.flatten(F.array(*per_field))).alias("m"))
+        sections.select("paper_id", "section_idx", F.explode(F.expr(f"concat({', '.join(per_field)})")).alias("m"))
         .select("paper_id", "section_idx", "m.*")
     )
 

@@ -37,9 +37,11 @@ class RunOptions:
     backoff_s: float = 15.0
 
 
-def _ask(prompts: DataFrame, out_dir: str, make_call, options: RunOptions) -> DataFrame:
+def _ask(prompts: DataFrame, store: str, make_call, options: RunOptions) -> DataFrame:
+    # Each stage has its own answer table: a plan that read one path before and
+    # after an append would treat both scans as the same.
     return inference.infer_once(
-        prompts, f"{out_dir}/answers", make_call,
+        prompts, store, make_call,
         max_tokens=options.max_tokens, retries=options.retries, backoff_s=options.backoff_s)
 
 
@@ -47,7 +49,8 @@ def _verified(validated, docs, schema, out_dir, make_call, options) -> DataFrame
     first = R.record_rows(validated.select("paper_id", "rows"))
     if not options.verify:
         return first
-    answers = _ask(P.verification_prompts(validated, docs, schema), out_dir, make_call, options)
+    answers = _ask(P.verification_prompts(validated, docs, schema), f"{out_dir}/answers/{P.VERIFY}/{schema.name}",
+                   make_call, options)
     checked = R.validate_single(answers.where(F.col("status") == "ok"), schema)
     return verification.merge_verified(first, checked, schema).drop("was_verified")
 
@@ -57,7 +60,8 @@ def _assessed(records, schema, out_dir, make_call, options) -> DataFrame:
         return records
     if options.assess == RULES:
         return consolidation.consolidate(records, schema).drop("n_variants")
-    answers = R.validate(_ask(P.batch_prompts(records, schema), out_dir, make_call, options), schema)
+    answers = R.validate(_ask(P.batch_prompts(records, schema), f"{out_dir}/answers/{P.ASSESS}/{schema.name}",
+                              make_call, options), schema)
     outcome = answers.groupBy("paper_id").agg(
         F.bool_and((F.col("status") == "ok") & F.col("response_error").isNull()).alias("ok"))
     exploded = answers.select("paper_id", "part", F.posexplode("rows").alias("pos", "record"))
@@ -88,7 +92,7 @@ def run(
     parsed = documents.with_document_text(documents.parse_tei(tei.join(todo, "paper_id", "left_semi")))
     docs = tables.write_version(parsed.select("paper_id", "llm_text", "parse_error"), f"{base}/docs", version)
 
-    answers = _ask(P.extraction_prompts(docs, schemas), out_dir, make_call, options)
+    answers = _ask(P.extraction_prompts(docs, schemas), f"{out_dir}/answers/{P.EXTRACT}", make_call, options)
     outcomes = docs.select(
         "paper_id", F.lit(M.PARSE).alias("stage"), F.col("parse_error").isNull().alias("ok"),
         F.col("parse_error").alias("error"))
@@ -109,8 +113,10 @@ def run(
     for schema in schemas:
         # One row per paper here: papers with a failed schema leave before any fan-out.
         rows = validated[schema.name].join(good, "paper_id", "left_semi")
-        records = _assessed(
-            _verified(rows, docs, schema, out_dir, make_call, options), schema, out_dir, make_call, options)
+        records = _verified(rows, docs, schema, out_dir, make_call, options)
+        if options.verify or options.assess == MODEL:
+            records = tables.write_version(records, f"{base}/{schema.name}/verified", version)
+        records = _assessed(records, schema, out_dir, make_call, options)
         stored = tables.write_version(records, f"{base}/{schema.name}/records", version)
         tables.write_version(good, f"{base}/{schema.name}/processed", version)
         tables.export_csv(stored, schema, out_dir, options.tag)

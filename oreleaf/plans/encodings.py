@@ -12,6 +12,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from oreleaf.operators.responses import nest
+from oreleaf.schemas import USECASE, ExtractionSchema
+from oreleaf.sources.papers import spread
+
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
@@ -68,3 +72,138 @@ def tei_documents(spark: SparkSession, sf_dir: str, cut_every: int | None = None
         xml = F.when(F.col("doc_id") % cut_every == 0,
                      F.left(xml, F.length(xml) - F.length("text") % 20 - 5)).otherwise(xml)
     return docs.join(labels, "doc_id", "left").select(doc_id.alias("paper_id"), "doc_id", xml.alias("tei_xml"))
+
+
+def spread_tei(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
+    """X1, given all cores (the scan of a small table sits in few row groups)."""
+    return spread(tei_documents(spark, sf_dir, **options), "paper_id")
+
+
+# X2: ``orders`` as model responses. An order answers with o_orderkey % 4 records,
+# so some papers have none. Faults go by o_orderkey % 50.
+_FAULTS = {
+    "cut": 0, "wrong_type": 1, "null_rows": 2, "numbers_as_text": 3, "fenced": 4, "bare_string_list": 5,
+    "null_measurement": 6,
+}
+
+
+def _is(fault: str) -> str:
+    return f"o_orderkey % 50 = {_FAULTS[fault]}"
+
+
+def _x2_record(i: str, material: str = "o_custkey", factor: int = 1, with_ph: bool = True, broken: str = "false") -> str:
+    """JSON text of the i-th record of an order."""
+    number = lambda sql: f"if({_is('numbers_as_text')}, concat('\" ', {sql}, ' \"'), cast({sql} AS string))"
+    ph = f"""'"ph":', {number('o_custkey % 140 / 10')}, ','""" if with_ph else "''"
+    measurement = f"""if({_is('null_measurement')}, 'null', concat('{{"pressure_bar":',
+        CASE WHEN ({_is('wrong_type')} AND {i} = 0) OR {broken} THEN '"~9"' ELSE {number('o_custkey % 50')} END,
+        ',"gas_composition":"', o_orderpriority, '","wet_dry_air":', if(o_orderstatus = 'O', '"yes"', 'false'),
+        ',"co2_adsorption_capacity_mmol_g":', o_totalprice * {factor}, '}}'))"""
+    return f"""concat('{{"material_id":"P', {material}, '-', {i}, '","extra":[1,', {i}, '],"study_metadata":{{"year":"', year(o_orderdate),
+        '","doi":"10.5555/', o_orderkey, '","title":"Order \\\\\\"', o_orderkey, '\\\\\\""}},"synthesis_method":{{"method_name":',
+        if({i} % 2 = 0, concat('"step ', o_orderpriority, '"'), concat('["a","', o_orderstatus, '"]')),
+        ',"metal_precursors":', if({_is('bare_string_list')}, '"MgCl2"', concat('["', o_orderstatus, '","M', {i}, '",""]')),
+        ',', {ph}, '"exfoliation":', int(o_orderstatus = 'F'), '}},"measurement":', {measurement}, '}}')"""
+
+
+def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X2: one adsorption response per order."""
+    rows = f"array_join(transform(slice(array(0, 1, 2), 1, int(o_orderkey % 4)), i -> {_x2_record('i')}), ',')"
+    whole = f"""if({_is('null_rows')}, '{{"rows":null}}', concat('{{"rows":[', {rows}, ']}}'))"""
+    body = f"""CASE WHEN {_is('cut')} THEN '{{"rows":[{{"material_id":' WHEN {_is('fenced')}
+        THEN concat('Result:\n```json\n', {whole}, '\n```\n') ELSE {whole} END"""
+    return read(spark, sf_dir, "orders").selectExpr("cast(o_orderkey AS string) AS paper_id", f"{body} AS body")
+
+
+def verification_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X2: the answer of the verification of each record.
+
+    o_orderkey % 3: 0 a changed record (twice the capacity, no pH; every fifth
+    customer another material), 1 an invalid one, 2 none at all.
+    """
+    record = _x2_record("i", "(o_custkey + if(o_custkey % 5 = 0, 1, 0))", 2, False, "o_orderkey % 3 = 1")
+    return (
+        read(spark, sf_dir, "orders")
+        .selectExpr("*", "explode(slice(array(0, 1, 2), 1, int(o_orderkey % 4))) AS i")
+        .selectExpr("cast(o_orderkey AS string) AS paper_id", "i AS row_idx",
+                    f"if(o_orderkey % 3 = 2, NULL, {record}) AS body")
+    )
+
+
+def attempt_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X3: ``events`` as attempts, four consecutive events to a request."""
+    return read(spark, sf_dir, "events").selectExpr(
+        "concat('r', cast(floor(event_id / 4) AS bigint)) AS request_id", "cast(event_id % 4 + 1 AS int) AS attempt",
+        "CASE event_type WHEN 'signup' THEN 'incomplete' WHEN 'error' THEN 'transient' WHEN 'view' THEN 'transient' "
+        "ELSE 'ok' END AS status",
+        "cast(user_id % 40 * 1000 AS int) AS max_tokens", "user_id % 7 = 0 AS escalated",
+        "props AS body", "concat(event_type, ' ', event_id) AS error")
+
+
+def line_records(spark: SparkSession, sf_dir: str, schema: ExtractionSchema) -> DataFrame:
+    """X4: ``lineitem`` as records; equal (l_orderkey, l_linenumber) are variants.
+
+    The key fields depend on that pair only (case and spacing of the material
+    vary); the others are missing in two of three variants. row_idx orders the
+    variants of an order by part and supplier.
+    """
+    present = lambda n, sql: f"if(l_partkey % 3 = {n}, NULL, {sql})"
+    values = {
+        "material_id": "concat(if(l_partkey % 2 = 0, 'mat  ', 'MAT '), l_orderkey)",
+        "study_metadata.year": "year(l_shipdate)",
+        "study_metadata.doi": "concat('10.5555/', l_orderkey)",
+        "synthesis.temperature": present(0, "l_quantity"),
+        "synthesis.ph": present(1, "l_discount * 100"),
+        "synthesis.aging_time_hr": present(2, "l_tax * 100"),
+        "synthesis.method_name": "if(l_suppkey % 2 = 0, array(l_returnflag, l_linestatus), array())",
+        "measurement.adsorption_temperature_c": "double(l_linenumber)",
+        "measurement.gas_composition": "'CO2'",
+        "measurement.wet_dry_air": "l_linenumber % 2 = 0",
+        "measurement.co2_adsorption_capacity_mmol_g": "l_linenumber / 2",
+        "performance.temperature": "double(l_linenumber)",
+        "performance.feed_composition": "'H2/CO2'",
+        "performance.co2_conversion": "l_linenumber * 10D",
+        "composition.anions": "if(l_suppkey % 2 = 0, array('CO3', 'Cl'), array('cl', 'co3'))",
+    }
+    alias = {"synthesis_method": "synthesis", "synthesis_conditions": "synthesis",
+             "material_properties": "composition", "metal_composition": "composition"}
+
+    def leaf(path: str, kind) -> str:
+        parent, _, name = path.rpartition(".")
+        sql = values.get(f"{alias.get(parent, parent)}.{name}" if parent else name)
+        return f"cast({sql or ('array()' if kind.typeName() == 'array' else 'NULL')} AS {kind.simpleString()})"
+
+    return read(spark, sf_dir, "lineitem").selectExpr(
+        "cast(l_orderkey AS string) AS paper_id", "l_partkey * 100000 + l_suppkey AS row_idx",
+        f"{nest(leaf, schema)} AS record")
+
+
+def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X5: ``events`` as use-case records; a user is a material, its events are use cases."""
+    phrase = ("CASE event_id % 3 WHEN 0 THEN concat('Use ', event_type) WHEN 1 THEN concat('use  ', event_type, '.') "
+              "ELSE concat(' USE ', event_type) END")
+
+    def leaf(path: str, kind) -> str:
+        sql = {"material_id": "concat('U', user_id)", "use_cases": f"if(event_id % 5 = 4, array(), array({phrase}))",
+               "synthesis_method.ph": "if(event_id % 2 = 0, value, NULL)"}.get(path)
+        return f"cast({sql or ('array()' if kind.typeName() == 'array' else 'NULL')} AS {kind.simpleString()})"
+
+    return read(spark, sf_dir, "events").selectExpr(
+        "cast(user_id % 50 AS string) AS paper_id", "event_id AS row_idx", f"{nest(leaf, USECASE)} AS record")
+
+
+def recorded_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X6: a manifest over ``orders``; counts come from the order's key and customer."""
+    counts = ("map_concat(map('n_catalyst_materials', o_orderkey % 3, 'n_adsorption_materials', o_custkey % 2), "
+              "if(o_orderkey % 10 = 0, map(), map('n_usecase_materials', o_custkey % 3)))")
+    return (
+        read(spark, sf_dir, "orders").where("o_orderkey % 4 <> 0")
+        .selectExpr(
+            "cast(o_orderkey AS string) AS paper_id", "if(o_orderstatus = 'P', 'error', 'ok') AS status",
+            "if(o_orderstatus = 'P', 'extract', NULL) AS stage", "if(o_orderstatus = 'P', 'boom', NULL) AS error",
+            f"if(o_orderstatus = 'P', cast(map() AS map<string,bigint>), cast({counts} AS map<string,bigint>)) AS counts",
+            "cast(1 + o_orderkey % 3 AS int) AS attempts"))
+
+
+def order_papers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "orders").selectExpr("cast(o_orderkey AS string) AS paper_id", "o_orderkey", "o_custkey")

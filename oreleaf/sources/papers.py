@@ -45,6 +45,6 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     cores = spark.sparkContext.defaultParallelism
     split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
     size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    if int(size.toString()) >= cores * split:
+    if int(str(size)) >= cores * split:
         return df
     return df.repartition(cores, key)

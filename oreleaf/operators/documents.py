@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from oreleaf.functions import sqltext as Q
 from oreleaf.functions import xml as X
+from oreleaf.functions.frames import fan_out
 from oreleaf.functions.text import null_if_empty, strip, strip_chars
 
 UNTITLED = "Untitled section"
@@ -139,16 +140,16 @@ def quarantine(papers: DataFrame) -> DataFrame:
 
 
 def section_rows(papers: DataFrame) -> DataFrame:
-    return (papers.select("paper_id", F.posexplode("sections").alias("section_idx", "s"))
+    return (fan_out(papers, ["paper_id"], "sections", "section_idx", "s")
             .select("paper_id", "section_idx", "s.heading", "s.text"))
 
 
 def author_rows(papers: DataFrame) -> DataFrame:
-    return papers.select("paper_id", F.posexplode("authors").alias("author_idx", "author"))
+    return fan_out(papers, ["paper_id"], "authors", "author_idx", "author")
 
 
 def table_rows(papers: DataFrame) -> DataFrame:
-    return (papers.select("paper_id", F.posexplode("tables").alias("table_idx", "t"))
+    return (fan_out(papers, ["paper_id"], "tables", "table_idx", "t")
             .select("paper_id", "table_idx", "t.label", "t.caption", "t.rows"))
 
 

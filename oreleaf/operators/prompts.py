@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from oreleaf.functions.frames import fan_out
 from oreleaf.functions.text import fill_template
 from oreleaf.operators.responses import record_json
 from oreleaf.schemas import ExtractionSchema
@@ -33,8 +34,7 @@ def extraction_prompts(docs: DataFrame, schemas: list[ExtractionSchema]) -> Data
                  fill_template(s.extract_prompt, document_text=F.col("llm_text")).alias("prompt"))
         for s in schemas])
     return (
-        docs.where(F.col("llm_text").isNotNull())
-        .select("paper_id", F.explode(requests).alias("r"))
+        fan_out(docs, ["paper_id"], F.when(F.col("llm_text").isNotNull(), requests), "i", "r")
         .select("paper_id", "r.schema", F.lit(EXTRACT).alias("stage"), F.lit(None).cast("int").alias("row_idx"), "r.prompt")
         .withColumn("request_id", request_id(
             F.col("schema"), F.col("stage"), F.col("paper_id"), F.col("row_idx"), F.col("prompt")))
@@ -45,8 +45,7 @@ def verification_prompts(validated: DataFrame, docs: DataFrame, schema: Extracti
     """validated(paper_id, rows) of one schema + docs(paper_id, llm_text) -> one request per record."""
     joined = validated.select("paper_id", "rows").join(docs.select("paper_id", "llm_text"), "paper_id")
     return (
-        joined
-        .select("paper_id", "llm_text", F.posexplode("rows").alias("row_idx", "record"))
+        fan_out(joined, ["paper_id", "llm_text"], "rows", "row_idx", "record")
         .select(
             "paper_id", F.lit(schema.name).alias("schema"), F.lit(VERIFY).alias("stage"), "row_idx",
             fill_template(schema.verify_prompt, row_json=record_json(F.col("record"), pretty=True),

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from oreleaf.functions import coerce as C
 from oreleaf.functions import sqltext as Q
+from oreleaf.functions.frames import fan_out
 from oreleaf.schemas import ExtractionSchema
 
 _FENCE = r"```(?:json)?\s*([\s\S]*?)\s*```"
@@ -83,23 +84,74 @@ def checked_record(record: str, schema: ExtractionSchema) -> str:
     return Q.let(Q.let(Q.let(record, raw), typed), result)
 
 
-def parse_rows(responses: DataFrame) -> DataFrame:
-    """Adds ``raw_rows ARRAY<VARIANT>`` and ``response_error``; null or missing rows give no rows."""
+# What the declared types look like in the type of a VARIANT when nothing needs converting.
+_PLAIN = {
+    T.IntegerType: "BIGINT|VOID", T.DoubleType: r"BIGINT|DOUBLE|DECIMAL\(|VOID", T.BooleanType: "BOOLEAN|VOID",
+    T.StringType: "STRING|VOID", T.ArrayType: "ARRAY<STRING>|VOID",
+}
+
+
+def plain_records(records: str, schema: ExtractionSchema) -> str:
+    """ARRAY<RECORD> of a VARIANT array whose fields all have their declared types, else null.
+
+    The type of the array, read once, tells that no field needs conversion or
+    rejection; then one cast replaces the conversion field by field. Where the
+    type is mixed or unusual the caller goes through the fields.
+    """
+    by_kind: dict[str, set[str]] = {}
+    for path, kind in schema.leaves():
+        by_kind.setdefault(_PLAIN[type(kind)], set()).add(path.rsplit(".", 1)[-1])
+    by_kind["OBJECT<|VOID"] = {f.name for f in schema.record.fields if isinstance(f.dataType, T.StructType)}
+    unusual = "|".join(
+        rf"(?:{'|'.join(sorted(names))}): (?!{allowed})" for allowed, names in by_kind.items())
+    plain = (f"({Q.matches('{k}', '^ARRAY<OBJECT<')} AND NOT {Q.matches('{k}', f'[<, `](?:{unusual})')})")
+
+    wide = lambda kind: "BIGINT" if isinstance(kind, T.IntegerType) else kind.simpleString()
+    fields = ", ".join(
+        f"{f.name}: STRUCT<{', '.join(f'{c.name}: {wide(c.dataType)}' for c in f.dataType.fields)}>"
+        if isinstance(f.dataType, T.StructType) else f"{f.name}: {wide(f.dataType)}" for f in schema.record.fields)
+
+    def leaf(r: str):
+        return lambda path, kind: (
+            Q.or_empty(f"{r}.{path}", "array<string>") if isinstance(kind, T.ArrayType)
+            else f"cast({r}.{path} AS int)" if isinstance(kind, T.IntegerType) else f"{r}.{path}")
+
+    lists = [p for p, t in schema.leaves() if isinstance(t, T.ArrayType)]
+    numbers = [p for p, t in schema.leaves() if isinstance(t, T.IntegerType)]
+
+    def sound(r: str) -> str:
+        items = ", ".join(Q.or_empty(f"{r}.{p}", "array<string>") for p in lists)
+        whole = " AND ".join(f"coalesce({r}.{p} BETWEEN -2147483648 AND 2147483647, true)" for p in numbers)
+        return f"{r} IS NOT NULL AND {whole} AND NOT exists(concat({items}), s -> s IS NULL)"
+
+    cast = f"try_variant_get({records}, '$', 'ARRAY<STRUCT<{fields}>>')"
+    checked = Q.let(cast, lambda a: f"if(forall({a}, r -> {sound('r')}), {Q.each(a, lambda r: nest(leaf(r), schema))}, NULL)")
+    return Q.let(C.kind_of(records), lambda k: f"if({plain.replace('{k}', k)}, {checked}, NULL)")
+
+
+def _parsed_rows(responses: DataFrame) -> DataFrame:
+    """Adds ``_rows VARIANT`` (the list of records, null when there is none) and ``response_error``."""
     rows = C.at("_parsed", "rows")
     error = Q.case(
         ("_parsed IS NULL", "'malformed JSON'"),
         (f"NOT {_is_object('_parsed')}", "'response is not an object'"),
         (f"{C.given(rows)} AND NOT startswith({C.kind_of(rows)}, 'ARRAY')", "'rows is not a list'"))
-    raw = Q.or_empty("try_variant_get(_parsed, '$.rows', 'array<variant>')", "array<variant>")
     return (
         responses
         .withColumn("_parsed", F.expr(parse_json(unfence("body"))))
-        .withColumn("response_error", F.expr(error))
-        .withColumn("raw_rows", F.expr(f"if(response_error IS NULL, {raw}, NULL)"))
+        .withColumns({"response_error": F.expr(error), "_rows": F.expr(rows)})
         .drop("_parsed")
     )
 
 
+_RAW_ROWS = f"if(response_error IS NULL, {Q.or_empty(C.get_as('_rows', 'array<variant>'), 'array<variant>')}, NULL)"
+
+
+def parse_rows(responses: DataFrame) -> DataFrame:
+    """Adds ``raw_rows ARRAY<VARIANT>`` and ``response_error``; null or missing rows give no rows."""
+    return _parsed_rows(responses).withColumn("raw_rows", F.expr(_RAW_ROWS)).drop("_rows")
+
+
 def validate(responses: DataFrame, schema: ExtractionSchema) -> DataFrame:
     """Parse and validate ``{"rows": [...]}`` bodies of one schema.
 
@@ -109,40 +161,51 @@ def validate(responses: DataFrame, schema: ExtractionSchema) -> DataFrame:
     """
     errors = Q.each_indexed("_checked", lambda c, i: Q.each(
         f"{c}.errors", lambda e: Q.named_struct({"row_idx": i, "field": e})))
+    checked = Q.each(_RAW_ROWS, lambda r: checked_record(r, schema))
     return (
-        parse_rows(responses)
-        .withColumn("_checked", F.expr(Q.each("raw_rows", lambda r: checked_record(r, schema))))
-        .withColumn("field_errors", F.expr(f"flatten({errors})"))
+        _parsed_rows(responses)
+        .withColumn("_plain", F.expr(f"if(response_error IS NULL, {plain_records('_rows', schema)}, NULL)"))
+        .withColumn("_checked", F.expr(f"if(_plain IS NULL, {checked}, NULL)"))
+        .withColumn("field_errors", F.expr(f"if(_plain IS NULL, flatten({errors}), array())"))
         .withColumn("response_error", F.expr(
             "coalesce(response_error, if(size(field_errors) > 0, 'invalid fields', NULL))"))
-        .withColumn("rows", F.expr(f"if(response_error IS NULL, {Q.each('_checked', lambda c: c + '.record')}, NULL)"))
-        .drop("_checked", "raw_rows")
+        .withColumn("rows", F.expr(
+            f"if(response_error IS NULL, coalesce(_plain, {Q.each('_checked', lambda c: c + '.record')}), NULL)"))
+        .drop("_checked", "_plain", "_rows")
     )
 
 
 def validate_single(responses: DataFrame, schema: ExtractionSchema) -> DataFrame:
     """As :func:`validate` for bodies that are one bare record; adds ``record`` and ``response_error``."""
+    one = f"try_parse_json(concat('[', {unfence('body')}, ']'))"
+    record = "try_variant_get(_one, '$[0]', 'variant')"
+    alone = "try_variant_get(_one, '$[1]', 'variant') IS NULL"
     return (
         responses
-        .withColumn("_checked", F.expr(checked_record(parse_json(unfence("body")), schema)))
+        .withColumn("_one", F.expr(one))
+        .withColumn("_plain", F.expr(f"if({alone}, get({plain_records('_one', schema)}, 0), NULL)"))
+        .withColumn("_checked", F.expr(
+            f"if(_plain IS NULL, {checked_record(f'if({alone}, {record}, NULL)', schema)}, NULL)"))
         .withColumn("response_error", F.expr(
-            "if(size(_checked.errors) > 0, array_join(_checked.errors, ','), NULL)"))
-        .withColumn("record", F.expr("if(response_error IS NULL, _checked.record, NULL)"))
-        .drop("_checked")
+            "if(_plain IS NULL AND size(_checked.errors) > 0, array_join(_checked.errors, ','), NULL)"))
+        .withColumn("record", F.expr("if(response_error IS NULL, coalesce(_plain, _checked.record), NULL)"))
+        .drop("_checked", "_plain", "_one")
     )
 
 
 def record_rows(validated: DataFrame) -> DataFrame:
     """One row per record of the good responses, numbered in response order."""
     keep = [c for c in validated.columns if c not in ("rows", "body", "field_errors", "response_error")]
-    return validated.select(*keep, F.posexplode("rows").alias("row_idx", "record"))
+    return fan_out(validated, keep, "rows", "row_idx", "record")
 
 
 def error_rows(validated: DataFrame) -> DataFrame:
-    """One row per rejected field."""
+    """One row per rejected field, or one without a field for a response rejected as a whole."""
     keep = [c for c in validated.columns if c not in ("rows", "body", "field_errors", "response_error")]
-    return (validated.select(*keep, F.explode("field_errors").alias("e"))
-            .select(*keep, "e.row_idx", "e.field"))
+    whole = "array(named_struct('row_idx', cast(NULL AS int), 'field', cast(NULL AS string)))"
+    found = F.expr(f"if(response_error IS NULL, NULL, if(size(field_errors) > 0, field_errors, {whole}))")
+    return (fan_out(validated, [*keep, "response_error"], found, "i", "e")
+            .select(*keep, "response_error", "e.row_idx", "e.field"))
 
 
 def record_json(record: Column, pretty: bool = False) -> Column:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from oreleaf.functions import sqltext as Q
+from oreleaf.functions.frames import fan_out
 from oreleaf.functions.text import normalised_phrase, null_if_empty, strip
 from oreleaf.schemas import ADSORPTION, ExtractionSchema
 
@@ -92,18 +93,16 @@ def table_records(
     fields = list(dict.fromkeys(headings.values()))
     kinds = dict(schema.leaves())
     lookup = _literal_map(headings)
-    tables = papers.select("paper_id", "title", "doi", "year", F.posexplode("tables").alias("table_idx", "t"))
+    tables = fan_out(papers, ["paper_id", "title", "doi", "year"], "tables", "table_idx", "t")
     header = F.get(F.col("t.rows"), F.lit(0))
     known = F.transform(header, lambda h: F.coalesce(
         lookup[normalised_phrase(F.regexp_replace(h, _UNIT_IN_HEADING, " "))], F.lit("")))
     units = F.transform(header, lambda h: F.regexp_extract(h, _UNIT_IN_HEADING, 1))
-    body = (
-        tables.select("paper_id", "title", "doi", "year", "table_idx", F.col("t.rows").alias("all_rows"),
-                      known.alias("known"), units.alias("units"))
-        .where(F.exists("known", lambda k: k != ""))
-        .select("paper_id", "title", "doi", "year", "table_idx", "known", "units",
-                F.posexplode(F.slice("all_rows", 2, F.size("all_rows"))).alias("row_idx", "cells"))
-    )
+    headed = tables.select("paper_id", "title", "doi", "year", "table_idx", F.col("t.rows").alias("all_rows"),
+                           known.alias("known"), units.alias("units"))
+    body_rows = F.when(F.exists("known", lambda k: k != ""), F.slice("all_rows", 2, F.size("all_rows")))
+    body = fan_out(headed, ["paper_id", "title", "doi", "year", "table_idx", "known", "units"],
+                   body_rows, "row_idx", "cells")
 
     def value(path: str, kind: T.DataType) -> Column:
         if path not in fields:
@@ -154,8 +153,9 @@ def text_measurements(sections: DataFrame, text_units: Mapping[str, tuple[str, s
             "field": f"'{name}'", "match_idx": i, "dimension": f"'{dimension}'",
             "value": f"cast({Q.extract(m, _NUMBER)} AS double)",
             "unit": Q.extract(m, rf"^{_NUMBER}\s*(.*)$", 1)})))
+    matches = F.expr(f"concat({', '.join(per_field)})")
     return (
-        sections.select("paper_id", "section_idx", F.explode(F.expr(f"concat({', '.join(per_field)})")).alias("m"))
+        fan_out(sections, ["paper_id", "section_idx"], matches, "i", "m")
         .select("paper_id", "section_idx", "m.*")
     )
 

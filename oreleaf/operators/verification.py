@@ -6,12 +6,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from oreleaf.functions.frames import fan_out
 from oreleaf.functions.text import collapse_spaces
 from oreleaf.schemas import ExtractionSchema
 
 _NUMBER = r"[0-9]+(?:\.[0-9]+)?"
 
 
+def _as_verified(verified: DataFrame) -> DataFrame:
+    # Rows without a record stay in: a filter on the record would be pushed below
+    # its validation and evaluate it twice.
+    return verified.select("paper_id", "row_idx", F.col("record").alias("verified"))
+
+
 def merge_verified(
     first: DataFrame, verified: DataFrame, schema: ExtractionSchema,
     unite: bool = False, reject_other_identity: bool = False,
@@ -25,8 +32,7 @@ def merge_verified(
     ``reject_other_identity`` keeps the first-pass record when the verified one
     is about another material or condition.
     """
-    v = verified.where(F.col("record").isNotNull()).select("paper_id", "row_idx", F.col("record").alias("verified"))
-    joined = first.join(v, ["paper_id", "row_idx"], "left")
+    joined = first.join(_as_verified(verified), ["paper_id", "row_idx"], "left")
     usable = F.col("verified").isNotNull()
     if reject_other_identity:
         usable = usable & same_identity(F.col("record"), F.col("verified"), schema)
@@ -53,11 +59,10 @@ def same_identity(a: Column, b: Column, schema: ExtractionSchema) -> Column:
 
 def identity_check(first: DataFrame, verified: DataFrame, schema: ExtractionSchema) -> DataFrame:
     """One row per verified record: is it still about the same material and condition?"""
-    v = verified.where(F.col("record").isNotNull()).select("paper_id", "row_idx", F.col("record").alias("verified"))
-    return (
-        first.join(v, ["paper_id", "row_idx"])
-        .select("paper_id", "row_idx", same_identity(F.col("record"), F.col("verified"), schema).alias("same_identity"))
-    )
+    joined = first.join(_as_verified(verified), ["paper_id", "row_idx"])
+    same = F.array(same_identity(F.col("record"), F.col("verified"), schema))
+    found = F.when(F.col("verified").isNotNull(), same)
+    return fan_out(joined, ["paper_id", "row_idx"], found, "i", "same_identity").drop("i")
 
 
 def evidence_check(validated: DataFrame, docs: DataFrame, schema: ExtractionSchema) -> DataFrame:
@@ -76,8 +81,8 @@ def evidence_check(validated: DataFrame, docs: DataFrame, schema: ExtractionSche
             "paper_id", "rows", text.alias("text"),
             F.array_distinct(F.transform(
                 F.regexp_extract_all("llm_text", F.lit(_NUMBER), F.lit(0)), lambda n: n.cast("double"))).alias("numbers"))
-        .select("paper_id", "text", "numbers", F.posexplode("rows").alias("row_idx", "record"))
     )
+    prepared = fan_out(prepared, ["paper_id", "text", "numbers"], "rows", "row_idx", "record")
     in_text = lambda s: F.contains(F.col("text"), collapse_spaces(F.lower(s)))
     entries = []
     for path, kind in schema.leaves():
@@ -91,5 +96,5 @@ def evidence_check(validated: DataFrame, docs: DataFrame, schema: ExtractionSche
         elif isinstance(kind, T.StringType):
             entries.append(F.array(entry(value, in_text(value))))
     filled = F.filter(F.flatten(F.array(*entries)), lambda e: e["value"].isNotNull() & (e["value"] != ""))
-    return (prepared.select("paper_id", "row_idx", F.explode(filled).alias("e"))
+    return (fan_out(prepared, ["paper_id", "row_idx"], filled, "i", "e")
             .select("paper_id", "row_idx", "e.field", "e.value", "e.supported"))

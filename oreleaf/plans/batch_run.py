@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from oreleaf.functions.frames import fan_out
 from oreleaf.operators import consolidation, documents, inference, manifest as M, prompts as P
 from oreleaf.operators import responses as R, verification
 from oreleaf.schemas import ExtractionSchema, select_schemas
@@ -64,7 +65,7 @@ def _assessed(records, schema, out_dir, make_call, options) -> DataFrame:
                               make_call, options), schema)
     outcome = answers.groupBy("paper_id").agg(
         F.bool_and((F.col("status") == "ok") & F.col("response_error").isNull()).alias("ok"))
-    exploded = answers.select("paper_id", "part", F.posexplode("rows").alias("pos", "record"))
+    exploded = fan_out(answers, ["paper_id", "part"], "rows", "pos", "record")
     numbered = exploded.select(
         "paper_id", (F.col("part") * P.ROWS_PER_BATCH + F.col("pos")).alias("row_idx"), "record")
     return consolidation.assess_or_keep(records, numbered, outcome)

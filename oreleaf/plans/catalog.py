@@ -13,11 +13,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from oreleaf.functions import sqltext as Q
+from oreleaf.functions.frames import fan_out
 from oreleaf.functions.text import join_list as _join
 from oreleaf.operators import attempts as A, consolidation as C, documents as D, flattening, inference as I
 from oreleaf.operators import manifest as M, prompts as P, responses as R, rules, verification as V
 from oreleaf.plans import encodings as E
 from oreleaf.schemas import ADSORPTION, CATALYST, DEFAULT_SCHEMAS, USECASE, select_schemas
+from oreleaf.sources.papers import spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -108,7 +110,7 @@ def prompt_extract(spark, sf):
 
 @query
 def prompt_verify(spark, sf):
-    prompts = P.verification_prompts(R.validate(E.responses(spark, sf), ADSORPTION), _docs(spark, sf), ADSORPTION)
+    prompts = P.verification_prompts(R.validate(_responses(spark, sf), ADSORPTION), _docs(spark, sf), ADSORPTION)
     row = Q.extract("prompt", r"(?s)<row>\n(.*)\n</row>\n\n<paper>", 1)
     return prompts.selectExpr(
         "paper_id", "cast(row_idx AS bigint) AS row_idx", f"get_json_object({row}, '$.material_id') AS material_id",
@@ -118,7 +120,7 @@ def prompt_verify(spark, sf):
 
 @query
 def prompt_batch(spark, sf):
-    records = R.record_rows(R.validate(E.responses(spark, sf), ADSORPTION))
+    records = _records(spark, sf)
     batch = Q.extract("prompt", r"(?s)<rows>\n(.*)\n</rows>$", 1)
     ids = f"from_json({batch}, 'rows ARRAY<STRUCT<material_id: STRING>>').rows.material_id"
     return P.batch_prompts(records, ADSORPTION).selectExpr(
@@ -128,7 +130,7 @@ def prompt_batch(spark, sf):
 
 @query
 def json_round_trip(spark, sf):
-    records = R.record_rows(R.validate(E.responses(spark, sf), ADSORPTION))
+    records = _records(spark, sf)
     again = (records.select("paper_id", "row_idx", R.record_json(F.col("record")).alias("json"))
              .select("paper_id", "row_idx", R.record_from_json("json", ADSORPTION).alias("record")))
     return again.select("paper_id", F.col("row_idx").cast("bigint").alias("row_idx"), *_shown_fields())
@@ -144,14 +146,18 @@ def _shown_fields():
 
 # ---- responses ------------------------------------------------------------
 
+def _responses(spark, sf):
+    return spread(E.responses(spark, sf), "paper_id")
+
+
 def _records(spark, sf):
-    return R.record_rows(R.validate(E.responses(spark, sf), ADSORPTION))
+    return R.record_rows(R.validate(_responses(spark, sf), ADSORPTION))
 
 
 @query
 def resp_parse_rows(spark, sf):
     return (
-        R.parse_rows(E.responses(spark, sf)).select("paper_id", F.posexplode("raw_rows").alias("row_idx", "record"))
+        fan_out(R.parse_rows(_responses(spark, sf)), ["paper_id"], "raw_rows", "row_idx", "record")
         .selectExpr("paper_id", "cast(row_idx AS bigint) AS row_idx",
                     "try_variant_get(record, '$.material_id', 'string') AS material_id"))
 
@@ -188,9 +194,8 @@ def resp_fenced_json(spark, sf):
 
 @query
 def resp_validation_errors(spark, sf):
-    validated = R.validate(E.responses(spark, sf), ADSORPTION).where("response_error IS NOT NULL")
-    return validated.select("paper_id", "response_error", F.explode_outer("field_errors").alias("e")).selectExpr(
-        "paper_id", "response_error", "cast(e.row_idx AS bigint) AS row_idx", "e.field AS field")
+    return R.error_rows(R.validate(_responses(spark, sf), ADSORPTION)).selectExpr(
+        "paper_id", "response_error", "cast(row_idx AS bigint) AS row_idx", "field")
 
 
 @query
@@ -219,7 +224,7 @@ def infer_from_table(spark, sf):
 # ---- verification ---------------------------------------------------------
 
 def _verified(spark, sf):
-    return R.validate_single(E.verification_responses(spark, sf), ADSORPTION)
+    return R.validate_single(spread(E.verification_responses(spark, sf), "paper_id"), ADSORPTION)
 
 
 @query
@@ -251,7 +256,7 @@ def evidence_check(spark, sf):
         "material_id": "split(text, ' ')[0]", "measurement.gas_composition": "concat('absent ', doc_id)",
         "measurement.pressure_bar": "double(n_chars)",
         "measurement.co2_adsorption_capacity_mmol_g": "try_cast(nullif(regexp_extract(text, '[0-9]+', 0), '') AS double)",
-        "material_properties.anions": "array(source, split(text, ' ')[1])",
+        "material_properties.anions": "array_compact(array(source, get(split(text, ' '), 1)))",
     }.get(p, f"cast({'array()' if t.typeName() == 'array' else 'NULL'} AS {t.simpleString()})"), ADSORPTION)
     validated = base.selectExpr("cast(doc_id AS string) AS paper_id", f"array({record}) AS rows")
     docs = base.selectExpr("cast(doc_id AS string) AS paper_id", "text AS llm_text")

@@ -85,6 +85,8 @@ _FAULTS = {
     "cut": 0, "wrong_type": 1, "null_rows": 2, "numbers_as_text": 3, "fenced": 4, "bare_string_list": 5,
     "null_measurement": 6,
 }
+# Fields as they come from a model that follows the schema, except in these papers.
+_LOOSE = f"o_orderkey % 50 IN ({_FAULTS['numbers_as_text']}, 7, 8, 9)"
 
 
 def _is(fault: str) -> str:
@@ -97,13 +99,16 @@ def _x2_record(i: str, material: str = "o_custkey", factor: int = 1, with_ph: bo
     ph = f"""'"ph":', {number('o_custkey % 140 / 10')}, ','""" if with_ph else "''"
     measurement = f"""if({_is('null_measurement')}, 'null', concat('{{"pressure_bar":',
         CASE WHEN ({_is('wrong_type')} AND {i} = 0) OR {broken} THEN '"~9"' ELSE {number('o_custkey % 50')} END,
-        ',"gas_composition":"', o_orderpriority, '","wet_dry_air":', if(o_orderstatus = 'O', '"yes"', 'false'),
+        ',"gas_composition":"', o_orderpriority, '","wet_dry_air":',
+        CASE WHEN o_orderstatus <> 'O' THEN 'false' WHEN {_LOOSE} THEN '"yes"' ELSE 'true' END,
         ',"co2_adsorption_capacity_mmol_g":', o_totalprice * {factor}, '}}'))"""
-    return f"""concat('{{"material_id":"P', {material}, '-', {i}, '","extra":[1,', {i}, '],"study_metadata":{{"year":"', year(o_orderdate),
-        '","doi":"10.5555/', o_orderkey, '","title":"Order \\\\\\"', o_orderkey, '\\\\\\""}},"synthesis_method":{{"method_name":',
-        if({i} % 2 = 0, concat('"step ', o_orderpriority, '"'), concat('["a","', o_orderstatus, '"]')),
+    return f"""concat('{{"material_id":"P', {material}, '-', {i}, '","extra":[1,', {i}, '],"study_metadata":{{"year":',
+        if({_LOOSE}, concat('"', year(o_orderdate), '"'), string(year(o_orderdate))), ',"doi":"10.5555/', o_orderkey, '","title":"Order \\\\\\"', o_orderkey, '\\\\\\""}},"synthesis_method":{{"method_name":',
+        CASE WHEN {i} % 2 = 1 THEN concat('["a","', o_orderstatus, '"]')
+        WHEN {_LOOSE} THEN concat('"step ', o_orderpriority, '"') ELSE concat('["step ', o_orderpriority, '"]') END,
         ',"metal_precursors":', if({_is('bare_string_list')}, '"MgCl2"', concat('["', o_orderstatus, '","M', {i}, '",""]')),
-        ',', {ph}, '"exfoliation":', int(o_orderstatus = 'F'), '}},"measurement":', {measurement}, '}}')"""
+        ',', {ph}, '"exfoliation":',
+        if({_LOOSE}, string(int(o_orderstatus = 'F')), string(o_orderstatus = 'F')), '}},"measurement":', {measurement}, '}}')"""
 
 
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,7 +22,7 @@ _FENCE = r"```(?:json)?\s*([\s\S]*?)\s*```"
 
 def unfence(body: str) -> str:
     """The content of the first fenced block, or the text itself when there is none."""
-    fenced = f"coalesce({Q.null_if_empty(Q.extract(body, _FENCE, 1))}, {body})"
+    fenced = Q.let(Q.extract(body, _FENCE, 1), lambda inner: f"if({inner} = '', {body}, {inner})")
     return f"if(contains({body}, '```'), {fenced}, {body})"
 
 

@@ -33,7 +33,7 @@ def query(function: Query) -> Query:
 
 
 def _papers(spark: SparkSession, sf: str, **options) -> DataFrame:
-    return D.parse_tei(E.spread_tei(spark, sf, **options))
+    return D.parse_tei(E.tei_documents(spark, sf, **options))
 
 
 # ---- documents ------------------------------------------------------------

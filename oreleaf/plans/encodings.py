@@ -36,7 +36,7 @@ def tei_documents(spark: SparkSession, sf_dir: str, cut_every: int | None = None
     ``labels`` has at most one row per document; it becomes a table of
     measurements. ``cut_every`` truncates the XML of every n-th document.
     """
-    docs = read(spark, sf_dir, "documents")
+    docs = spread(read(spark, sf_dir, "documents"), "doc_id")
     labels = read(spark, sf_dir, "labels").withColumn("labelled", F.lit(True))
     lines = F.split("text", "\n")
     doc_id = F.col("doc_id").cast("string")
@@ -74,11 +74,6 @@ def tei_documents(spark: SparkSession, sf_dir: str, cut_every: int | None = None
     return docs.join(labels, "doc_id", "left").select(doc_id.alias("paper_id"), "doc_id", xml.alias("tei_xml"))
 
 
-def spread_tei(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
-    """X1, given all cores (the scan of a small table sits in few row groups)."""
-    return spread(tei_documents(spark, sf_dir, **options), "paper_id")
-
-
 # X2: ``orders`` as model responses. An order answers with o_orderkey % 4 records,
 # so some papers have none. Faults go by o_orderkey % 50.
 _FAULTS = {

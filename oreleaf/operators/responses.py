@@ -217,4 +217,10 @@ def record_json(record: Column, pretty: bool = False) -> Column:
 
 
 def record_from_json(column: str, schema: ExtractionSchema) -> Column:
-    return F.expr(checked_record(parse_json(column), schema))["record"]
+    """The record of a JSON text as :func:`record_json` writes it; null for anything but one JSON object."""
+    def read(one: str) -> str:
+        slow = lambda: checked_record(f"if(size({Q.or_empty(C.get_as(one, 'array<variant>'), 'array<variant>')}) = 1, "
+                                      f"try_variant_get({one}, '$[0]', 'variant'), NULL)", schema) + ".record"
+        return Q.let(f"get({plain_records(one, schema)}, 0)", lambda p: f"if({p} IS NULL, {slow()}, {p})")
+
+    return F.expr(Q.let(f"try_parse_json(concat('[', {column}, ']'))", read))

@@ -63,8 +63,15 @@ def to_declared_unit(value: Column, unit: Column, dimension: str) -> Column:
 
     An absent or empty unit means that the value already is in the declared one.
     """
+    return _convert(value, _unit_key(unit), dimension)
+
+
+def _unit_key(unit: Column) -> Column:
+    return F.lower(F.regexp_replace(unit, r"(?U)\s+", ""))
+
+
+def _convert(value: Column, key: Column, dimension: str) -> Column:
     units = UNITS[dimension]
-    key = F.lower(F.regexp_replace(strip(unit), r"\s+", ""))
     factor = F.coalesce(_literal_map({u: f for u, (f, _) in units.items()})[key], F.when(F.coalesce(key, F.lit("")) == "", 1.0))
     offset = F.coalesce(_literal_map({u: o for u, (_, o) in units.items()})[key], F.lit(0.0))
     return value * factor + offset
@@ -74,10 +81,11 @@ def normalize_units(measurements: DataFrame) -> DataFrame:
     """measurements(..., dimension, value, unit) -> adds ``normal_value``."""
     by_dimension = None
     for name in UNITS:
-        converted = to_declared_unit(F.col("value"), F.col("unit"), name)
+        converted = _convert(F.col("value"), F.col("_unit"), name)
         test = F.col("dimension") == name
         by_dimension = F.when(test, converted) if by_dimension is None else by_dimension.when(test, converted)
-    return measurements.withColumn("normal_value", by_dimension)
+    keyed = measurements.withColumn("_unit", _unit_key(F.col("unit")))
+    return keyed.withColumn("normal_value", by_dimension).drop("_unit")
 
 
 def table_records(

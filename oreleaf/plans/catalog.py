@@ -19,7 +19,6 @@ from oreleaf.operators import attempts as A, consolidation as C, documents as D,
 from oreleaf.operators import manifest as M, prompts as P, responses as R, rules, verification as V
 from oreleaf.plans import encodings as E
 from oreleaf.schemas import ADSORPTION, CATALYST, DEFAULT_SCHEMAS, USECASE, select_schemas
-from oreleaf.sources.papers import spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -110,12 +109,12 @@ def prompt_extract(spark, sf):
 
 @query
 def prompt_verify(spark, sf):
-    prompts = P.verification_prompts(R.validate(_responses(spark, sf), ADSORPTION), _docs(spark, sf), ADSORPTION)
-    row = Q.extract("prompt", r"(?s)<row>\n(.*)\n</row>\n\n<paper>", 1)
+    prompts = P.verification_prompts(R.validate(E.responses(spark, sf), ADSORPTION), _docs(spark, sf), ADSORPTION)
+    row = r"substring_index(substring_index(prompt, '\n</row>', 1), '<row>\n', -1)"
     return prompts.selectExpr(
         "paper_id", "cast(row_idx AS bigint) AS row_idx", f"get_json_object({row}, '$.material_id') AS material_id",
         f"cast(get_json_object({row}, '$.synthesis_method.ph') AS double) AS ph",
-        f"md5({Q.extract('prompt', r'(?s)</row>\n\n<paper>\n(.*)\n</paper>$', 1)}) AS text_md5")
+        r"md5(substring_index(substring_index(prompt, '<paper>\n', -1), '\n</paper>', 1)) AS text_md5")
 
 
 @query
@@ -146,18 +145,14 @@ def _shown_fields():
 
 # ---- responses ------------------------------------------------------------
 
-def _responses(spark, sf):
-    return spread(E.responses(spark, sf), "paper_id")
-
-
 def _records(spark, sf):
-    return R.record_rows(R.validate(_responses(spark, sf), ADSORPTION))
+    return R.record_rows(R.validate(E.responses(spark, sf), ADSORPTION))
 
 
 @query
 def resp_parse_rows(spark, sf):
     return (
-        fan_out(R.parse_rows(_responses(spark, sf)), ["paper_id"], "raw_rows", "row_idx", "record")
+        fan_out(R.parse_rows(E.responses(spark, sf)), ["paper_id"], "raw_rows", "row_idx", "record")
         .selectExpr("paper_id", "cast(row_idx AS bigint) AS row_idx",
                     "try_variant_get(record, '$.material_id', 'string') AS material_id"))
 
@@ -194,7 +189,7 @@ def resp_fenced_json(spark, sf):
 
 @query
 def resp_validation_errors(spark, sf):
-    return R.error_rows(R.validate(_responses(spark, sf), ADSORPTION)).selectExpr(
+    return R.error_rows(R.validate(E.responses(spark, sf), ADSORPTION)).selectExpr(
         "paper_id", "response_error", "cast(row_idx AS bigint) AS row_idx", "field")
 
 
@@ -224,7 +219,7 @@ def infer_from_table(spark, sf):
 # ---- verification ---------------------------------------------------------
 
 def _verified(spark, sf):
-    return R.validate_single(spread(E.verification_responses(spark, sf), "paper_id"), ADSORPTION)
+    return R.validate_single(E.verification_responses(spark, sf), ADSORPTION)
 
 
 @query
@@ -251,7 +246,7 @@ def verify_identity_check(spark, sf):
 
 @query
 def evidence_check(spark, sf):
-    base = E.read(spark, sf, "documents")
+    base = E.read_spread(spark, sf, "documents", "doc_id")
     record = R.nest(lambda p, t: {
         "material_id": "split(text, ' ')[0]", "measurement.gas_composition": "concat('absent ', doc_id)",
         "measurement.pressure_bar": "double(n_chars)",
@@ -425,7 +420,7 @@ def extract_table_records(spark, sf):
 
 @query
 def unit_normalize(spark, sf):
-    lines = E.read(spark, sf, "lineitem").selectExpr(
+    lines = E.read_spread(spark, sf, "lineitem", "l_orderkey").selectExpr(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
         "element_at(array('temperature', 'pressure', 'capacity'), l_linenumber % 3 + 1) AS dimension",
         "l_quantity AS value",
@@ -437,7 +432,7 @@ def unit_normalize(spark, sf):
 
 @query
 def extract_text_measurements(spark, sf):
-    sections = E.read(spark, sf, "events").selectExpr(
+    sections = E.read_spread(spark, sf, "events", "event_id").selectExpr(
         "cast(event_id AS string) AS paper_id", "0 AS section_idx",
         "concat('Event ', event_id, ' took up ', value, ' mg/g at ', get_json_object(props, '$.k'), ' kPa and ', "
         "user_id, ' K. It cost 5 barns and 3 mgs.') AS text")

@@ -21,6 +21,11 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def read_spread(spark: SparkSession, sf_dir: str, table: str, key: str) -> DataFrame:
+    """For queries that spend much on each row: a small table comes in few row groups."""
+    return spread(read(spark, sf_dir, table), key)
+
+
 def _escape(col: Column) -> Column:
     for literal, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
         col = F.replace(col, F.lit(literal), F.lit(entity))
@@ -36,7 +41,7 @@ def tei_documents(spark: SparkSession, sf_dir: str, cut_every: int | None = None
     ``labels`` has at most one row per document; it becomes a table of
     measurements. ``cut_every`` truncates the XML of every n-th document.
     """
-    docs = spread(read(spark, sf_dir, "documents"), "doc_id")
+    docs = read_spread(spark, sf_dir, "documents", "doc_id")
     labels = read(spark, sf_dir, "labels").withColumn("labelled", F.lit(True))
     lines = F.split("text", "\n")
     doc_id = F.col("doc_id").cast("string")
@@ -112,7 +117,8 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     whole = f"""if({_is('null_rows')}, '{{"rows":null}}', concat('{{"rows":[', {rows}, ']}}'))"""
     body = f"""CASE WHEN {_is('cut')} THEN '{{"rows":[{{"material_id":' WHEN {_is('fenced')}
         THEN concat('Result:\n```json\n', {whole}, '\n```\n') ELSE {whole} END"""
-    return read(spark, sf_dir, "orders").selectExpr("cast(o_orderkey AS string) AS paper_id", f"{body} AS body")
+    return read_spread(spark, sf_dir, "orders", "o_orderkey").selectExpr(
+        "cast(o_orderkey AS string) AS paper_id", f"{body} AS body")
 
 
 def verification_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -123,7 +129,7 @@ def verification_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     record = _x2_record("i", "(o_custkey + if(o_custkey % 5 = 0, 1, 0))", 2, False, "o_orderkey % 3 = 1")
     return (
-        read(spark, sf_dir, "orders")
+        read_spread(spark, sf_dir, "orders", "o_orderkey")
         .selectExpr("*", "explode(slice(array(0, 1, 2), 1, int(o_orderkey % 4))) AS i")
         .selectExpr("cast(o_orderkey AS string) AS paper_id", "i AS row_idx",
                     f"if(o_orderkey % 3 = 2, NULL, {record}) AS body")
@@ -173,7 +179,7 @@ def line_records(spark: SparkSession, sf_dir: str, schema: ExtractionSchema) ->
         sql = values.get(f"{alias.get(parent, parent)}.{name}" if parent else name)
         return f"cast({sql or ('array()' if kind.typeName() == 'array' else 'NULL')} AS {kind.simpleString()})"
 
-    return read(spark, sf_dir, "lineitem").selectExpr(
+    return read_spread(spark, sf_dir, "lineitem", "l_orderkey").selectExpr(
         "cast(l_orderkey AS string) AS paper_id", "l_partkey * 100000 + l_suppkey AS row_idx",
         f"{nest(leaf, schema)} AS record")
 

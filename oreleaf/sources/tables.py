@@ -9,26 +9,14 @@ from pyspark.sql import types as T
 from oreleaf.operators import manifest as M
 from oreleaf.operators.flattening import flatten
 from oreleaf.schemas import ExtractionSchema
+from oreleaf.sources.files import children, exists
 
 _VERSION = "version="
 
 
-def _children(spark: SparkSession, path: str) -> list[str]:
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(jvm_path):
-        return []
-    return [s.getPath().getName() for s in fs.listStatus(jvm_path)]
-
-
-def exists(spark: SparkSession, path: str) -> bool:
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
-
-
 def versions(spark: SparkSession, path: str) -> list[int]:
     """Committed versions of a versioned table, oldest first."""
-    found = [int(n[len(_VERSION):]) for n in _children(spark, path) if n.startswith(_VERSION)]
+    found = [int(n[len(_VERSION):]) for n in children(spark, path) if n.startswith(_VERSION)]
     return sorted(v for v in found if exists(spark, f"{path}/{_VERSION}{v}/_SUCCESS"))
 
 

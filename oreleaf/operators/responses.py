@@ -87,7 +87,8 @@ def checked_record(record: str, schema: ExtractionSchema) -> str:
 # What the declared types look like in the type of a VARIANT when nothing needs converting.
 _PLAIN = {
     T.IntegerType: "BIGINT|VOID", T.DoubleType: r"BIGINT|DOUBLE|DECIMAL\(|VOID", T.BooleanType: "BOOLEAN|VOID",
-    T.StringType: "STRING|VOID", T.ArrayType: "ARRAY<STRING>|VOID",
+    # [] and [null] both show as ARRAY<VOID>; the nulls inside lists are looked for afterwards
+    T.StringType: "STRING|VOID", T.ArrayType: "ARRAY<STRING>|ARRAY<VOID>|VOID",
 }
 
 

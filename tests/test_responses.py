@@ -168,3 +168,21 @@ def test_single_record(spark):
     assert out["ok"]["record"]["material_id"] == "m"
     assert {k for k, r in out.items() if r["record"] is None} == {"bad", "list", "cut"}
     assert out["rows"]["record"]["material_id"] is None
+
+
+def test_the_single_cast_rejects_what_the_fields_reject(spark):
+    """Bodies whose type looks plain but whose values are not must still be checked field by field."""
+    bodies = {
+        "overflow": '{"rows":[{"study_metadata":{"year":99999999999}}]}',
+        "null_record": '{"rows":[{"material_id":"a"},null]}',
+        "null_item": '{"rows":[{"use":1,"synthesis_method":{"method_name":["a",null]}}]}',
+        "only_null_items": '{"rows":[{"material_properties":{"anions":[null]}}]}',
+        "mixed_kinds": '{"rows":[{"measurement":{"pressure_bar":1}},{"measurement":{"pressure_bar":"2"}}]}',
+        "plain": '{"rows":[{"study_metadata":{"year":2001},"synthesis_method":{"ph":7,"method_name":[]},"measurement":null}]}',
+    }
+    got = _validate(spark, bodies, ADSORPTION)
+    assert {k for k, r in got.items() if r["rows"] is None} == {"overflow", "null_record", "null_item", "only_null_items"}
+    assert [r["measurement"]["pressure_bar"] for r in got["mixed_kinds"]["rows"]] == [1.0, 2.0]
+    plain = got["plain"]["rows"][0]
+    assert plain["study_metadata"]["year"] == 2001 and plain["synthesis_method"]["ph"] == 7.0
+    assert plain["measurement"]["pressure_bar"] is None and plain["synthesis_method"]["method_name"] == []

@@ -8,7 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oreleaf.llm import bpe, licenses, sharding
+from oreleaf.llm import bpe, decontamination, licenses, quality, sharding, simhash
+from oreleaf.llm.oracle import ORACLE
+
+__all__ = ["ORACLE", "QUERIES"]
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -17,10 +20,32 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_neighbour_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    return quality.score(docs, model).select(
+        "doc_id", quality.held_out("doc_id").alias("held_out"), "score", (F.col("score") >= quality.CUTOFF).cast("int").alias("predicted"),
+    )
+
+
+def op5_simhash_vp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents")).select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id",
+    )
+
+
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents")).drop("expressions")
 
 
+def op7_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontamination.decontaminated(docs, table(spark, sf_dir, "benchmark")).select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated",
+    )
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokens = bpe.encode(table(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN)
     return bpe.decode(tokens, RANKS).select(
@@ -35,9 +60,10 @@ def op10_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_neighbour_quality": op2_neighbour_quality,
+    "op5_simhash_vp": op5_simhash_vp,
     "op6_license_scan": op6_license_scan,
+    "op7_winnowing": op7_winnowing,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_byte_shards": op10_byte_shards,
 }
-
-ORACLE: dict[str, str] = {}

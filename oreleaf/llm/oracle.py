@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from oreleaf.llm.common import ALNUM_WORD, UPPER
+from oreleaf.llm.common import ALNUM_WORD, SPACE_WORD, UPPER
+from oreleaf.llm.thresholds import ALPHA, DELTA, GRID, RULES
 
 LOWER = f"translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}')"
 
@@ -26,4 +27,36 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
 FROM d LEFT JOIN p USING (r) LEFT JOIN t USING (r)
 """
 
-ORACLE: dict[str, str] = {"op7_winnowing": OP7}
+_STEPS = ", ".join(
+    f"CASE WHEN {below} > 0 THEN least(({above} * {GRID} + {top} * {below} - 1) // ({top} * {below}), {GRID + 1}) ELSE 0 END AS s_{rule}" for rule, (above, below, top) in RULES.items()
+)
+_RATE = ALPHA / len(RULES)
+OP3 = rf"""
+WITH t AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(lang, '') AS lang, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{SPACE_WORD}') AS w,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '{SPACE_WORD}')) AS lines FROM documents
+),
+g AS (SELECT r, i, list_aggregate(w[i:i + 4], 'string_agg', ' ') AS g FROM (SELECT r, w, unnest(range(1, len(w) - 3)) AS i FROM t WHERE len(w) >= 5)),
+rep AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(i, i + 5)) AS p FROM (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS c FROM g) WHERE c > 1) GROUP BY r),
+c AS (
+  SELECT r, doc_id, lang, len(w)::BIGINT AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars,
+    (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols, (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g')))::BIGINT AS n_capitals,
+    len(lines)::BIGINT AS n_lines, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(rep.n, 0)::BIGINT AS n_repeat_words
+  FROM t LEFT JOIN rep USING (r)
+),
+s AS (SELECT *, {_STEPS} FROM c),
+u AS (UNPIVOT s ON {", ".join(f"s_{rule}" for rule in RULES)} INTO NAME rule VALUE step),
+good AS (SELECT lang, rule, step FROM u WHERE n_words > 0 AND doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)),
+n AS (SELECT lang, rule, count(*)::DOUBLE AS n, count(*) OVER () AS tests FROM good GROUP BY lang, rule),
+x AS (SELECT n.lang, n.rule, k, n, tests, (SELECT count(*) FROM good b WHERE b.lang = n.lang AND b.rule = n.rule AND b.step > k)::DOUBLE AS x FROM n, range(1, {GRID + 1}) AS r(k)),
+p AS (
+  SELECT lang, rule, k, tests, CASE WHEN x >= n * {_RATE!r} THEN 1.0 ELSE
+    list_sum([exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({_RATE!r}) + (n - i) * ln(1 - {_RATE!r})) for i in range(0, x::BIGINT + 1)]) END AS p FROM x
+),
+a AS (SELECT lang, rule, min(k) AS k FROM (SELECT lang, rule, k, max(p * tests) OVER (PARTITION BY lang, rule ORDER BY k DESC) AS worst FROM p) WHERE worst <= {DELTA!r} GROUP BY lang, rule),
+over AS (SELECT DISTINCT r FROM u JOIN a USING (lang, rule) WHERE step > k),
+f AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM c)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND r NOT IN (SELECT r FROM over) AS kept FROM f
+"""
+
+ORACLE: dict[str, str] = {"op3_certified_rules": OP3, "op7_winnowing": OP7}

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oreleaf.llm import bpe, decontamination, licenses, quality, sharding, simhash
+from oreleaf.llm import bpe, decontamination, licenses, quality, sharding, simhash, thresholds
 from oreleaf.llm.oracle import ORACLE
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -28,6 +28,13 @@ def op2_neighbour_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_certified_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    return thresholds.judge(docs, table(spark, sf_dir, "labels")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+    )
+
+
 def op5_simhash_vp(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents")).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id",
@@ -61,6 +68,7 @@ def op10_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_neighbour_quality": op2_neighbour_quality,
+    "op3_certified_rules": op3_certified_rules,
     "op5_simhash_vp": op5_simhash_vp,
     "op6_license_scan": op6_license_scan,
     "op7_winnowing": op7_winnowing,

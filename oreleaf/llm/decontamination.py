@@ -123,3 +123,11 @@ def decontaminated(docs: DataFrame, items: DataFrame, span: int = SPAN, gram: in
         *(F.col(f"`{c}`") for c in kept), "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"), "spans", F.col("n_hit").isNotNull().alias("contaminated"),
     )
+
+
+def clean(docs: DataFrame, items: DataFrame, span: int = SPAN, gram: int = GRAM, text_col: str = "text") -> DataFrame:
+    """The rows of `docs` that share no window with an item, unchanged."""
+    found = staged(find(docs, items, span, gram, text_col).select(*KEY), "contaminated")
+    text = text_or_empty(text_col)
+    same = (F.xxhash64(text) == found["_t1"]) & (F.xxhash64(F.lit(1), text) == found["_t2"])
+    return docs.join(found, same, "left_anti")

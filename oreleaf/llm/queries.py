@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oreleaf.llm import bpe, decontamination, licenses, quality, sharding, simhash, thresholds
+from oreleaf.llm import bpe, decontamination, licenses, quality, sharding, simhash, suffixes, thresholds
 from oreleaf.llm.oracle import ORACLE
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -20,6 +20,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = suffixes.keyed(docs).withColumn("_whole", F.sha2("_text", 256)).drop("_text", "text")
+    return suffixes.with_facts(rows, suffixes.facts(docs)).select(
+        "doc_id", "n_bytes", F.expr("aggregate(coalesce(spans, array()), 0L, (n, s) -> n + s.end - s.first)").alias("n_removed"),
+        F.coalesce(F.size("spans"), F.lit(0)).cast("long").alias("n_spans"), F.coalesce(F.sha2("kept", 256), "_whole").alias("kept_sha256"),
+    )
+
+
 def op2_neighbour_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
@@ -67,6 +76,7 @@ def op10_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_repeated_bytes": op1_repeated_bytes,
     "op2_neighbour_quality": op2_neighbour_quality,
     "op3_certified_rules": op3_certified_rules,
     "op5_simhash_vp": op5_simhash_vp,

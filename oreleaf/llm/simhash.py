@@ -212,3 +212,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     least = rooted.groupBy(F.col("_root").alias("_of")).agg(F.min("_least").alias("component_id"))
     component = rooted.join(least, F.col("_root") == F.col("_of")).select(F.col("fp").alias("_fp"), "component_id")
     return found.join(component, F.col("fp") == F.col("_fp")).select(id_col, "fp", "component_id")
+
+
+def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of `docs` for each component, unchanged: the one with the smallest id (null ids last)."""
+    text = text_or_empty(text_col)
+    key = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.xxhash64(text).alias("t1"), F.xxhash64(F.lit(1), text).alias("t2"))
+    keyed = docs.withColumn("_key", key)
+    grouped = near_duplicates(keyed.select("_key", text_col), "_key", text_col)
+    first = grouped.where("_key = component_id").select(F.col("_key").alias("_first")).distinct()
+    return keyed.join(first, F.col("_key") == F.col("_first")).dropDuplicates(["_first"]).select(*(F.col(f"`{c}`") for c in docs.columns))

@@ -59,4 +59,38 @@ f AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_fail
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND r NOT IN (SELECT r FROM over) AS kept FROM f
 """
 
-ORACLE: dict[str, str] = {"op3_certified_rules": OP3, "op7_winnowing": OP7}
+OP4 = r"""
+WITH t AS (SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations),
+c AS (SELECT conv_id, list(struct_pack(role, text) ORDER BY turn) AS turns, count(*) AS n_turns FROM t GROUP BY conv_id),
+u AS (SELECT turns, min(conv_id) AS conv_id, count(*) AS n_equal, any_value(n_turns) AS n_turns FROM c GROUP BY turns),
+p AS (SELECT DISTINCT turns[1:i] AS turns FROM (SELECT turns, unnest(range(1, n_turns)) AS i FROM u))
+SELECT conv_id, n_turns, n_equal,
+  list_aggregate([concat('<|', replace(x.role, '<|', '< |'), '|>', chr(10), replace(x.text, '<|', '< |'), '<|end|>', chr(10)) for x in turns], 'string_agg', '') AS rendered
+FROM u WHERE turns NOT IN (SELECT turns FROM p)
+"""
+
+_HOST = r"lower(regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1))"
+_PART = r"regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*/([^/?#]+)', 1)"
+OP8 = rf"""
+WITH h AS (SELECT DISTINCT {_HOST} AS h, {_PART} AS part FROM pages WHERE {_HOST} <> ''),
+d AS (SELECT *, length(pattern) AS n, coalesce(ascii(substring(pattern, 5, 1)), 0) AS a FROM (SELECT DISTINCT array_to_string(string_split(h, '.')[-3:], '.') AS pattern FROM h)),
+e AS (
+  SELECT 'block' AS list, pattern, unnest([1, 0, 1]) AS on_, unnest([(31 * n + 17 * a) % 200, (31 * n + 17 * a) % 200 + 10 + a % 50, (31 * n + 17 * a) % 200 + 90 + n]) AS day FROM d
+  UNION ALL
+  SELECT 'allow', h || '/' || part, unnest([1, 0]), unnest([11 * length(h) % 300, 11 * length(h) % 300 + 40]) FROM h WHERE part IN ('de', 'fr')
+),
+m AS (SELECT list, pattern, day, max(on_) AS on_ FROM e GROUP BY ALL),
+ch AS (SELECT * FROM (SELECT *, lag(on_, 1, 0) OVER (PARTITION BY list, pattern ORDER BY day) AS was FROM m) WHERE on_ <> was),
+iv AS (SELECT * FROM (SELECT *, lead(day) OVER (PARTITION BY list, pattern ORDER BY day) AS until FROM ch) WHERE on_ = 1),
+c AS (SELECT row_number() OVER () AS r, page_id, url, page_id * 37 % 365 AS day, {_HOST} AS h, {_PART} AS part FROM pages),
+k AS (
+  SELECT c.r, c.page_id, c.url, c.day, iv.pattern, iv.list, iv.day AS since,
+    row_number() OVER (PARTITION BY c.r ORDER BY length(iv.pattern) DESC NULLS LAST, iv.list, iv.pattern DESC) AS best
+  FROM c LEFT JOIN iv ON c.url IS NOT NULL AND (iv.pattern = c.h OR suffix(c.h, '.' || iv.pattern) OR iv.pattern = c.h || '/' || c.part) AND iv.day <= c.day AND (iv.until IS NULL OR c.day < iv.until)
+)
+SELECT page_id, url, day, pattern, list, coalesce(since, -1) AS since, coalesce(list = 'block', false) AS blocked FROM k WHERE best = 1
+"""
+
+ORACLE: dict[str, str] = {
+    "op3_certified_rules": OP3, "op4_snapshot_collapse": OP4, "op7_winnowing": OP7, "op8_temporal_url_filter": OP8,
+}

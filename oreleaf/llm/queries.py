@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oreleaf.llm import bpe, decontamination, licenses, quality, sharding, simhash, suffixes, thresholds
+from oreleaf.llm import bpe, conversations, decontamination, licenses, quality, sharding, simhash, suffixes, thresholds, url_filters
 from oreleaf.llm.oracle import ORACLE
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -44,6 +44,10 @@ def op3_certified_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_snapshot_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.collapse(table(spark, sf_dir, "conversations"))
+
+
 def op5_simhash_vp(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents")).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id",
@@ -62,6 +66,24 @@ def op7_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def list_entries(pages: DataFrame) -> DataFrame:
+    """A dated list log made from the hosts of `pages`: block entries for the domain above each host, allow entries for hosts' first path parts."""
+    hosts = pages.select(url_filters.host("url").alias("h"), url_filters.first_part("url").alias("part")).where("h <> ''").distinct()
+    domain = F.expr("substring_index(h, '.', -3)")
+    domains = hosts.select(domain.alias("pattern")).distinct().withColumns({"n": F.length("pattern").cast("long"), "a": F.ascii(F.expr("substring(pattern, 5, 1)")).cast("long")})
+    start = "(31 * n + 17 * a) % 200"
+    blocks = domains.selectExpr("pattern", f"stack(3, 'add', {start}, 'remove', {start} + 10 + a % 50, 'add', {start} + 90 + n) as (action, day)")
+    parts = hosts.where("part in ('de', 'fr')").selectExpr("concat(h, '/', part) as pattern", "cast(length(h) as long) as n")
+    allows = parts.selectExpr("pattern", "stack(2, 'add', 11 * n % 300, 'remove', 11 * n % 300 + 40) as (action, day)")
+    return blocks.select(F.lit("block").alias("list"), "pattern", "action", "day").union(allows.select(F.lit("allow"), "pattern", "action", "day"))
+
+
+def op8_temporal_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    captures = pages.withColumn("day", F.col("page_id") * 37 % 365)
+    return url_filters.judge(captures, list_entries(pages)).withColumn("since", F.coalesce("since", F.lit(-1)))
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokens = bpe.encode(table(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN)
     return bpe.decode(tokens, RANKS).select(
@@ -79,9 +101,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_repeated_bytes": op1_repeated_bytes,
     "op2_neighbour_quality": op2_neighbour_quality,
     "op3_certified_rules": op3_certified_rules,
+    "op4_snapshot_collapse": op4_snapshot_collapse,
     "op5_simhash_vp": op5_simhash_vp,
     "op6_license_scan": op6_license_scan,
     "op7_winnowing": op7_winnowing,
+    "op8_temporal_url_filter": op8_temporal_url_filter,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_byte_shards": op10_byte_shards,
 }

@@ -31,7 +31,7 @@ SHINGLE = 3
 SEED = 42
 BITS = 2
 SAMPLE = 65_536
-LEAF = 16_384  # fingerprints that live in a leaf, about
+LEAF = 2048  # fingerprints that live in a leaf, about
 BLOCK = 512
 
 

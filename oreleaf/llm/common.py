@@ -39,6 +39,12 @@ def text_or_empty(text: str = "text") -> Column:
     return F.coalesce(F.col(text).cast("string"), F.lit(""))
 
 
+def alnum_words(text: Column) -> Column:
+    """Lower-cased (A-Z) words of letters, digits and characters beyond ASCII: one translation and a split at single spaces."""
+    parting = "".join(chr(c) for c in range(128) if not chr(c).isalnum())
+    return F.array_remove(F.split(F.translate(text, parting + UPPER, " " * len(parting) + UPPER.lower()), " ", -1), "")
+
+
 def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, UPPER.lower())
 

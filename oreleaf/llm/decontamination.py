@@ -1,11 +1,12 @@
 """Benchmark decontamination by winnowing, in DataFrame operations only.
 
 A span of `span` words has span - k + 1 k-grams; its fingerprint is their smallest hash, so equal
-spans have equal fingerprints. A text keeps one fingerprint for each run of neighbouring
-windows that share it, in one row-local expression, and only these runs meet the fingerprints of
-the benchmark's windows. Seeds go back to their texts, where every window of a
-seeded run is compared word for word with the benchmark's windows, and hit windows that touch are
-merged to spans: each shared span of `span` words or more is found, and nothing else.
+spans have equal fingerprints. Every text keeps the distinct fingerprints of its windows, by row-local
+expressions over arrays (hashes of words, pairs and fours, then minima over two, four and seven neighbours), and
+only these meet the fingerprints of the benchmark's windows. Texts with a hit, usually few, are taken once more: in them runs of
+neighbouring windows that share a hit fingerprint are extended, word for word, to the windows that occur in an
+item, and hit windows that touch are merged to spans. Each shared span of `span` words or
+more is found, and nothing else.
 
 All results belong to a text, not to a row: copies of a text share them. Items shorter than
 `span` words are one window each; their fingerprint is the hash of all their words.
@@ -22,34 +23,47 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from oreleaf.llm.common import ALNUM_WORD, ascii_lower, staged, text_or_empty
+from oreleaf.llm.common import alnum_words, staged, text_or_empty
 
 SPAN = 10
-GRAM = 5
+GRAM = 4  # a power of two
 KEY = ["_t1", "_t2"]
 
 
 def _words(df: DataFrame, text_col: str, *kept: str) -> DataFrame:
     """The kept columns, the text's 128-bit key and its words."""
     text = text_or_empty(text_col)
-    return df.select(
-        *kept, F.xxhash64(text).alias("_t1"), F.xxhash64(F.lit(1), text).alias("_t2"),
-        F.regexp_extract_all(ascii_lower(text), F.lit(f"({ALNUM_WORD})"), 1).alias("_words"),
-    )
+    return df.select(*kept, F.xxhash64(text).alias("_t1"), F.xxhash64(F.lit(1), text).alias("_t2"), alnum_words(text).alias("_words"))
 
 
-def _fingerprint_runs(words: DataFrame, span: int, gram: int) -> DataFrame:
-    """(key, fp, first, last): runs of windows of `span` words, from 0, with one fingerprint."""
-    width = span - gram + 1
-    return (
-        words.where(f"size(_words) >= {span}")
-        .select(*KEY, F.expr(f"transform(sequence(1, size(_words) - {gram - 1}), i -> xxhash64(slice(_words, i, {gram})))").alias("_grams"))
-        .select(*KEY, F.expr(f"transform(sequence(1, size(_grams) - {width - 1}), i -> array_min(slice(_grams, i, {width})))").alias("_least"))
-        .select(*KEY, "_least", F.expr("filter(sequence(0, size(_least) - 1), i -> i = 0 or get(_least, i) <> get(_least, i - 1))").alias("_begins"))
-        .select(*KEY, F.expr(
-            "inline(transform(_begins, (b, j) -> struct(get(_least, b) as fp, b as first, coalesce(get(_begins, j + 1), size(_least)) - 1 as last)))",
-        ))
-    )
+def _over(values: str, have: int, want: int, combine: str) -> str:
+    """SQL: `combine` (of a and b) over `want` neighbours, from an array that holds it over `have`; the last want - have values are no good."""
+    return f"zip_with({values}, slice({values}, {want - have + 1}, size({values})), (a, b) -> {combine})"
+
+
+def _fingerprints(words: DataFrame, span: int, gram: int) -> DataFrame:
+    """(key, words, least): the fingerprint of the window that starts at each word."""
+    rows = words.select(*KEY, "_words", F.expr(f"case when size(_words) >= {span} then transform(_words, w -> xxhash64(w)) else array() end").alias("_v"))
+    have = 1
+    while have < gram:
+        step = min(have, gram - have)
+        rows = rows.select(*KEY, "_words", F.expr(_over("_v", have, have + step, "xxhash64(a, b)")).alias("_v"))
+        have += step
+    rows = rows.select(*KEY, "_words", F.expr(f"slice(_v, 1, greatest(size(_v) - {gram - 1}, 0))").alias("_v"))
+    width, have = span - gram + 1, 1
+    while have < width:
+        step = min(have, width - have)
+        rows = rows.select(*KEY, "_words", F.expr(_over("_v", have, have + step, "least(a, b)")).alias("_v"))
+        have += step
+    return rows.select(*KEY, "_words", F.expr(f"slice(_v, 1, greatest(size(_v) - {width - 1}, 0))").alias("_least"))
+
+
+def _runs(fingerprints: DataFrame) -> DataFrame:
+    """(key, fp, first, last): runs of neighbouring windows, from 0, with one fingerprint."""
+    begins = F.expr("filter(sequence(0, size(_least) - 1), i -> i = 0 or get(_least, i) <> get(_least, i - 1))")
+    return fingerprints.select(*KEY, "_least", F.when(F.size("_least") > 0, begins).otherwise(F.array().cast("array<int>")).alias("_begins")).select(*KEY, F.expr(
+        "inline(transform(_begins, (b, j) -> struct(get(_least, b) as fp, b as first, coalesce(get(_begins, j + 1), size(_least)) - 1 as last)))",
+    ))
 
 
 def _windows(items: DataFrame, span: int) -> DataFrame:
@@ -69,23 +83,34 @@ def find(docs: DataFrame, items: DataFrame, span: int = SPAN, gram: int = GRAM,
     lengths = sorted(row["_length"] for row in distinct.select("_length").distinct().collect())  # `span` values at most
 
     words = _words(docs, text_col)
-    seeds = []
+    spark = docs.sparkSession
+    met, item_fps = [], {}
     for length in lengths:
-        k = gram if length == span else length
         own = distinct.where(F.col("_length") == length).select(F.split("_window", " ").alias("_words"), F.lit(0).alias("_t1"), F.lit(0).alias("_t2"))
-        fps = _fingerprint_runs(own, length, k).select(F.col("fp").alias("_item_fp")).distinct()
-        runs = _fingerprint_runs(words, length, k)
-        seeds.append(runs.join(fps, F.col("fp") == F.col("_item_fp")).select(*KEY, F.lit(length).alias("_length"), "first", "last").distinct())
-    spark = docs.sparkSession
-    none = spark.createDataFrame([], "_t1 long, _t2 long, _length int, first int, last int")
-    seeded = staged(
-        reduce(DataFrame.union, seeds, none).groupBy(*KEY).agg(F.collect_list(F.struct("_length", "first", "last")).alias("_runs")), "seeds",
+        gram_of = gram if length == span else length
+        item_fps[length] = _fingerprints(own, length, gram_of).select(F.explode("_least").alias("_item_fp")).distinct()
+        mine = _fingerprints(words, length, gram_of).select(*KEY, F.explode(F.array_distinct("_least")).alias("fp"))
+        met.append(mine.join(item_fps[length], F.col("fp") == F.col("_item_fp")).select(*KEY))
+    met_texts = staged(reduce(DataFrame.union, met, spark.createDataFrame([], "_t1 long, _t2 long")).distinct(), "met-texts")
+    met_texts = met_texts.select(F.col("_t1").alias("_m1"), F.col("_t2").alias("_m2"))
+    text = text_or_empty(text_col)
+    texts = docs.select(text.alias("_text"), F.xxhash64(text).alias("_t1"), F.xxhash64(F.lit(1), text).alias("_t2"))
+    suspects = texts.join(met_texts, (F.col("_t1") == F.col("_m1")) & (F.col("_t2") == F.col("_m2"))).select(*KEY, "_text").dropDuplicates(KEY)
+    suspects = staged(suspects.select(*KEY, alnum_words(F.col("_text")).alias("_words")), "suspects")
+
+    seeds = []
+    for length in lengths:
+        runs = _runs(_fingerprints(suspects, length, gram if length == span else length))
+        seeds.append(runs.join(item_fps[length], F.col("fp") == F.col("_item_fp")).select(*KEY, F.lit(length).alias("_length"), "first", "last"))
+    seeded = (
+        reduce(DataFrame.union, seeds, spark.createDataFrame([], "_t1 long, _t2 long, _length int, first int, last int"))
+        .groupBy(F.col("_t1").alias("_m1"), F.col("_t2").alias("_m2")).agg(F.collect_set(F.struct("_length", "first", "last")).alias("_runs"))
     )
 
     hits = (
-        words.join(seeded, KEY)
-        .select(*KEY, "_words", F.explode(F.expr("flatten(transform(_runs, r -> transform(sequence(r.first, r.last), s -> struct(r._length as n, s as s))))")).alias("_at"))
-        .select(*KEY, F.col("_at.s").alias("_start"), (F.col("_at.s") + F.col("_at.n")).alias("_end"), F.expr("array_join(slice(_words, _at.s + 1, _at.n), ' ')").alias("_hit"))
+        suspects.join(seeded, (F.col("_t1") == F.col("_m1")) & (F.col("_t2") == F.col("_m2")))
+        .select(*KEY, F.expr("""inline(flatten(transform(_runs, r -> transform(sequence(r.first, r.last), s ->
+            struct(s as _start, s + r._length as _end, array_join(slice(_words, s + 1, r._length), ' ') as _hit)))))"""))
         .join(distinct, F.col("_hit") == F.col("_window"))
         .select(*KEY, "_start", "_end", "_window").distinct()
     )
@@ -117,7 +142,7 @@ def decontaminated(docs: DataFrame, items: DataFrame, span: int = SPAN, gram: in
     kept = [c for c in docs.columns if c not in {"n_words", "n_hit", "items", "spans", "contaminated"}]
     rows = docs.select(
         *(F.col(f"`{c}`") for c in kept), F.xxhash64(text).alias("_d1"), F.xxhash64(F.lit(1), text).alias("_d2"),
-        F.size(F.regexp_extract_all(ascii_lower(text), F.lit(f"({ALNUM_WORD})"), 1)).cast("long").alias("n_words"),
+        F.size(alnum_words(text)).cast("long").alias("n_words"),
     )
     return rows.join(found, (F.col("_d1") == F.col("_t1")) & (F.col("_d2") == F.col("_t2")), "left").select(
         *(F.col(f"`{c}`") for c in kept), "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"),

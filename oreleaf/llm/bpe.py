@@ -27,17 +27,21 @@ from pyspark.sql import functions as F
 
 from oreleaf.llm.common import slices, text_or_empty
 
-PIECES_KEPT = 1_000_000
-PAIRS_KEPT = 1_000_000
+PIECES_KEPT = 300_000
+PAIRS_KEPT = 300_000
+
+
+def by_rank(ranks: bytes) -> dict[int, bytes]:
+    lines = (line.split() for line in ranks.splitlines() if line)
+    return {int(rank): base64.b64decode(token) for token, rank in lines}
 
 
 class Vocabulary:
     """Tokens by rank, the automaton over them and the memos of one task's process."""
 
     def __init__(self, ranks: bytes):
-        lines = (line.split() for line in ranks.splitlines() if line)
-        self.rank = {base64.b64decode(token): int(rank) for token, rank in lines}
-        self.token = {rank: token for token, rank in self.rank.items()}
+        self.token = by_rank(ranks)
+        self.rank = {token: rank for rank, token in self.token.items()}
         self.latin = ahocorasick.Automaton()
         self.shorter: dict[int, int | None] = {}
         made = {token: rank for token, rank in self.rank.items() if self.merged(token) == [rank]}
@@ -148,7 +152,7 @@ def decode(tokens: DataFrame, ranks_path: str, id_col: str = "doc_id", ids_col:
     ranks = _rank_file(tokens.sparkSession, ranks_path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token = _pieces(ranks.value).vocabulary.token.__getitem__
+        token = by_rank(ranks.value).__getitem__
         for whole in batches:
             for batch in slices(whole, ids_col):
                 texts = [b"".join(map(token, np.frombuffer(ids or b"", "<u4").tolist())) for ids in batch.column(ids_col).to_pylist()]

@@ -116,7 +116,7 @@ def _coarse(text: bytes) -> Iterator[tuple[np.ndarray, ...]]:
 
 
 def _fine(text: bytes, lows: np.ndarray, highs: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
-    """(at, low, high, part, gap, head, tail): fine anchors of the given stretches; gap 0 where no whole stretch is named."""
+    """(at, low, high, part, gap, w1, w2): fine anchors of the given stretches and the 128-bit name of the whole stretch; gap 0: it has none."""
     length = THRESHOLD - FINE + 1
     order = np.argsort(lows)
     lows, highs = lows[order], highs[order]
@@ -133,7 +133,8 @@ def _fine(text: bytes, lows: np.ndarray, highs: np.ndarray) -> Iterator[tuple[np
         head, tail = before - FINE + 1, at - FINE + 1 + THRESHOLD
         whole = (before >= 0) & (head >= 0) & (tail <= len(codes))
         head, tail = np.where(whole, head, 0), np.where(whole, tail, NAMED)
-        yield at + offset, low, high, part, np.where(whole, at - before, 0), long[head], long[tail - NAMED]
+        gap, first, last = np.where(whole, at - before, 0), long[head], long[tail - NAMED]
+        yield at + offset, low, high, part, gap, _paired(first, last), _paired(last + gap.astype(np.uint64) * _B, first)
 
 
 def _single(text: bytes, lows: np.ndarray, highs: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
@@ -152,7 +153,7 @@ def _single(text: bytes, lows: np.ndarray, highs: np.ndarray) -> Iterator[tuple[
 
 def _positions(df: DataFrame, work: Callable[..., Iterator[tuple[np.ndarray, ...]]], names: list[str]) -> DataFrame:
     """Rows that `work` finds in each text, behind the text's key; stretches are given where `df` has them."""
-    wide = {"part", "head", "tail"}
+    wide = {"part", "w1", "w2", "head", "tail"}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -217,20 +218,22 @@ def repeats(docs: DataFrame, text_col: str = "text") -> DataFrame:
         texts.join(stretches, (F.col("_t1") == F.col("_c1")) & (F.col("_t2") == F.col("_c2"))).select(*KEY, "_text", "_lows", "_highs").dropDuplicates(KEY), "texts-left",
     )
 
-    found = _positions(left, _fine, ["at", "low", "high", "part", "gap", "head", "tail"])
-    found = staged(found, "fine-anchors")
-    found = staged(found.join(_shared(found, ["part"]), _equal(["part"])).drop("_part"), "fine-anchors-left")
-    whole = ["gap", "head", "tail"]
+    found = staged(_positions(left, _fine, ["at", "low", "high", "part", "gap", "w1", "w2"]), "fine-anchors")
     place = F.xxhash64("_t1", "at")
-    classes = staged(found.where("gap > 0").groupBy("part", *whole).agg(
-        F.min(place).alias("_a"), F.max(place).alias("_b"), F.min(F.struct("_t1", "_t2", "at")).alias("_one"),
-    ).where("_a <> _b").select(*(F.col(c).alias(f"_{c}") for c in ["part", *whole]), "_one"), "sure-classes")
-    judged = found.join(classes.drop("_part"), _equal(whole), "left").select(*KEY, "part", "low", "high", F.col("_one").isNotNull().alias("_sure"))
+    whole = ["w1", "w2"]
+    classes = found.where("gap > 0").groupBy(*whole).agg(F.min(place).alias("_a"), F.max(place).alias("_b")).where("_a <> _b")
+    classes = classes.select(F.col("w1").alias("_w1"), F.col("w2").alias("_w2"), "_a")
+    judged = staged(found.join(classes, _equal(whole) & (F.col("gap") > 0), "left").select(
+        *KEY, "at", "low", "high", "part", "gap", F.col("_a").isNotNull().alias("_sure"), F.coalesce(place == F.col("_a"), F.lit(False)).alias("_first"),
+    ), "fine-anchors-judged")
+    columns = [*KEY, "low", "high", "_sure"]
+    open_rows = staged(judged.where("not _sure").join(_shared(judged, ["part"]), _equal(["part"]), "left_semi").select(*columns, "part"), "open-stretches")
     # A start in an open stretch may recur in one that is settled: one stretch of each such kind is listed with the open ones.
-    open_parts = judged.where("not _sure").select("part").distinct()
-    listed = classes.join(open_parts, F.col("_part") == F.col("part"), "left_semi").select(
-        "_one._t1", "_one._t2", "_part", (F.col("_one.at") - F.col("_gap") - FINE + 2).alias("low"), (F.col("_one.at") - FINE + 1).alias("high"), F.lit(False).alias("_sure"),
+    open_parts = open_rows.select(F.col("part").alias("_part")).distinct()
+    listed = judged.where("_first").join(open_parts, _equal(["part"]), "left_semi").select(
+        *KEY, (F.col("at") - F.col("gap") - FINE + 2).alias("low"), (F.col("at") - FINE + 1).alias("high"), F.lit(False).alias("_sure"),
     )
+    judged = judged.where("_sure").select(*columns).union(open_rows.select(*columns))
     judged = judged.union(listed).groupBy(*KEY).agg(
         F.collect_set(F.when(F.col("_sure"), F.struct("low", "high"))).alias("_sure"), F.collect_set(F.when(~F.col("_sure"), F.struct("low", "high"))).alias("_open"),
     ).select(F.col("_t1").alias("_c1"), F.col("_t2").alias("_c2"), "_sure", F.col("_open.low").alias("_lows"), F.col("_open.high").alias("_highs"))

@@ -66,6 +66,7 @@ def _merged_record(schema: ExtractionSchema) -> str:
 def consolidate(records: DataFrame, schema: ExtractionSchema) -> DataFrame:
     """records(paper_id, row_idx, record) -> one record per paper and key.
 
+    Records whose key fields are all null or empty have no identity and stay apart.
     Adds n_variants; row_idx is that of the first variant. Fields named in
     ``schema.united`` hold the union of the variants' items in the order of their
     first mention, with items that differ only in case, spacing or punctuation
@@ -76,6 +77,10 @@ def consolidate(records: DataFrame, schema: ExtractionSchema) -> DataFrame:
     keyed = records.selectExpr(
         "paper_id", "row_idx", "record", f"{completeness(schema)} AS completeness",
         *[f"{expr} AS {k}" for k, expr in keys.items()])
+    empty = {k: f"coalesce(size({k}), 0) <= 0" if isinstance(kinds[p], T.ArrayType) else f"coalesce(string({k}), '') = ''"
+             for k, p in zip(keys, schema.key)}
+    nameless = " AND ".join(empty.values())
+    keyed = keyed.withColumn("alone", F.expr(f"if({nameless}, row_idx, NULL)"))
     picks = [(p, t) for p, t in schema.leaves() if p not in schema.united]
 
     def best(path: str, kind: T.DataType):
@@ -83,7 +88,7 @@ def consolidate(records: DataFrame, schema: ExtractionSchema) -> DataFrame:
         ranked = Q.named_struct({"completeness": "completeness", "order": "-row_idx", "value": value})
         return F.expr(f"max(if({value} IS NULL, NULL, {ranked}))").alias(_name(path))
 
-    group = ["paper_id", *keys]
+    group = ["paper_id", *keys, "alone"]
     out = ["paper_id", "row_idx", f"{_merged_record(schema)} AS record", "n_variants"]
     if not schema.united:
         return keyed.groupBy(*group).agg(

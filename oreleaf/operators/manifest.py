@@ -18,11 +18,10 @@ def needs_processing(
     schemas: list[ExtractionSchema], retry_empty: bool = True, per_schema: bool = False,
     status: str = "status", counts: str = "counts",
 ) -> Column:
-    """Should a recorded paper be attempted again?
+    """True for recorded papers that are still open: failed, new to a selected schema, or (``retry_empty``) without records.
 
-    Yes when its last run failed, when a selected schema never ran for it, or,
-    with ``retry_empty``, when the selected schemas together gave no record
-    (``per_schema``: when any of them gave none).
+    Without records means none from all selected schemas together, or with
+    ``per_schema`` none from any one of them.
     """
     keys = [s.count_key for s in schemas]
     found = [F.coalesce(F.col(counts)[k], F.lit(0)) for k in keys]
@@ -62,12 +61,12 @@ def pending(
 
 
 def paper_status(outcomes: DataFrame) -> DataFrame:
-    """outcomes(paper_id, stage, ok, error), one row per step of a paper -> paper_id, status, stage, error.
+    """outcomes(paper_id, step, stage, ok, error), one row per step of a paper -> paper_id, status, stage, error.
 
-    One failed step fails the paper; the error is that of the first failed step.
+    One failed step fails the paper; the error is that of the failed step with
+    the smallest number (0 the parse, then the schemas in their selected order).
     """
-    failure = F.when(~F.col("ok"), F.struct(
-        (F.col("stage") != PARSE).alias("later"), "stage", F.coalesce("error", F.lit("")).alias("error")))
+    failure = F.when(~F.col("ok"), F.struct("step", "stage", F.coalesce("error", F.lit("")).alias("error")))
     return (
         outcomes.groupBy("paper_id").agg(F.bool_and("ok").alias("ok"), F.min(failure).alias("f"))
         .select("paper_id", F.when(F.col("ok"), "ok").otherwise("error").alias("status"), "f.stage", "f.error")

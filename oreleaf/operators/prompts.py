@@ -16,11 +16,6 @@ from oreleaf.schemas import ExtractionSchema
 
 EXTRACT, VERIFY, ASSESS = "extract", "verify", "assess"
 
-# Records per assessment prompt. A batch is one paper's records; one that is too
-# long for any model's context is cut into consecutive parts, so no prompt and no
-# collected group grows with the data.
-ROWS_PER_BATCH = 200
-
 
 def request_id(*parts: Column) -> Column:
     texts = [F.coalesce(p.cast("string"), F.lit("")) for p in parts]
@@ -43,7 +38,8 @@ def extraction_prompts(docs: DataFrame, schemas: list[ExtractionSchema]) -> Data
 
 def verification_prompts(validated: DataFrame, docs: DataFrame, schema: ExtractionSchema) -> DataFrame:
     """validated(paper_id, rows) of one schema + docs(paper_id, llm_text) -> one request per record."""
-    joined = validated.select("paper_id", "rows").join(docs.select("paper_id", "llm_text"), "paper_id")
+    joined = validated.select("paper_id", "rows").join(docs.select("paper_id", "llm_text"), "paper_id", "left")
+    joined = joined.withColumn("llm_text", F.coalesce("llm_text", F.lit("")))
     return (
         fan_out(joined, ["paper_id", "llm_text"], "rows", "row_idx", "record")
         .select(
@@ -55,18 +51,18 @@ def verification_prompts(validated: DataFrame, docs: DataFrame, schema: Extracti
     )
 
 
-def batch_prompts(records: DataFrame, schema: ExtractionSchema, rows_per_batch: int = ROWS_PER_BATCH) -> DataFrame:
-    """records(paper_id, row_idx, record) -> one request per paper (and part of a long one)."""
-    parts = records.withColumn("part", F.floor(F.col("row_idx") / rows_per_batch).cast("int"))
-    batch = parts.groupBy("paper_id", "part").agg(
+def batch_prompts(records: DataFrame, schema: ExtractionSchema) -> DataFrame:
+    """records(paper_id, row_idx, record) -> one request per paper, with all its records.
+
+    The group is bounded by the paper: its records came out of one response.
+    """
+    batch = records.groupBy("paper_id").agg(
         F.array_sort(F.collect_list(F.struct("row_idx", record_json(F.col("record")).alias("json")))).alias("batch"))
     rows = F.array_join(F.transform("batch", lambda b: b["json"]), ",")
     return (
         batch
         .select(
-            "paper_id", F.lit(schema.name).alias("schema"), F.lit(ASSESS).alias("stage"), "part",
-            F.size("batch").alias("n_rows"),
+            "paper_id", F.lit(schema.name).alias("schema"), F.lit(ASSESS).alias("stage"), F.size("batch").alias("n_rows"),
             fill_template(schema.batch_prompt, batch_json=F.concat(F.lit('{"rows":['), rows, F.lit("]}"))).alias("prompt"))
-        .withColumn("request_id", request_id(
-            F.col("schema"), F.col("stage"), F.col("paper_id"), F.col("part"), F.col("prompt")))
+        .withColumn("request_id", request_id(F.col("schema"), F.col("stage"), F.col("paper_id"), F.col("prompt")))
     )

@@ -20,10 +20,11 @@ from oreleaf.schemas import ExtractionSchema
 _FENCE = r"```(?:json)?\s*([\s\S]*?)\s*```"
 
 
-def unfence(body: str) -> str:
-    """The content of the first fenced block, or the text itself when there is none."""
-    fenced = Q.let(Q.extract(body, _FENCE, 1), lambda inner: f"if({inner} = '', {body}, {inner})")
-    return f"if(contains({body}, '```'), {fenced}, {body})"
+def parsed_body(body: str) -> str:
+    """VARIANT of a response: of the text as it stands, or else of its first fenced block that is JSON."""
+    blocks = f"transform(regexp_extract_all({body}, {Q.literal(_FENCE)}, 1), x -> {parse_json('x')})"
+    fenced = f"if(contains({body}, '```'), get(filter({blocks}, v -> v IS NOT NULL), 0), NULL)"
+    return f"coalesce({parse_json(body)}, {fenced})"
 
 
 def parse_json(body: str) -> str:
@@ -139,7 +140,7 @@ def _parsed_rows(responses: DataFrame) -> DataFrame:
         (f"{C.given(rows)} AND NOT startswith({C.kind_of(rows)}, 'ARRAY')", "'rows is not a list'"))
     return (
         responses
-        .withColumn("_parsed", F.expr(parse_json(unfence("body"))))
+        .withColumn("_parsed", F.expr(parsed_body("body")))
         .withColumns({"response_error": F.expr(error), "_rows": F.expr(rows)})
         .drop("_parsed")
     )
@@ -178,7 +179,9 @@ def validate(responses: DataFrame, schema: ExtractionSchema) -> DataFrame:
 
 def validate_single(responses: DataFrame, schema: ExtractionSchema) -> DataFrame:
     """As :func:`validate` for bodies that are one bare record; adds ``record`` and ``response_error``."""
-    one = f"try_parse_json(concat('[', {unfence('body')}, ']'))"
+    # One value between brackets, as the conversions below expect it.
+    one = f"""coalesce(try_parse_json(concat('[', body, ']')), if(contains(body, '```'), get(filter(
+        transform(regexp_extract_all(body, {Q.literal(_FENCE)}, 1), x -> try_parse_json(concat('[', x, ']'))), v -> v IS NOT NULL), 0), NULL))"""
     record = "try_variant_get(_one, '$[0]', 'variant')"
     alone = "try_variant_get(_one, '$[1]', 'variant') IS NULL"
     return (

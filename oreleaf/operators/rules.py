@@ -50,7 +50,13 @@ ADSORPTION_HEADINGS: dict[str, str] = {
     "ph": "synthesis_method.ph", "calcination temperature": "synthesis_method.calcination_temp_c",
 }
 
-_NUMBER = r"[-+]?[0-9]+(?:\.[0-9]+)?"
+# A whole number token: thousands groups, decimals, an exponent as e-3 or × 10^-3.
+_NUMBER = (r"[-+−]?(?:[0-9]{1,3}(?:,[0-9]{3})+|[0-9]+)(?:\.[0-9]+)?"
+           r"(?:[eE][-+−]?[0-9]+|\s*[×x]\s*10\s*\^?\s*[-+−]?[0-9]+)?")
+_SPREAD = r"(?:\s*±\s*[0-9]+(?:\.[0-9]+)?)?"
+# What may stand before a number in text: no digit, word, comma or point, and no dash, sign or exponent that makes it
+# the second part of a range or of another number.
+_BEFORE = r"(?<![\w.,^])(?<![-–−+±×]\s?)(?<![0-9]\s?(?=[-+−]))"
 _UNIT_IN_HEADING = r"[(\[]([^)\]]*)[)\]]"
 
 
@@ -66,6 +72,18 @@ def to_declared_unit(value: Column, unit: Column, dimension: str) -> Column:
     return _convert(value, _unit_key(unit), dimension)
 
 
+def number_value(token: str) -> str:
+    """SQL: the value of a number token, null for a null or empty one."""
+    plain = Q.replace_all(f"replace(replace({token}, ',', ''), '−', '-')", r"\s*[×x]\s*10\s*\^?\s*", "e")
+    return f"try_cast({plain} AS double)"
+
+
+def _cell_number(cell: Column) -> Column:
+    token = F.regexp_extract(cell, rf"^({_NUMBER}){_SPREAD}[^0-9]*$", 1)
+    plain = F.regexp_replace(F.translate(token, "−,", "-"), r"\s*[×x]\s*10\s*\^?\s*", "e")
+    return null_if_empty(plain).try_cast("double")
+
+
 def _unit_key(unit: Column) -> Column:
     return F.lower(F.regexp_replace(unit, r"(?U)\s+", ""))
 
@@ -94,8 +112,10 @@ def table_records(
     """papers(paper_id, title, doi, year, tables) -> one record per body row of each table.
 
     The first row of a table holds the headings. A column counts for a field when
-    its heading, unit aside, is one of the field's names; the first such column
-    wins. A record repeats the paper's year, DOI and title; fields without a
+    its heading, unit aside, is one of the field's names. Where a field has
+    several columns a row gives a record for each (``set_idx``), which takes the
+    same column of the other repeated fields and the only one of the rest. A cell
+    is a number only as a whole (unit and spread aside), so ranges are null. A record repeats the paper's year, DOI and title; fields without a
     column are null. Tables without a known heading give no records.
     """
     fields = list(dict.fromkeys(headings.values()))
@@ -111,6 +131,9 @@ def table_records(
     body_rows = F.when(F.exists("known", lambda k: k != ""), F.slice("all_rows", 2, F.size("all_rows")))
     body = fan_out(headed, ["paper_id", "title", "doi", "year", "table_idx", "known", "units"],
                    body_rows, "row_idx", "cells")
+    named = F.filter("known", lambda k: k != "")
+    most = F.array_max(F.transform(named, lambda k: F.size(F.filter("known", lambda other: other == k))))
+    body = fan_out(body, body.columns, F.sequence(F.lit(0), most - 1), "set_idx", "_set").drop("_set")
 
     def value(path: str, kind: T.DataType) -> Column:
         if path not in fields:
@@ -118,14 +141,14 @@ def table_records(
             if path in own:
                 return F.col(own[path]).cast(kind)
             return F.array().cast("array<string>") if isinstance(kind, T.ArrayType) else F.lit(None).cast(kind)
-        position = (F.array_position("known", path) - 1).cast("int")
-        column = F.when(position >= 0, position)
+        places = F.filter(F.transform("known", lambda k, i: F.when(k == path, i)), lambda i: i.isNotNull())
+        column = F.get(places, F.least("set_idx", F.size(places) - 1))
         cell = null_if_empty(strip(F.get(F.col("cells"), column)))
         if isinstance(kind, T.ArrayType):
             return F.when(cell.isNull(), F.array().cast("array<string>")).otherwise(F.array(cell))
         if isinstance(kind, T.StringType):
             return cell
-        number = null_if_empty(F.regexp_extract(cell, _NUMBER, 0)).try_cast("double")
+        number = _cell_number(cell)
         if path in DIMENSIONS:
             return to_declared_unit(number, F.get(F.col("units"), column), DIMENSIONS[path])
         return number.cast(kind)
@@ -137,7 +160,7 @@ def table_records(
                 value(f"{f.name}.{c.name}", c.dataType).alias(c.name) for c in f.dataType.fields]).alias(f.name))
         else:
             out.append(value(f.name, f.dataType).alias(f.name))
-    return body.select("paper_id", "table_idx", "row_idx", F.struct(*out).alias("record"))
+    return body.select("paper_id", "table_idx", "row_idx", "set_idx", F.struct(*out).alias("record"))
 
 
 # Field -> (dimension, unit alternatives) of measurements in running text.
@@ -156,11 +179,11 @@ def text_measurements(sections: DataFrame, text_units: Mapping[str, tuple[str, s
     """
     per_field = []
     for name, (dimension, units) in text_units.items():
-        pattern = Q.literal(rf"(?<![\w.]){_NUMBER}\s*(?:{units})(?![\w/])")
+        pattern = Q.literal(rf"{_BEFORE}{_NUMBER}{_SPREAD}\s*(?:{units})(?![\w/])")
         per_field.append(Q.each_indexed(f"regexp_extract_all(text, {pattern}, 0)", lambda m, i: Q.named_struct({
             "field": f"'{name}'", "match_idx": i, "dimension": f"'{dimension}'",
-            "value": f"cast({Q.extract(m, _NUMBER)} AS double)",
-            "unit": Q.extract(m, rf"^{_NUMBER}\s*(.*)$", 1)})))
+            "value": number_value(Q.extract(m, _NUMBER)),
+            "unit": Q.extract(m, rf"^{_NUMBER}{_SPREAD}\s*(.*)$", 1)})))
     matches = F.expr(f"concat({', '.join(per_field)})")
     return (
         fan_out(sections, ["paper_id", "section_idx"], matches, "i", "m")

@@ -72,11 +72,12 @@ def evidence_check(validated: DataFrame, docs: DataFrame, schema: ExtractionSche
     field, value, supported. The text meets the records once per paper, before
     they are exploded; its numbers are read out once per paper. A number is
     supported by an equal number in the text (its sign aside), a string by its
-    occurrence, case and spacing aside. Booleans have no wording to look for.
+    occurrence, case and spacing aside. Booleans have no wording to look for; without a
+    document ``supported`` is null.
     """
     text = collapse_spaces(F.lower("llm_text"))
     prepared = (
-        validated.select("paper_id", "rows").join(docs.select("paper_id", "llm_text"), "paper_id")
+        validated.select("paper_id", "rows").join(docs.select("paper_id", "llm_text"), "paper_id", "left")
         .select(
             "paper_id", "rows", text.alias("text"),
             F.array_distinct(F.transform(

@@ -33,41 +33,78 @@ class RunOptions:
     per_schema: bool = False
     verify: bool = True
     assess: str | None = RULES
+    unite: bool = False
+    reject_other_identity: bool = False
+    evidence: bool = False
     max_tokens: int = 16384
     retries: int = 3
+    validation_retries: int = 3
     backoff_s: float = 15.0
+    parallel: int | None = None
 
 
-def _ask(prompts: DataFrame, store: str, make_call, options: RunOptions) -> DataFrame:
-    # Each stage has its own answer table: a plan that read one path before and
-    # after an append would treat both scans as the same.
-    return inference.infer_once(
-        prompts, store, make_call,
-        max_tokens=options.max_tokens, retries=options.retries, backoff_s=options.backoff_s)
+@dataclass(frozen=True)
+class _Batch:
+    """What the stages of one batch share."""
+
+    out_dir: str
+    base: str
+    version: int
+    make_call: Callable[[], inference.Call]
+    options: RunOptions
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        return tables.write_version(df, f"{self.base}/{name}", self.version)
+
+    def ask(self, stage: str, requests: DataFrame, render, judge) -> DataFrame:
+        """Answers to one stage's requests; ``requests`` go to a table without their prompts first."""
+        o = self.options
+        budget = inference.Budget(
+            self.version, o.max_tokens, o.retries, o.validation_retries, o.backoff_s, afresh=o.force,
+            again_if_empty=o.retry_empty and stage.startswith(P.EXTRACT), parallel=o.parallel)
+        written = self.write(requests.drop("prompt"), f"requests/{stage}")
+        return inference.ask(written, render, f"{self.out_dir}/answers/{stage}", self.make_call, judge, budget)
+
+
+def _of_open_papers(df: DataFrame, todo: DataFrame) -> DataFrame:
+    return df.join(todo.select("paper_id").distinct(), "paper_id", "left_semi")
 
 
-def _verified(validated, docs, schema, out_dir, make_call, options) -> DataFrame:
+def _verdict(validated: DataFrame, n_rows) -> DataFrame:
+    return validated.select("request_id", F.col("response_error").alias("problem"), n_rows.alias("n_rows"))
+
+
+def _extracted(docs: DataFrame, schema: ExtractionSchema, batch: _Batch) -> DataFrame:
+    return batch.ask(
+        f"{P.EXTRACT}/{schema.name}", P.extraction_prompts(docs, [schema]),
+        lambda todo: P.extraction_prompts(_of_open_papers(docs, todo), [schema]),
+        lambda raw: _verdict(R.validate(raw, schema), F.size("rows")))
+
+
+def _verified(validated, docs, schema, batch: _Batch) -> DataFrame:
     first = R.record_rows(validated.select("paper_id", "rows"))
-    if not options.verify:
+    o = batch.options
+    if not o.verify:
         return first
-    answers = _ask(P.verification_prompts(validated, docs, schema), f"{out_dir}/answers/{P.VERIFY}/{schema.name}",
-                   make_call, options)
+    answers = batch.ask(
+        f"{P.VERIFY}/{schema.name}", P.verification_prompts(validated, docs, schema),
+        lambda todo: P.verification_prompts(_of_open_papers(validated, todo), docs, schema),
+        lambda raw: _verdict(R.validate_single(raw, schema), F.lit(1)))
     checked = R.validate_single(answers.where(F.col("status") == "ok"), schema)
-    return verification.merge_verified(first, checked, schema).drop("was_verified")
+    return verification.merge_verified(first, checked, schema, o.unite, o.reject_other_identity).drop("was_verified")
 
 
-def _assessed(records, schema, out_dir, make_call, options) -> DataFrame:
-    if options.assess is None:
+def _assessed(records, schema, batch: _Batch) -> DataFrame:
+    if batch.options.assess is None:
         return records
-    if options.assess == RULES:
+    if batch.options.assess == RULES:
         return consolidation.consolidate(records, schema).drop("n_variants")
-    answers = R.validate(_ask(P.batch_prompts(records, schema), f"{out_dir}/answers/{P.ASSESS}/{schema.name}",
-                              make_call, options), schema)
-    outcome = answers.groupBy("paper_id").agg(
-        F.bool_and((F.col("status") == "ok") & F.col("response_error").isNull()).alias("ok"))
-    exploded = fan_out(answers, ["paper_id", "part"], "rows", "pos", "record")
-    numbered = exploded.select(
-        "paper_id", (F.col("part") * P.ROWS_PER_BATCH + F.col("pos")).alias("row_idx"), "record")
+    answers = R.validate(batch.ask(
+        f"{P.ASSESS}/{schema.name}", P.batch_prompts(records, schema),
+        lambda todo: P.batch_prompts(_of_open_papers(records, todo), schema),
+        lambda raw: _verdict(R.validate(raw, schema), F.size("rows"))), schema)
+    outcome = answers.select("paper_id", ((F.col("status") == "ok") & F.col("response_error").isNull()).alias("ok"))
+    numbered = fan_out(answers, ["paper_id"], "rows", "row_idx", "record")
     return consolidation.assess_or_keep(records, numbered, outcome)
 
 
@@ -79,7 +116,7 @@ def run(
 
     Returns the new manifest. ``<out_dir>/<tag>/<schema>`` holds the versioned
     records (see :func:`oreleaf.sources.tables.current_records`) and
-    ``<out_dir>/<tag>_<schema>`` the CSV rows of every batch.
+    ``<out_dir>/<tag>_<schema>`` the current rows of every paper as CSV.
     """
     schemas = select_schemas(list(options.schemas))
     base = f"{out_dir}/{options.tag}"
@@ -93,19 +130,18 @@ def run(
     parsed = documents.with_document_text(documents.parse_tei(tei.join(todo, "paper_id", "left_semi")))
     docs = tables.write_version(parsed.select("paper_id", "llm_text", "parse_error"), f"{base}/docs", version)
 
-    answers = _ask(P.extraction_prompts(docs, schemas), f"{out_dir}/answers/{P.EXTRACT}", make_call, options)
+    batch = _Batch(out_dir, base, version, make_call, options)
     outcomes = docs.select(
-        "paper_id", F.lit(M.PARSE).alias("stage"), F.col("parse_error").isNull().alias("ok"),
+        "paper_id", F.lit(0).alias("step"), F.lit(M.PARSE).alias("stage"), F.col("parse_error").isNull().alias("ok"),
         F.col("parse_error").alias("error"))
     validated: dict[str, DataFrame] = {}
-    for schema in schemas:
-        mine = R.validate(answers.where(F.col("schema") == schema.name), schema)
+    for step, schema in enumerate(schemas, 1):
+        mine = R.validate(_extracted(docs, schema, batch), schema)
         mine = mine.withColumn("problem", F.when(F.col("status") == "ok", F.col("response_error"))
                                .otherwise(F.coalesce("error", "status")))
-        validated[schema.name] = tables.write_version(
-            mine.select("paper_id", "rows", "problem"), f"{base}/{schema.name}/responses", version)
+        validated[schema.name] = batch.write(mine.select("paper_id", "rows", "problem"), f"{schema.name}/responses")
         outcomes = outcomes.unionByName(validated[schema.name].select(
-            "paper_id", F.lit(M.EXTRACT).alias("stage"), F.col("problem").isNull().alias("ok"),
+            "paper_id", F.lit(step).alias("step"), F.lit(M.EXTRACT).alias("stage"), F.col("problem").isNull().alias("ok"),
             F.col("problem").alias("error")))
     status = tables.write_version(M.paper_status(outcomes), f"{base}/status", version)
     good = status.where(F.col("status") == "ok").select("paper_id")
@@ -114,13 +150,15 @@ def run(
     for schema in schemas:
         # One row per paper here: papers with a failed schema leave before any fan-out.
         rows = validated[schema.name].join(good, "paper_id", "left_semi")
-        records = _verified(rows, docs, schema, out_dir, make_call, options)
+        records = _verified(rows, docs, schema, batch)
         if options.verify or options.assess == MODEL:
             records = tables.write_version(records, f"{base}/{schema.name}/verified", version)
-        records = _assessed(records, schema, out_dir, make_call, options)
+        records = _assessed(records, schema, batch)
         stored = tables.write_version(records, f"{base}/{schema.name}/records", version)
         tables.write_version(good, f"{base}/{schema.name}/processed", version)
-        tables.export_csv(stored, schema, out_dir, options.tag)
+        tables.export_csv(tables.current_records(spark, f"{base}/{schema.name}"), schema, out_dir, options.tag)
+        if options.evidence:
+            batch.write(verification.evidence_check(rows, docs, schema), f"{schema.name}/evidence")
         ids = stored.select("paper_id", F.lit(schema.name).alias("schema"))
         counted = ids if counted is None else counted.unionByName(ids)
     counts = consolidation.paper_counts(good, counted, schemas)

@@ -109,7 +109,10 @@ def prompt_extract(spark, sf):
 
 @query
 def prompt_verify(spark, sf):
-    prompts = P.verification_prompts(R.validate(E.responses(spark, sf), ADSORPTION), _docs(spark, sf), ADSORPTION)
+    n = E.read(spark, sf, "documents").count()
+    bound = E.order_papers(spark, sf).selectExpr("paper_id AS of_order", f"cast(o_orderkey % {n} AS string) AS paper_id")
+    docs = bound.join(_docs(spark, sf), "paper_id").selectExpr("of_order AS paper_id", "llm_text")
+    prompts = P.verification_prompts(R.validate(E.responses(spark, sf), ADSORPTION), docs, ADSORPTION)
     row = r"substring_index(substring_index(prompt, '\n</row>', 1), '<row>\n', -1)"
     return prompts.selectExpr(
         "paper_id", "cast(row_idx AS bigint) AS row_idx", f"get_json_object({row}, '$.material_id') AS material_id",
@@ -123,7 +126,7 @@ def prompt_batch(spark, sf):
     batch = Q.extract("prompt", r"(?s)<rows>\n(.*)\n</rows>$", 1)
     ids = f"from_json({batch}, 'rows ARRAY<STRUCT<material_id: STRING>>').rows.material_id"
     return P.batch_prompts(records, ADSORPTION).selectExpr(
-        "paper_id", "cast(part AS bigint) AS part", "cast(n_rows AS bigint) AS n_rows",
+        "paper_id", "cast(n_rows AS bigint) AS n_rows",
         f"array_join({ids}, '|') AS material_ids")
 
 
@@ -181,10 +184,13 @@ def resp_scalar_coerce(spark, sf):
 
 @query
 def resp_fenced_json(spark, sf):
-    return E.responses(spark, sf).select(
-        "paper_id", "body", F.expr(R.unfence("body")).alias("inner")).selectExpr(
-        "paper_id", "inner <> body AS was_fenced", "startswith(inner, '{') AS starts_with_brace",
-        "not contains(inner, '`') AS is_bare")
+    hard = E.responses(spark, sf).selectExpr("paper_id", r"""CASE
+        WHEN NOT startswith(body, '{') THEN body
+        WHEN int(paper_id) % 6 = 0 THEN concat('```\nno json\n```\n```json\n', body, '\n```')
+        WHEN int(paper_id) % 6 = 1 THEN concat('{"note":"a ```x``` b",', substr(body, 2)) ELSE body END AS body""")
+    return R.parse_rows(hard).selectExpr(
+        "paper_id", "response_error", "cast(size(raw_rows) AS bigint) AS n_rows",
+        "try_variant_get(get(raw_rows, 0), '$.material_id', 'string') AS first_material")
 
 
 @query
@@ -208,12 +214,13 @@ def resp_escalation_plan(spark, sf):
 @query
 def infer_from_table(spark, sf):
     prompts = P.extraction_prompts(_docs(spark, sf), [ADSORPTION]).withColumn("request_id", F.col("paper_id"))
-    failed = "int(paper_id) % 7 = 0"
-    answers = E.responses(spark, sf).selectExpr(
-        "paper_id AS request_id", f"if({failed}, 'error', 'ok') AS status",
-        f"if({failed}, concat('no answer for ', paper_id), NULL) AS error", f"if({failed}, NULL, body) AS body")
-    return I.infer_from_table(prompts, answers).selectExpr(
-        "paper_id", "status", "error", "body IS NOT NULL AS has_body")
+    n = E.read(spark, sf, "documents").count()
+    status = "CASE WHEN o_orderkey % 7 = 0 THEN 'error' WHEN o_orderkey % 5 < 2 THEN 'rejected' ELSE 'ok' END"
+    answers = E.order_papers(spark, sf).selectExpr(
+        f"cast(o_orderkey % {n} AS string) AS request_id", f"cast(o_orderkey div {n} AS int) AS attempt", f"{status} AS status",
+        f"if({status} = 'ok', NULL, concat('no answer ', o_orderkey)) AS error",
+        "if(o_orderkey % 7 = 0, NULL, concat('answer ', o_orderkey)) AS body")
+    return I.infer_from_table(prompts, answers).select("paper_id", "status", "error", "body")
 
 
 # ---- verification ---------------------------------------------------------
@@ -364,11 +371,11 @@ def manifest_force(spark, sf):
 def _outcomes(spark, sf):
     """Every paper is parsed; those that parse are extracted once per schema."""
     base = E.order_papers(spark, sf)
-    steps = ["struct('parse' AS stage, o_orderkey % 25 <> 0 AS ok, 'malformed XML' AS message)"]
-    steps += [f"struct('extract' AS stage, (o_custkey + {i}) % 11 <> 0 AS ok, 'bad {n}' AS message)"
-              for i, n in enumerate(DEFAULT_SCHEMAS)]
+    steps = ["struct(0 AS step, 'parse' AS stage, o_orderkey % 25 <> 0 AS ok, 'malformed XML' AS message)"]
+    steps += [f"struct({i} AS step, 'extract' AS stage, o_custkey * {i} % 4 <> 0 AS ok, 'bad {n}' AS message)"
+              for i, n in enumerate(DEFAULT_SCHEMAS, 1)]
     return (base.selectExpr("paper_id", f"explode(array({', '.join(steps)})) AS s")
-            .selectExpr("paper_id", "s.stage", "s.ok", "if(s.ok, NULL, s.message) AS error"))
+            .selectExpr("paper_id", "s.step", "s.stage", "s.ok", "if(s.ok, NULL, s.message) AS error"))
 
 
 @query

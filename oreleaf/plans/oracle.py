@@ -110,9 +110,9 @@ _SHOWN = "material_id, year, title, methods, ph, exfoliation, pressure_bar, wet_
 
 ORACLE["prompt_verify"] = _X1 + "," + _X2 + """
 SELECT g.paper_id, g.row_idx, g.material_id, g.ph, md5(r.llm_text) AS text_md5
-FROM good g JOIN rendered r ON r.paper_id = g.paper_id"""
+FROM good g JOIN rendered r ON cast(r.paper_id AS BIGINT) = cast(g.paper_id AS BIGINT) % (SELECT count(*) FROM documents)"""
 ORACLE["prompt_batch"] = "WITH " + _X2 + """
-SELECT paper_id, cast(0 AS BIGINT) AS part, count(*) AS n_rows, string_agg(material_id, '|' ORDER BY row_idx) AS material_ids
+SELECT paper_id, count(*) AS n_rows, string_agg(material_id, '|' ORDER BY row_idx) AS material_ids
 FROM good GROUP BY paper_id"""
 ORACLE["json_round_trip"] = "WITH " + _X2 + f"SELECT paper_id, row_idx, {_SHOWN} FROM good"
 ORACLE["resp_scalar_coerce"] = ORACLE["json_round_trip"]
@@ -125,7 +125,9 @@ FROM good"""
 ORACLE["resp_list_coerce"] = "WITH " + _X2 + """
 SELECT paper_id, row_idx, methods, o_orderstatus || '|M' || i || '|' AS precursors, cast(3 AS BIGINT) AS n_precursors FROM good"""
 ORACLE["resp_fenced_json"] = """
-SELECT cast(o_orderkey AS VARCHAR) AS paper_id, o_orderkey % 50 = 4 AS was_fenced, true AS starts_with_brace, true AS is_bare
+SELECT cast(o_orderkey AS VARCHAR) AS paper_id, CASE WHEN o_orderkey % 50 = 0 THEN 'malformed JSON' END AS response_error,
+       CASE WHEN o_orderkey % 50 = 2 THEN 0 WHEN o_orderkey % 50 <> 0 THEN o_orderkey % 4 END::BIGINT AS n_rows,
+       CASE WHEN o_orderkey % 50 NOT IN (0, 2) AND o_orderkey % 4 > 0 THEN 'P' || o_custkey || '-0' END AS first_material
 FROM orders"""
 ORACLE["resp_validation_errors"] = """
 SELECT cast(o_orderkey AS VARCHAR) AS paper_id, 'malformed JSON' AS response_error, cast(NULL AS BIGINT) AS row_idx,
@@ -155,11 +157,14 @@ ORACLE["resp_escalation_plan"] = _X3 + """
 SELECT request_id, cast(attempt AS BIGINT) AS attempt, cast(next_max_tokens AS BIGINT) AS next_max_tokens,
        status = 'incomplete' AND next_max_tokens > max_tokens AND NOT escalated AS retry FROM planned"""
 ORACLE["infer_from_table"] = """
-SELECT cast(d.doc_id AS VARCHAR) AS paper_id,
-       CASE WHEN o.o_orderkey IS NULL THEN 'missing' WHEN o.o_orderkey % 7 = 0 THEN 'error' ELSE 'ok' END AS status,
-       CASE WHEN o.o_orderkey % 7 = 0 THEN 'no answer for ' || o.o_orderkey END AS error,
-       coalesce(o.o_orderkey % 7 <> 0, false) AS has_body
-FROM documents d LEFT JOIN orders o ON o.o_orderkey = d.doc_id"""
+WITH n AS (SELECT count(*) AS n FROM documents),
+a AS (SELECT o_orderkey % n AS doc_id, o_orderkey, o_orderkey // n AS attempt,
+        CASE WHEN o_orderkey % 7 = 0 THEN 'error' WHEN o_orderkey % 5 < 2 THEN 'rejected' ELSE 'ok' END AS status FROM orders, n),
+b AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY status = 'ok' DESC, attempt DESC) AS place FROM a)
+SELECT cast(d.doc_id AS VARCHAR) AS paper_id, coalesce(status, 'missing') AS status,
+       CASE WHEN status <> 'ok' THEN 'no answer ' || o_orderkey END AS error,
+       CASE WHEN o_orderkey % 7 <> 0 THEN 'answer ' || o_orderkey END AS body
+FROM documents d LEFT JOIN b ON b.doc_id = d.doc_id AND place = 1"""
 
 # ---- verification ---------------------------------------------------------
 
@@ -300,10 +305,10 @@ ORACLE["manifest_pending_skip_empty"] = _X6 + f"SELECT paper_id, {_CARRIED} FROM
 ORACLE["manifest_force"] = "SELECT cast(o_orderkey AS VARCHAR) AS paper_id, cast(0 AS BIGINT) AS previous_attempts, cast(0 AS BIGINT) AS n_counts FROM orders"
 
 _FAILED_AT = "CASE " + " ".join(
-    f"WHEN (o_custkey + {i}) % 11 = 0 THEN {{}}" for i in range(3)) + " END"
+    f"WHEN o_custkey * {i} % 4 = 0 THEN {{}}" for i in range(1, 4)) + " END"
 _STATUS = f"""
 SELECT *, cast(o_orderkey AS VARCHAR) AS paper_id,
-  CASE WHEN o_orderkey % 25 = 0 THEN 'parse' WHEN o_custkey % 11 IN (0, 9, 10) THEN 'extract' END AS stage,
+  CASE WHEN o_orderkey % 25 = 0 THEN 'parse' WHEN o_custkey % 2 = 0 THEN 'extract' END AS stage,
   CASE WHEN o_orderkey % 25 = 0 THEN 'malformed XML'
        ELSE {_FAILED_AT.format(*[f"'bad {n}'" for n in DEFAULT_SCHEMAS])} END AS error FROM orders"""
 ORACLE["paper_status"] = f"""

@@ -23,28 +23,17 @@ def read_papers(spark: SparkSession, directory: str) -> DataFrame:
     return files.select(file_name(F.col("path")).alias("paper_id"), *files.columns)
 
 
+def decoded_name(path: Column) -> Column:
+    """The file name of a URL-encoded path; a plus sign stays one."""
+    return F.url_decode(F.replace(file_name(path), F.lit("+"), F.lit("%2B")))
+
+
 def read_tei_files(spark: SparkSession, path: str) -> DataFrame:
-    """One TEI document per file; ``paper_id`` is the file name."""
-    return (spark.read.text(path, wholetext=True)
-            .select(file_name(F.col("_metadata.file_path")).alias("paper_id"), F.col("value").alias("tei_xml")))
+    """One TEI document per ``*.xml`` file; ``paper_id`` is the file name."""
+    return (spark.read.option("pathGlobFilter", "*.xml").text(path, wholetext=True)
+            .select(decoded_name(F.col("_metadata.file_path")).alias("paper_id"), F.col("value").alias("tei_xml")))
 
 
 def read_tei_table(spark: SparkSession, path: str) -> DataFrame:
     """A parquet table with ``paper_id`` and ``tei_xml``."""
     return spark.read.parquet(path).select("paper_id", "tei_xml")
-
-
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Give a CPU-heavy step all cores when the scan is too small to do so.
-
-    A scan below one full split per core may sit in a handful of row groups. Such
-    an input is shuffled once by ``key``; a larger one already has enough splits
-    and is left alone, so the data moved is bounded by cores x split size.
-    """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    if int(str(size)) >= cores * split:
-        return df
-    return df.repartition(cores, key)

@@ -39,10 +39,12 @@ def _csv_column(field: T.StructField) -> Column:
     return F.col(field.name)
 
 
-def append_rows(rows: DataFrame, path: str, fieldnames: list[str]) -> None:
-    """Append rows to a CSV directory with one header per file; nulls are empty."""
+def write_rows(rows: DataFrame, path: str, fieldnames: list[str], mode: str = "append") -> None:
+    """Write rows to a CSV directory with one header per file; nulls are empty. No rows: nothing is written."""
+    if not rows.head(1):
+        return
     fields = {f.name: f for f in rows.schema.fields}
-    (rows.select(*[_csv_column(fields[n]) for n in fieldnames]).write.mode("append")
+    (rows.select(*[_csv_column(fields[n]) for n in fieldnames]).write.mode(mode)
      .option("header", True).option("quote", '"').option("escape", '"')
      .option("nullValue", "").option("emptyValue", "")
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
@@ -55,8 +57,12 @@ def read_rows(spark: SparkSession, path: str, schema: T.StructType | str) -> Dat
 
 
 def export_csv(records: DataFrame, schema: ExtractionSchema, out_dir: str, tag: str) -> None:
-    """Append the flat rows of one schema to ``<out_dir>/<tag>_<schema>``."""
-    append_rows(flatten(records, schema), f"{out_dir}/{tag}_{schema.name}", schema.fieldnames)
+    """The flat rows of one schema's current records in ``<out_dir>/<tag>_<schema>``, in place of the earlier ones.
+
+    Rows are replaced per paper because ``records`` are every paper's newest ones:
+    a repeated or forced batch leaves each paper once.
+    """
+    write_rows(flatten(records, schema), f"{out_dir}/{tag}_{schema.name}", schema.fieldnames, "overwrite")
 
 
 def write_version(df: DataFrame, path: str, version: int) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from oreleaf.sources.papers import BINARY_FILE, file_name
+from oreleaf.sources.papers import BINARY_FILE, decoded_name, file_name
 
 
 def paper_stream(spark: SparkSession, directory: str, files_per_batch: int | None = None) -> DataFrame:
@@ -28,11 +28,11 @@ def paper_stream(spark: SparkSession, directory: str, files_per_batch: int | Non
 
 def tei_stream(spark: SparkSession, directory: str, files_per_batch: int | None = None) -> DataFrame:
     """New TEI files of a directory as a stream of (paper_id, tei_xml)."""
-    reader = spark.readStream.option("wholetext", True)
+    reader = spark.readStream.option("wholetext", True).option("pathGlobFilter", "*.xml")
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.text(directory).select(
-        file_name(F.col("_metadata.file_path")).alias("paper_id"), F.col("value").alias("tei_xml"))
+        decoded_name(F.col("_metadata.file_path")).alias("paper_id"), F.col("value").alias("tei_xml"))
 
 
 def ingest(stream: DataFrame, process: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:

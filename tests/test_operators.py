@@ -41,8 +41,14 @@ def test_verification_and_batch_prompts(spark):
     assert len(whole) == 1 and whole[0]["n_rows"] == 3
     ids = [whole[0]["prompt"].index(f'"material_id":"{m}"') for m in "abc"]
     assert ids == sorted(ids)
-    parts = P.batch_prompts(rec, ADSORPTION, rows_per_batch=2).orderBy("part").collect()
-    assert [r["n_rows"] for r in parts] == [2, 1]
+
+
+def test_batch_prompt_holds_all_records_of_a_paper(spark):
+    rec = records(spark, [("p", 3 * i, f'{{"material_id":"m{i}"}}') for i in range(450)], ADSORPTION)
+    got = P.batch_prompts(rec, ADSORPTION).collect()
+    assert len(got) == 1 and got[0]["n_rows"] == 450
+    order = [got[0]["prompt"].index(f'"material_id":"m{i}"') for i in range(450)]
+    assert order == sorted(order)
 
 
 # ---- attempts -------------------------------------------------------------
@@ -192,9 +198,9 @@ def test_update(spark, manifest):
     schemas = select_schemas(["catalyst"])
     todo = M.pending(papers, manifest, schemas)
     outcomes = spark.createDataFrame(
-        [("error", "parse", True, None), ("error", "extract", True, None), ("other", "parse", True, None),
-         ("other", "extract", True, None), ("other", "extract", False, "bad"), ("new", "parse", False, "malformed"),
-         ("new", "extract", False, "missing")], "paper_id string, stage string, ok boolean, error string")
+        [("error", 0, "parse", True, None), ("error", 1, "extract", True, None), ("other", 0, "parse", True, None),
+         ("other", 1, "extract", True, None), ("other", 1, "extract", False, "bad"), ("new", 0, "parse", False, "malformed"),
+         ("new", 1, "extract", False, "missing")], "paper_id string, step int, stage string, ok boolean, error string")
     counts = spark.createDataFrame([("error", {"n_catalyst_materials": 7})], "paper_id string, counts map<string,bigint>")
     changed = M.updates(todo, M.paper_status(outcomes), counts, schemas)
     after = {r["paper_id"]: tuple(r)[1:] for r in M.upsert(manifest, changed).collect()}
@@ -272,3 +278,47 @@ def test_use_cases(spark):
                                "paper_id string, material_id string, text string")
     got = {r["material_id"]: r["use_cases"] for r in rules.use_cases(df, {"CO2": "adsorbent CO2", "paint": "paint stabilizer", "pigment": "paint stabilizer"}).collect()}
     assert got == {"m": ["adsorbent CO2", "paint stabilizer"], "n": [], "o": []}
+
+
+# ---- numbers, identities, order of failures --------------------------------
+
+@pytest.mark.parametrize("text,values", [
+    ("1.2e-3 bar", [1.2e-3]), ("1,000 kPa", [1000.0]), ("10-20 bar", []), ("10 – 20 bar", []), ("5 × 10-3 mmol/g", [5e-3]),
+    ("5 x 10^4 Pa", [5e4]), ("-20 °C", [-20.0]), ("2.0 ± 0.1 mmol/g", [2.0]), ("12,5 bar", []), ("a1 bar, 2 bar and 3 barns", [2.0]), ("1.5.2 bar", []),
+])
+def test_numbers_in_text(spark, text, values):
+    sections = spark.createDataFrame([("p", 0, text)], "paper_id string, section_idx int, text string")
+    assert [r["value"] for r in rules.text_measurements(sections).collect()] == pytest.approx(values)
+
+
+def test_table_numbers_and_repeated_columns(spark):
+    rows = [["Sample", "Pressure (kPa)", "CO2 uptake (mmol/g)", "CO2 uptake (mg/g)", "pH"],
+            ["A", "1,000", "1.2e-3", "44.01 ± 2", "7 (measured)"], ["B", "10-20", "", "x", "8"]]
+    papers = spark.createDataFrame([("p", "T", "d", 2000, [([*rows],)])],
+                                   "paper_id string, title string, doi string, year int, tables array<struct<rows: array<array<string>>>>")
+    got = [(r["row_idx"], r["set_idx"], r["record"]["material_id"], r["record"]["measurement"]["pressure_bar"],
+            r["record"]["measurement"]["co2_adsorption_capacity_mmol_g"], r["record"]["synthesis_method"]["ph"])
+           for r in rules.table_records(papers).orderBy("row_idx", "set_idx").collect()]
+    assert got == [(0, 0, "A", pytest.approx(10), pytest.approx(1.2e-3), 7.0), (0, 1, "A", pytest.approx(10), pytest.approx(1.0), 7.0),
+                   (1, 0, "B", None, None, 8.0), (1, 1, "B", None, None, 8.0)]
+
+
+def test_records_without_identity_stay_apart(spark):
+    rec = records(spark, [("p", 0, '{"use_cases":["drug delivery"]}'), ("p", 1, '{"use_cases":["adsorbent CO2"]}'),
+                          ("p", 2, '{"material_id":"a"}'), ("p", 3, '{"material_id":" A"}')], USECASE)
+    got = C.consolidate(rec, USECASE).orderBy("row_idx").collect()
+    assert [(r["row_idx"], r["n_variants"]) for r in got] == [(0, 1), (1, 1), (2, 2)]
+
+
+def test_first_failed_schema_is_recorded(spark):
+    rows = [("p", 1, "extract", False, "z first"), ("p", 2, "extract", False, "a second"), ("p", 0, "parse", True, None), ("q", 1, "extract", True, None)]
+    got = {r["paper_id"]: r["error"] for r in M.paper_status(spark.createDataFrame(rows, "paper_id string, step int, stage string, ok boolean, error string")).collect()}
+    assert got == {"p": "z first", "q": None}
+
+
+@pytest.mark.parametrize("body,n", [
+    ('{"rows":[{"material_id":"a ```x``` b"}]}', 1), ("```\nno\n```\n```json\n{\"rows\":[]}\n```", 0), ("```json\n{}\n```", 0), ("```\nno\n```", None), ("text", None),
+])
+def test_fences(spark, body, n):
+    got = R.parse_rows(spark.createDataFrame([("p", body)], "paper_id string, body string")).selectExpr("response_error", "size(raw_rows) n").first()
+    assert got["n"] == (n if n is not None else got["n"]) and (got["response_error"] is None) == (n is not None)

@@ -79,18 +79,20 @@ def find(docs: DataFrame, items: DataFrame, span: int = SPAN, gram: int = GRAM,
     `spans` are the merged hits (first and last word, from 0), `items` the sorted ids as strings.
     """
     windows = staged(_windows(_words(items.select(F.col(item_col).cast("string").alias("_item"), F.col(item_text_col).alias("_item_text")), "_item_text", "_item"), span), "item-windows")
-    distinct = windows.select("_window", "_length").distinct()
-    lengths = sorted(row["_length"] for row in distinct.select("_length").distinct().collect())  # `span` values at most
+    spark = docs.sparkSession
+    gram_of = {length: gram if length == span else length for length in range(1, span + 1)}
+    lengths = sorted(row["_length"] for row in windows.select("_length").distinct().collect())  # `span` values at most
+    named = [
+        _fingerprints(windows.where(F.col("_length") == n).select(F.split("_window", " ").alias("_words"), F.lit(0).alias("_t1"), F.lit(0).alias("_t2")), n, gram_of[n])
+        .select(F.array_join("_words", " ").alias("_window"), F.lit(n).alias("_length"), F.get("_least", F.lit(0)).alias("_item_fp")) for n in lengths
+    ]
+    distinct = staged(reduce(DataFrame.union, named, spark.createDataFrame([], "_window string, _length int, _item_fp long")).distinct(), "distinct-windows")
 
     words = _words(docs, text_col)
-    spark = docs.sparkSession
-    met, item_fps = [], {}
-    for length in lengths:
-        own = distinct.where(F.col("_length") == length).select(F.split("_window", " ").alias("_words"), F.lit(0).alias("_t1"), F.lit(0).alias("_t2"))
-        gram_of = gram if length == span else length
-        item_fps[length] = _fingerprints(own, length, gram_of).select(F.explode("_least").alias("_item_fp")).distinct()
-        mine = _fingerprints(words, length, gram_of).select(*KEY, F.explode(F.array_distinct("_least")).alias("fp"))
-        met.append(mine.join(item_fps[length], F.col("fp") == F.col("_item_fp")).select(*KEY))
+    met = []
+    for n in lengths:
+        mine = _fingerprints(words, n, gram_of[n]).select(*KEY, F.explode(F.array_distinct("_least")).alias("fp"))
+        met.append(mine.join(distinct.where(F.col("_length") == n), F.col("fp") == F.col("_item_fp"), "left_semi").select(*KEY))
     met_texts = staged(reduce(DataFrame.union, met, spark.createDataFrame([], "_t1 long, _t2 long")).distinct(), "met-texts")
     met_texts = met_texts.select(F.col("_t1").alias("_m1"), F.col("_t2").alias("_m2"))
     text = text_or_empty(text_col)
@@ -99,9 +101,10 @@ def find(docs: DataFrame, items: DataFrame, span: int = SPAN, gram: int = GRAM,
     suspects = staged(suspects.select(*KEY, alnum_words(F.col("_text")).alias("_words")), "suspects")
 
     seeds = []
-    for length in lengths:
-        runs = _runs(_fingerprints(suspects, length, gram if length == span else length))
-        seeds.append(runs.join(item_fps[length], F.col("fp") == F.col("_item_fp")).select(*KEY, F.lit(length).alias("_length"), "first", "last"))
+    for n in lengths:
+        runs = _runs(_fingerprints(suspects, n, gram_of[n]))
+        runs = runs.join(distinct.where(F.col("_length") == n), F.col("fp") == F.col("_item_fp"), "left_semi")
+        seeds.append(runs.select(*KEY, F.lit(n).alias("_length"), "first", "last"))
     seeded = (
         reduce(DataFrame.union, seeds, spark.createDataFrame([], "_t1 long, _t2 long, _length int, first int, last int"))
         .groupBy(F.col("_t1").alias("_m1"), F.col("_t2").alias("_m2")).agg(F.collect_set(F.struct("_length", "first", "last")).alias("_runs"))
@@ -111,14 +114,13 @@ def find(docs: DataFrame, items: DataFrame, span: int = SPAN, gram: int = GRAM,
         suspects.join(seeded, (F.col("_t1") == F.col("_m1")) & (F.col("_t2") == F.col("_m2")))
         .select(*KEY, F.expr("""inline(flatten(transform(_runs, r -> transform(sequence(r.first, r.last), s ->
             struct(s as _start, s + r._length as _end, array_join(slice(_words, s + 1, r._length), ' ') as _hit)))))"""))
-        .join(distinct, F.col("_hit") == F.col("_window"))
-        .select(*KEY, "_start", "_end", "_window").distinct()
+        .join(distinct, F.col("_hit") == F.col("_window"), "left_semi")
     )
     hits = staged(hits, "hits")
     order = Window.partitionBy(*KEY).orderBy("_start", "_end")
     reached = F.max("_end").over(order.rowsBetween(Window.unboundedPreceding, -1))
     spans = (
-        hits.select(*KEY, "_start", "_end").distinct()
+        hits.select(*KEY, "_start", "_end")
         .withColumn("_new", (F.col("_start") > F.coalesce(reached, F.lit(-1))).cast("int"))
         .withColumn("_island", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
         .groupBy(*KEY, "_island").agg(F.min("_start").alias("_from"), F.max("_end").alias("_to"))
@@ -128,11 +130,11 @@ def find(docs: DataFrame, items: DataFrame, span: int = SPAN, gram: int = GRAM,
         )
     )
     found = (
-        hits.select(*KEY, F.col("_window").alias("_hit")).distinct()
+        hits.select(*KEY, "_hit")
         .join(windows, F.col("_hit") == F.col("_window"))
         .groupBy(*KEY).agg(F.sort_array(F.collect_set("_item")).alias("items"))
     )
-    return spans.join(found, KEY).select(*KEY, "n_hit", "items", "spans")
+    return staged(spans.join(found, KEY).select(*KEY, "n_hit", "items", "spans"), "contaminated")
 
 
 def decontaminated(docs: DataFrame, items: DataFrame, span: int = SPAN, gram: int = GRAM, text_col: str = "text") -> DataFrame:
@@ -152,7 +154,7 @@ def decontaminated(docs: DataFrame, items: DataFrame, span: int = SPAN, gram: in
 
 def clean(docs: DataFrame, items: DataFrame, span: int = SPAN, gram: int = GRAM, text_col: str = "text") -> DataFrame:
     """The rows of `docs` that share no window with an item, unchanged."""
-    found = staged(find(docs, items, span, gram, text_col).select(*KEY), "contaminated")
+    found = find(docs, items, span, gram, text_col).select(*KEY)
     text = text_or_empty(text_col)
     same = (F.xxhash64(text) == found["_t1"]) & (F.xxhash64(F.lit(1), text) == found["_t2"])
     return docs.join(found, same, "left_anti")

@@ -439,10 +439,11 @@ def unit_normalize(spark, sf):
 
 @query
 def extract_text_measurements(spark, sf):
-    sections = E.read_spread(spark, sf, "events", "event_id").selectExpr(
-        "cast(event_id AS string) AS paper_id", "0 AS section_idx",
-        "concat('Event ', event_id, ' took up ', value, ' mg/g at ', get_json_object(props, '$.k'), ' kPa and ', "
-        "user_id, ' K. It cost 5 barns and 3 mgs.') AS text")
+    # The whole text of each document, with a sentence of measurements behind it.
+    sections = E.read_spread(spark, sf, "documents", "doc_id").selectExpr(
+        "cast(doc_id AS string) AS paper_id", "0 AS section_idx",
+        "concat(coalesce(text, ''), '\nSample ', doc_id, ' took up ', doc_id % 997, '.25 mg/g at 1,', 100 + doc_id % 900, ' kPa and ', "
+        "doc_id % 400, 'e-1 K, in 10-20 bar. It cost 5 barns and 3 mgs.') AS text")
     return rules.normalize_units(rules.text_measurements(sections)).selectExpr(
         "paper_id", "field", "cast(match_idx AS bigint) AS match_idx", "value", "unit",
         "round(normal_value, 6) AS normal_value")

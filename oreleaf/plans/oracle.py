@@ -355,10 +355,11 @@ SELECT l_orderkey, cast(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, l_su
        WHEN dim = 1 AND un = 1 THEN v * 0.01::DOUBLE WHEN dim = 1 AND un = 4 THEN v * 10
        WHEN dim = 2 AND un = 2 THEN v / 44.01::DOUBLE END, 6) AS normal_value FROM u"""
 ORACLE["extract_text_measurements"] = """
-WITH e AS (SELECT *, cast(event_id AS VARCHAR) AS paper_id, cast(json_extract(props, '$.k') AS DOUBLE) AS k FROM events)
-SELECT paper_id, 'capacity' AS field, cast(0 AS BIGINT) AS match_idx, value, 'mg/g' AS unit, round(value / 44.01::DOUBLE, 6) AS normal_value FROM e
-UNION ALL SELECT paper_id, 'pressure', 0, k, 'kPa', round(k * 0.01::DOUBLE, 6) FROM e
-UNION ALL SELECT paper_id, 'temperature', 0, cast(user_id AS DOUBLE), 'K', round(user_id - 273.15::DOUBLE, 6) FROM e"""
+WITH d AS (SELECT cast(doc_id AS VARCHAR) AS paper_id, doc_id % 997 + 0.25::DOUBLE AS c, cast(1100 + doc_id % 900 AS DOUBLE) AS k,
+             cast(doc_id % 400 || 'e-1' AS DOUBLE) AS t FROM documents)
+SELECT paper_id, 'capacity' AS field, cast(0 AS BIGINT) AS match_idx, c AS value, 'mg/g' AS unit, round(c / 44.01::DOUBLE, 6) AS normal_value FROM d
+UNION ALL SELECT paper_id, 'pressure', 0, k, 'kPa', round(k * 0.01::DOUBLE, 6) FROM d
+UNION ALL SELECT paper_id, 'temperature', 0, t, 'K', round(t - 273.15::DOUBLE, 6) FROM d"""
 ORACLE["extract_use_cases"] = """
 SELECT cast(user_id % 50 AS VARCHAR) AS paper_id, 'U' || user_id AS material_id,
   concat_ws('; ', CASE WHEN bool_or(event_type IN ('view', 'click')) THEN 'adsorbent traffic' END,

@@ -136,7 +136,8 @@ def parse_tei(tei: DataFrame) -> DataFrame:
 
 def quarantine(papers: DataFrame) -> DataFrame:
     """Documents that could not be parsed, with the reason."""
-    return papers.where(F.col("parse_error").isNotNull()).select("paper_id", "parse_error")
+    reason = F.when(F.col("parse_error").isNotNull(), F.array("parse_error"))
+    return fan_out(papers, ["paper_id"], reason, "i", "parse_error").drop("i")
 
 
 def section_rows(papers: DataFrame) -> DataFrame:

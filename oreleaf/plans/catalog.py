@@ -18,7 +18,7 @@ from oreleaf.functions.text import join_list as _join
 from oreleaf.operators import attempts as A, consolidation as C, documents as D, flattening, inference as I
 from oreleaf.operators import manifest as M, prompts as P, responses as R, rules, verification as V
 from oreleaf.plans import encodings as E
-from oreleaf.schemas import ADSORPTION, CATALYST, DEFAULT_SCHEMAS, USECASE, select_schemas
+from oreleaf.schemas import ADSORPTION, CATALYST, SCHEMA_NAMES, USECASE, select_schemas
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -308,7 +308,7 @@ def paper_counts(spark, sf):
     schemas = select_schemas()
     records = E.read(spark, sf, "lineitem").selectExpr(
         "cast(l_orderkey AS string) AS paper_id",
-        f"element_at(array({', '.join(repr(n) for n in DEFAULT_SCHEMAS)}), l_linenumber % 3 + 1) AS schema")
+        f"element_at(array({', '.join(repr(n) for n in SCHEMA_NAMES)}), l_linenumber % 3 + 1) AS schema")
     return C.paper_counts(E.order_papers(spark, sf), records, schemas).selectExpr(
         "paper_id", *[f"counts['{s.count_key}'] AS {s.count_key}" for s in schemas])
 
@@ -373,7 +373,7 @@ def _outcomes(spark, sf):
     base = E.order_papers(spark, sf)
     steps = ["struct(0 AS step, 'parse' AS stage, o_orderkey % 25 <> 0 AS ok, 'malformed XML' AS message)"]
     steps += [f"struct({i} AS step, 'extract' AS stage, o_custkey * {i} % 4 <> 0 AS ok, 'bad {n}' AS message)"
-              for i, n in enumerate(DEFAULT_SCHEMAS, 1)]
+              for i, n in enumerate(SCHEMA_NAMES, 1)]
     return (base.selectExpr("paper_id", f"explode(array({', '.join(steps)})) AS s")
             .selectExpr("paper_id", "s.step", "s.stage", "s.ok", "if(s.ok, NULL, s.message) AS error"))
 
@@ -407,7 +407,7 @@ def schema_selection(spark, sf):
     chosen = select_schemas(["usecase", "catalyst", "usecase"])
     records = E.read(spark, sf, "lineitem").selectExpr(
         "cast(l_orderkey AS string) AS paper_id",
-        f"element_at(array({', '.join(repr(n) for n in DEFAULT_SCHEMAS)}), l_linenumber % 3 + 1) AS schema")
+        f"element_at(array({', '.join(repr(n) for n in SCHEMA_NAMES)}), l_linenumber % 3 + 1) AS schema")
     return records.where(F.col("schema").isin([s.name for s in chosen])).groupBy("schema").agg(
         F.count(F.lit(1)).alias("n_records"))
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from oreleaf.plans.catalog import MAX_CHARS
-from oreleaf.schemas import ADSORPTION, CATALYST, DEFAULT_SCHEMAS, SCHEMAS, USECASE
+from oreleaf.schemas import ADSORPTION, CATALYST, SCHEMA_NAMES, SCHEMAS, USECASE
 
 ORACLE: dict[str, str] = {}
 
@@ -238,7 +238,7 @@ SELECT cast(l_orderkey AS VARCHAR) AS paper_id, l_partkey * 100000 + l_suppkey A
 FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderkey % 3 = 0)
 UNION ALL SELECT cast(o_orderkey AS VARCHAR), 0, 'assessed ' || o_orderkey FROM orders WHERE o_orderkey % 3 = 0"""
 ORACLE["paper_counts"] = "SELECT cast(o_orderkey AS VARCHAR) AS paper_id, " + ", ".join(
-    f"count(l_orderkey) FILTER (l_linenumber % 3 = {i}) AS n_{n}_materials" for i, n in enumerate(DEFAULT_SCHEMAS)
+    f"count(l_orderkey) FILTER (l_linenumber % 3 = {i}) AS n_{n}_materials" for i, n in enumerate(SCHEMA_NAMES)
 ) + " FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey"
 
 # ---- flattening -----------------------------------------------------------
@@ -310,7 +310,7 @@ _STATUS = f"""
 SELECT *, cast(o_orderkey AS VARCHAR) AS paper_id,
   CASE WHEN o_orderkey % 25 = 0 THEN 'parse' WHEN o_custkey % 2 = 0 THEN 'extract' END AS stage,
   CASE WHEN o_orderkey % 25 = 0 THEN 'malformed XML'
-       ELSE {_FAILED_AT.format(*[f"'bad {n}'" for n in DEFAULT_SCHEMAS])} END AS error FROM orders"""
+       ELSE {_FAILED_AT.format(*[f"'bad {n}'" for n in SCHEMA_NAMES])} END AS error FROM orders"""
 ORACLE["paper_status"] = f"""
 SELECT paper_id, CASE WHEN stage IS NULL THEN 'ok' ELSE 'error' END AS status, stage, error FROM ({_STATUS})"""
 ORACLE["manifest_update"] = _X6 + f""",
@@ -332,7 +332,7 @@ SELECT count(*) AS found, count(*) FILTER (NOT again) AS complete, count(*) FILT
        cast(coalesce(sum(ads) FILTER (known), 0) AS BIGINT) AS n_adsorption_materials,
        cast(coalesce(sum(usec) FILTER (known), 0) AS BIGINT) AS n_usecase_materials FROM todo"""
 ORACLE["schema_selection"] = f"""
-SELECT [{', '.join(_sql(n) for n in DEFAULT_SCHEMAS)}][l_linenumber % 3 + 1] AS schema, count(*) AS n_records
+SELECT [{', '.join(_sql(n) for n in SCHEMA_NAMES)}][l_linenumber % 3 + 1] AS schema, count(*) AS n_records
 FROM lineitem WHERE l_linenumber % 3 IN (0, 2) GROUP BY 1"""
 
 # ---- rules ----------------------------------------------------------------

@@ -179,7 +179,7 @@ USECASE = ExtractionSchema(
 )
 
 SCHEMAS: dict[str, ExtractionSchema] = {s.name: s for s in (CATALYST, ADSORPTION, USECASE)}
-DEFAULT_SCHEMAS = list(SCHEMAS)
+SCHEMA_NAMES = [*SCHEMAS]
 
 
 def select_schemas(names: list[str] | None = None) -> list[ExtractionSchema]:
@@ -187,4 +187,4 @@ def select_schemas(names: list[str] | None = None) -> list[ExtractionSchema]:
     unknown = [n for n in names or [] if n not in SCHEMAS]
     if unknown:
         raise ValueError(f"unknown schema {unknown[0]!r}; expected one of {', '.join(SCHEMAS)}")
-    return [SCHEMAS[n] for n in dict.fromkeys(names or DEFAULT_SCHEMAS)]
+    return [SCHEMAS[n] for n in dict.fromkeys(names or SCHEMA_NAMES)]

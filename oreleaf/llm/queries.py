@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
@@ -13,10 +14,15 @@ from oreleaf.llm.oracle import ORACLE
 
 __all__ = ["ORACLE", "QUERIES"]
 
+PACKAGE_ROOT = str(Path(__file__).resolve().parents[2])
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    # Python workers find the package where the driver found it, unless it is installed or sent along.
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(":")
+    if PACKAGE_ROOT not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = ":".join([PACKAGE_ROOT, *filter(None, paths)])
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -26,7 +26,7 @@ from oreleaf.llm.common import SPACES, SPACE_WORD, UPPER, staged, text_or_empty
 SYMBOLS = "#*$%&|<>"  # fixed values: the characters that count as symbols
 WINDOW = 5
 MIN_WORDS = 10
-ALPHA = 0.05
+ALPHA = 0.02
 DELTA = 0.05
 GRID = 40
 TERMS = 512  # of a binomial tail; what is left is bounded from above, so a test never gets easier

@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import ahocorasick
 import numpy as np
@@ -114,13 +115,21 @@ class Pieces(dict):
         return packed
 
 
-_loaded: dict[bytes, Pieces] = {}
+_loaded: dict[bytes, Vocabulary] = {}
 
 
-def _pieces(ranks: bytes) -> Pieces:
+@contextmanager
+def _pieces(ranks: bytes) -> Iterator[Pieces]:
+    """A task's memo. The vocabulary stays with the process for its next task, the memos go: idle processes keep little."""
     if ranks not in _loaded:
-        _loaded[ranks] = Pieces(Vocabulary(ranks))
-    return _loaded[ranks]
+        _loaded.clear()
+        _loaded[ranks] = Vocabulary(ranks)
+    pieces = Pieces(_loaded[ranks])
+    try:
+        yield pieces
+    finally:
+        pieces.clear()
+        pieces.vocabulary.pairs.clear()
 
 
 def _rank_file(spark: SparkSession, path: str):
@@ -134,13 +143,14 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
     ranks = _rank_file(docs.sparkSession, ranks_path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packed = _pieces(ranks.value).__getitem__
         split = regex.compile(pattern).findall
-        for whole in batches:
-            for batch in slices(whole, "_text"):
-                ids = [b"".join(map(packed, split(text))) for text in batch.column("_text").to_pylist()]
-                counts = pa.array([len(x) // 4 for x in ids], pa.int64())
-                yield pa.RecordBatch.from_arrays([batch.column(0), counts, pa.array(ids, pa.binary())], [id_col, "n_tokens", "token_ids"])
+        with _pieces(ranks.value) as pieces:
+            packed = pieces.__getitem__
+            for whole in batches:
+                for batch in slices(whole, "_text"):
+                    ids = [b"".join(map(packed, split(text))) for text in batch.column("_text").to_pylist()]
+                    counts = pa.array([len(x) // 4 for x in ids], pa.int64())
+                    yield pa.RecordBatch.from_arrays([batch.column(0), counts, pa.array(ids, pa.binary())], [id_col, "n_tokens", "token_ids"])
 
     given = docs.select(F.col(id_col), text_or_empty(text_col).alias("_text"))
     kind = given.schema[id_col].dataType.simpleString()

@@ -91,8 +91,7 @@ def op8_temporal_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tokens = bpe.encode(table(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN)
-    return bpe.decode(tokens, RANKS).select(
+    return bpe.encode(table(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN, decoded=True).select(
         "doc_id", "n_tokens", F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
     )
 

@@ -331,6 +331,8 @@ def test_byte_bpe(docs, none, reference_bpe):
     want = [(r[0], np.array(reference_bpe.encode_ordinary(r[1] or ""), "<u4").tobytes(), (r[1] or "").encode()) for r in documents()]
     assert plain((r.doc_id, bytes(r.token_ids), bytes(r.decoded)) for r in rows) == plain(want)
     assert all(4 * r.n_tokens == len(r.token_ids) for r in rows)
+    at_once = bpe.encode(docs, RANKS, public_tokenizers.PATTERN, decoded=True).collect()
+    assert plain((r.doc_id, bytes(r.token_ids), bytes(r.decoded)) for r in at_once) == plain(want)
     assert bpe.encode(none, RANKS, public_tokenizers.PATTERN).count() == 0
 
 

@@ -11,7 +11,8 @@ import tiktoken
 import xxhash
 from pyspark.sql import functions as F
 
-from oreleaf.llm import bpe, conversations, decontamination, licenses, quality, sharding, simhash, suffixes, thresholds, url_filters
+import corpus_pipeline
+from oreleaf.llm import bpe, conversations, decontamination, licenses, minhash, quality, sharding, simhash, suffixes, thresholds, url_filters
 from oreleaf.llm.components import stars
 from oreleaf.llm.queries import RANKS
 
@@ -215,6 +216,39 @@ def test_vantage_point_trees_find_all_links(depth):
     assert (got == want).all()
 
 
+def changed(words, share, seed):
+    r = random.Random(seed)
+    for at in r.sample(range(len(words)), max(1, round(len(words) * share))):
+        words = words[:at] + [f"n{r.randrange(10**6)}"] + words[at + 1 :]
+    return " ".join(words)
+
+
+def brute_components(texts):
+    sets = []
+    for t in texts:
+        words = (t or "").encode().lower().split()
+        sets.append({tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))})
+    i, j = np.nonzero([[5 * len(a & b) >= 4 * len(a | b) for b in sets] for a in sets])
+    return simhash.labelled(len(texts), i, j).tolist()
+
+
+def test_near_copies_of_similar_shingles(spark, docs, none):
+    """Copies with up to 2 % of their words changed, in pairs and in one large group of which 40 are far from one another."""
+    texts = [words_of(50 + k, 300, 10**6) for k in range(12)]
+    texts += [changed(texts[k].split(), 0.02, k) for k in range(10)]
+    texts += [changed(texts[10].split(), 0.018, 100 + k) for k in range(40)] + [changed(texts[11].split(), 0.2, 7), texts[0].upper(), "", None, " "]
+    want = brute_components(texts)
+    assert sum(a != k for k, a in enumerate(want)) >= 50
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(df).collect()}
+    assert [got[k] for k in range(len(texts))] == want
+    kept = corpus_pipeline.keep_representatives(spark, df, "")
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(want))
+    rows = documents()
+    assert minhash.representatives(docs).count() == len(set(brute_components([r[1] for r in rows])))
+    assert minhash.near_duplicates(none).count() == 0
+
+
 def test_components_of_chains_and_stars(spark):
     chain = [(k, k + 1) for k in range(1, 40)] + [(100, k) for k in range(101, 160)] + [(7, 7)]
     got = {r.node: r.root for r in stars(spark.createDataFrame(chain, "u long, v long")).collect()}

@@ -2,11 +2,11 @@
 
 The name of the 2h bytes at a position is made from the pair of names h bytes apart, starting from
 8 bytes and doubling to 256 within the text; any longer string, up to 512 bytes, is the pair of the names of its first and
-last 256 bytes. Spark sorts such pairs together with their positions, at three growing lengths, and only positions
+last 256 bytes. These are the widths at the threshold of 400 bytes; `Widths` derives those of other thresholds. Spark sorts such pairs together with their positions, at three growing lengths, and only positions
 whose pair is shared go on to the next:
 
-1. Anchors sampled by content (the smallest 8-gram of any 128 neighbours), one for about 64
-   bytes; the pair covers what all suffixes that begin before an anchor have in common.
+1. Anchors sampled by content (at 400 bytes the smallest 8-gram of any 128 neighbours, one for about 64
+   bytes); the pair covers what all suffixes that begin before an anchor have in common.
 2. In texts that are left, anchors of any 32 neighbours and a longer common part. Anchors whose whole
    stretch of suffixes, every byte of it, recurs are settled here.
 3. Every single position of the other stretches (the ends of repeats), at the full threshold, together with
@@ -14,7 +14,7 @@ whose pair is shared go on to the next:
 
 Sampling loses nothing. Whether a position is an anchor depends on the bytes around it that
 belong to every string of `threshold` bytes it stands for, so equal strings have equal
-anchors at equal places. Only equality of all 400 bytes, as a pair of 64-bit names, removes a byte.
+anchors at equal places. Only equality of all `threshold` bytes, as a pair of 64-bit names, removes a byte.
 
 All results belong to a text, not to a row. A text that several rows share is repeated as a whole, and for
 all others it counts as one occurrence, so large groups of copies cost one aggregation.
@@ -26,6 +26,7 @@ rows keep their rows, and a repeated row is a copy; an empty table gives an empt
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -35,11 +36,36 @@ from pyspark.sql import functions as F
 from oreleaf.llm.common import slices, staged, text_or_empty
 
 THRESHOLD = 400
-COARSE, FINE = 128, 32  # neighbours of which the smallest is an anchor; 3 * COARSE + 6 <= THRESHOLD
-NAMED = 256
 BLOCK = 1 << 20  # start positions of a long text that are worked on at a time
 KEY = ["_t1", "_t2"]
 
+
+@dataclass(frozen=True)
+class Widths:
+    """What follows from a threshold in bytes. coarse, fine: neighbours of which the smallest is an anchor; named: bytes of a name."""
+
+    threshold: int = THRESHOLD
+
+    def __post_init__(self) -> None:
+        if self.threshold < 100:
+            raise ValueError("the threshold is 100 bytes at least")
+
+    @property
+    def coarse(self) -> int:
+        return min(128, (self.threshold - 6) // 3)
+
+    @property
+    def fine(self) -> int:
+        return min(32, self.coarse // 4)
+
+    @property
+    def named(self) -> int:
+        """Two names cover a stretch (threshold + fine), and one fits into the coarse common part; a power of two where one does."""
+        least, most = -(-(self.threshold + self.fine) // 2), self.threshold - self.coarse + 1
+        power = 1 << (most.bit_length() - 1)
+        return power if power >= least else least
+
+
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)  # odd multipliers
 _HALF = np.uint64(32)
 
@@ -60,12 +86,13 @@ def grams(codes: np.ndarray) -> np.ndarray:
     return _paired(out, out)
 
 
-def doubled(names: np.ndarray) -> np.ndarray:
-    """Names of NAMED bytes from those of 8."""
+def doubled(names: np.ndarray, named: int) -> np.ndarray:
+    """Names of `named` bytes from those of 8."""
     length = 8
-    while length < NAMED:
-        names = _paired(names[:-length], names[length:])
-        length *= 2
+    while length < named:
+        step = min(length, named - length)
+        names = _paired(names[:-step], names[step:])
+        length += step
     return names
 
 
@@ -85,12 +112,12 @@ def anchors(names: np.ndarray, width: int) -> np.ndarray:
     return np.flatnonzero(values[width - 1 : width - 1 + len(reach)] == reach) + width - 1
 
 
-def _blocks(text: bytes) -> Iterator[tuple[int, int, int, np.ndarray]]:
+def _blocks(text: bytes, w: Widths) -> Iterator[tuple[int, int, int, np.ndarray]]:
     """(first start, end of starts, offset, codes): parts of a text with all bytes their starts depend on."""
-    for first in range(0, len(text) - THRESHOLD + 1, BLOCK):
-        end = min(first + BLOCK, len(text) - THRESHOLD + 1)
-        offset = max(0, first - 4 * COARSE)
-        yield first, end, offset, np.frombuffer(text, np.uint8)[offset : end + THRESHOLD + 4 * COARSE]
+    for first in range(0, len(text) - w.threshold + 1, BLOCK):
+        end = min(first + BLOCK, len(text) - w.threshold + 1)
+        offset = max(0, first - 4 * w.coarse)
+        yield first, end, offset, np.frombuffer(text, np.uint8)[offset : end + w.threshold + 4 * w.coarse]
 
 
 def _stretches(first: int, end: int, offset: int, names: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -104,42 +131,42 @@ def _stretches(first: int, end: int, offset: int, names: np.ndarray, width: int)
     return at[used], before[used], low[used], high[used]
 
 
-def _coarse(text: bytes) -> Iterator[tuple[np.ndarray, ...]]:
+def _coarse(text: bytes, w: Widths = Widths()) -> Iterator[tuple[np.ndarray, ...]]:
     """(at, low, high, part): anchors with the folded pair of what their strings have in common."""
-    length = THRESHOLD - COARSE + 1
-    for first, end, offset, codes in _blocks(text):
+    length = w.threshold - w.coarse + 1
+    for first, end, offset, codes in _blocks(text, w):
         names = grams(codes)
-        at, _, low, high = _stretches(first, end, offset, names, COARSE)
-        long = doubled(names)
-        start = at - COARSE + 1
-        yield at + offset, low, high, _paired(long[start], long[start + length - NAMED])
+        at, _, low, high = _stretches(first, end, offset, names, w.coarse)
+        long = doubled(names, w.named)
+        start = at - w.coarse + 1
+        yield at + offset, low, high, _paired(long[start], long[start + length - w.named])
 
 
-def _fine(text: bytes, lows: np.ndarray, highs: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+def _fine(text: bytes, lows: np.ndarray, highs: np.ndarray, w: Widths) -> Iterator[tuple[np.ndarray, ...]]:
     """(at, low, high, part, gap, w1, w2): fine anchors of the given stretches and the 128-bit name of the whole stretch; gap 0: it has none."""
-    length = THRESHOLD - FINE + 1
+    length = w.threshold - w.fine + 1
     order = np.argsort(lows)
     lows, highs = lows[order], highs[order]
-    for first, end, offset, codes in _blocks(text):
+    for first, end, offset, codes in _blocks(text, w):
         names = grams(codes)
-        at, before, low, high = _stretches(first, end, offset, names, FINE)
+        at, before, low, high = _stretches(first, end, offset, names, w.fine)
         reached = np.maximum.accumulate(highs)
         near = np.searchsorted(lows, high, "right") - 1
         open_ = (near >= 0) & (reached[np.maximum(near, 0)] >= low)
         at, before, low, high = at[open_], before[open_], low[open_], high[open_]
-        long = doubled(names)
-        start = at - FINE + 1
-        part = _paired(long[start], long[start + length - NAMED])
-        head, tail = before - FINE + 1, at - FINE + 1 + THRESHOLD
+        long = doubled(names, w.named)
+        start = at - w.fine + 1
+        part = _paired(long[start], long[start + length - w.named])
+        head, tail = before - w.fine + 1, at - w.fine + 1 + w.threshold
         whole = (before >= 0) & (head >= 0) & (tail <= len(codes))
-        head, tail = np.where(whole, head, 0), np.where(whole, tail, NAMED)
-        gap, first, last = np.where(whole, at - before, 0), long[head], long[tail - NAMED]
+        head, tail = np.where(whole, head, 0), np.where(whole, tail, w.named)
+        gap, first, last = np.where(whole, at - before, 0), long[head], long[tail - w.named]
         yield at + offset, low, high, part, gap, _paired(first, last), _paired(last + gap.astype(np.uint64) * _B, first)
 
 
-def _single(text: bytes, lows: np.ndarray, highs: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+def _single(text: bytes, lows: np.ndarray, highs: np.ndarray, w: Widths) -> Iterator[tuple[np.ndarray, ...]]:
     """(at, head, tail): every start of the given stretches and the pair of its whole string."""
-    for first, end, offset, codes in _blocks(text):
+    for first, end, offset, codes in _blocks(text, w):
         wanted = np.zeros(end - first + 1, np.int32)
         low, high = np.maximum(lows, first), np.minimum(highs, end - 1)
         used = low <= high
@@ -147,11 +174,11 @@ def _single(text: bytes, lows: np.ndarray, highs: np.ndarray) -> Iterator[tuple[
         np.add.at(wanted, high[used] + 1 - first, -1)
         at = np.flatnonzero(np.cumsum(wanted)[:-1]) + first
         if len(at):
-            long = doubled(grams(codes))
-            yield at, long[at - offset], long[at - offset + THRESHOLD - NAMED]
+            long = doubled(grams(codes), w.named)
+            yield at, long[at - offset], long[at - offset + w.threshold - w.named]
 
 
-def _positions(df: DataFrame, work: Callable[..., Iterator[tuple[np.ndarray, ...]]], names: list[str]) -> DataFrame:
+def _positions(df: DataFrame, work: Callable[..., Iterator[tuple[np.ndarray, ...]]], names: list[str], w: Widths) -> DataFrame:
     """Rows that `work` finds in each text, behind the text's key; stretches are given where `df` has them."""
     wide = {"part", "w1", "w2", "head", "tail"}
 
@@ -162,7 +189,7 @@ def _positions(df: DataFrame, work: Callable[..., Iterator[tuple[np.ndarray, ...
                 t1, t2 = (batch.column(k).to_numpy() for k in (0, 1))
                 stretches = [batch.column(k) for k in range(3, batch.num_columns)]
                 for row, text in enumerate(batch.column(2).cast(pa.binary()).to_pylist()):
-                    for arrays in work(text, *(s[row].values.to_numpy(zero_copy_only=False) for s in stretches)):
+                    for arrays in work(text, *(s[row].values.to_numpy(zero_copy_only=False) for s in stretches), w):
                         n = len(arrays[0])
                         for column, values in zip(found, (np.full(n, t1[row]), np.full(n, t2[row]), *arrays)):
                             column.append(values)
@@ -203,22 +230,26 @@ def _merged(low: np.ndarray, end: np.ndarray) -> list[dict[str, int]]:
     return [{"first": int(a), "end": int(b)} for a, b in zip(low[begins], reach[lasts])]
 
 
-def repeats(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """(_t1, _t2, spans, kept, kept_text) of each text with a string of THRESHOLD bytes that stands elsewhere too, copies apart.
+def repeats(docs: DataFrame, text_col: str = "text", threshold: int = THRESHOLD) -> DataFrame:
+    """(_t1, _t2, spans, kept, kept_text) of each text with a string of `threshold` bytes that stands elsewhere too, copies apart.
 
     `spans` are the maximal runs of such bytes (first, end), `kept` the other bytes (binary),
     `kept_text` the same without characters that a removed run has cut through.
     """
-    texts = _keyed(docs, text_col).where(F.octet_length("_text") >= THRESHOLD)
-    found = staged(_positions(texts, _coarse, ["at", "low", "high", "part"]), "coarse-anchors")
-    stretches = found.join(_shared(found, ["part"]), _equal(["part"])).groupBy(*KEY).agg(
-        F.collect_set(F.struct("low", "high")).alias("_s"),
-    ).select(F.col("_t1").alias("_c1"), F.col("_t2").alias("_c2"), F.col("_s.low").alias("_lows"), F.col("_s.high").alias("_highs"))
+    w = Widths(threshold)
+    texts = _keyed(docs, text_col).where(F.octet_length("_text") >= w.threshold)
+    found = staged(_positions(texts, _coarse, ["at", "low", "high", "part"], w), "coarse-anchors")
+    # Both ends of a stretch in one long: the join shuffles every anchor.
+    packed = found.select(*KEY, (F.shiftleft(F.col("low").cast("long"), 32) + F.col("high")).alias("_ends"), "part")
+    stretches = packed.join(_shared(found, ["part"]), _equal(["part"])).groupBy(*KEY).agg(F.collect_set("_ends").alias("_s")).select(
+        F.col("_t1").alias("_c1"), F.col("_t2").alias("_c2"), F.expr("transform(_s, x -> int(shiftright(x, 32)))").alias("_lows"),
+        F.expr("transform(_s, x -> int(x & 4294967295))").alias("_highs"),
+    )
     left = staged(
         texts.join(stretches, (F.col("_t1") == F.col("_c1")) & (F.col("_t2") == F.col("_c2"))).select(*KEY, "_text", "_lows", "_highs").dropDuplicates(KEY), "texts-left",
     )
 
-    found = staged(_positions(left, _fine, ["at", "low", "high", "part", "gap", "w1", "w2"]), "fine-anchors")
+    found = staged(_positions(left, _fine, ["at", "low", "high", "part", "gap", "w1", "w2"], w), "fine-anchors")
     place = F.xxhash64("_t1", "at")
     whole = ["w1", "w2"]
     classes = found.where("gap > 0").groupBy(*whole).agg(F.min(place).alias("_a"), F.max(place).alias("_b")).where("_a <> _b")
@@ -231,7 +262,7 @@ def repeats(docs: DataFrame, text_col: str = "text") -> DataFrame:
     # A start in an open stretch may recur in one that is settled: one stretch of each such kind is listed with the open ones.
     open_parts = open_rows.select(F.col("part").alias("_part")).distinct()
     listed = judged.where("_first").join(open_parts, _equal(["part"]), "left_semi").select(
-        *KEY, (F.col("at") - F.col("gap") - FINE + 2).alias("low"), (F.col("at") - FINE + 1).alias("high"), F.lit(False).alias("_sure"),
+        *KEY, (F.col("at") - F.col("gap") - w.fine + 2).alias("low"), (F.col("at") - w.fine + 1).alias("high"), F.lit(False).alias("_sure"),
     )
     judged = judged.where("_sure").select(*columns).union(open_rows.select(*columns))
     judged = judged.union(listed).groupBy(*KEY).agg(
@@ -240,7 +271,7 @@ def repeats(docs: DataFrame, text_col: str = "text") -> DataFrame:
     same_text = (F.col("_t1") == F.col("_c1")) & (F.col("_t2") == F.col("_c2"))
     open_ = staged(left.drop("_lows", "_highs").join(judged, same_text).drop("_c1", "_c2"), "texts-open")
 
-    found = staged(_positions(open_.select(*KEY, "_text", "_lows", "_highs"), _single, ["at", "head", "tail"]), "single-starts")
+    found = staged(_positions(open_.select(*KEY, "_text", "_lows", "_highs"), _single, ["at", "head", "tail"], w), "single-starts")
     starts = found.join(_shared(found, ["head", "tail"]), _equal(["head", "tail"])).groupBy(*KEY).agg(F.collect_set("at").alias("_starts"))
     starts = starts.select(F.col("_t1").alias("_c1"), F.col("_t2").alias("_c2"), "_starts")
     settled = open_.join(starts, same_text, "left").select(
@@ -257,7 +288,7 @@ def repeats(docs: DataFrame, text_col: str = "text") -> DataFrame:
                     low, high, single = (x[row].values.to_numpy(zero_copy_only=False) for x in lists)
                     if not len(low) + len(single):
                         continue
-                    found_spans = _merged(np.concatenate((low, single)), np.concatenate((high, single)) + THRESHOLD)
+                    found_spans = _merged(np.concatenate((low, single)), np.concatenate((high, single)) + w.threshold)
                     edges = [0, *(e for s in found_spans for e in (s["first"], s["end"])), len(text)]
                     taken.append(row)
                     runs.append(found_spans)
@@ -270,13 +301,13 @@ def repeats(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return settled.mapInArrow(spans, "_t1 long, _t2 long, spans array<struct<first:int,end:int>>, kept binary, kept_text string")
 
 
-def facts(docs: DataFrame, text_col: str = "text") -> DataFrame:
+def facts(docs: DataFrame, text_col: str = "text", threshold: int = THRESHOLD) -> DataFrame:
     """(_f1, _f2, copied, spans, kept, kept_text) of each text that loses bytes; `copied` ones, which several rows share, lose all."""
     copied = (
-        _keyed(docs, text_col).where(F.octet_length("_text") >= THRESHOLD).groupBy(F.col("_t1").alias("_c1"), F.col("_t2").alias("_c2"))
+        _keyed(docs, text_col).where(F.octet_length("_text") >= threshold).groupBy(F.col("_t1").alias("_c1"), F.col("_t2").alias("_c2"))
         .agg(F.count("*").alias("_copies")).where("_copies > 1")
     )
-    found = repeats(docs, text_col).select(F.col("_t1").alias("_r1"), F.col("_t2").alias("_r2"), "spans", "kept", "kept_text")
+    found = repeats(docs, text_col, threshold).select(F.col("_t1").alias("_r1"), F.col("_t2").alias("_r2"), "spans", "kept", "kept_text")
     return staged(copied.join(found, (F.col("_c1") == F.col("_r1")) & (F.col("_c2") == F.col("_r2")), "full").select(
         F.coalesce("_c1", "_r1").alias("_f1"), F.coalesce("_c2", "_r2").alias("_f2"), F.col("_copies").isNotNull().alias("copied"), "spans", "kept", "kept_text",
     ), "repeats")
@@ -299,7 +330,7 @@ def keyed(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return _keyed(docs, text_col, *columns).withColumn("n_bytes", F.octet_length("_text").cast("long"))
 
 
-def without_repeats(docs: DataFrame, text_col: str = "text") -> DataFrame:
+def without_repeats(docs: DataFrame, text_col: str = "text", threshold: int = THRESHOLD) -> DataFrame:
     """All columns of `docs` and n_bytes, spans (null: none), and kept and kept_text, what remains, for every row."""
-    joined = with_facts(keyed(docs, text_col), facts(docs, text_col))
+    joined = with_facts(keyed(docs, text_col), facts(docs, text_col, threshold))
     return joined.withColumns({"kept": F.coalesce("kept", F.col("_text").cast("binary")), "kept_text": F.coalesce("kept_text", "_text")}).drop(*KEY, "_text")

@@ -90,6 +90,29 @@ def test_repeated_bytes_of_mutated_copies(spark):
     assert rows == brute_repeats(texts)
 
 
+def test_repeated_passages_of_51_words(spark):
+    """The pipeline's threshold finds shared passages below op1's 400 bytes, byte for byte as brute force does."""
+    r = random.Random(31)
+    shared = [words_of(60 + k, 51 + k % 3, 10**4).encode() for k in range(6)]
+    assert all(corpus_pipeline.PASSAGE <= len(p) < suffixes.THRESHOLD for p in shared)
+    texts = [b" ".join([words_of(70 + k, 60 + 9 * k).encode(), shared[k % 6][: 240 + r.randrange(60)] if k % 4 == 3 else shared[k % 6], words_of(100 + k, 40).encode()]) for k in range(24)]
+    texts += [b"x" * 249, b"x" * 249 + b"!", b"ab " * 90, shared[0], shared[0], b""]
+    df = spark.createDataFrame([(k, t.decode("utf-8", "ignore"), None, None, 1) for k, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    given = [x.text.encode() for x in df.orderBy("doc_id").collect()]
+    want = brute_repeats(given, corpus_pipeline.PASSAGE)
+    got = suffixes.without_repeats(df, threshold=corpus_pipeline.PASSAGE).orderBy("doc_id").collect()
+    assert [(x.n_bytes, x.n_bytes - len(x.kept), len(x.spans or []), bytes(x.kept)) for x in got] == want
+    staged = {x.doc_id: x.text for x in corpus_pipeline.remove_repeats(spark, df, "").collect()}
+    assert staged == {k: rest.decode("utf-8", "ignore") for k, (_, _, _, rest) in enumerate(want)} and all(shared[k].decode() not in staged[k] for k in range(3))
+
+
+@pytest.mark.parametrize("threshold", [100, 150, 250, 300, 400, 700])
+def test_widths_fit_their_threshold(threshold):
+    w = suffixes.Widths(threshold)
+    assert 3 * w.coarse + 6 <= threshold and w.named <= threshold - w.coarse + 1 and threshold + w.fine <= 2 * w.named
+    assert threshold != 400 or (w.coarse, w.fine, w.named) == (128, 32, 256)
+
+
 def test_long_texts_in_blocks_give_the_same_anchors(monkeypatch):
     text = (words_of(13, 4000) + "z" * 3000).encode()
     whole = [np.concatenate(x) for x in zip(*suffixes._coarse(text))]

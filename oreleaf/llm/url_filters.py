@@ -41,13 +41,13 @@ def intervals(entries: DataFrame) -> DataFrame:
 
 
 def asked(captures: DataFrame, url_col: str) -> DataFrame:
-    """(url, day, pattern): every pattern that could match a capture: its host, the domains above it, host and first path part."""
-    domains = F.expr("transform(sequence(1, size(_labels) - 1), i -> array_join(slice(_labels, i, size(_labels)), '.'))")
+    """(url, day, pattern): every pattern that could match a capture: its host, the domains above it up to the last label, host and first path part."""
+    domains = F.expr("transform(sequence(1, size(_labels)), i -> array_join(slice(_labels, i, size(_labels)), '.'))")
     return (
         captures.select(F.col(url_col).alias("_url"), F.col("day").alias("_day")).where("_url is not null and _day is not null").distinct()
         .withColumn("_labels", F.split(host("_url"), r"\."))
         .select("_url", "_day", F.explode(F.array_union(
-            F.when(F.size("_labels") > 1, domains).otherwise(F.array(host("_url"))),
+            domains,
             F.when(first_part("_url") != "", F.array(F.concat(host("_url"), F.lit("/"), first_part("_url")))).otherwise(F.array().cast("array<string>")),
         )).alias("_pattern"))
     )

@@ -376,6 +376,17 @@ def test_url_filters(spark):
     assert url_filters.judge(captures.limit(0), listed).count() == 0
 
 
+def test_url_filters_of_top_level_domains(spark):
+    urls = ["http://a.b.zip/", "http://zip/x", "http://a.zip.org/", "http://b.zip", "http://azip/", "nonsense"]
+    captures = spark.createDataFrame([(u, d) for u in urls for d in (0, 5)], "url string, day long")
+    listed = spark.createDataFrame([("block", "zip", "add", 3), ("allow", "b.zip", "add", 0)], "list string, pattern string, action string, day long")
+    got = {(r.url, r.pattern, r.day) for r in url_filters.judge(captures, listed).where("pattern is not null").collect()}
+    both = {(u, "b.zip", d) for u in ("http://a.b.zip/", "http://b.zip") for d in (0, 5)}
+    assert got == both | {("http://zip/x", "zip", 5)}
+    only = listed.where("list = 'block'")
+    assert {(r.url, r.day) for r in url_filters.judge(captures, only).where("blocked").collect()} == {(u, 5) for u in ("http://a.b.zip/", "http://zip/x", "http://b.zip")}
+
+
 @pytest.fixture(scope="module")
 def reference_bpe():
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(RANKS, "rb"))}

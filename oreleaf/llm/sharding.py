@@ -1,7 +1,8 @@
 """Contiguous shards of nearly equal bytes, cut at equal targets of a global prefix sum.
 
-Rows are put into one global order (texts' hash, then the row's hash), so equal texts
-lie side by side. The order's leading bits name a two-level grid of cells; cells'
+Rows are put into one global order: the top 12 bits of the text's hash (the cell), the top 8 of the
+row's hash (the sub-cell), then the text's hash. Equal texts share a cell, but lie in up to 256
+sub-cells among its other texts, and a cut within the cell can part them. The order's leading bits name a two-level grid of cells; cells'
 totals are summed by Spark, prefix sums of the totals give each cell its global offset,
 and only the rows of one cell are sorted together. The cells depend on the rows
 alone, so a task that is run again after a lost executor gives the same offsets. A text that makes

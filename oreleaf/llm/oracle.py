@@ -91,6 +91,66 @@ k AS (
 SELECT page_id, url, day, pattern, list, coalesce(since, -1) AS since, coalesce(list = 'block', false) AS blocked FROM k WHERE best = 1
 """
 
+# CRC-32 byte by byte over the hexadecimal digits of a string, with a table made by its rule.
+OP12 = rf"""
+WITH RECURSIVE step AS (
+  SELECT i AS b, i AS v, 0 AS k FROM range(256) AS r(i)
+  UNION ALL SELECT b, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, k + 1 FROM step WHERE k < 8
+),
+crc AS (SELECT list(v ORDER BY b) AS crc FROM step WHERE k = 8),
+d AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all({LOWER}, '{ALNUM_WORD}') AS w FROM documents),
+i AS (SELECT regexp_extract_all({LOWER}, '{ALNUM_WORD}') AS w FROM benchmark),
+n AS (SELECT unnest([1, 2, 3]) AS n),
+df AS (SELECT r, list_aggregate(w[s:s + n - 1], 'string_agg', ' ') AS f FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS s FROM d, n WHERE len(w) >= n)),
+tf AS (SELECT list_aggregate(w[s:s + n - 1], 'string_agg', ' ') AS f FROM (SELECT w, n, unnest(range(1, len(w) - n + 2)) AS s FROM i, n WHERE len(w) >= n)),
+h AS (SELECT f, hex(encode(f)) AS x FROM (SELECT f FROM df UNION SELECT f FROM tf)),
+c AS (
+  SELECT f, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(0, len(x) // 2),
+    lambda p: 16 * (strpos('0123456789ABCDEF', x[2 * p + 1]) - 1) + strpos('0123456789ABCDEF', x[2 * p + 2]) - 1)),
+    lambda a, b: xor(a >> 8, crc[(xor(a, b) & 255) + 1])), 4294967295) % 10000 AS b FROM h, crc
+),
+db AS (SELECT r, b FROM df JOIN c USING (f)),
+s AS (SELECT b, count(*)::DOUBLE AS s FROM db GROUP BY b),
+t AS (SELECT b, count(*)::DOUBLE AS t FROM tf JOIN c USING (f) GROUP BY b),
+g AS (
+  SELECT b, floor(1000 * ln((coalesce(t, 0) + 1) * ((SELECT coalesce(sum(s), 0) FROM s) + 10000) / ((coalesce(s, 0) + 1) * ((SELECT coalesce(sum(t), 0) FROM t) + 10000))))::BIGINT AS gain
+  FROM s FULL JOIN t USING (b)
+),
+w AS (SELECT r, count(*) AS n_features, sum(gain)::BIGINT AS weight FROM db JOIN g USING (b) GROUP BY r),
+x AS (
+  SELECT r, doc_id, len(w) AS n_words, coalesce(n_features, 0)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+    ('0x' || substring(sha256('42:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT::DOUBLE AS h FROM d LEFT JOIN w USING (r)
+),
+y AS (SELECT *, weight + floor(-1000 * ln(-ln((h + 0.5) / 4294967296)))::BIGINT AS score FROM x),
+k AS (SELECT r, row_number() OVER (ORDER BY score DESC, doc_id NULLS FIRST) AS rank FROM y WHERE n_words >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= 5 * (SELECT count(*) FROM k) // 100 THEN rank END AS rank FROM y LEFT JOIN k USING (r)
+"""
+
+OP13 = rf"""
+WITH t AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '{SPACE_WORD}') AS w FROM documents),
+l AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+m AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic, concat(
+    CASE WHEN len(w) < 100 THEN 'A' ELSE '' END, CASE WHEN 100 * len(list_distinct(w)) < 80 * len(w) THEN 'B' ELSE '' END,
+    CASE WHEN 100 * len(regexp_extract_all(text, '[A-Z]')) > 10 * length(text) THEN 'C' ELSE '' END,
+    CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END, CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY text) THEN 'E' ELSE '' END) AS mask
+  FROM t LEFT JOIN l USING (doc_id)
+),
+c AS (SELECT part, mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM m GROUP BY ALL),
+f AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f),
+o AS (SELECT a.f || b.f || c.f || d.f || e.f AS o FROM f a, f b, f c, f d, f e WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5),
+x AS (SELECT *, coalesce(list_min(list_transform(string_split(nullif(mask, ''), ''), lambda z: strpos(o, z))), 6) AS stop FROM c, o),
+s AS (
+  SELECT part, o AS filter_order, step::INT AS step, substring(o, step, 1) AS f, sum(CASE WHEN stop > step THEN n ELSE 0 END) AS kept, sum(CASE WHEN stop = step THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN contains(mask, substring(o, step, 1)) AND stop < step THEN n ELSE 0 END) AS redundant, sum(CASE WHEN mask = substring(o, step, 1) THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN stop = step THEN good ELSE 0 END) AS good_lost, sum(CASE WHEN stop = step THEN toxic ELSE 0 END) AS toxic_lost
+  FROM x, range(1, 6) AS r(step) GROUP BY ALL
+)
+SELECT part, filter_order, step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant, unique_fails::BIGINT AS unique_fails,
+  good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost, (sum(removed) OVER (PARTITION BY part, f))::BIGINT AS shapley FROM s
+"""
+
 ORACLE: dict[str, str] = {
     "op3_certified_rules": OP3, "op4_snapshot_collapse": OP4, "op7_winnowing": OP7, "op8_temporal_url_filter": OP8,
+    "op12_importance_resampling": OP12, "op13_filter_audit": OP13,
 }

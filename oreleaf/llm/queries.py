@@ -9,13 +9,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oreleaf.llm import bpe, conversations, decontamination, licenses, quality, sharding, simhash, suffixes, thresholds, url_filters
+from oreleaf.llm import bpe, conversations, decontamination, filter_audit, licenses, quality, resampling, sharding, simhash, suffixes, thresholds, token_files, url_filters
 from oreleaf.llm.oracle import ORACLE
 
 __all__ = ["ORACLE", "QUERIES"]
 
 PACKAGE_ROOT = str(Path(__file__).resolve().parents[2])
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+END_ID = 2
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -102,6 +104,21 @@ def op10_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = token_files.new_folder(spark)
+    token_files.write(token_files.tokenize(table(spark, sf_dir, "documents"), WORD_BPE, END_ID), path)
+    return token_files.read(spark, path).select("doc_id", "start", "n_tokens", F.crc32("token_ids").alias("ids_crc32"))
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, target = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return resampling.resample(docs, target).select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_repeated_bytes": op1_repeated_bytes,
     "op2_neighbour_quality": op2_neighbour_quality,
@@ -113,4 +130,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_temporal_url_filter": op8_temporal_url_filter,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_byte_shards": op10_byte_shards,
+    "op11_huffman_ids": op11_huffman_ids,
+    "op12_importance_resampling": op12_importance_resampling,
+    "op13_filter_audit": op13_filter_audit,
 }

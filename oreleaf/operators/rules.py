@@ -1,4 +1,4 @@
-"""Rule-based extraction: records from tables, measurements from text, use cases from mentions.
+"""Rule-based extraction: numbers and units, measurements from text, use cases from mentions.
 
 The rule sets are small dictionaries in the job's code. They become literals of
 the expressions, so applying them needs neither a join nor a broadcast, and
@@ -12,12 +12,10 @@ from itertools import chain
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from oreleaf.functions import sqltext as Q
 from oreleaf.functions.frames import fan_out
-from oreleaf.functions.text import normalised_phrase, null_if_empty, strip
-from oreleaf.schemas import ADSORPTION, ExtractionSchema
+from oreleaf.functions.text import null_if_empty
 
 # Unit -> (factor, offset) to the declared unit of each dimension
 # (degrees Celsius, bar, mmol/g; CO2 has 44.01 g/mol).
@@ -28,36 +26,13 @@ UNITS: dict[str, dict[str, tuple[float, float]]] = {
     "capacity": {"mmol/g": (1.0, 0.0), "mol/kg": (1.0, 0.0), "mg/g": (1.0 / 44.01, 0.0)},
 }
 
-# Field -> dimension, for the fields whose unit is fixed by the schema.
-DIMENSIONS: dict[str, str] = {
-    "measurement.adsorption_temperature_c": "temperature",
-    "measurement.pressure_bar": "pressure",
-    "measurement.co2_adsorption_capacity_mmol_g": "capacity",
-    "synthesis_method.calcination_temp_c": "temperature",
-}
-
-# Table heading (lower case, no punctuation, without its unit) -> field.
-ADSORPTION_HEADINGS: dict[str, str] = {
-    "sample": "material_id", "material": "material_id", "adsorbent": "material_id", "catalyst": "material_id",
-    "temperature": "measurement.adsorption_temperature_c", "t": "measurement.adsorption_temperature_c",
-    "adsorption temperature": "measurement.adsorption_temperature_c",
-    "pressure": "measurement.pressure_bar", "p": "measurement.pressure_bar",
-    "gas": "measurement.gas_composition", "gas composition": "measurement.gas_composition",
-    "co2 uptake": "measurement.co2_adsorption_capacity_mmol_g",
-    "co2 capacity": "measurement.co2_adsorption_capacity_mmol_g",
-    "adsorption capacity": "measurement.co2_adsorption_capacity_mmol_g",
-    "capacity": "measurement.co2_adsorption_capacity_mmol_g", "uptake": "measurement.co2_adsorption_capacity_mmol_g",
-    "ph": "synthesis_method.ph", "calcination temperature": "synthesis_method.calcination_temp_c",
-}
-
 # A whole number token: thousands groups, decimals, an exponent as e-3 or × 10^-3.
-_NUMBER = (r"[-+−]?(?:[0-9]{1,3}(?:,[0-9]{3})+|[0-9]+)(?:\.[0-9]+)?"
+NUMBER = (r"[-+−]?(?:[0-9]{1,3}(?:,[0-9]{3})+|[0-9]+)(?:\.[0-9]+)?"
            r"(?:[eE][-+−]?[0-9]+|\s*[×x]\s*10\s*\^?\s*[-+−]?[0-9]+)?")
-_SPREAD = r"(?:\s*±\s*[0-9]+(?:\.[0-9]+)?)?"
+SPREAD = r"(?:\s*±\s*[0-9]+(?:\.[0-9]+)?)?"
 # What may stand before a number in text: no digit, word, comma or point, and no dash, sign or exponent that makes it
 # the second part of a range or of another number.
 _BEFORE = r"(?<![\w.,^])(?<![-–−+±×]\s?)(?<![0-9]\s?(?=[-+−]))"
-_UNIT_IN_HEADING = r"[(\[]([^)\]]*)[)\]]"
 
 
 def _literal_map(mapping: Mapping[str, object]) -> Column:
@@ -78,8 +53,9 @@ def number_value(token: str) -> str:
     return f"try_cast({plain} AS double)"
 
 
-def _cell_number(cell: Column) -> Column:
-    token = F.regexp_extract(cell, rf"^({_NUMBER}){_SPREAD}[^0-9]*$", 1)
+def cell_number(cell: Column) -> Column:
+    """The number a cell is as a whole, unit and spread aside."""
+    token = F.regexp_extract(cell, rf"^({NUMBER}){SPREAD}[^0-9]*$", 1)
     plain = F.regexp_replace(F.translate(token, "−,", "-"), r"\s*[×x]\s*10\s*\^?\s*", "e")
     return null_if_empty(plain).try_cast("double")
 
@@ -106,63 +82,6 @@ def normalize_units(measurements: DataFrame) -> DataFrame:
     return keyed.withColumn("normal_value", by_dimension).drop("_unit")
 
 
-def table_records(
-    papers: DataFrame, schema: ExtractionSchema = ADSORPTION, headings: Mapping[str, str] = ADSORPTION_HEADINGS,
-) -> DataFrame:
-    """papers(paper_id, title, doi, year, tables) -> one record per body row of each table.
-
-    The first row of a table holds the headings. A column counts for a field when
-    its heading, unit aside, is one of the field's names. Where a field has
-    several columns a row gives a record for each (``set_idx``), which takes the
-    same column of the other repeated fields and the only one of the rest. A cell
-    is a number only as a whole (unit and spread aside), so ranges are null. A record repeats the paper's year, DOI and title; fields without a
-    column are null. Tables without a known heading give no records.
-    """
-    fields = list(dict.fromkeys(headings.values()))
-    kinds = dict(schema.leaves())
-    lookup = _literal_map(headings)
-    tables = fan_out(papers, ["paper_id", "title", "doi", "year"], "tables", "table_idx", "t")
-    header = F.get(F.col("t.rows"), F.lit(0))
-    known = F.transform(header, lambda h: F.coalesce(
-        lookup[normalised_phrase(F.regexp_replace(h, _UNIT_IN_HEADING, " "))], F.lit("")))
-    units = F.transform(header, lambda h: F.regexp_extract(h, _UNIT_IN_HEADING, 1))
-    headed = tables.select("paper_id", "title", "doi", "year", "table_idx", F.col("t.rows").alias("all_rows"),
-                           known.alias("known"), units.alias("units"))
-    body_rows = F.when(F.exists("known", lambda k: k != ""), F.slice("all_rows", 2, F.size("all_rows")))
-    body = fan_out(headed, ["paper_id", "title", "doi", "year", "table_idx", "known", "units"],
-                   body_rows, "row_idx", "cells")
-    named = F.filter("known", lambda k: k != "")
-    most = F.array_max(F.transform(named, lambda k: F.size(F.filter("known", lambda other: other == k))))
-    body = fan_out(body, body.columns, F.sequence(F.lit(0), most - 1), "set_idx", "_set").drop("_set")
-
-    def value(path: str, kind: T.DataType) -> Column:
-        if path not in fields:
-            own = {"study_metadata.year": "year", "study_metadata.doi": "doi", "study_metadata.title": "title"}
-            if path in own:
-                return F.col(own[path]).cast(kind)
-            return F.array().cast("array<string>") if isinstance(kind, T.ArrayType) else F.lit(None).cast(kind)
-        places = F.filter(F.transform("known", lambda k, i: F.when(k == path, i)), lambda i: i.isNotNull())
-        column = F.get(places, F.least("set_idx", F.size(places) - 1))
-        cell = null_if_empty(strip(F.get(F.col("cells"), column)))
-        if isinstance(kind, T.ArrayType):
-            return F.when(cell.isNull(), F.array().cast("array<string>")).otherwise(F.array(cell))
-        if isinstance(kind, T.StringType):
-            return cell
-        number = _cell_number(cell)
-        if path in DIMENSIONS:
-            return to_declared_unit(number, F.get(F.col("units"), column), DIMENSIONS[path])
-        return number.cast(kind)
-
-    out = []
-    for f in schema.record.fields:
-        if isinstance(f.dataType, T.StructType):
-            out.append(F.struct(*[
-                value(f"{f.name}.{c.name}", c.dataType).alias(c.name) for c in f.dataType.fields]).alias(f.name))
-        else:
-            out.append(value(f.name, f.dataType).alias(f.name))
-    return body.select("paper_id", "table_idx", "row_idx", "set_idx", F.struct(*out).alias("record"))
-
-
 # Field -> (dimension, unit alternatives) of measurements in running text.
 TEXT_UNITS: dict[str, tuple[str, str]] = {
     "temperature": ("temperature", "°C|K"),
@@ -179,11 +98,11 @@ def text_measurements(sections: DataFrame, text_units: Mapping[str, tuple[str, s
     """
     per_field = []
     for name, (dimension, units) in text_units.items():
-        pattern = Q.literal(rf"{_BEFORE}{_NUMBER}{_SPREAD}\s*(?:{units})(?![\w/])")
+        pattern = Q.literal(rf"{_BEFORE}{NUMBER}{SPREAD}\s*(?:{units})(?![\w/])")
         per_field.append(Q.each_indexed(f"regexp_extract_all(text, {pattern}, 0)", lambda m, i: Q.named_struct({
             "field": f"'{name}'", "match_idx": i, "dimension": f"'{dimension}'",
-            "value": number_value(Q.extract(m, _NUMBER)),
-            "unit": Q.extract(m, rf"^{_NUMBER}{_SPREAD}\s*(.*)$", 1)})))
+            "value": number_value(Q.extract(m, NUMBER)),
+            "unit": Q.extract(m, rf"^{NUMBER}{SPREAD}\s*(.*)$", 1)})))
     matches = F.expr(f"concat({', '.join(per_field)})")
     return (
         fan_out(sections, ["paper_id", "section_idx"], matches, "i", "m")

@@ -16,7 +16,7 @@ from oreleaf.functions import sqltext as Q
 from oreleaf.functions.frames import fan_out
 from oreleaf.functions.text import join_list as _join
 from oreleaf.operators import attempts as A, consolidation as C, documents as D, flattening, inference as I
-from oreleaf.operators import manifest as M, prompts as P, responses as R, rules, verification as V
+from oreleaf.operators import manifest as M, prompts as P, responses as R, rules, tables, verification as V
 from oreleaf.plans import encodings as E
 from oreleaf.schemas import ADSORPTION, CATALYST, SCHEMA_NAMES, USECASE, select_schemas
 
@@ -416,7 +416,7 @@ def schema_selection(spark, sf):
 
 @query
 def extract_table_records(spark, sf):
-    records = rules.table_records(_papers(spark, sf))
+    records = tables.table_records(_papers(spark, sf))
     return records.selectExpr(
         "paper_id", "cast(row_idx AS bigint) AS row_idx", "record.material_id",
         "cast(record.study_metadata.year AS bigint) AS year", "record.study_metadata.doi", "record.study_metadata.title",
@@ -425,6 +425,22 @@ def extract_table_records(spark, sf):
         "record.measurement.adsorption_temperature_c AS temperature")
 
 
+@query
+def extract_result_sets(spark, sf):
+    return tables.table_records(E.table_papers(spark, sf)).selectExpr(
+        "paper_id", "record_idx", "record.material_id", "cast(record.study_metadata.year AS bigint) AS year",
+        "round(record.measurement.co2_adsorption_capacity_mmol_g, 6) AS capacity",
+        "round(record.measurement.adsorption_temperature_c, 6) AS temperature", "round(record.measurement.pressure_bar, 6) AS pressure_bar")
+
+
+@query
+def extract_catalyst_records(spark, sf):
+    return tables.table_records(E.table_papers(spark, sf), tables.CATALYST_TABLES).selectExpr(
+        "paper_id", "record_idx", "record.material_id", "record.performance.co2_conversion", "record.performance.co_selectivity",
+        "record.performance.ch4_selectivity", "record.performance.temperature", "record.performance.temperature_units",
+        "record.performance.pressure", "record.performance.pressure_units")
+
+
 @query
 def unit_normalize(spark, sf):
     lines = E.read_spread(spark, sf, "lineitem", "l_orderkey").selectExpr(
@@ -468,8 +484,8 @@ def extract_use_cases(spark, sf):
 @query
 def structured_records(spark, sf):
     """TEI documents -> tables -> records with the paper's metadata -> variants merged -> flat rows."""
-    records = rules.table_records(_papers(spark, sf))
-    merged = C.consolidate(records.select("paper_id", "row_idx", "record"), ADSORPTION)
+    records = tables.table_records(_papers(spark, sf))
+    merged = C.consolidate(records.selectExpr("paper_id", "record_idx AS row_idx", "record"), ADSORPTION)
     flat = flattening.flatten(merged, ADSORPTION, keep=("paper_id", "n_variants"))
     return flat.select(
         "paper_id", "n_variants", "material_id", F.col("year").cast("bigint").alias("year"), "doi", "title",

@@ -212,3 +212,23 @@ def recorded_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def order_papers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "orders").selectExpr("cast(o_orderkey AS string) AS paper_id", "o_orderkey", "o_custkey")
+
+
+def table_papers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X7: ``orders`` as papers with two tables: one of sorbents with conditions in its headings and a nameless row, and one that is,
+    by o_orderkey % 3, a transposed one of sorbents, one of catalysts with two heading rows, or one of catalysts."""
+    row = lambda *cells: f"array({', '.join(cells)})"
+    table = lambda caption, *rows: f"named_struct('label', '1', 'caption', {caption}, 'rows', array({', '.join(rows)}))"
+    key, v, c = "string(o_orderkey)", "string(o_custkey % 1000)", "string(o_custkey % 50)"
+    sorbents = table(
+        "'CO2 uptake'", row("'Sample'", "'CO2 uptake 25 °C (mmol/g)'", "'Uptake at 323.15 K (mg/g)'", "'p (kPa)'"),
+        row(f"concat('S', {key})", v, f"if(o_custkey % 2 = 0, {c}, '')", "'100'"), row("''", "''", "'n/a'", "'50'"))
+    turned = table(
+        "''", row("'Material'", f"concat('A', {key})", f"concat('B', {key})"), row("'Capacity (mmol/g)'", v, c), row("'Temperature (K)'", "'298.15'", "'323.15'"))
+    results = row(f"concat('C', {key})", c, "string(o_custkey % 100)", "'90 ± 2'")
+    two = table("'Results at 2 bar'", row("'Catalyst'", "'CO2 conversion (%)'", "''", "'CH4 selectivity (%)'"), row("''", "'300 °C'", "'623 K'", "''"), results)
+    one = table("'Results at 2 bar'", row("'Catalyst'", "'CO2 conversion at 300 °C (%)'", "'Conversion 623 K / %'", "'Selectivity to methane (%)'"), results)
+    second = f"CASE o_orderkey % 3 WHEN 0 THEN {turned} WHEN 1 THEN {two} ELSE {one} END"
+    return read_spread(spark, sf_dir, "orders", "o_orderkey").selectExpr(
+        "cast(o_orderkey AS string) AS paper_id", f"concat('Order ', {key}) AS title", f"concat('10.5555/', {key}) AS doi", "year(o_orderdate) AS year",
+        f"array({sorbents}, {second}) AS tables")

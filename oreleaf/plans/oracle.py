@@ -341,6 +341,20 @@ ORACLE["extract_table_records"] = _X1 + """
 SELECT paper_id, cast(0 AS BIGINT) AS row_idx, sample AS material_id, cast(year AS BIGINT) AS year, doi, title,
        round((toxic * 100 + 50) * 0.01::DOUBLE, 6) AS pressure_bar, round(cast(quality AS DOUBLE), 6) AS capacity,
        cast(NULL AS DOUBLE) AS temperature FROM tables"""
+# X7: sorbents of the first table by condition, its nameless row, then the transposed table of every third paper.
+ORACLE["extract_result_sets"] = """
+WITH o AS (SELECT o_orderkey AS k, cast(o_orderkey AS VARCHAR) AS paper_id, cast(year(o_orderdate) AS BIGINT) AS year,
+             cast(o_custkey % 1000 AS DOUBLE) AS v, cast(o_custkey % 50 AS DOUBLE) AS c, o_custkey % 2 = 0 AS even FROM orders)
+SELECT paper_id, 0::BIGINT AS record_idx, 'S' || paper_id AS material_id, year, v AS capacity, 25::DOUBLE AS temperature, 1::DOUBLE AS pressure_bar FROM o
+UNION ALL SELECT paper_id, 1, 'S' || paper_id, year, round(c / 44.01::DOUBLE, 6), 50, 1 FROM o WHERE even
+UNION ALL SELECT paper_id, 1000, NULL, year, NULL, 25, 0.5 FROM o
+UNION ALL SELECT paper_id, 1000000000, 'A' || paper_id, year, v, 25, NULL FROM o WHERE k % 3 = 0
+UNION ALL SELECT paper_id, 1000001000, 'B' || paper_id, year, c, 50, NULL FROM o WHERE k % 3 = 0"""
+ORACLE["extract_catalyst_records"] = """
+WITH o AS (SELECT cast(o_orderkey AS VARCHAR) AS paper_id, cast(o_custkey % 100 AS DOUBLE) AS v, cast(o_custkey % 50 AS DOUBLE) AS c FROM orders WHERE o_orderkey % 3 <> 0),
+s AS (SELECT paper_id, unnest([0, 1]) AS i, unnest([c, v]) AS conversion, unnest([300, 623]) AS t, unnest(['°C', 'K']) AS u FROM o)
+SELECT paper_id, 1000000000::BIGINT + i AS record_idx, 'C' || paper_id AS material_id, conversion AS co2_conversion, NULL::DOUBLE AS co_selectivity, 90::DOUBLE AS ch4_selectivity,
+  t::DOUBLE AS temperature, u AS temperature_units, 2::DOUBLE AS pressure, 'bar' AS pressure_units FROM s"""
 ORACLE["structured_records"] = _X1 + """
 SELECT paper_id, cast(1 AS BIGINT) AS n_variants, sample AS material_id, cast(year AS BIGINT) AS year, doi, title,
        round((toxic * 100 + 50) * 0.01::DOUBLE, 6) AS pressure_bar, '' AS anions,

@@ -237,26 +237,6 @@ def test_summary(spark, manifest):
 
 # ---- rules ----------------------------------------------------------------
 
-def test_table_records(spark):
-    rows = [["Sample", "CO2 uptake (mg/g)", "Pressure [kPa]", "T (K)", "note", "Uptake (mmol/g)"],
-            ["A", "44.01", "100", "298.15 ± 1", "x", "7"], ["B", "", "n/a", "300"]]
-    tables = [("1", "cap", rows), ("2", "none", [["x", "y"], ["1", "2"]]), ("3", "head only", [["Sample"]])]
-    df = spark.createDataFrame(
-        [("p", "T", "D", 2020, tables)],
-        "paper_id string, title string, doi string, year int, "
-        "tables array<struct<label:string,caption:string,rows:array<array<string>>>>")
-    got = rules.table_records(df).orderBy("row_idx").collect()
-    assert [(r["table_idx"], r["row_idx"], r["record"]["material_id"]) for r in got] == [(0, 0, "A"), (0, 1, "B")]
-    a, b = (r["record"] for r in got)
-    assert a["study_metadata"].asDict() == {"year": 2020, "doi": "D", "title": "T"}
-    m = a["measurement"]
-    assert m["co2_adsorption_capacity_mmol_g"] == pytest.approx(1.0) and m["pressure_bar"] == pytest.approx(1.0)
-    assert m["adsorption_temperature_c"] == pytest.approx(25.0)
-    assert b["measurement"]["co2_adsorption_capacity_mmol_g"] is None and b["measurement"]["pressure_bar"] is None
-    assert a["material_properties"]["anions"] == []
-    assert got[0].asDict(True)["record"].keys() == {f.name for f in ADSORPTION.record.fields}
-
-
 def test_text_measurements(spark):
     df = spark.createDataFrame([("p", 0, "Uptake of 2.5 mmol/g at 25 °C, 1 bar; later 3 mmol/g. 300 K-like, 5 barns, v1.5 bar")],
                                "paper_id string, section_idx int, text string")
@@ -291,18 +271,6 @@ def test_numbers_in_text(spark, text, values):
     assert [r["value"] for r in rules.text_measurements(sections).collect()] == pytest.approx(values)
 
 
-def test_table_numbers_and_repeated_columns(spark):
-    rows = [["Sample", "Pressure (kPa)", "CO2 uptake (mmol/g)", "CO2 uptake (mg/g)", "pH"],
-            ["A", "1,000", "1.2e-3", "44.01 ± 2", "7 (measured)"], ["B", "10-20", "", "x", "8"]]
-    papers = spark.createDataFrame([("p", "T", "d", 2000, [([*rows],)])],
-                                   "paper_id string, title string, doi string, year int, tables array<struct<rows: array<array<string>>>>")
-    got = [(r["row_idx"], r["set_idx"], r["record"]["material_id"], r["record"]["measurement"]["pressure_bar"],
-            r["record"]["measurement"]["co2_adsorption_capacity_mmol_g"], r["record"]["synthesis_method"]["ph"])
-           for r in rules.table_records(papers).orderBy("row_idx", "set_idx").collect()]
-    assert got == [(0, 0, "A", pytest.approx(10), pytest.approx(1.2e-3), 7.0), (0, 1, "A", pytest.approx(10), pytest.approx(1.0), 7.0),
-                   (1, 0, "B", None, None, 8.0), (1, 1, "B", None, None, 8.0)]
-
-
 def test_records_without_identity_stay_apart(spark):
     rec = records(spark, [("p", 0, '{"use_cases":["drug delivery"]}'), ("p", 1, '{"use_cases":["adsorbent CO2"]}'),
                           ("p", 2, '{"material_id":"a"}'), ("p", 3, '{"material_id":" A"}')], USECASE)

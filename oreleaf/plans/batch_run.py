@@ -41,6 +41,8 @@ class RunOptions:
     validation_retries: int = 3
     backoff_s: float = 15.0
     parallel: int | None = None
+    per_second: float | None = None
+    chunk: int = 10_000
 
 
 @dataclass(frozen=True)
@@ -61,7 +63,8 @@ class _Batch:
         o = self.options
         budget = inference.Budget(
             self.version, o.max_tokens, o.retries, o.validation_retries, o.backoff_s, afresh=o.force,
-            again_if_empty=o.retry_empty and stage.startswith(P.EXTRACT), parallel=o.parallel)
+            again_if_empty=o.retry_empty and stage.startswith(P.EXTRACT), parallel=o.parallel,
+            per_second=o.per_second, chunk=o.chunk)
         written = self.write(requests.drop("prompt"), f"requests/{stage}")
         return inference.ask(written, render, f"{self.out_dir}/answers/{stage}", self.make_call, judge, budget)
 

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from oreleaf.functions import sqltext as Q
+from oreleaf.operators import phrases
 from oreleaf.operators.responses import nest
 from oreleaf.schemas import ExtractionSchema
 
@@ -63,14 +64,14 @@ def _merged_record(schema: ExtractionSchema) -> str:
     return nest(leaf, schema)
 
 
-def consolidate(records: DataFrame, schema: ExtractionSchema) -> DataFrame:
+def consolidate(records: DataFrame, schema: ExtractionSchema, similar: float = phrases.SIMILAR) -> DataFrame:
     """records(paper_id, row_idx, record) -> one record per paper and key.
 
     Records whose key fields are all null or empty have no identity and stay apart.
     Adds n_variants; row_idx is that of the first variant. Fields named in
     ``schema.united`` hold the union of the variants' items in the order of their
-    first mention, with items that differ only in case, spacing or punctuation
-    counted once.
+    first mention, with near-identical phrasings counted once: the same content words, or sets of them with a
+    similarity of ``similar`` or more (:mod:`oreleaf.operators.phrases`).
     """
     kinds = dict(schema.leaves())
     keys = {f"k{i}": _key(p, kinds[p]) for i, p in enumerate(schema.key)}
@@ -96,19 +97,24 @@ def consolidate(records: DataFrame, schema: ExtractionSchema) -> DataFrame:
             F.min("row_idx").alias("row_idx"), F.count(F.lit(1)).alias("n_variants")).selectExpr(*out)
 
     (united,) = schema.united
-    # First level: one row per key and phrase, carrying the partial picks along.
+    # First level: one row per key and set of content words, carrying the partial picks along.
     # A record is counted with its first item only.
     items = keyed.select(*keyed.columns, F.posexplode_outer(f"record.{united}").alias("pos", "item"))
-    per_item = items.groupBy(*group, F.expr(normalised_phrase("item")).alias("phrase")).agg(
+    phrase = items.withColumn("phrase", F.expr(normalised_phrase("item")))
+    per_item = phrase.groupBy(*group, F.expr(phrases.content_words("phrase")).alias("words")).agg(
         *[best(p, t) for p, t in picks],
         F.expr("min(if(item IS NULL, NULL, named_struct('row_idx', row_idx, 'pos', pos, 'item', item)))").alias("first"),
         F.min("row_idx").alias("row_idx"),
         F.expr("count_if(coalesce(pos, 0) = 0)").alias("n_variants"))
-    # Second level: only the distinct phrases of a key, which is the size of the result.
-    return per_item.groupBy(*group).agg(
+    per_item = per_item.withColumn("gid", F.md5(F.to_json(F.struct(*group))))
+    # Second level: only the distinct word sets of a key, which is the size of the result.
+    whole = per_item.groupBy("gid", *group).agg(
         *[F.max(_name(p)).alias(_name(p)) for p, _ in picks],
-        F.expr("transform(array_sort(collect_list(first)), f -> f.item)").alias(_name(united)),
-        F.min("row_idx").alias("row_idx"), F.sum("n_variants").alias("n_variants")).selectExpr(*out)
+        F.expr("collect_list(if(first IS NULL, NULL, named_struct('first', first, 'name', array_join(words, ' '))))").alias("firsts"),
+        F.min("row_idx").alias("row_idx"), F.sum("n_variants").alias("n_variants"))
+    linked = phrases.links(per_item.select("gid", "words"), similar).withColumnRenamed("gid", "_gid")
+    return whole.join(linked, F.col("gid") == F.col("_gid"), "left").withColumn(
+        _name(united), F.expr(phrases.first_of_each("firsts", "links"))).selectExpr(*out)
 
 
 def assess_or_keep(records: DataFrame, assessed: DataFrame, outcome: DataFrame) -> DataFrame:

@@ -292,6 +292,12 @@ def consolidate_usecase(spark, sf):
         "array_join(record.use_cases, '|') AS use_cases")
 
 
+@query
+def consolidate_similar_phrases(spark, sf):
+    return C.consolidate(E.event_records(spark, sf, E.CHAIN), USECASE).selectExpr(
+        "paper_id", "row_idx", "n_variants", "record.material_id", "array_join(record.use_cases, '|') AS use_cases")
+
+
 @query
 def assess_fallback(spark, sf):
     records = E.line_records(spark, sf, ADSORPTION)

@@ -183,10 +183,16 @@ def line_records(spark: SparkSession, sf_dir: str, schema: ExtractionSchema) ->
         f"{nest(leaf, schema)} AS record")
 
 
-def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """X5: ``events`` as use-case records; a user is a material, its events are use cases."""
-    phrase = ("CASE event_id % 3 WHEN 0 THEN concat('Use ', event_type) WHEN 1 THEN concat('use  ', event_type, '.') "
+SAME_WORDS = ("CASE event_id % 3 WHEN 0 THEN concat('Use ', event_type) WHEN 1 THEN concat('use  ', event_type, '.') "
               "ELSE concat(' USE ', event_type) END")
+# Six, seven and eight content words, each set in the next; the first two and the last two are similar, and other words or fillers about them.
+CHAIN = ("CASE event_id % 4 WHEN 0 THEN concat('removal of dilute CO2 from ', event_type, ' gas streams') "
+         "WHEN 1 THEN concat('Removal of dilute CO2 from the wet ', event_type, ' gas streams') "
+         "WHEN 2 THEN concat('removal of dilute CO2 from hot, wet ', event_type, ' gas streams') ELSE concat('storage of CO2, ', event_type) END")
+
+
+def event_records(spark: SparkSession, sf_dir: str, phrase: str = SAME_WORDS) -> DataFrame:
+    """X5: ``events`` as use-case records; a user is a material, its events are use cases."""
 
     def leaf(path: str, kind) -> str:
         sql = {"material_id": "concat('U', user_id)", "use_cases": f"if(event_id % 5 = 4, array(), array({phrase}))",

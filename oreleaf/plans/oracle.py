@@ -232,6 +232,18 @@ SELECT e.paper_id, min(event_id) AS row_idx, count(*) AS n_variants, e.material_
        coalesce(any_value(u.use_cases), '') AS use_cases
 FROM e LEFT JOIN united u ON u.paper_id = e.paper_id AND u.material_id = e.material_id
 GROUP BY e.paper_id, e.material_id"""
+# The middle phrase of a chain joins its ends; without it they stay apart.
+ORACLE["consolidate_similar_phrases"] = """
+WITH e AS (SELECT *, cast(user_id % 50 AS VARCHAR) AS paper_id, 'U' || user_id AS material_id, event_id % 4 AS kind,
+                  CASE event_id % 4 WHEN 0 THEN 'removal of dilute CO2 from ' || event_type || ' gas streams' WHEN 1 THEN 'Removal of dilute CO2 from the wet ' || event_type || ' gas streams'
+                    WHEN 2 THEN 'removal of dilute CO2 from hot, wet ' || event_type || ' gas streams' ELSE 'storage of CO2, ' || event_type END AS phrase FROM events),
+said AS (SELECT *, count_if(kind = 1) OVER (PARTITION BY paper_id, material_id, event_type) > 0 AS joined FROM e WHERE event_id % 5 <> 4),
+items AS (SELECT paper_id, material_id, min(event_id) AS first_at, arg_min(phrase, event_id) AS phrase
+          FROM said GROUP BY paper_id, material_id, event_type, CASE WHEN kind < 3 AND joined THEN 0 ELSE kind END),
+united AS (SELECT paper_id, material_id, string_agg(phrase, '|' ORDER BY first_at) AS use_cases FROM items GROUP BY paper_id, material_id)
+SELECT e.paper_id, min(event_id) AS row_idx, count(*) AS n_variants, e.material_id, coalesce(any_value(u.use_cases), '') AS use_cases
+FROM e LEFT JOIN united u ON u.paper_id = e.paper_id AND u.material_id = e.material_id
+GROUP BY e.paper_id, e.material_id"""
 ORACLE["assess_fallback"] = """
 SELECT cast(l_orderkey AS VARCHAR) AS paper_id, l_partkey * 100000 + l_suppkey AS row_idx,
        CASE WHEN l_partkey % 2 = 0 THEN 'mat  ' ELSE 'MAT ' END || l_orderkey AS material_id

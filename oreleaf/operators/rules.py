@@ -32,7 +32,7 @@ NUMBER = (r"[-+−]?(?:[0-9]{1,3}(?:,[0-9]{3})+|[0-9]+)(?:\.[0-9]+)?"
 SPREAD = r"(?:\s*±\s*[0-9]+(?:\.[0-9]+)?)?"
 # What may stand before a number in text: no digit, word, comma or point, and no dash, sign or exponent that makes it
 # the second part of a range or of another number.
-_BEFORE = r"(?<![\w.,^])(?<![-–−+±×]\s?)(?<![0-9]\s?(?=[-+−]))"
+BEFORE = r"(?<![\w.,^])(?<![-–−+±×]\s?)(?<![0-9]\s?(?=[-+−]))"
 
 
 def _literal_map(mapping: Mapping[str, object]) -> Column:
@@ -98,7 +98,7 @@ def text_measurements(sections: DataFrame, text_units: Mapping[str, tuple[str, s
     """
     per_field = []
     for name, (dimension, units) in text_units.items():
-        pattern = Q.literal(rf"{_BEFORE}{NUMBER}{SPREAD}\s*(?:{units})(?![\w/])")
+        pattern = Q.literal(rf"{BEFORE}{NUMBER}{SPREAD}\s*(?:{units})(?![\w/])")
         per_field.append(Q.each_indexed(f"regexp_extract_all(text, {pattern}, 0)", lambda m, i: Q.named_struct({
             "field": f"'{name}'", "match_idx": i, "dimension": f"'{dimension}'",
             "value": number_value(Q.extract(m, NUMBER)),

@@ -103,6 +103,8 @@ CATALYST_TABLES = TableRules(
     },
 )
 
+RULES = {r.schema.name: r for r in (ADSORPTION_TABLES, CATALYST_TABLES)}
+
 _UNIT_DIMENSION = {unit: dimension for dimension, units in UNITS.items() for unit in units} | {"%": "share", "mol%": "share"}
 _KNOWN_UNITS = "|".join(sorted(map("\\Q{}\\E".format, _UNIT_DIMENSION), key=len, reverse=True))
 _STATED = {"temperature": r"°\s*c|k", "pressure": "mbar|bar|atm|kpa|mpa|pa"}

@@ -14,8 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from oreleaf.functions.frames import fan_out
-from oreleaf.operators import consolidation, documents, inference, manifest as M, prompts as P
+from oreleaf.operators import consolidation, documents, inference, manifest as M, mentions, prompts as P
 from oreleaf.operators import responses as R, verification
+from oreleaf.operators.tables import RULES as TABLE_RULES
 from oreleaf.schemas import ExtractionSchema, select_schemas
 from oreleaf.sources import tables
 
@@ -162,6 +163,8 @@ def run(
         tables.export_csv(tables.current_records(spark, f"{base}/{schema.name}"), schema, out_dir, options.tag)
         if options.evidence:
             batch.write(verification.evidence_check(rows, docs, schema), f"{schema.name}/evidence")
+            if schema.name in TABLE_RULES:
+                batch.write(mentions.evidence_spans(rows, docs, TABLE_RULES[schema.name]), f"{schema.name}/evidence_spans")
         ids = stored.select("paper_id", F.lit(schema.name).alias("schema"))
         counted = ids if counted is None else counted.unionByName(ids)
     counts = consolidation.paper_counts(good, counted, schemas)

@@ -16,7 +16,7 @@ from oreleaf.functions import sqltext as Q
 from oreleaf.functions.frames import fan_out
 from oreleaf.functions.text import join_list as _join
 from oreleaf.operators import attempts as A, consolidation as C, documents as D, flattening, inference as I
-from oreleaf.operators import manifest as M, prompts as P, responses as R, rules, tables, verification as V
+from oreleaf.operators import manifest as M, mentions, prompts as P, responses as R, rules, tables, verification as V
 from oreleaf.plans import encodings as E
 from oreleaf.schemas import ADSORPTION, CATALYST, SCHEMA_NAMES, USECASE, select_schemas
 
@@ -471,6 +471,35 @@ def extract_text_measurements(spark, sf):
         "round(normal_value, 6) AS normal_value")
 
 
+@query
+def bind_measurements(spark, sf):
+    # The whole text of each document, with sentences about two materials and one far from both behind it.
+    base = E.read_spread(spark, sf, "documents", "doc_id")
+    sections = base.selectExpr(
+        "cast(doc_id AS string) AS paper_id", "0 AS section_idx",
+        "concat(coalesce(text, ''), '\nLDH-', doc_id, ' took up ', doc_id % 997, '.25 mg/g at 25 °C, whereas Zn', doc_id, ' took up ', doc_id % 7, ' mmol/g; ', "
+        "repeat('and so on ', 30), 'the pressure was 2 bar.') AS text")
+    materials = base.selectExpr("cast(doc_id AS string) AS paper_id", "explode(array(concat('LDH-', doc_id), concat('Zn', doc_id))) AS material_id")
+    return mentions.bound_measurements(sections, materials).selectExpr(
+        "paper_id", "cast(match_idx AS bigint) AS match_idx", "dimension", "value", "unit", "material_id", "cast(distance AS bigint) AS distance")
+
+
+@query
+def evidence_spans(spark, sf):
+    # A sentence behind the whole text states a record's numbers; the pressure stands in a range, the pH of every second one in brackets.
+    base = E.read_spread(spark, sf, "documents", "doc_id")
+    record = R.nest(lambda p, t: {
+        "material_id": "concat('LDH-', doc_id)", "synthesis_method.ph": "double(7000000 + doc_id)", "measurement.pressure_bar": "3D",
+        "measurement.co2_adsorption_capacity_mmol_g": "doc_id % 90 + 0.5D", "measurement.adsorption_temperature_c": "300 + doc_id % 50 - 273.15D",
+    }.get(p, f"cast({'array()' if t.typeName() == 'array' else 'NULL'} AS {t.simpleString()})"), ADSORPTION)
+    said = ("concat(coalesce(text, ''), '\nLDH-', doc_id, ' held ', doc_id % 90, '.5 mmol/g at ', 300 + doc_id % 50, ' K, pH ', "
+            "if(doc_id % 2 = 0, '', '['), 7000000 + doc_id, if(doc_id % 2 = 0, '', ']'), ', in 1-3 bar.')")
+    validated = base.selectExpr("cast(doc_id AS string) AS paper_id", f"array({record}) AS rows")
+    docs = base.selectExpr("cast(doc_id AS string) AS paper_id", f"{said} AS llm_text")
+    return mentions.evidence_spans(validated, docs).selectExpr(
+        "paper_id", "field", "supported", "cast(first AS bigint) AS first", "cast(end AS bigint) AS last", "cast(distance AS bigint) AS distance")
+
+
 # Pattern -> use case, over the words of event_type.
 USE_CASES = {"purchase|signup": "catalyst conversion", "view": "adsorbent traffic", "click": "adsorbent traffic",
              "nothing like it": "paint stabilizer"}

@@ -386,6 +386,20 @@ WITH d AS (SELECT cast(doc_id AS VARCHAR) AS paper_id, doc_id % 997 + 0.25::DOUB
 SELECT paper_id, 'capacity' AS field, cast(0 AS BIGINT) AS match_idx, c AS value, 'mg/g' AS unit, round(c / 44.01::DOUBLE, 6) AS normal_value FROM d
 UNION ALL SELECT paper_id, 'pressure', 0, k, 'kPa', round(k * 0.01::DOUBLE, 6) FROM d
 UNION ALL SELECT paper_id, 'temperature', 0, t, 'K', round(t - 273.15::DOUBLE, 6) FROM d"""
+ORACLE["bind_measurements"] = """
+WITH d AS (SELECT doc_id AS i, cast(doc_id AS VARCHAR) AS paper_id FROM documents)
+SELECT paper_id, 0::BIGINT AS match_idx, 'capacity' AS dimension, i % 997 + 0.25::DOUBLE AS value, 'mg/g' AS unit, 'LDH-' || paper_id AS material_id, 3::BIGINT AS distance FROM d
+UNION ALL SELECT paper_id, 1, 'temperature', 25, '°C', 'LDH-' || paper_id, 6 FROM d
+UNION ALL SELECT paper_id, 2, 'capacity', i % 7, 'mmol/g', 'Zn' || paper_id, 3 FROM d
+UNION ALL SELECT paper_id, 3, 'pressure', 2, 'bar', NULL, NULL FROM d"""
+ORACLE["evidence_spans"] = """
+WITH d AS (SELECT cast(doc_id AS VARCHAR) AS paper_id, doc_id % 2 = 0 AS plain, length(coalesce(text, '')) + 1 + length('LDH- held ' || doc_id) AS cap,
+             length(doc_id % 90 || '.5 mmol/g') AS n_cap, length(cast(7000000 + doc_id AS VARCHAR)) AS n_ph FROM documents),
+p AS (SELECT *, cap + n_cap + 4 AS temp, cap + n_cap + 4 + 5 + 5 AS ph FROM d)
+SELECT paper_id, 'measurement.co2_adsorption_capacity_mmol_g' AS field, true AS supported, cap::BIGINT AS first, (cap + n_cap)::BIGINT AS last, 2::BIGINT AS distance FROM p
+UNION ALL SELECT paper_id, 'measurement.adsorption_temperature_c', true, temp, temp + 5, 5 FROM p
+UNION ALL SELECT paper_id, 'synthesis_method.ph', plain, CASE WHEN plain THEN ph END, CASE WHEN plain THEN ph + n_ph END, CASE WHEN plain THEN 8 END FROM p
+UNION ALL SELECT paper_id, 'measurement.pressure_bar', false, NULL, NULL, NULL FROM p"""
 ORACLE["extract_use_cases"] = """
 SELECT cast(user_id % 50 AS VARCHAR) AS paper_id, 'U' || user_id AS material_id,
   concat_ws('; ', CASE WHEN bool_or(event_type IN ('view', 'click')) THEN 'adsorbent traffic' END,

@@ -40,8 +40,11 @@ def _csv_column(field: T.StructField) -> Column:
 
 
 def write_rows(rows: DataFrame, path: str, fieldnames: list[str], mode: str = "append") -> None:
-    """Write rows to a CSV directory with one header per file; nulls are empty. No rows: nothing is written."""
-    if not rows.head(1):
+    """Write rows to a CSV directory with one header per file; nulls are empty.
+
+    Without rows nothing is appended and no directory is made, but rows that an earlier ``overwrite`` left are replaced by none.
+    """
+    if rows.isEmpty() and (mode == "append" or not exists(rows.sparkSession, path)):
         return
     fields = {f.name: f for f in rows.schema.fields}
     (rows.select(*[_csv_column(fields[n]) for n in fieldnames]).write.mode(mode)

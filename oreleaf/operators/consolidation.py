@@ -106,15 +106,12 @@ def consolidate(records: DataFrame, schema: ExtractionSchema, similar: float = p
         F.expr("min(if(item IS NULL, NULL, named_struct('row_idx', row_idx, 'pos', pos, 'item', item)))").alias("first"),
         F.min("row_idx").alias("row_idx"),
         F.expr("count_if(coalesce(pos, 0) = 0)").alias("n_variants"))
-    per_item = per_item.withColumn("gid", F.md5(F.to_json(F.struct(*group))))
     # Second level: only the distinct word sets of a key, which is the size of the result.
-    whole = per_item.groupBy("gid", *group).agg(
+    return per_item.groupBy(*group).agg(
         *[F.max(_name(p)).alias(_name(p)) for p, _ in picks],
-        F.expr("collect_list(if(first IS NULL, NULL, named_struct('first', first, 'name', array_join(words, ' '))))").alias("firsts"),
-        F.min("row_idx").alias("row_idx"), F.sum("n_variants").alias("n_variants"))
-    linked = phrases.links(per_item.select("gid", "words"), similar).withColumnRenamed("gid", "_gid")
-    return whole.join(linked, F.col("gid") == F.col("_gid"), "left").withColumn(
-        _name(united), F.expr(phrases.first_of_each("firsts", "links"))).selectExpr(*out)
+        F.expr("collect_list(if(first IS NULL, NULL, named_struct('first', first, 'words', words)))").alias("firsts"),
+        F.min("row_idx").alias("row_idx"), F.sum("n_variants").alias("n_variants"),
+    ).withColumn(_name(united), F.expr(phrases.first_of_each("firsts", similar))).selectExpr(*out)
 
 
 def assess_or_keep(records: DataFrame, assessed: DataFrame, outcome: DataFrame) -> DataFrame:

@@ -1,20 +1,17 @@
-"""Near-identical phrases within a group, by a set-similarity join.
+"""Near-identical phrases within a group.
 
 A phrase stands for the set of its content words. Phrases with equal sets are one
-from the start; other pairs link at a Jaccard similarity of ``similar`` or more, and
+from the start, by a grouping; other pairs link at a Jaccard similarity of ``similar`` or more, and
 linked phrases, directly or over others, are one.
 
-Two sets can only be that similar if they share a word among the first few of each in one
-common order (prefix filter). The order is by length, then alphabet: long words are the rare ones, so
-few phrases meet. Pairs meet on (group, word) and are compared in full; no pair that
-cannot link is made but those that share such a word.
+The distinct sets of a group are one row, which is the size of the group's result, and are compared within it: no
+self-join. Two sets can only be that similar if their sizes are and if they share a word among the first few of each in one
+common order (prefix filter; by length, then alphabet: long words are the rare ones). Only such pairs are compared
+in full.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
 from oreleaf.functions import sqltext as Q
 
 # Words that do not tell phrases apart.
@@ -30,35 +27,23 @@ def content_words(phrase: str) -> str:
     return f"array_sort({content}, (a, b) -> CASE WHEN length(a) <> length(b) THEN length(b) - length(a) WHEN a < b THEN -1 WHEN a > b THEN 1 ELSE 0 END)"
 
 
-def links(phrases: DataFrame, similar: float = SIMILAR) -> DataFrame:
-    """phrases(gid, words), distinct -> gid, links ARRAY<STRUCT<u, v>>: the pairs of word sets (as text) that are similar."""
-    n = F.size("words")
-    prefix = F.expr(f"slice(words, 1, greatest(size(words) - cast(ceil({similar} * size(words)) AS int) + 1, 1))")
-    each = phrases.where(n > 0).select("gid", F.array_join("words", " ").alias("name"), "words", F.explode(prefix).alias("word"))
-    left = each.select(F.col("gid").alias("g"), F.col("word").alias("w"), F.col("name").alias("u"), F.col("words").alias("a"))
-    right = each.select("gid", "word", F.col("name").alias("v"), F.col("words").alias("b"))
-    smaller, larger = F.least(F.size("a"), F.size("b")), F.greatest(F.size("a"), F.size("b"))
-    met = left.join(right, (F.col("g") == F.col("gid")) & (F.col("w") == F.col("word")) & (F.col("u") < F.col("v")) & (smaller >= similar * larger))
-    common = F.size(F.array_intersect("a", "b"))
-    alike = met.where(common >= similar * (F.size("a") + F.size("b") - common))
-    return alike.groupBy("gid").agg(F.sort_array(F.collect_set(F.struct("u", "v"))).alias("links"))
-
-
-def labels(links_of: str) -> str:
-    """SQL: word set -> its class, as a map, from a group's links. Only linked phrases are in it; a class is named by one of them."""
-    # Each link moves the class of one end, wherever it stands, to that of the other.
-    nodes = f"array_distinct(flatten({Q.each(links_of, lambda e: f'array({e}.u, {e}.v)')}))"
-    return Q.let(nodes, lambda names: Q.let(
-        f"aggregate({links_of}, {names}, (now, e) -> transform(now, x -> if(x = get(now, array_position({names}, e.v) - 1), get(now, array_position({names}, e.u) - 1), x)))",
-        lambda found: f"map_from_arrays({names}, {found})"))
+def _links(sets: str, similar: float) -> str:
+    """SQL: pairs (u, v) of places, u before v, of similar sets."""
+    prefix = lambda w: f"slice({w}, 1, greatest(size({w}) - cast(ceil({similar} * size({w})) AS int) + 1, 1))"
+    common = "size(array_intersect(a.words, b.words))"
+    numbered = Q.each_indexed(sets, lambda w, i: Q.named_struct({"at": i, "n": f"size({w})", "words": w, "prefix": prefix(w)}))
+    fits = (f"b.at > a.at AND a.n > 0 AND b.n > 0 AND least(a.n, b.n) >= {similar} * greatest(a.n, b.n) AND arrays_overlap(a.prefix, b.prefix)"
+            f" AND {common} >= {similar} * (a.n + b.n - {common})")
+    return Q.let(numbered, lambda each: (
+        f"flatten(transform({each}, a -> transform(filter({each}, b -> {fits}), b -> named_struct('u', a.at, 'v', b.at))))"))
 
 
-def first_of_each(firsts: str, links_of: str) -> str:
-    """SQL: items of firsts(first STRUCT<row_idx, pos, item>, name) that are the first of their class, in order of mention."""
-    def kept(map_and_list: str) -> str:
-        labelled = f"transform({map_and_list}.firsts, x -> named_struct('item', x.first.item, 'class', coalesce({map_and_list}.labels[x.name], x.name)))"
-        return Q.let(labelled, lambda all_: f"transform(filter({all_}, (x, i) -> NOT exists(slice({all_}, 1, i), y -> y.class = x.class)), x -> x.item)")
+def first_of_each(firsts: str, similar: float = SIMILAR) -> str:
+    """SQL: items of firsts(first STRUCT<row_idx, pos, item>, words) that are the first of their class, in order of mention."""
+    def kept(found: str) -> str:
+        # Each link moves the class of its later end, wherever it stands, to that of the earlier one.
+        start = f"transform({found}, (x, i) -> i)"
+        classes = f"aggregate({_links(f'transform({found}, x -> x.words)', similar)}, {start}, (now, e) -> transform(now, x -> if(x = get(now, e.v), get(now, e.u), x)))"
+        return Q.let(classes, lambda c: f"transform(filter({found}, (x, i) -> array_position({c}, get({c}, i)) = i + 1), x -> x.first.item)")
 
-    none = "cast(map() AS map<string,string>)"
-    return Q.let(Q.named_struct({
-        "firsts": f"array_sort({firsts})", "labels": f"if(size({links_of}) > 0, {labels(links_of)}, {none})"}), kept)
+    return Q.let(f"array_sort({firsts})", lambda found: f"if(size({found}) > 0, {Q.let(found, kept)}, cast(array() AS array<string>))")

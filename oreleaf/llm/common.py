@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -19,7 +19,7 @@ SPACE_WORD = r"[^\x20\x09-\x0D]+"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all machines share: `spark.checkpoint.dir`, or one of this process where it is unset (tests)."""
+    """The folder all machines share: `spark.checkpoint.dir`; where it is unset, one of this process if that is all there is (tests)."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         folder = tempfile.mkdtemp(prefix="oreleaf-shared-")
@@ -27,11 +27,11 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def staged(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write `df` into the shared folder and read it back: cuts the lineage, and a lost executor loses nothing."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, **options)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -60,3 +60,37 @@ def slices(batch: pa.RecordBatch, column: str, most: int = 4 << 20) -> Iterator[
         size += length
     if first < batch.num_rows:
         yield batch.slice(first)
+
+
+def space_parts(texts: list[str]) -> list[list[str]]:
+    """Each text's pieces between spaces and line ends."""
+    return [text.replace("\n", " ").split(" ") for text in texts]
+
+
+class PieceMemo:
+    """Bytes for pieces of text, made for all new pieces of a call at once.
+
+    Two generations of at most about `kept` pieces each: when the young one is full it becomes the old one, and what is asked for again moves up,
+    so frequent pieces stay and memory is bounded. Pieces of more than `longest` characters are not kept.
+    """
+
+    def __init__(self, made: Callable[[list[str]], list[bytes]], kept: int = 150_000, longest: int = 64):
+        self.made, self.kept, self.longest = made, kept, longest
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def joined(self, parts: list[list[str]]) -> list[bytes]:
+        """The bytes of each list's pieces one after the other."""
+        young, old = self.young, self.old
+        new = [piece for piece in set().union(*parts) if piece not in young]
+        unknown = [piece for piece in new if piece not in old]
+        young.update((piece, old[piece]) for piece in new if piece in old)
+        young.update(zip(unknown, self.made(unknown)))
+        of = young.__getitem__
+        out = [b"".join(map(of, part)) for part in parts]
+        for piece in unknown:
+            if len(piece) > self.longest:
+                del young[piece]
+        if len(young) > self.kept:
+            self.old, self.young = young, {}
+        return out

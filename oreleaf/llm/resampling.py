@@ -8,7 +8,7 @@ window follows from its words' values and lengths (`Crc.joined`) and all windows
 The first pass sums bucket counts: a task emits one histogram, Spark adds them up (`buckets` rows, whatever the corpus). The gains of the
 buckets, as many, go to all tasks, and the second pass sums them over each document. Words are taken again in place of
 being stored, as a stored window list would be as large as the texts. A process remembers the words of the pieces between spaces it has seen, up
-to a fixed number, and asks the library for all new pieces of a batch in one call.
+to a fixed number, and asks the library for all new pieces of a batch together.
 
 The drawn documents are the highest scores (weight plus Gumbel noise from a hash of the id): scores are dealt out by range, each
 range is counted, and a document's rank is the count of the ranges above plus its place in its own. Nothing is sorted in one task.
@@ -29,18 +29,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Regex, pre_tokenizers
 
-from oreleaf.llm.common import ALNUM_WORD, UPPER, slices, staged, text_or_empty
+from oreleaf.llm.common import ALNUM_WORD, UPPER, PieceMemo, slices, space_parts, staged, text_or_empty
 
 N = 3
 BUCKETS = 10_000
 SEED = 42
 MIN_WORDS = 20
 PERCENT = 5
-PIECES_KEPT = 300_000
-LONGEST_KEPT = 64
+PIECES_A_CALL = 200
+SHORT = 64  # bytes of a word and a space before it that have a table of their own
 ROWS_A_RANGE = 2_000_000
 
-_LOWER = str.maketrans(UPPER, UPPER.lower())
+_LOWER = bytes.maketrans(UPPER.encode(), UPPER.lower().encode())
 
 
 class Crc:
@@ -59,6 +59,10 @@ class Crc:
         while len(self.powers) < 32:
             last = self.powers[-1]
             self.powers.append(np.stack([self._over(last, row) for row in last]))
+        some = [np.stack([shift, shift << 8, shift << 16, shift << 24])]  # of 0, 1, 2, ... bytes
+        while len(some) < SHORT:
+            some.append(np.stack([self._over(first, row) for row in some[-1]]))
+        self.some = np.concatenate(some, axis=1)  # a row for each byte of a value
 
     @staticmethod
     def _over(table: np.ndarray, values: np.ndarray) -> np.ndarray:
@@ -66,13 +70,14 @@ class Crc:
 
     def joined(self, left: np.ndarray, right: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """Values of left strings followed by right ones of these lengths."""
-        out = left.copy()
-        for bit in range(int(lengths.max(initial=0)).bit_length()):
-            moved = (lengths >> bit & 1).astype(bool)
-            if moved.all():
-                out = self._over(self.powers[bit], out)
-            elif moved.any():
-                out[moved] = self._over(self.powers[bit], out[moved])
+        at = np.minimum(lengths, SHORT - 1).astype(np.int64) << 8
+        out = self.some[0][at | left & 255] ^ self.some[1][at | left >> 8 & 255] ^ self.some[2][at | left >> 16 & 255] ^ self.some[3][at | left >> 24]
+        for place in np.flatnonzero(lengths >= SHORT):  # rare: very long words
+            value, length = left[place : place + 1], int(lengths[place])
+            for bit in range(length.bit_length()):
+                if length >> bit & 1:
+                    value = self._over(self.powers[bit], value)
+            out[place] = value[0]
         return out ^ right
 
 
@@ -81,80 +86,63 @@ def _crc() -> Crc:
     return Crc()
 
 
-class Words:
-    """The words of the pieces between spaces, as numbers, with each word's CRC alone and after a space.
+WORD = np.dtype([("alone", "<u4"), ("after", "<u4"), ("length", "<u4")])  # CRC of a word, of a space and the word, and the latter's bytes
 
-    A word has no space in it, so the words of a text are those of its pieces one after the other. All pieces that are new in a batch are split in
-    one call, whose offsets say which word lies in which piece.
-    """
+
+class Words:
+    """The words of texts as WORD records, from those of their pieces between spaces: a word has no space in it."""
 
     def __init__(self, pattern: str = ALNUM_WORD):
         self.split = pre_tokenizers.Split(Regex(pattern), "removed", invert=True)
-        self.forget()
-
-    def forget(self) -> None:
-        self.number: dict[str, int] = {}
-        self.word_of: dict[str, int] = {}
-        self.pieces: list[list[int]] = []
-        self.alone: list[int] = []
-        self.after: list[int] = []
-        self.length: list[int] = []
-
-    def _word(self, word: str) -> int:
-        known = self.word_of.get(word)
-        if known is None:
-            data = word.encode()
-            known = self.word_of[word] = len(self.alone)
-            self.alone.append(zlib.crc32(data))
-            self.after.append(zlib.crc32(b" " + data))
-            self.length.append(len(data) + 1)
-        return known
+        self.memo = PieceMemo(self._records)
+
+    def _records(self, pieces: list[str]) -> list[bytes]:
+        """A call splits a row of pieces; a word's offset in the row says which piece it is of."""
+        out: list[bytes] = []
+        for at in range(0, len(pieces), PIECES_A_CALL):
+            group = pieces[at : at + PIECES_A_CALL]
+            found = self.split.pre_tokenize_str(" ".join(group))
+            words = [word.encode() for word, _ in found]
+            records = np.empty(len(words), WORD)
+            records["alone"] = [zlib.crc32(word) for word in words]
+            records["after"] = [zlib.crc32(word, 0xE96CCF45) for word in words]  # goes on from the CRC of a space
+            records["length"] = [len(word) + 1 for word in words]
+            ends = np.cumsum([len(piece) + 1 for piece in group])
+            edges = (WORD.itemsize * np.searchsorted([start for _, (start, _) in found], ends)).tolist()
+            raw = records.tobytes()
+            out += [raw[a:b] for a, b in zip([0, *edges], edges)]
+        return out
 
     def of(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The words of the texts in one row, and each text's number of words."""
-        parts = [text.translate(_LOWER).replace("\n", " ").split(" ") for text in texts]
-        new = list({piece for part in parts for piece in part} - self.number.keys())
-        ends = np.cumsum([len(piece) + 1 for piece in new])
-        found: list[list[int]] = [[] for _ in new]
-        split = self.split.pre_tokenize_str(" ".join(new)) if new else []
-        for place, (word, _) in zip(np.searchsorted(ends, [offsets[0] for _, offsets in split], "right").tolist(), split):
-            found[place].append(self._word(word))
-        self.number.update(zip(new, range(len(self.pieces), len(self.pieces) + len(new))))
-        self.pieces += found
-        sizes = np.array([len(piece) for piece in self.pieces], np.int64)
-        flat = np.array([word for piece in self.pieces for word in piece], np.int64)
-        begins = np.cumsum(sizes) - sizes
-        number = self.number.__getitem__
-        pieces = np.array([number(piece) for part in parts for piece in part], np.int64)
-        counts = sizes[pieces]
-        within = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-        words = flat[np.repeat(begins[pieces], counts) + within]
-        per_text = np.add.reduceat(counts, np.cumsum([0, *map(len, parts)])[:-1]) if texts else np.zeros(0, np.int64)
-        return words, per_text
+        packed = self.memo.joined(space_parts([text.encode().translate(_LOWER).decode() for text in texts]))
+        return np.frombuffer(b"".join(packed), WORD), np.array([len(p) // WORD.itemsize for p in packed], np.int64)
 
 
 def bucket_windows(words: Words, texts: list[str], n: int = N, buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(bucket, text) of every window of the texts, and each text's number of words."""
     row, per_text = words.of(texts)
     owner = np.repeat(np.arange(len(texts)), per_text)
-    alone, after, length = (np.array(x, kind) for x, kind in ((words.alone, np.uint32), (words.after, np.uint32), (words.length, np.int64)))
-    value = alone[row]
+    value, after, length = row["alone"], row["after"], row["length"]
     out_buckets, out_owner = [value % buckets], [owner]
     for width in range(2, n + 1):  # windows that start at each word and end width - 1 words on, in the same text
         whole = owner[: len(row) - width + 1] == owner[width - 1 :]
-        last = row[width - 1 :]
-        value = _crc().joined(value[: len(last)], after[last], length[last])
+        last = slice(width - 1, None)
+        value = _crc().joined(value[: len(row) - width + 1], after[last], length[last])
         out_buckets.append(value[whole] % buckets)
-        out_owner.append(owner[: len(last)][whole])
+        out_owner.append(owner[: len(value)][whole])
     return np.concatenate(out_buckets).astype(np.int64), np.concatenate(out_owner), per_text
 
 
+@cache
+def _words() -> Words:
+    return Words()  # stays with a process for its next task
+
+
 def _passes(batches: Iterator[pa.RecordBatch], n: int, buckets: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray]]:
-    words = Words()
+    words = _words()
     for whole in batches:
         for batch in slices(whole, "_text", 1 << 20):
-            if len(words.number) > PIECES_KEPT or len(words.alone) > PIECES_KEPT:
-                words.forget()
             yield batch, *bucket_windows(words, batch.column("_text").to_pylist(), n, buckets)
 
 

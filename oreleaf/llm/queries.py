@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from oreleaf.llm import bpe, conversations, decontamination, filter_audit, licenses, quality, resampling, sharding, simhash, suffixes, thresholds, token_files, url_filters
+from oreleaf.llm.common import staged
 from oreleaf.llm.oracle import ORACLE
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -106,7 +107,8 @@ def op10_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op11_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = token_files.new_folder(spark)
-    token_files.write(token_files.tokenize(table(spark, sf_dir, "documents"), WORD_BPE, END_ID), path)
+    tokens = token_files.tokenize(table(spark, sf_dir, "documents"), WORD_BPE, END_ID)
+    token_files.write(staged(tokens, "token-ids", compression="zstd"), path)
     return token_files.read(spark, path).select("doc_id", "start", "n_tokens", F.crc32("token_ids").alias("ids_crc32"))
 
 

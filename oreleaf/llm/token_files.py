@@ -10,11 +10,11 @@ tables below a folder:
   offset of every `STEP`-th id of each document, so that a block is decoded on its own and all its stretches at once;
 * `parts` (part, n_documents, n_ids, start): totals of the range of documents that one task wrote, and the ids before it.
 
-Documents are put into order by a range shuffle of their codes, about a third of the ids' own size; a range's place follows from the
-totals of those before, so nothing is sorted or summed in one task. `read` decodes blocks, each in any task, by one table look-up for each id.
+Documents are put into order by one shuffle of their codes, about a third of the ids' own size, into ranges of (id, place in the input), so rows of one
+id can part too; ranges come from a sample of ids of bounded size, which decides how even they are and nothing else. A range's place follows from the totals of those before, so nothing is sorted or summed in one task. `read` decodes blocks, each in any task, by one table look-up for each id.
 
 A text's ids are those of its pieces between spaces, as the tokenizer drops white space before it looks for tokens; a process remembers
-pieces it has seen, up to a fixed number, and asks the library for all new pieces of a batch in one call.
+pieces it has seen, up to a fixed number, and asks the library for the new pieces of a batch together.
 
 Defined results: a null text is the empty one and has the end id alone; null ids are no ids; a null document id comes first; rows of one
 id follow one another; an empty table writes no block and reads as an empty one; other columns are ignored.
@@ -25,6 +25,7 @@ from __future__ import annotations
 import os
 import re
 import uuid
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,23 +33,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from oreleaf.llm.common import shared_folder, slices, staged, text_or_empty
+from oreleaf.llm.common import PieceMemo, shared_folder, slices, space_parts, text_or_empty
 
 MAX_BITS = 18  # of a code; a decoding table has 2^18 entries
 STEP = 256  # ids between two marks
 BLOCK_BYTES = 1 << 20
 BLOCK_DOCUMENTS = 1 << 16
-IDS_A_RANGE = 50_000_000
-PIECES_KEPT = 300_000
-LONGEST_KEPT = 64
+IDS_A_RANGE = 500_000_000
+SAMPLE_A_RANGE, SAMPLE = 100, 1_000_000
+PIECES_A_CALL = 200
 
-# Between an ASCII or Latin-1 letter and an ASCII character that is neither one nor an apostrophe: the tokenizer never reads across.
-_LETTER, _OTHER = "A-Za-zÀ-ÖØ-öø-ÿ", r"!-&(-@\[-`{-~"
-_SEAM = re.compile(rf"(?<=[{_LETTER}])(?=[{_OTHER}])|(?<=[{_OTHER}])(?=[{_LETTER}])")
+# One ASCII mark, no apostrophe, between a letter and white space: the tokenizer never reads across either side of it, so a space may go before it.
+_CLOSING = re.compile(r"(?<=[A-Za-zÀ-ÖØ-öø-ÿ])([!-&(-@\[-`{-~])(?=[ \n])")
+_PLAIN = re.compile(r"[a-zA-Z]+")
 
-
-class Pieces:
-    """Packed ids of the pieces between spaces; forgets all when full, so its memory is bounded."""
+class Ids:
+    """Packed ids of texts from those of their pieces between spaces."""
 
     def __init__(self, tokenizer: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
@@ -58,29 +58,28 @@ class Pieces:
         self.model.no_padding()
         self.model.no_truncation()
         self.model.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.whole: dict[str, bytes] = {"": b""}
-        self.part: dict[str, bytes] = {}
-
-    def encoded(self, texts: list[str]) -> list[bytes]:
-        parts = [text.replace("\n", " ").split(" ") for text in texts]
-        new = list({piece for part in parts for piece in part} - self.whole.keys())
-        seams = [_SEAM.split(piece) for piece in new]
-        unknown = list({p for seam in seams for p in seam} - self.part.keys())
-        for piece, found in zip(unknown, self.model.encode_batch(unknown, add_special_tokens=False)):
-            self.part[piece] = np.array(found.ids, "<u4").tobytes()
-        ids = self.part.__getitem__
-        self.whole.update((piece, b"".join(map(ids, seam))) for piece, seam in zip(new, seams))
-        ids = self.whole.__getitem__
-        out = [b"".join(map(ids, part)) for part in parts]
-        for known, added in ((self.whole, new), (self.part, unknown)):
-            if len(known) > PIECES_KEPT:
-                known.clear()
-                self.whole[""] = b""
-            else:
-                for piece in added:
-                    if len(piece) > LONGEST_KEPT:
-                        del known[piece]
-        return out
+        self.merged = self.model.model.tokenize
+        self.memo = PieceMemo(self._encoded, 300_000)
+
+    def _encoded(self, pieces: list[str]) -> list[bytes]:
+        """ASCII letters alone are one word of the model; other pieces are encoded in rows, where the place of a token says whose it is."""
+        lower = self.model.normalizer.normalize_str("A") == "a" and self.model.pre_tokenizer.pre_tokenize_str("ab") == [("ab", (0, 2))]
+        out = {piece: np.array([token.id for token in self.merged(piece.lower())], "<u4").tobytes() for piece in pieces if lower and _PLAIN.fullmatch(piece)}
+        rest = [piece for piece in pieces if piece not in out]
+        for at in range(0, len(rest), PIECES_A_CALL):
+            group = rest[at : at + PIECES_A_CALL]
+            found = self.model.encode(" ".join(group), add_special_tokens=False)
+            raw = np.array(found.ids, "<u4").tobytes()
+            ends = np.cumsum([len(piece) + 1 for piece in group])
+            edges = (4 * np.searchsorted([start for start, _ in found.offsets], ends)).tolist()
+            out.update((piece, raw[a:b]) for piece, a, b in zip(group, [0, *edges], edges))
+        return [out[piece] for piece in pieces]
+
+    def of(self, texts: list[str]) -> list[bytes]:
+        return self.memo.joined(space_parts([_CLOSING.sub(r" \1", text) for text in texts]))
+
+
+_loaded: dict[str, Ids] = {}  # stays with a process for its next task
 
 
 def tokenize(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -90,33 +89,32 @@ def tokenize(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str = "d
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = Pieces(sent.value)
+        if sent.value not in _loaded:
+            _loaded.clear()
+            _loaded[sent.value] = Ids(sent.value)
+        ids_of = _loaded[sent.value].of
         for whole in batches:
             for batch in slices(whole, "_text", 1 << 20):
-                ids = [found + end for found in pieces.encoded(batch.column("_text").to_pylist())]
+                ids = [found + end for found in ids_of(batch.column("_text").to_pylist())]
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], [id_col, "token_ids"])
 
     given = docs.select(F.col(id_col), text_or_empty(text_col).alias("_text"))
     return given.mapInArrow(run, f"`{id_col}` {given.schema[id_col].dataType.simpleString()}, token_ids binary")
 
 
-def _added(ids: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    distinct, place = np.unique(ids, return_inverse=True)
-    sums = np.zeros(len(distinct), np.int64)
-    np.add.at(sums, place, counts)
-    return distinct, sums
-
-
 def counts(tokens: DataFrame, ids_col: str = "token_ids") -> DataFrame:
     """(id, n) over all rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        total = np.zeros(0, np.int64)  # as long as the largest id
         for whole in batches:
             for batch in slices(whole, "_ids"):
-                found, n = np.unique(_flat(batch.column(0))[0], return_counts=True)
-                total = _added(np.concatenate([total[0], found.astype(np.int64)]), np.concatenate([total[1], n]))
-        yield pa.RecordBatch.from_arrays([pa.array(total[0]), pa.array(total[1])], ["id", "n"])
+                found = np.bincount(_flat(batch.column(0))[0])
+                if len(found) > len(total):
+                    found, total = total, found
+                total[: len(found)] += found
+        ids = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total[ids])], ["id", "n"])
 
     return tokens.select(F.col(ids_col).alias("_ids")).mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
 
@@ -233,8 +231,20 @@ def unpacked(bits: bytes, marks: np.ndarray, n_tokens: np.ndarray, reading: tupl
     return out
 
 
+def _key(value, place: int) -> tuple:
+    return (value is not None, value, place) if value is not None else (False, place)
+
+
+def _bounds(keys: DataFrame, n_ranges: int) -> list[tuple]:
+    """The first key of every range but the lowest, from a sample of some SAMPLE keys at most: it decides how even the ranges are, nothing else."""
+    rows = keys.count()
+    sample = keys.sample(min(1.0, min(n_ranges * SAMPLE_A_RANGE, SAMPLE) / max(rows, 1)), seed=7).collect()
+    ordered = sorted(_key(*row) for row in sample)
+    return [ordered[i * len(ordered) // n_ranges] for i in range(1, n_ranges)] if ordered else []
+
+
 def write(tokens: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "token_ids", max_bits: int = MAX_BITS) -> None:
-    """Write the tables named above below `path`. `tokens` is evaluated twice: for the counts and for the codes."""
+    """Write the tables named above below `path`. `tokens` is read three times (counts, a sample of ids, codes): give it written."""
     spark = tokens.sparkSession
     counted = counts(tokens, ids_col).collect()  # a row for each id of the vocabulary
     ids, n = np.array([r["id"] for r in counted], np.int64), np.array([r["n"] for r in counted], np.int64)
@@ -242,26 +252,27 @@ def write(tokens: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "
     lengths = code_lengths(n, bits)
     spark.createDataFrame(list(zip(ids.tolist(), lengths.tolist(), n.tolist())), "id long, n_bits long, n long").coalesce(1).write.parquet(f"{path}/codes")
     sent = spark.sparkContext.broadcast(Codes(ids, lengths).writing())
-    given = tokens.select(F.col(id_col).alias("_id"), F.col(ids_col).alias("_ids"))
+    given = tokens.select(F.col(id_col).alias("_id"), F.monotonically_increasing_id().alias("_place"), F.col(ids_col).alias("_ids"))
     kind = given.schema["_id"].dataType.simpleString()
+    n_ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(n.sum()) // IDS_A_RANGE + 1)
+    bounds = spark.sparkContext.broadcast(_bounds(given.select("_id", "_place"), n_ranges))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, "_ids"):
-                flat, n_tokens = _flat(batch.column(1))
+                flat, n_tokens = _flat(batch.column(2))
                 data, ends, marks = packed(flat, n_tokens, sent.value)
                 begins = np.concatenate([[0], ends[:-1]]).astype(np.int64)
                 stretches = np.cumsum(-(-n_tokens // STEP))
                 raw = marks.astype("<u4").tobytes()
                 edges = [0, *(stretches * 4).tolist()]
+                keys = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
                 yield pa.RecordBatch.from_arrays([
-                    batch.column(0), pa.array(n_tokens), pa.array([data[a:b] for a, b in zip(begins.tolist(), ends.tolist())], pa.binary()),
-                    pa.array([raw[a:b] for a, b in zip(edges, edges[1:])], pa.binary()),
-                ], ["_id", "_n", "_bits", "_marks"])
+                    batch.column(0), batch.column(1), pa.array([bisect_right(bounds.value, _key(*key)) for key in keys], pa.int32()), pa.array(n_tokens),
+                    pa.array([data[a:b] for a, b in zip(begins.tolist(), ends.tolist())], pa.binary()), pa.array([raw[a:b] for a, b in zip(edges, edges[1:])], pa.binary()),
+                ], ["_id", "_place", "_range", "_n", "_bits", "_marks"])
 
-    encoded = given.mapInArrow(encode, f"_id {kind}, _n long, _bits binary, _marks binary")
-    encoded = staged(encoded.withColumn("_place", F.monotonically_increasing_id()), "codes-of-documents")
-    n_ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(n.sum()) // IDS_A_RANGE + 1)
+    encoded = given.mapInArrow(encode, f"_id {kind}, _place long, _range int, _n long, _bits binary, _marks binary")
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = before = 0
@@ -295,7 +306,7 @@ def write(tokens: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "
         if kept:
             yield closed()
 
-    ranges = encoded.repartitionByRange(n_ranges, "_id", "_place").sortWithinPartitions("_id", "_place")
+    ranges = encoded.repartitionById(n_ranges, F.col("_range")).sortWithinPartitions("_id", "_place")
     made = ranges.mapInArrow(blocks, f"block int, first long, ids_of array<{kind}>, n_tokens array<long>, marks binary, bits binary")
     made.select(F.spark_partition_id().alias("part"), "*").write.parquet(f"{path}/blocks")
     totals = spark.read.parquet(f"{path}/blocks").groupBy("part").agg(

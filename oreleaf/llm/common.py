@@ -22,6 +22,8 @@ def shared_folder(spark: SparkSession) -> str:
     """The folder all machines share: `spark.checkpoint.dir`; where it is unset, one of this process if that is all there is (tests)."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         folder = tempfile.mkdtemp(prefix="oreleaf-shared-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")

@@ -302,14 +302,14 @@ def repeats(docs: DataFrame, text_col: str = "text", threshold: int = THRESHOLD)
 
 
 def facts(docs: DataFrame, text_col: str = "text", threshold: int = THRESHOLD) -> DataFrame:
-    """(_f1, _f2, copied, spans, kept, kept_text) of each text that loses bytes; `copied` ones, which several rows share, lose all."""
+    """(_f1, _f2, _copied, spans, kept, kept_text) of each text that loses bytes; `_copied` ones, which several rows share, lose all."""
     copied = (
         _keyed(docs, text_col).where(F.octet_length("_text") >= threshold).groupBy(F.col("_t1").alias("_c1"), F.col("_t2").alias("_c2"))
         .agg(F.count("*").alias("_copies")).where("_copies > 1")
     )
     found = repeats(docs, text_col, threshold).select(F.col("_t1").alias("_r1"), F.col("_t2").alias("_r2"), "spans", "kept", "kept_text")
     return staged(copied.join(found, (F.col("_c1") == F.col("_r1")) & (F.col("_c2") == F.col("_r2")), "full").select(
-        F.coalesce("_c1", "_r1").alias("_f1"), F.coalesce("_c2", "_r2").alias("_f2"), F.col("_copies").isNotNull().alias("copied"), "spans", "kept", "kept_text",
+        F.coalesce("_c1", "_r1").alias("_f1"), F.coalesce("_c2", "_r2").alias("_f2"), F.col("_copies").isNotNull().alias("_copied"), "spans", "kept", "kept_text",
     ), "repeats")
 
 
@@ -318,10 +318,10 @@ def with_facts(keyed: DataFrame, found: DataFrame) -> DataFrame:
     joined = keyed.join(found, (F.col("_t1") == F.col("_f1")) & (F.col("_t2") == F.col("_f2")), "left").drop("_f1", "_f2")
     everything = F.array(F.struct(F.lit(0).alias("first"), F.col("n_bytes").cast("int").alias("end")))
     return joined.withColumns({
-        "spans": F.when(F.col("copied"), everything).otherwise(F.col("spans")),
-        "kept": F.when(F.col("copied"), F.expr("X''")).otherwise(F.col("kept")),
-        "kept_text": F.when(F.col("copied"), F.lit("")).otherwise(F.col("kept_text")),
-    }).drop("copied")
+        "spans": F.when(F.col("_copied"), everything).otherwise(F.col("spans")),
+        "kept": F.when(F.col("_copied"), F.expr("X''")).otherwise(F.col("kept")),
+        "kept_text": F.when(F.col("_copied"), F.lit("")).otherwise(F.col("kept_text")),
+    }).drop("_copied")
 
 
 def keyed(docs: DataFrame, text_col: str = "text") -> DataFrame:

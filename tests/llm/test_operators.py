@@ -76,6 +76,11 @@ def test_repeated_bytes(docs, none, monkeypatch):
     assert suffixes.without_repeats(none).count() == 0
 
 
+def test_repeated_bytes_beside_a_column_copied(docs):
+    got = suffixes.without_repeats(docs.withColumn("copied", F.lit("clash")))
+    assert {r.copied for r in got.collect()} == {"clash"}
+
+
 def test_repeated_bytes_of_mutated_copies(spark):
     r = random.Random(11)
     base = words_of(12, 900).encode()

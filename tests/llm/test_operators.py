@@ -3,6 +3,7 @@ import base64
 import hashlib
 import random
 import re
+from unittest import mock
 
 import numpy as np
 import public_tokenizers
@@ -277,6 +278,34 @@ def test_near_copies_of_similar_shingles(spark, docs, none):
     assert minhash.near_duplicates(none).count() == 0
 
 
+def test_large_groups_of_near_copies(spark):
+    """Links that only two members of a large group have with one another: components equal brute force, also in blocks of few rows."""
+    random = np.random.default_rng(5)
+    texts = []
+    for g in range(6):
+        words = words_of(200 + g, 300, 10**6).split()
+        for k in range(120):
+            copy = list(words)
+            for at in random.choice(300, int(random.integers(2, 9)), replace=False):
+                copy[at] = f"new{g}x{k}x{at}"
+            texts.append(" ".join(copy))
+    texts += [" ".join(words_of(300, 400, 10**6).split()[: 400 - 20 * k]) for k in range(20)]  # a chain of prefixes
+    want = brute_components(texts)
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string").repartition(4)
+    assert len(set(want)) > 20
+    for rows in (minhash.BLOCK_ROWS, 16):
+        with mock.patch.object(minhash, "BLOCK_ROWS", rows):
+            got = {r.doc_id: r.component_id for r in minhash.near_duplicates(df).collect()}
+        assert [got[k] for k in range(len(texts))] == want
+
+
+def test_overlaps_of_sets():
+    random = np.random.default_rng(1)
+    a, b = ([np.unique(random.integers(0, 9000, size)) for size in sizes] for sizes in ((0, 1, 40, 8000), (5, 9000, 300)))
+    assert minhash.overlaps(a, b).tolist() == [[len(np.intersect1d(x, y)) for y in b] for x in a]
+    assert minhash.overlaps([a[0]], [a[0]]).tolist() == [[0]]
+
+
 def test_components_of_chains_and_stars(spark):
     chain = [(k, k + 1) for k in range(1, 40)] + [(100, k) for k in range(101, 160)] + [(7, 7)]
     got = {r.node: r.root for r in stars(spark.createDataFrame(chain, "u long, v long")).collect()}

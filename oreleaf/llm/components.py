@@ -2,8 +2,9 @@
 
 Every round joins an edge list with the smallest neighbour of each node and keeps its size
 in proportion to the nodes; no set of neighbours is ever gathered in one row. Smallest
-neighbours are aggregated before they are shuffled, and the skewed side of the joins with
-them, a node with very many edges, is left to Spark's split of skewed partitions.
+neighbours are aggregated before they are shuffled. A node with very many edges is read by
+one task of each join: Spark's split of skewed partitions does not cover a join whose other
+side is an aggregate.
 """
 
 from __future__ import annotations

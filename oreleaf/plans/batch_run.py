@@ -1,8 +1,8 @@
 """One batch: from TEI documents to validated, reconciled and flattened records.
 
-Every stage that costs model calls or parsing is written before it is used, so
-a lost executor or a repeated batch never repeats it. The manifest version is
-written last: a batch that dies in between is simply run again.
+Every stage that costs model calls or parsing is written before it is used: a lost executor or a
+repeated batch repeats what was not written yet, of paid calls at most the open chunks. The manifest is
+committed last: a batch that dies in between is simply run again.
 """
 
 from __future__ import annotations
@@ -18,16 +18,21 @@ from oreleaf.operators import consolidation, documents, inference, manifest as M
 from oreleaf.operators import responses as R, verification
 from oreleaf.operators.tables import RULES as TABLE_RULES
 from oreleaf.schemas import ExtractionSchema, select_schemas
-from oreleaf.sources import tables
+from oreleaf.sources import commits, tables
 
 RULES, MODEL = "rules", "model"
 
 
 @dataclass(frozen=True)
 class RunOptions:
-    """Job parameters. ``assess``: how to merge variants, by rules, by the model, or not at all (None)."""
+    """Job parameters. ``assess``: how to merge variants, by rules, by the model, or not at all (None).
+
+    ``owner`` names the job. Jobs of different names can't run a batch of one tag at the same time (the later one gets a
+    :class:`~oreleaf.sources.commits.Conflict`); the job that died takes its own batch up again.
+    """
 
     tag: str = "run"
+    owner: str = "batch"
     schemas: tuple[str, ...] = ()
     force: bool = False
     retry_empty: bool = True
@@ -125,8 +130,9 @@ def run(
     schemas = select_schemas(list(options.schemas))
     base = f"{out_dir}/{options.tag}"
     manifest_path = f"{base}/manifest"
+    version = commits.latest(spark, manifest_path)[0] + 1
+    commits.claim(spark, manifest_path, version, options.owner)
     previous = None if options.force else tables.read_manifest(spark, manifest_path)
-    version = max(tables.versions(spark, manifest_path), default=0) + 1
 
     todo = tables.write_version(
         M.pending(tei.select("paper_id"), previous, schemas, options.retry_empty, options.per_schema, options.force),
@@ -158,9 +164,9 @@ def run(
         if options.verify or options.assess == MODEL:
             records = tables.write_version(records, f"{base}/{schema.name}/verified", version)
         records = _assessed(records, schema, batch)
-        stored = tables.write_version(records, f"{base}/{schema.name}/records", version)
-        tables.write_version(good, f"{base}/{schema.name}/processed", version)
-        tables.export_csv(tables.current_records(spark, f"{base}/{schema.name}"), schema, out_dir, options.tag)
+        stored = tables.write_records(records, f"{base}/{schema.name}", version)
+        done = tables.write_version(good, f"{base}/{schema.name}/processed", version)
+        tables.export_csv(spark, f"{base}/{schema.name}", done, schema, out_dir, options.tag)
         if options.evidence:
             batch.write(verification.evidence_check(rows, docs, schema), f"{schema.name}/evidence")
             if schema.name in TABLE_RULES:
@@ -169,7 +175,7 @@ def run(
         counted = ids if counted is None else counted.unionByName(ids)
     counts = consolidation.paper_counts(good, counted, schemas)
     changed = M.updates(todo, status, counts, schemas)
-    tables.write_manifest(M.upsert(previous, changed), manifest_path, version)
+    tables.commit_manifest(changed, manifest_path, version, options.force)
     return tables.read_manifest(spark, manifest_path)
 
 

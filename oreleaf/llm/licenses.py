@@ -7,7 +7,9 @@ shunting-yard parser (with binds before and, and before or) and evaluated.
 
 Each licence has a freedom between 0 and 1 (how little it asks of who redistributes the
 text). In an expression, `and` takes the smaller one, `or` the larger one (the choice is
-ours), and `with` lifts the licence half-way to 1. The score of a text is the smallest
+ours), and `with` lifts the licence half-way to 1. What stands behind a tag is read up to where
+it stops being an expression: at a quote, a full stop, a word of prose, a second operand; `/` is
+`or`, as in package files. The score of a text is the smallest
 value of its notices and expressions, 0.5 where it has none; an identifier that is not
 known counts 0.25, an expression that cannot be parsed 0.
 
@@ -47,6 +49,11 @@ NOTICES = {
 FREEDOM = {
     "cc-by": 0.9, "gpl": 0.4, "reserved": 0.0, "apache": 0.95, "mit": 1.0, "bsd": 1.0, "mpl": 0.6, "lgpl": 0.5, "agpl": 0.3,
     "cc-by-nc": 0.2, "cc-by-sa": 0.5, "cc-by-nd": 0.2, "cc0": 1.0, "creative-commons": 0.5, "public-domain": 1.0, "isc": 1.0,
+    "0bsd": 1.0, "afl": 0.95, "apsl": 0.6, "artistic": 0.8, "beerware": 1.0, "blueoak": 1.0, "bsl": 1.0, "busl": 0.1, "cddl": 0.6, "cecill": 0.4,
+    "cpal": 0.5, "curl": 1.0, "ecl": 0.95, "elastic": 0.1, "epl": 0.6, "eupl": 0.5, "fsfap": 1.0, "ftl": 0.95, "gfdl": 0.4, "hpnd": 1.0,
+    "icu": 1.0, "ijg": 0.95, "ipl": 0.6, "libpng": 1.0, "lppl": 0.8, "ms-pl": 0.8, "ms-rl": 0.6, "mulanpsl": 0.95, "ncsa": 1.0, "odbl": 0.5,
+    "odc-by": 0.9, "ofl": 0.7, "openssl": 0.9, "osl": 0.4, "php": 0.9, "postgresql": 1.0, "psf": 0.95, "python": 0.95, "qpl": 0.5, "ruby": 0.8,
+    "sissl": 0.6, "sspl": 0.1, "unicode": 1.0, "unlicense": 1.0, "upl": 1.0, "vim": 0.8, "w3c": 0.95, "wtfpl": 1.0, "x11": 1.0, "zlib": 1.0, "zpl": 0.95,
 }
 TAG = "spdx license identifier"
 UNKNOWN, NOTHING, MALFORMED = 0.25, 0.5, 0.0
@@ -55,6 +62,8 @@ _SEPARATORS = bytes(set(range(0x00, 0x30)) | set(range(0x3A, 0x41)) | set(range(
 _TO_WORDS = bytes.maketrans(_SEPARATORS + bytes(range(0x41, 0x5B)), b" " * len(_SEPARATORS) + bytes(range(0x61, 0x7B)))
 _TAG_LINE = re.compile(r"spdx-license-identifier[ \t]*:[ \t]*([^\r\n]*)", re.IGNORECASE | re.ASCII)
 _LEXEME = re.compile(r"[()]|[A-Za-z0-9.+:-]+")
+_OPENING = re.compile(r"[\s\"'`*<#!-]*")
+_PART = re.compile(r"\s*([()/]|[A-Za-z0-9.+:-]+)")
 _STRENGTH = {"or": 1, "and": 2, "with": 3}
 
 
@@ -65,6 +74,36 @@ def family(identifier: str) -> str | None:
     return max(known, key=len, default=None)
 
 
+def leading(line: str) -> str:
+    """The longest beginning of the rest of a line that is an expression, without opening quotes; all of it if there is none."""
+    first = at = _OPENING.match(line).end()
+    end, depth, operand_next, exception = first, 0, True, False
+    while part := _PART.match(line, at):
+        shown = part[1].rstrip(".:")
+        word = shown.lower()
+        if not word or operand_next == (word in (")", "/", *_STRENGTH)):
+            break
+        if word == "(":
+            depth += 1
+        elif word == ")":
+            depth -= 1
+        elif operand_next:
+            if not (exception or family(shown) or set(shown) & set("0123456789-+")):
+                break
+            operand_next = False
+        else:
+            operand_next = True
+        exception = word == "with"
+        at = part.end()
+        if depth < 0:
+            break
+        if not operand_next and not depth:
+            end = part.start(1) + len(shown)
+        if len(shown) < len(part[1]):
+            break
+    return line[first:end].replace("/", " or ") or line.strip().strip("*/#<>-! ")
+
+
 def postfix(expression: str) -> list[str]:
     """Operands and operators in postfix order (shunting-yard); raises ValueError if it is no expression."""
     if _LEXEME.sub("", expression).strip():
@@ -158,7 +197,7 @@ def scanned(text: bytes) -> tuple[int, list[tuple[int, str]], list[str]]:
         if phrase != TAG:
             places.append((place, phrase))
     expressions = _TAG_LINE.findall(text.decode("utf-8", "replace")) if tagged else []
-    return len(words), places, [e.strip().strip("*/#<>-! ") for e in expressions]
+    return len(words), places, [leading(e) for e in expressions]
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

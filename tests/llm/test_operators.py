@@ -3,6 +3,7 @@ import base64
 import hashlib
 import random
 import re
+import zlib
 from unittest import mock
 
 import numpy as np
@@ -151,6 +152,24 @@ def test_quality_scores(spark, docs, none):
     assert quality.score(none, model).count() == 0
 
 
+def test_votes_equal_plain_cosines(spark, docs):
+    train = [(k, words_of(k, 60) if k % 3 else "%%% ### " * 50 + words_of(k, 9)) for k in range(240)]
+    labels = spark.createDataFrame([(k, int(k % 3 > 0)) for k in range(240)], "doc_id long, quality int")
+    model = quality.fit(spark.createDataFrame(train, "doc_id long, text string"), labels)
+    vectors, basis = model.vectors.astype(float), model.basis.astype(float)
+
+    def vote(text):
+        latent = np.sqrt(quality.counted((text or "").encode()).astype(float)) @ basis
+        size = np.sqrt(sum(x * x for x in latent))
+        cosines = [max(0.0, float(sum(a * b for a, b in zip(latent, v)) / size)) if size else 0.0 for v in vectors]
+        near = sorted(range(len(vectors)), key=lambda k: -cosines[k])[: quality.NEIGHBOURS]
+        weights = [cosines[k] ** quality.SHARPNESS for k in near]
+        return sum(w * model.labels[k] for w, k in zip(weights, near)) / sum(weights) if sum(weights) else float(model.labels.mean())
+
+    got = {r.text: r.score for r in quality.score(docs, model).collect()}
+    assert all(score == pytest.approx(vote(text), abs=5e-3) for text, score in got.items())
+
+
 def brute_counts(text):
     t = text or ""
     words = re.findall(r"[^\x20\x09-\x0D]+", t)
@@ -227,6 +246,14 @@ def test_simhash(docs, none):
     assert len(kept) == len(set(component.values())) and set(kept[0].asDict()) == set(docs.columns)
 
 
+def test_sample_of_fingerprints_is_bounded_by_its_hash(spark):
+    values = spark.range(40_000).select(F.xxhash64("id").alias("fp"))
+    few = simhash.sampled(values.repartition(16), 40_000, 2000)
+    assert 1500 < len(few) < 2000 and few.tolist() == simhash.sampled(values, 40_000, 2000).tolist()
+    assert sorted(simhash.sampled(values, 40_000).tolist()) == sorted(r.fp for r in values.collect())
+    assert len(simhash.sampled(values.limit(0), 0)) == 0
+
+
 @pytest.mark.parametrize("depth", [0, 2, 5])
 def test_vantage_point_trees_find_all_links(depth):
     r = np.random.default_rng(depth)
@@ -349,6 +376,41 @@ def test_license_tags():
     assert expressions == ["(MIT OR GPL-2.0)", "Apache-2.0"] and not places
 
 
+@pytest.mark.parametrize("rest,expression", [
+    ("MIT", "MIT"), (' "MIT",', "MIT"), ("`(MIT OR GPL-2.0)`", "(MIT OR GPL-2.0)"), ("MIT. See LICENSE", "MIT"), ("MIT/Apache-2.0", "MIT or Apache-2.0"),
+    ("MIT and see file LICENSE", "MIT"), ("MIT AND Strange-1.0 -->", "MIT AND Strange-1.0"), ("Apache-2.0 WITH LLVM-exception;", "Apache-2.0 WITH LLVM-exception"),
+    ("GPL-2.0 WITH Foo */", "GPL-2.0 WITH Foo"), ("(MIT OR Zlib) AND (ISC", "(MIT OR Zlib)"), ("MIT GPL-2.0", "MIT"), ("MIT) OR ISC", "MIT"),
+    ("Proprietary", "Proprietary"), ("see file LICENSE", "see file LICENSE"), ("", ""), ("*/", ""), ("and MIT", "and MIT"), ("()", "()"), ("(MIT", "(MIT"), ("MIT: text", "MIT"),
+])
+def test_expressions_end_where_prose_begins(rest, expression):
+    assert licenses.leading(rest) == expression
+
+
+def test_license_expressions_of_long_lines():
+    many = " OR ".join(["MIT"] * 50_000)
+    assert licenses.leading(many + " and so on") == many and licenses.evaluated(many) == (1.0, {"mit"})
+    assert licenses.leading("(" * 100_000) == "(" * 100_000
+
+
+def test_license_labels_and_scores(spark, docs):
+    texts = ["SPDX-License-Identifier: MIT. See LICENSE", "spdx-license-identifier: GPL-2.0 AND Zlib\nCC BY-SA 4.0; Apache License", '"SPDX-License-Identifier: see file"', "cc0 public domain",
+             "x SPDX-License-Identifier: EPL-2.0/MIT\n# SPDX-License-Identifier: Strange-1.0 or ISC", "GNU Affero General Public License", None, ""]
+    behind = {0: [(1.0, {"mit"})], 1: [(0.4, {"gpl", "zlib"})], 2: [(0.0, {"malformed"})], 4: [(1.0, {"epl", "mit"}), (1.0, {"other", "isc"})]}
+    phrases = licenses.BASE | licenses.NOTICES
+
+    def brute(text, tagged):
+        words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(c.lower() if c.isascii() else c for c in text or ""))
+        labels = {label for phrase, label in phrases.items() for n in [len(phrase.split())]
+                  if any(words[i : i + n] == phrase.split() for i in range(len(words)))}
+        values = [licenses.FREEDOM[label] for label in labels] + [value for value, _ in tagged]
+        return min(values, default=0.5), ",".join(sorted(labels.union(*(more for _, more in tagged))))
+
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").unionByName(docs.select("doc_id", "text"))
+    got = licenses.scan(df).select("doc_id", "score", "labels").collect()
+    want = [(k, *brute(t, behind.get(k, []))) for k, t in enumerate(texts)] + [(r[0], *brute(r[1], [])) for r in documents()]
+    assert plain(got) == plain(want)
+
+
 def brute_hits(text, items):
     cut = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(c.lower() if c.isascii() else c for c in t or ""))
     words, hit, ids = cut(text), set(), set()
@@ -460,3 +522,18 @@ def test_shards(spark, docs, none):
     sizes = [r.b for r in sharding.byte_shards(many).groupBy("shard").agg(F.sum("size").alias("b")).collect()]
     assert len(sizes) == 40 and max(sizes) - min(sizes) <= 112
     assert sharding.byte_shards(none).count() == 0
+
+
+def test_shards_equal_a_plain_prefix_sum(spark, docs):
+    many = docs.select("doc_id", "text").unionByName(spark.range(3000).select("id", F.when(F.col("id") % 3 > 0, F.lit("same text")).otherwise(F.repeat(F.lit("t"), (F.col("id") % 50).cast("int")))).toDF("doc_id", "text"))
+    text = F.coalesce("text", F.lit(""))
+    rows = many.select("doc_id", text.alias("text"), F.xxhash64(text).alias("t"), F.xxhash64("doc_id", F.lit(1)).alias("r")).collect()
+    mask = (1 << 64) - 1
+    rows.sort(key=lambda x: ((x.t & mask) >> 52, (x.r & mask) >> 56, x.t, x.r, x.doc_id is not None, x.doc_id or 0))
+    sizes = [len(x.text.encode()) + 16 for x in rows]
+    want, before, filled = [], 0, [0] * 40
+    for row, size in zip(rows, sizes):
+        shard = min(40 * (2 * before + size) // (2 * sum(sizes)), 39)
+        want.append((row.doc_id, size, zlib.crc32(row.text.encode()), shard, filled[shard]))
+        before, filled[shard] = before + size, filled[shard] + 1
+    assert plain(sharding.byte_shards(many).select("doc_id", "size", "text_crc32", "shard", "slot").collect()) == plain(want)

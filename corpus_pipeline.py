@@ -4,7 +4,7 @@ Every stage takes all its predecessor kept and returns the columns of `documents
 the last one, which returns the ids. `run` writes each stage's result into the shared folder
 as Parquet, so a stage can be repeated alone and no plan spans two stages.
 
-Where SQL cannot express a stage (scores, MinHash bands, sampled suffixes, token ids) there is
+Where SQL cannot express a stage (scores, fingerprints, MinHash bands, sampled suffixes, token ids) there is
 none for the whole: ORACLE_SQL is None, and the tests compare stages with brute force.
 """
 
@@ -14,8 +14,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oreleaf.llm import bpe, decontamination, minhash, quality, suffixes
-from oreleaf.llm.common import staged
+from oreleaf.llm import bpe, decontamination, minhash, quality, simhash, suffixes
+from oreleaf.llm.common import staged, text_or_empty
 from oreleaf.llm.queries import RANKS, table
 
 ORACLE_SQL = None
@@ -29,8 +29,13 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def keep_representatives(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: five-word shingles with a Jaccard similarity of 0.8 or more."""
-    return minhash.representatives(docs)
+    """One document of each group of near-duplicates: linked by operator 5's fingerprints, or by five-word shingles with a Jaccard similarity of 0.8 or more.
+
+    Texts of equal words have equal fingerprints, so the components of operator 5 are links of classes of such texts; both kinds of links make components together.
+    """
+    classed = minhash.classes_of(docs.select(text_or_empty("text").alias("text")), "text", "text")
+    alike = simhash.near_duplicates(classed, "class").select(F.col("class").alias("u"), F.col("component_id").alias("v")).distinct()
+    return minhash.representatives(docs, known=alike)
 
 
 def remove_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -269,8 +269,8 @@ def remaining(met: DataFrame, roots: DataFrame, texts: DataFrame) -> DataFrame |
     return _blocks(members.join(sets.withColumnRenamed("class", "_c"), F.col("class") == F.col("_c")).drop("_c"))
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """`id_col`, component_id (the smallest id reachable over links) of every row."""
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", known: DataFrame | None = None) -> DataFrame:
+    """`id_col`, component_id (the smallest id reachable over links) of every row; `known` are further links (u, v) of classes."""
     found = staged(classes_of(docs, id_col, text_col), "classes")
     bands = staged(banded(docs, text_col).distinct(), "bands")
     met = staged(meetings(bands), "met-bands")
@@ -278,7 +278,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     asked = pairs.select(F.explode(F.array("u", "v")).alias("_c")).union(met.where(F.col("_size") > SMALL).select("class")).distinct()
     text = docs.select(text_or_empty(text_col).alias("text"))
     texts = staged(classes_of(text, "text", "text").join(asked, F.col("class") == F.col("_c"), "left_semi").dropDuplicates(["class"]), "candidate-texts")
-    roots = stars(links(pairs, texts))
+    linked = links(pairs, texts)
+    roots = stars(linked if known is None else linked.union(known.select("u", "v")))
     rooted = found.join(roots, F.col("class") == F.col("node"), "left").select(id_col, F.coalesce("root", "class").alias("_root"))
     more = remaining(met, roots, texts)
     if more is not None:
@@ -288,11 +289,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return rooted.join(least, F.col("_root") == F.col("_of")).select(id_col, "component_id")
 
 
-def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row of `docs` for each component, unchanged: the one with the smallest id (null ids last)."""
+def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", known: DataFrame | None = None) -> DataFrame:
+    """One row of `docs` for each component, unchanged: the one with the smallest id (null ids last); `known` as in `near_duplicates`."""
     text = text_or_empty(text_col)
     key = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.xxhash64(text).alias("t1"), F.xxhash64(F.lit(1), text).alias("t2"))
     keyed = docs.withColumn("_key", key)
-    grouped = near_duplicates(keyed.select("_key", text_col), "_key", text_col)
+    grouped = near_duplicates(keyed.select("_key", text_col), "_key", text_col, known)
     first = grouped.where("_key = component_id").select(F.col("_key").alias("_first")).distinct()
     return keyed.join(first, F.col("_key") == F.col("_first")).dropDuplicates(["_first"]).select(*(F.col(f"`{c}`") for c in docs.columns))

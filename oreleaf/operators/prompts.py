@@ -36,9 +36,18 @@ def extraction_prompts(docs: DataFrame, schemas: list[ExtractionSchema]) -> Data
     )
 
 
-def verification_prompts(validated: DataFrame, docs: DataFrame, schema: ExtractionSchema) -> DataFrame:
-    """validated(paper_id, rows) of one schema + docs(paper_id, llm_text) -> one request per record."""
-    joined = validated.select("paper_id", "rows").join(docs.select("paper_id", "llm_text"), "paper_id", "left")
+def verification_prompts(validated: DataFrame, docs: DataFrame, schema: ExtractionSchema, text_of: DataFrame | None = None) -> DataFrame:
+    """validated(paper_id, rows) of one schema + docs(paper_id, llm_text) -> one request per record.
+
+    ``text_of(paper_id, document)`` names the paper of ``docs`` whose text a paper has, where several share one: then
+    the responses go to the texts, and a text is shuffled once however many papers share it.
+    """
+    given = validated.select("paper_id", "rows")
+    if text_of is None:
+        joined = given.join(docs.select("paper_id", "llm_text"), "paper_id", "left")
+    else:
+        texts = docs.select(F.col("paper_id").alias("document"), "llm_text")
+        joined = given.join(text_of.select("paper_id", "document"), "paper_id", "left").join(texts, "document", "left")
     joined = joined.withColumn("llm_text", F.coalesce("llm_text", F.lit("")))
     return (
         fan_out(joined, ["paper_id", "llm_text"], "rows", "row_idx", "record")

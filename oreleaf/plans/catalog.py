@@ -110,9 +110,10 @@ def prompt_extract(spark, sf):
 @query
 def prompt_verify(spark, sf):
     n = E.read(spark, sf, "documents").count()
-    bound = E.order_papers(spark, sf).selectExpr("paper_id AS of_order", f"cast(o_orderkey % {n} AS string) AS paper_id")
-    docs = bound.join(_docs(spark, sf), "paper_id").selectExpr("of_order AS paper_id", "llm_text")
-    prompts = P.verification_prompts(R.validate(E.responses(spark, sf), ADSORPTION), docs, ADSORPTION)
+    docs = _docs(spark, sf)
+    known = docs.select(F.col("paper_id").alias("document"))
+    text_of = E.order_papers(spark, sf).selectExpr("paper_id", f"cast(o_orderkey % {n} AS string) AS document").join(known, "document", "left_semi")
+    prompts = P.verification_prompts(R.validate(E.responses(spark, sf), ADSORPTION), docs, ADSORPTION, text_of)
     row = r"substring_index(substring_index(prompt, '\n</row>', 1), '<row>\n', -1)"
     return prompts.selectExpr(
         "paper_id", "cast(row_idx AS bigint) AS row_idx", f"get_json_object({row}, '$.material_id') AS material_id",

@@ -6,6 +6,7 @@ from pyspark.sql import types as T
 from oreleaf.functions.text import fill_template
 from oreleaf.operators import attempts as A, consolidation as C, documents as D, manifest as M, prompts as P
 from oreleaf.operators import responses as R, rules, verification as V
+from oreleaf.plans import encodings
 from oreleaf.schemas import ADSORPTION, CATALYST, SCHEMAS, USECASE, select_schemas
 
 
@@ -43,6 +44,23 @@ def test_verification_and_batch_prompts(spark):
     assert ids == sorted(ids)
 
 
+def test_papers_that_share_a_text_get_it_once_from_its_document(spark):
+    body = '{"rows": [{"material_id": "a"}, {"material_id": "b"}]}'
+    rows = R.validate(spark.createDataFrame([(p, body) for p in ("p1", "p2", "p3")], "paper_id string, body string"), ADSORPTION)
+    docs = spark.createDataFrame([("d1", "text one"), ("d2", "text two")], "paper_id string, llm_text string")
+    text_of = spark.createDataFrame([("p1", "d1"), ("p2", "d1"), ("p3", None)], "paper_id string, document string")
+    got = {(r.paper_id, r.row_idx): r.prompt for r in P.verification_prompts(rows, docs, ADSORPTION, text_of).collect()}
+    joined = text_of.join(docs.withColumnRenamed("paper_id", "document"), "document").select("paper_id", "llm_text")
+    want = {(r.paper_id, r.row_idx): r.prompt for r in P.verification_prompts(rows, joined, ADSORPTION).collect()}
+    assert got == want and len(got) == 6 and "text one" in got["p2", 1] and "<paper>\n\n</paper>" in got["p3", 0]
+
+
+def test_parts_of_a_table_are_not_joined_for_few_bytes(spark, tmp_path):
+    spark.range(1000).write.parquet(f"{tmp_path}/orders.parquet")
+    parts = encodings.read_spread(spark, str(tmp_path), "orders", "id").select(F.spark_partition_id().alias("p")).distinct().count()
+    assert parts >= 4 * spark.sparkContext.defaultParallelism - 2
+
+
 def test_batch_prompt_holds_all_records_of_a_paper(spark):
     rec = records(spark, [("p", 3 * i, f'{{"material_id":"m{i}"}}') for i in range(450)], ADSORPTION)
     got = P.batch_prompts(rec, ADSORPTION).collect()

@@ -68,9 +68,14 @@ def checked_record(record: str, schema: ExtractionSchema) -> str:
             **{f"{p}__": C.at(r, p) for p in parents},
             "is_object__": f"coalesce({_is_object(r)}, false)"})
 
+    def converted(value: str, path: str, kind: T.DataType) -> str:
+        # Most fields of a record are missing, and testing for that is cheaper than any conversion.
+        missing = Q.empty("array<string>") if isinstance(kind, T.ArrayType) else f"cast(NULL AS {kind.simpleString()})"
+        return f"if({value} IS NULL, {missing}, {C.coerce(value, kind, path in schema.scalar_or_list)})"
+
     def typed(v: str) -> str:
         return Q.named_struct({"raw": v, "flat": Q.named_struct({
-            _flat_name(p): C.coerce(f"{v}.{_flat_name(p)}", t, p in schema.scalar_or_list) for p, t in leaves})})
+            _flat_name(p): converted(f"{v}.{_flat_name(p)}", p, t) for p, t in leaves})})
 
     def result(x: str) -> str:
         field = lambda p: f"{x}.raw.{p}"

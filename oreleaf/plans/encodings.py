@@ -20,9 +20,19 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+PART_BYTES = 4 << 20  # of a table's files, per part
+
+
 def read_spread(spark: SparkSession, sf_dir: str, table: str, key: str) -> DataFrame:
-    """For queries that spend much on each row: the table dealt out by a key, whatever its row groups are."""
-    return read(spark, sf_dir, table).repartition(F.col(key))
+    """For queries that spend much on each row: the table dealt out by a key, whatever its row groups are.
+
+    The number of parts is stated, as Spark otherwise joins parts of few bytes, however much is to be done for each
+    row; it grows with the table, so that the wider rows a query makes of a part can be sorted in memory.
+    """
+    given = read(spark, sf_dir, table)
+    size = int(given._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism, -(-size // PART_BYTES))
+    return given.repartition(parts, F.col(key))
 
 
 def _escape(col: Column) -> Column:

@@ -35,7 +35,12 @@ def parse_json(body: str) -> str:
 
 
 def _is_object(value: str) -> str:
-    return f"startswith({C.kind_of(value)}, 'OBJECT')"
+    # Asks for one level only; the type of a VARIANT would be spelled out down to the last field.
+    return f"({C.get_as(value, 'map<string, variant>')} IS NOT NULL)"
+
+
+def _is_list(value: str) -> str:
+    return f"({C.get_as(value, 'array<variant>')} IS NOT NULL)"
 
 
 def _flat_name(path: str) -> str:
@@ -142,7 +147,7 @@ def _parsed_rows(responses: DataFrame) -> DataFrame:
     error = Q.case(
         ("_parsed IS NULL", "'malformed JSON'"),
         (f"NOT {_is_object('_parsed')}", "'response is not an object'"),
-        (f"{C.given(rows)} AND NOT startswith({C.kind_of(rows)}, 'ARRAY')", "'rows is not a list'"))
+        (f"{C.given(rows)} AND NOT {_is_list(rows)}", "'rows is not a list'"))
     return (
         responses
         .withColumn("_parsed", F.expr(parsed_body("body")))

@@ -35,11 +35,15 @@ def parse_json(body: str) -> str:
 
 
 def _is_object(value: str) -> str:
-    # Asks for one level only; the type of a VARIANT would be spelled out down to the last field.
+    return f"startswith({C.kind_of(value)}, 'OBJECT')"
+
+
+# Whole responses are asked for one level only; their type would be spelled out down to the last field.
+def _holds_object(value: str) -> str:
     return f"({C.get_as(value, 'map<string, variant>')} IS NOT NULL)"
 
 
-def _is_list(value: str) -> str:
+def _holds_list(value: str) -> str:
     return f"({C.get_as(value, 'array<variant>')} IS NOT NULL)"
 
 
@@ -146,8 +150,8 @@ def _parsed_rows(responses: DataFrame) -> DataFrame:
     rows = C.at("_parsed", "rows")
     error = Q.case(
         ("_parsed IS NULL", "'malformed JSON'"),
-        (f"NOT {_is_object('_parsed')}", "'response is not an object'"),
-        (f"{C.given(rows)} AND NOT {_is_list(rows)}", "'rows is not a list'"))
+        (f"NOT {_holds_object('_parsed')}", "'response is not an object'"),
+        (f"{C.given(rows)} AND NOT {_holds_list(rows)}", "'rows is not a list'"))
     return (
         responses
         .withColumn("_parsed", F.expr(parsed_body("body")))

@@ -32,6 +32,16 @@ def let(value: str, body: Callable[[str], str]) -> str:
     return f"get({each(f'array({value})', body)}, 0)"
 
 
+def bind(value: str, body: Callable[[str], str]) -> str:
+    """As :func:`let`, for lambdas nested deeply.
+
+    The value is the start of an aggregate over nothing. An item of a transformed array would be copied, and for each row ``get``
+    works its type out anew from everything within the lambda.
+    """
+    acc, last = _variable(), _variable()
+    return f"aggregate(array(), {value}, ({acc}, {_variable()}) -> {acc}, {last} -> {body(last)})"
+
+
 def each(array: str, body: Callable[[str], str]) -> str:
     v = _variable()
     return f"transform({array}, {v} -> {body(v)})"

@@ -108,15 +108,14 @@ RULES = {r.schema.name: r for r in (ADSORPTION_TABLES, CATALYST_TABLES)}
 _UNIT_DIMENSION = {unit: dimension for dimension, units in UNITS.items() for unit in units} | {"%": "share", "mol%": "share"}
 _KNOWN_UNITS = "|".join(sorted(map("\\Q{}\\E".format, _UNIT_DIMENSION), key=len, reverse=True))
 _STATED = {"temperature": r"°\s*c|k", "pressure": "mbar|bar|atm|kpa|mpa|pa"}
-_BRACKETS = r"[(\[]([^()\[\]]*)[)\]]"
 _LEAST_FIT = 0.5
 # Units as they are written, by their lower-case form.
 _WRITTEN = {"°c": "°C", "c": "°C", "k": "K", "kpa": "kPa", "mpa": "MPa", "pa": "Pa"}
 
 
-def _condition(dimension: str) -> str:
+def _condition(dimension: str, group: str = "(") -> str:
     """Pattern of a number with a unit of the dimension: groups for the number and the unit."""
-    return rf"(?<![\w.,-])({NUMBER}){SPREAD}\s*({_STATED[dimension]})(?![\w/])"
+    return rf"(?<![\w.,-]){group}{NUMBER}){SPREAD}\s*{group}{_STATED[dimension]})(?![\w/])"
 
 
 def _stated(text: str, dimension: str) -> str:
@@ -131,66 +130,130 @@ def _plain(cell: str) -> str:
     return Q.strip(Q.replace_all(Q.replace_all(f"lower(coalesce({cell}, ''))", "[ºo˚](?=\\s*c\\b)|℃", "°"), r"(?U)\s+", " "))
 
 
-def _unit_form(unit: str) -> str:
-    """`mmol g-1` and the like as `mmol/g`, without spaces."""
-    return Q.replace_all(Q.replace_all(unit, r"\s*[·.]?\s*(k?g)\s*(?:\^?[-−]1|⁻¹)$", "/$1"), r"\s+", "")
+# Headings are read together, as the lines of one text: each pattern runs once for all headings of a table, not once for each.
+_SPACE = r"[\s&&[^\n]]"
 
 
-def read_heading(cell: str, rules: TableRules) -> str:
-    """SQL: candidates (score, field), unit, temperature and pressure that a heading states."""
+def _lower_lines(cells: str) -> str:
+    return rf"lower(array_join({Q.each(cells, lambda c: rf"replace(coalesce({c}, ''), '\n', ' ')")}, '\n'))"
+
+
+def _may_name_result(rules: TableRules) -> str:
+    """Pattern that every heading that names a result has in its lower-case text: the words of a phrase in their order, or, for a unit alone, what is before its slash."""
+    phrases: list[list[str]] = []
+    for words in sorted((p.split() for p, f in rules.phrases.items() if f in rules.results), key=len):
+        if not any(" ".join(p) in " ".join(words) for p in phrases):
+            phrases.append(words)
+    units = [u.split("/")[0] for u, d in _UNIT_DIMENSION.items() if d in _alone(rules)]
+    return "(?U)" + "|".join([*("[^\\n]*".join(p) for p in phrases), *(r"\s*".join(u) for u in units)])
+
+
+def _alone(rules: TableRules) -> dict[str, str]:
+    """Dimension -> result that a unit names without words: the only result of that dimension."""
+    results = [(f, rules.dimensions.get(f)) for f in sorted(rules.results)]
+    return {d: f for f, d in results if d and [x for _, x in results].count(d) == 1}
+
+
+def _plain_lines(cells: str) -> str:
+    """SQL: the cells as lines, each as `_plain` has it but for blanks at its ends."""
+    return Q.replace_all(Q.replace_all(_lower_lines(cells), rf"[ºo˚](?={_SPACE}*c\b)|℃", "°"), rf"(?U)[\s&&[^ \n]]{_SPACE}*| {_SPACE}+", " ")
+
+
+def _of_lines(pattern: str) -> str:
+    """A pattern for lines of plain text, whose only white space within a line is the blank."""
+    return "(?md)" + pattern.replace(r"\s", " ")
+
+
+def _first_of_lines(text: str, pattern: str, groups: str) -> str:
+    """SQL: for each line groups of the first match of a pattern; a group is empty if there is none."""
+    return Q.replace_all(text, _of_lines(f"^(?:.*?{pattern}.*|.*)$"), groups)
+
+
+def _line(lines: str, i: str) -> str:
+    return f"coalesce(get({lines}, {i}), '')"
+
+
+def _unit_forms(units: str) -> str:
+    """`mmol g-1` and the like as `mmol/g`, without spaces, in each line."""
+    return f"replace({Q.replace_all(units, _of_lines(r'\s*[·.]?\s*(k?g)\s*(?:\^?[-−]1|⁻¹)$'), '/$1')}, ' ', '')"
+
+
+def _read_all(cells: str, rules: TableRules) -> str:
+    """SQL: for each cell the candidates (score, field), unit, temperature and pressure that it states as a heading."""
     words = sorted({w for phrase in rules.phrases for w in phrase.split()}, key=len, reverse=True)
     names = rf"(?:{'|'.join(words)})(?:\s+(?:{'|'.join(words)}))*"
-    any_condition = "|".join(_condition(d) for d in _STATED)
+    any_condition = "|".join(_condition(d, "(?:") for d in _STATED)
+    # The first bracket that holds neither names of fields alone nor a condition.
+    bracket = rf"([(\[])(?!{names}[)\]])(?![^()\[\]\n]*?(?:{any_condition}))([^()\[\]\n]*)[)\]]"
+    slash = rf"/\s*({_KNOWN_UNITS}|mmol\s*g-1)\s*$"
+    has_slash = lambda text: f"contains({text}, '/')"
 
     def with_text(text: str) -> str:
-        groups = Q.keep(f"regexp_extract_all({text}, {Q.literal(_BRACKETS)}, 1)", lambda g: (
-            f"NOT {Q.matches(g, f'^(?:{names})$')} AND NOT {Q.matches(g, any_condition)}"))
-        after = Q.extract(text, rf"/\s*((?:{_KNOWN_UNITS}|mmol\s*g-1))\s*$", 1)
-        return Q.let(Q.named_struct({"text": text, "bracket": f"get({groups}, 0)", "slash": Q.null_if_empty(after)}), with_unit)
-
-    def with_unit(found: str) -> str:
-        body = f"if({found}.bracket IS NOT NULL, replace({found}.text, {found}.bracket, ' '), {Q.replace_all(f'{found}.text', rf'/\s*(?:{_KNOWN_UNITS}|mmol\s*g-1)\s*$', ' ')})"
-        unit = _unit_form(f"coalesce({found}.bracket, {found}.slash, '')")
-        return Q.let(Q.named_struct({"body": body, "unit": unit}), with_body)
-
-    def with_body(found: str) -> str:
-        numbers = Q.matches(f"{found}.body", "[0-9]")
-        bare = f"if({numbers}, {Q.replace_all(f'{found}.body', any_condition, ' ')}, {found}.body)"
-        spaced = Q.replace_all(bare, r"[\p{Punct}]+", " ")
-        key = Q.strip(Q.replace_all(Q.replace_all(spaced, r"\b(?:at|and|under|in|of|the|rt)\b", " "), r"(?U)\s+", " "))
-        of = "map({})".format(", ".join(f"'{u}', '{d}'" for u, d in _UNIT_DIMENSION.items()))
-        return Q.let(key, lambda key: Q.let(Q.named_struct({
-            "key": key, "padded": f"concat(' ', {key}, ' ')", "unit": f"{found}.unit", "dimension": f"{of}[{found}.unit]",
-            **{d: f"if({numbers}, {_stated(f'{found}.body', d)}, NULL)" for d in _STATED},
-        }), scored))
-
+        brackets = f"if(contains({text}, '(') OR contains({text}, '['), {_first_of_lines(text, bracket, '$1$2')}, '')"
+        parts = {"text": text, "bracket": brackets, "slash": f"if({has_slash(text)}, {_first_of_lines(text, slash, '$1')}, '')",
+                 "body": f"if({has_slash(text)}, {Q.replace_all(text, _of_lines(slash), ' ')}, {text})"}
+        return Q.bind(Q.named_struct({n: rf"split({t}, '\n')" for n, t in parts.items()}), with_parts)
+
+    def with_parts(p: str) -> str:
+        lines = Q.each_indexed(f"{p}.text", lambda x, i: Q.bind(_line(f"{p}.bracket", i), lambda b: Q.named_struct({
+            "body": f"if({b} <> '', replace({x}, substring({b}, 2), ' '), get({p}.body, {i}))",
+            "unit": f"if({b} <> '', substring({b}, 2), {_line(f'{p}.slash', i)})"})))
+        return Q.bind(lines, lambda lines: Q.bind(Q.named_struct({
+            "body": rf"array_join({lines}.body, '\n')", "unit": _unit_forms(rf"array_join({lines}.unit, '\n')")}), with_bodies))
+
+    def with_bodies(found: str) -> str:
+        # Before the unit of a condition there is a digit; where there is none, the pattern itself is not tried.
+        stated = {d: f"if({Q.matches(f'{found}.body', _of_lines(rf'[0-9]\s*(?:{_STATED[d]})(?![\w/])'))}, {_first_of_lines(f'{found}.body', _condition(d), '$1' + chr(9) + '$2')}, '')" for d in _STATED}
+        return Q.bind(Q.named_struct({"body": f"{found}.body", "unit": f"{found}.unit", **stated}), with_conditions)
+
+    def with_conditions(found: str) -> str:
+        numbers = " OR ".join(Q.matches(f"{found}.{d}", "[0-9]") for d in _STATED)
+        bare = f"if({numbers}, {Q.replace_all(f'{found}.body', _of_lines(any_condition), ' ')}, {found}.body)"
+        key = Q.replace_all(Q.replace_all(Q.replace_all(bare, r"[\p{Punct}]+", " "), r"\b(?:at|and|under|in|of|the|rt)\b", " "), " {2,}", " ")
+        return Q.bind(key, lambda key: Q.bind(Q.named_struct({
+            "keys": rf"split({key}, '\n')", "named": _phrases_in(rf"concat(' ', replace({key}, '\n', ' \n '), ' ')", rules),
+            **{d: rf"split({found}.{d}, '\n')" for d in _STATED}, "units": rf"split({found}.unit, '\n')"}), with_keys))
+
+    of = "map({})".format(", ".join(f"'{u}', '{d}'" for u, d in _UNIT_DIMENSION.items()))
+
+    def with_keys(t: str) -> str:
+        return Q.each_indexed(f"{t}.keys", lambda k, i: Q.bind(Q.named_struct({"key": f"trim({k})", "unit": _line(f"{t}.units", i)}), lambda h: Q.bind(
+            Q.named_struct({"key": f"{h}.key", "padded": f"concat(' ', {h}.key, ' ')", "dimension": f"{of}[{h}.unit]"}), lambda g: Q.named_struct({
+                "candidates": _candidates(g, f"{t}.named", rules), "unit": f"{h}.unit", **{d: Q.bind(_line(f"{t}.{d}", i), _condition_of) for d in _STATED}}))))
+
+    column = "array<struct<candidates:array<struct<score:double,field:string>>,unit:string,temperature:struct<value:double,unit:string>,pressure:struct<value:double,unit:string>>>"
+    return Q.bind(f"coalesce({cells}, array())", lambda c: f"if(size({c}) = 0, {Q.empty(column)}, {Q.bind(_plain_lines(c), with_text)})")
+
+
+def _condition_of(stated: str) -> str:
+    """SQL: value and unit of a condition given as number, tab and unit; null for none."""
+    number = rf"replace(replace(substring_index({stated}, '\t', 1), '−', '-'), ',', '')"
+    unit = rf"replace(substring_index({stated}, '\t', -1), ' ', '')"
+    return rf"if({stated} IN ('', '\t'), NULL, named_struct('value', try_cast({number} AS double), 'unit', {unit}))"
+
+
+def _phrases_in(keys: str, rules: TableRules) -> str:
+    """SQL: the schema's phrases that occur in a text of padded words."""
     quoted = lambda text: "NULL" if text is None else f"'{text}'"
     phrases = "array({})".format(", ".join(
         f"named_struct('within', ' {p} ', 'phrase', '{p}', 'n', {len(p.split())}, 'field', '{f}', 'dimension', cast({quoted(rules.dimensions.get(f))} AS string))"
         for p, f in rules.phrases.items()))
-    results = [(f, rules.dimensions.get(f)) for f in sorted(rules.results)]
-    alone = {d: f for f, d in results if d and [x for _, x in results].count(d) == 1}  # a unit alone names a result if just one has its dimension
-    any_phrase = rf"\b(?:{'|'.join(sorted(rules.phrases, key=len, reverse=True))})\b"
-
-    def scored(h: str) -> str:
-        fits = lambda c: (
-            f"(contains({h}.padded, {c}.within) AND coalesce({h}.dimension = {c}.dimension, {h}.dimension IS NULL OR {c}.dimension IS NOT NULL))")
-        score = lambda c: (
-            f"{c}.n / size(split({h}.key, ' ')) + if(endswith({h}.key, {c}.phrase), 0.1, 0) + if({h}.dimension = {c}.dimension, 0.25, 0)")
-        named = Q.each(Q.keep(phrases, fits), lambda c: Q.named_struct({"score": f"cast({score(c)} AS double)", "field": f"{c}.field"}))
-        none = "cast(array() AS array<struct<score:double,field:string>>)"
-        unnamed = Q.case(*[
-            (f"{h}.key = '' AND {h}.dimension = '{d}'", f"array(named_struct('score', cast({_LEAST_FIT} AS double), 'field', '{f}'))") for d, f in alone.items()],
-            default=none) if alone else none
-        found = f"if({Q.matches(f'{h}.key', any_phrase)}, {named}, {unnamed})"
-        return Q.named_struct({
-            "candidates": Q.keep(found, lambda c: f"{c}.score >= {_LEAST_FIT}"), "unit": f"{h}.unit", "temperature": f"{h}.temperature", "pressure": f"{h}.pressure"})
-
-    return Q.let(_plain(cell), with_text)
+    return Q.bind(keys, lambda k: Q.keep(phrases, lambda c: f"contains({k}, {c}.within)"))
 
 
-def _read_all(cells: str, rules: TableRules) -> str:
-    return Q.each(f"coalesce({cells}, array())", lambda c: read_heading(c, rules))
+def _candidates(h: str, phrases: str, rules: TableRules) -> str:
+    """SQL: the fields a heading may name, with their scores."""
+    alone = _alone(rules)
+    fits = lambda c: (
+        f"(contains({h}.padded, {c}.within) AND coalesce({h}.dimension = {c}.dimension, {h}.dimension IS NULL OR {c}.dimension IS NOT NULL))")
+    score = lambda c: (
+        f"{c}.n / size(split({h}.key, ' ')) + if(endswith({h}.key, {c}.phrase), 0.1, 0) + if({h}.dimension = {c}.dimension, 0.25, 0)")
+    named = Q.each(Q.keep(phrases, fits), lambda c: Q.named_struct({"score": f"cast({score(c)} AS double)", "field": f"{c}.field"}))
+    none = "cast(array() AS array<struct<score:double,field:string>>)"
+    unnamed = Q.case(*[
+        (f"{h}.dimension = '{d}'", f"array(named_struct('score', cast({_LEAST_FIT} AS double), 'field', '{f}'))") for d, f in alone.items()],
+        default=none) if alone else none
+    return Q.bind(f"if({h}.key = '', {unnamed}, {named})", lambda found: Q.keep(found, lambda c: f"{c}.score >= {_LEAST_FIT}"))
 
 
 def _n_known(headings: str) -> str:
@@ -199,7 +262,7 @@ def _n_known(headings: str) -> str:
 
 def _carried(cells: str) -> str:
     """Empty cells repeat the one to their left."""
-    return f"aggregate({cells}, cast(array() AS array<string>), (a, c) -> array_append(a, if({_plain('c')} = '', coalesce(try_element_at(a, -1), ''), c)))"
+    return f"aggregate({cells}, cast(array() AS array<string>), (a, c) -> array_append(a, if({Q.matches("coalesce(c, '')", r'(?U)\S')}, c, coalesce(try_element_at(a, -1), ''))))"
 
 
 def _is_number(cell: str) -> str:
@@ -213,21 +276,16 @@ def _assigned(headings: str, rules: TableRules) -> str:
     pairs = f"flatten({Q.each_indexed(headings, lambda h, i: Q.each(f'{h}.candidates', lambda c: Q.named_struct({'score': f'-{c}.score', 'col': i, 'field': f'{c}.field'})))})"
     free = f"NOT exists(a, t -> t.col = p.col OR (t.field = p.field AND array_contains({single}, p.field)))"
     taken = f"aggregate(array_sort({pairs}), cast(array() AS array<struct<score:double,col:int,field:string>>), (a, p) -> if({free}, array_append(a, p), a))"
-    return Q.let(taken, lambda t: Q.each_indexed(headings, lambda h, i: f"coalesce(get(filter({t}, x -> x.col = {i}), 0).field, '')"))
+    return Q.bind(taken, lambda t: Q.each_indexed(headings, lambda h, i: f"coalesce(get(filter({t}, x -> x.col = {i}), 0).field, '')"))
 
 
 def _layout(table: str, caption: str, rules: TableRules) -> str:
-    """SQL: body rows, the columns' fields, units and conditions, the caption's conditions."""
-    stated = "struct<value:double,unit:string>"
-    column = f"array<struct<candidates:array<struct<score:double,field:string>>,unit:string,temperature:{stated},pressure:{stated}>>"
+    """SQL: body rows, the columns' fields, units and conditions, the caption's conditions; null if no heading can name a result."""
     rows = f"coalesce({table}.rows, array())"
-    across = _read_all(f"get({rows}, 0)", rules)
-    down = _read_all(Q.each(rows, lambda r: f"get({r}, 0)"), rules)
+    down = Q.each(rows, lambda r: f"get({r}, 0)")
     first, second = f"coalesce(get({rows}, 0), array())", f"coalesce(get({rows}, 1), array())"
     both = f"zip_with({_carried(first)}, {second}, (a, b) -> concat(coalesce(a, ''), ' ', coalesce(b, '')))"
-    below = _read_all(second, rules)
-    tells = Q.let(below, lambda b: f"exists({b}, h -> size(h.candidates) > 0 OR h.unit <> '' OR h.temperature IS NOT NULL OR h.pressure IS NOT NULL)")
-    two = f"(size({rows}) > 2 AND NOT exists({second}, c -> {_is_number('c')}) AND {tells})"
+    below = f"(size({rows}) > 2 AND NOT exists({second}, c -> {_is_number('c')}))"
     width = f"coalesce(array_max({Q.each(rows, lambda r: f'size({r})')}), 0)"
     turned = f"if({width} > 0, transform(sequence(0, {width} - 1), j -> {Q.each(rows, lambda r: f'get({r}, j)')}), cast(array() AS array<array<string>>))"
 
@@ -235,19 +293,25 @@ def _layout(table: str, caption: str, rules: TableRules) -> str:
     is_result = f"array({', '.join(repr(r) for r in sorted(rules.results))})"
     has_result = lambda h: f"exists({h}, x -> exists(x.candidates, c -> array_contains({is_result}, c.field)))"
 
+    def given(t: str) -> str:
+        read = _read_all(f"concat({t}.first, {t}.second, {t}.both)", rules)
+        parts = {"across": ("1", f"{t}.first"), "below": (f"size({t}.first) + 1", f"{t}.second"), "both": (f"size({t}.first) + size({t}.second) + 1", f"{t}.both")}
+        whole = Q.bind(read, lambda h: Q.bind(Q.named_struct({n: f"slice({h}, {at}, size({of}))" for n, (at, of) in parts.items()}), chosen))
+        return f"if({Q.matches(_lower_lines(f'concat({t}.first, {t}.both, {down})'), _may_name_result(rules))}, {whole}, NULL)"
+
     def chosen(h: str) -> str:
-        as_read = Q.named_struct({"head": h, "body": rest(rows, 2)})
-        joined = Q.named_struct({"head": f"cast({_read_all(both, rules)} AS {column})", "body": rest(rows, 3)})
-        sideways = Q.let(f"cast({down} AS {column})", lambda d: f"if({has_result(d)} AND {_n_known(d)} > {_n_known(h)}, {Q.named_struct({'head': d, 'body': rest(turned, 2)})}, {as_read})")
-        return Q.let(Q.case((two, joined), (f"NOT {has_result(h)}", sideways), default=as_read), lambda c: Q.named_struct({
-            "head": f"{c}.head", "body": f"{c}.body", "fields": _assigned(f"{c}.head", rules)}))
+        tells = f"exists({h}.below, h -> size(h.candidates) > 0 OR h.unit <> '' OR h.temperature IS NOT NULL OR h.pressure IS NOT NULL)"
+        as_read = Q.named_struct({"head": f"{h}.across", "body": rest(rows, 2)})
+        joined = Q.named_struct({"head": f"{h}.both", "body": rest(rows, 3)})
+        sideways = Q.bind(_read_all(down, rules), lambda d: f"if({has_result(d)} AND {_n_known(d)} > {_n_known(f'{h}.across')}, {Q.named_struct({'head': d, 'body': rest(turned, 2)})}, {as_read})")
+        layout = Q.case((tells, joined), (f"NOT {has_result(f'{h}.across')}", sideways), default=as_read)
+        return Q.bind(layout, lambda c: Q.bind(_assigned(f"{c}.head", rules), lambda fields: Q.named_struct({
+            "body": f"{c}.body", "fields": fields, "units": Q.each(f"{c}.head", lambda h: f"{h}.unit"),
+            "labels": _labels(f"{c}.head", fields, rules), "caption": Q.bind(_plain(caption), of_caption)})))
 
     of_caption = lambda text: Q.named_struct({d: _stated(text, d) for d in _STATED})
-    read = Q.let(f"cast({across} AS {column})", chosen)
-    return Q.let(read, lambda c: Q.named_struct({
-        "body": f"{c}.body", "fields": f"{c}.fields", "units": Q.each(f"{c}.head", lambda h: f"{h}.unit"),
-        "labels": _labels(f"{c}.head", f"{c}.fields", rules), "caption": Q.let(_plain(caption), of_caption),
-    }))
+    none = Q.empty("array<string>")
+    return Q.bind(below, lambda b: Q.bind(Q.named_struct({"first": first, "second": f"if({b}, {second}, {none})", "both": f"if({b}, {both}, {none})"}), given))
 
 
 def _labels(head: str, fields: str, rules: TableRules) -> str:
@@ -263,8 +327,8 @@ def _labels(head: str, fields: str, rules: TableRules) -> str:
 def _sets() -> str:
     """SQL: the sets of a table, in the order of their columns; '#0' serves the sets with conditions and is none beside them."""
     named = "filter(labels, x -> x.name IS NOT NULL)"
-    distinct = Q.let(named, lambda n: Q.keep_indexed(n, lambda x, i: f"NOT exists(slice({n}, 1, {i}), y -> y.name = {x}.name)"))
-    return Q.let(distinct, lambda d: f"if(exists({d}, x -> x.name NOT LIKE '#%'), filter({d}, x -> x.name <> '#0'), {d})")
+    distinct = Q.bind(named, lambda n: Q.keep_indexed(n, lambda x, i: f"NOT exists(slice({n}, 1, {i}), y -> y.name = {x}.name)"))
+    return Q.bind(distinct, lambda d: f"if(exists({d}, x -> x.name NOT LIKE '#%'), filter({d}, x -> x.name <> '#0'), {d})")
 
 
 def table_records(papers: DataFrame, rules: TableRules = ADSORPTION_TABLES) -> DataFrame:
@@ -280,7 +344,7 @@ def table_records(papers: DataFrame, rules: TableRules = ADSORPTION_TABLES) -> D
     tables = fan_out(papers, paper, F.expr(Q.each("tables", lambda t: _layout(t, caption(t), rules))), "table_idx", "h")
     # No field of a struct is used inside a generator: the optimizer extracts it below and then loses other columns.
     layout = ["fields", "units", "labels", "caption"]
-    tables = tables.select(*paper, "table_idx", "h.*")
+    tables = tables.where("h IS NOT NULL").select(*paper, "table_idx", "h.*")
     tables = fan_out(tables, [*paper, "table_idx", "body", *layout], F.expr(f"array({_sets()})"), "_one", "sets").drop("_one")
 
     # The column of a result in a set: its own, else the one without conditions.
@@ -291,7 +355,7 @@ def table_records(papers: DataFrame, rules: TableRules = ADSORPTION_TABLES) -> D
     tables = tables.withColumn("places", F.expr(f"transform(sets, s -> transform({results}, f -> {place('f', 's.name')}))"))
     rows = fan_out(tables, [*paper, "table_idx", *layout, "sets", "places"], F.when(F.size("sets") > 0, F.col("body")), "row_idx", "cells")
     filled = f"transform(places, p -> exists(p, i -> coalesce(get(cells, i), '') RLIKE {Q.literal(rf'^(?U)\s*{NUMBER}{SPREAD}[^0-9]*$')}))"
-    kept = Q.let(filled, lambda fl: f"if(exists({fl}, x -> x), filter(transform({fl}, (x, i) -> if(x, i, NULL)), i -> i IS NOT NULL), array(0))")
+    kept = Q.bind(filled, lambda fl: f"if(exists({fl}, x -> x), filter(transform({fl}, (x, i) -> if(x, i, NULL)), i -> i IS NOT NULL), array(0))")
     each = fan_out(rows, [*paper, "table_idx", "row_idx", *layout, "cells", "sets", "places"], F.expr(kept), "_n", "set_idx").drop("_n")
     each = each.select("*", F.get("sets", F.col("set_idx")).alias("own"), F.get("places", F.col("set_idx")).alias("at"))
     return _records(each, rules)
@@ -308,7 +372,7 @@ def _records(each: DataFrame, rules: TableRules) -> DataFrame:
         if path in rules.results:
             return F.expr(f"get(at, {results.index(path)})")
         places = F.expr(f"filter(transform(fields, (f, i) -> if(f = '{path}', i, NULL)), i -> i IS NOT NULL)")
-        return F.get(places, F.least(F.col("set_idx"), F.size(places) - 1))
+        return F.when(F.array_contains("fields", path), F.get(places, F.least(F.col("set_idx"), F.size(places) - 1)))
 
     def cell(path: str) -> Column:
         return null_if_empty(strip(F.get(F.col("cells"), column_of(path))))

@@ -128,3 +128,30 @@ def test_records_of_different_tables_stay_apart(spark):
 def test_tables_without_content(spark):
     assert read(spark, [[], [[]], [["Sample", "Uptake (mmol/g)"]], [[None, None], [None]]]) == []
     assert short(read(spark, [[[None, "Uptake (mmol/g)", None], [None, "1"], []]])) == [(None, 1.0, None, None), (None, None, None, None)]
+
+
+def layouts(spark, tables, rules):
+    """Is each table, given as rows, laid out?"""
+    df = spark.createDataFrame([(rows,) for rows in tables], "rows array<array<string>>").selectExpr("named_struct('rows', rows) AS t")
+    return [r["laid"] for r in df.selectExpr(f"{X._layout('t', repr(''), rules)} IS NOT NULL AS laid").collect()]
+
+
+def test_tables_that_name_no_result_are_not_laid_out(spark):
+    other = [["Sample", "BET area (m2/g)", None], ["A", "200", "x"], ["B", "300"]]
+    catalysts = [["Catalyst", "CO2 conversion (%)"], ["Ni", "40"]]
+    sorbents = [["Adsorbent", "Uptake at 25 °C (mmol/g)"], ["A", "2"]]
+    turned = [["Sample", "A", "B"], ["Capacity", "1", "2"], ["pH", "9", "10"]]
+    two_rows = [["S", "Sample"], ["CO", ""], ["20", "A"]]
+    assert layouts(spark, [other, catalysts, sorbents, turned, [["", "(m mol / g)"], ["A", "1"]], two_rows], X.ADSORPTION_TABLES) == [False, False, True, True, True, False]
+    assert layouts(spark, [other, catalysts, sorbents, two_rows], X.CATALYST_TABLES) == [False, True, False, True]
+
+
+def test_headings_are_read_as_lines_of_one_text(spark):
+    cells = ["Sample", None, "CO2\nuptake (mg/g)", "(", "Uptake at\t25 o C [1 bar] (mmol g-1)", "", "Conversion / %\n", "Pressure (kPa) (x)", "−5 ºC or 1,000 K"]
+    df = spark.createDataFrame([(cells,), ([],), (None,)], "c array<string>")
+    got = [r["r"] for r in df.selectExpr(f"{X._read_all('c', X.ADSORPTION_TABLES)} AS r").collect()]
+    assert got[1:] == [[], []]
+    plain = [(max((c["score"] for c in h["candidates"]), default=None), h["unit"], h["temperature"] and tuple(h["temperature"]), h["pressure"] and tuple(h["pressure"])) for h in got[0]]
+    assert plain == [
+        (1.0 + 0.1, "", None, None), (None, "", None, None), (1.35, "mg/g", None, None), (None, "", None, None), (1.35, "mmol/g", (25.0, "°c"), (1.0, "bar")),
+        (None, "", None, None), (None, "%", None, None), (0.75, "kpa", None, None), (None, "", (-5.0, "°c"), None)]

@@ -14,7 +14,8 @@ Documents are put into order by one shuffle of their codes, about a third of the
 id can part too; ranges come from a sample of ids of bounded size, which decides how even they are and nothing else. A range's place follows from the totals of those before, so nothing is sorted or summed in one task. `read` decodes blocks, each in any task, by one table look-up for each id.
 
 A text's ids are those of its pieces between spaces, as the tokenizer drops white space before it looks for tokens; a process remembers
-pieces it has seen, up to a fixed number, and asks the library for the new pieces of a batch together.
+pieces it has seen, up to a fixed number. A batch is split and put together again by Arrow, so each of its different pieces is looked up once; of new ones, the library's
+model gets words of Latin letters, with what it would be given for them, and the library the others together.
 
 Defined results: a null text is the empty one and has the end id alone; null ids are no ids; a null document id comes first; rows of one
 id follow one another; an empty table writes no block and reads as an empty one; other columns are ignored.
@@ -23,17 +24,18 @@ id follow one another; an empty table writes no block and reads as an empty one;
 from __future__ import annotations
 
 import os
-import re
+import struct
 import uuid
 from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from oreleaf.llm.common import PieceMemo, shared_folder, slices, space_parts, text_or_empty
+from oreleaf.llm.common import PieceMemo, shared_folder, slices, text_or_empty
 
 MAX_BITS = 18  # of a code; a decoding table has 2^18 entries
 STEP = 256  # ids between two marks
@@ -43,9 +45,12 @@ IDS_A_RANGE = 500_000_000
 SAMPLE_A_RANGE, SAMPLE = 100, 1_000_000
 PIECES_A_CALL = 200
 
-# One ASCII mark, no apostrophe, between a letter and white space: the tokenizer never reads across either side of it, so a space may go before it.
-_CLOSING = re.compile(r"(?<=[A-Za-zÀ-ÖØ-öø-ÿ])([!-&(-@\[-`{-~])(?=[ \n])")
-_PLAIN = re.compile(r"[a-zA-Z]+")
+# Letters of which the tokenizer may read a run as one word, and marks that may stand behind a word (no apostrophe).
+_LETTERS = "".join(chr(c) for c in range(256) if chr(c).isalpha() and chr(c) not in "ªµº")
+_MARKS = "".join(chr(c) for c in range(33, 127) if chr(c) != "'" and not chr(c).isalnum())
+_LETTER_SET = frozenset(_LETTERS)
+_ENDINGS = 10_000  # endings of marks that are remembered
+
 
 class Ids:
     """Packed ids of texts from those of their pieces between spaces."""
@@ -59,12 +64,50 @@ class Ids:
         self.model.no_truncation()
         self.model.encode_special_tokens = True  # their strings in a text are ordinary text
         self.merged = self.model.model.tokenize
+        self.packed = [_pack([number]) for number in range(max(self.model.get_vocab().values(), default=-1) + 1)]
+        self.letters = self._read_as()
+        self.endings: dict[str, bytes | None] = {}
         self.memo = PieceMemo(self._encoded, 300_000)
 
+    def _read_as(self) -> dict[int, str]:
+        """What the model is given for each letter, if the tokenizer lower-cases ASCII and takes a word letter by letter and as a whole; else nothing."""
+
+        def given(text: str) -> list[str]:
+            return [piece for piece, _ in self.model.pre_tokenizer.pre_tokenize_str(self.model.normalizer.normalize_str(text))]
+
+        table = {ord(c): "".join(given(c)) for c in _LETTERS}
+        whole = all(given(word) == [word.translate(table)] for word in (_LETTERS, _LETTERS[::-1], *_LETTERS)) and all(table[ord(c)] == c.lower() for c in _LETTERS if c.isascii())
+        return table if whole else {}
+
+    def _ending(self, marks: str) -> bytes | None:
+        """The ids of marks behind a word; None if the tokenizer does not read them apart from it."""
+        if len(marks) > self.memo.longest:
+            return None
+        if marks not in self.endings:
+            alone, after, word = (self.model.encode(text, add_special_tokens=False).ids for text in (marks, "ab" + marks, "ab"))
+            if len(self.endings) >= _ENDINGS:
+                self.endings = {}
+            self.endings[marks] = _pack(alone) if after == word + alone else None
+        return self.endings[marks]
+
     def _encoded(self, pieces: list[str]) -> list[bytes]:
-        """ASCII letters alone are one word of the model; other pieces are encoded in rows, where the place of a token says whose it is."""
-        lower = self.model.normalizer.normalize_str("A") == "a" and self.model.pre_tokenizer.pre_tokenize_str("ab") == [("ab", (0, 2))]
-        out = {piece: np.array([token.id for token in self.merged(piece.lower())], "<u4").tobytes() for piece in pieces if lower and _PLAIN.fullmatch(piece)}
+        """Letters alone are one word of the model, whatever marks follow; other pieces are encoded in rows, where the place of a token says whose it is."""
+        out: dict[str, bytes] = {}
+        letters, merged, packed = self.letters, self.merged, self.packed
+        for piece in pieces if letters else ():
+            word = piece.rstrip(_MARKS)
+            if word.isascii():
+                if not word.isalpha():
+                    continue
+                given = word.lower()
+            elif _LETTER_SET.issuperset(word):
+                given = word.translate(letters)
+            else:
+                continue
+            if len(word) == len(piece):
+                out[piece] = b"".join([packed[token.id] for token in merged(given)])
+            elif (ending := self._ending(piece[len(word) :])) is not None:
+                out[piece] = (self.memo.known(word) or b"".join([packed[token.id] for token in merged(given)])) + ending
         rest = [piece for piece in pieces if piece not in out]
         for at in range(0, len(rest), PIECES_A_CALL):
             group = rest[at : at + PIECES_A_CALL]
@@ -75,8 +118,18 @@ class Ids:
             out.update((piece, raw[a:b]) for piece, a, b in zip(group, [0, *edges], edges))
         return [out[piece] for piece in pieces]
 
-    def of(self, texts: list[str]) -> list[bytes]:
-        return self.memo.joined(space_parts([_CLOSING.sub(r" \1", text) for text in texts]))
+    def of(self, texts: pa.Array) -> pa.Array:
+        """Binary for each string."""
+        parts = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        coded = parts.flatten().dictionary_encode()
+        whole = pa.ListArray.from_arrays(pa.array([0, len(coded.dictionary)], pa.int32()), coded.dictionary)
+        pieces = pc.binary_join(whole, "\n")[0].as_py().split("\n")  # no piece holds a line end, and there is one at least
+        data = pa.array(self.memo.of(pieces), pa.binary()).take(coded.indices)
+        return pc.binary_join(pa.ListArray.from_arrays(parts.offsets, data), pa.scalar(b"", pa.binary()))
+
+
+def _pack(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 _loaded: dict[str, Ids] = {}  # stays with a process for its next task
@@ -86,7 +139,7 @@ def tokenize(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str = "d
     """`id_col`, token_ids binary (little-endian unsigned 32-bit, the end id last) of every row."""
     with open(tokenizer_path, encoding="utf-8") as file:  # a few MB whatever the corpus
         sent = docs.sparkSession.sparkContext.broadcast(file.read())
-    end = np.array([end_id], "<u4").tobytes()
+    end = pa.scalar(_pack([end_id]), pa.binary())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if sent.value not in _loaded:
@@ -94,9 +147,9 @@ def tokenize(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str = "d
             _loaded[sent.value] = Ids(sent.value)
         ids_of = _loaded[sent.value].of
         for whole in batches:
-            for batch in slices(whole, "_text", 1 << 20):
-                ids = [found + end for found in ids_of(batch.column("_text").to_pylist())]
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], [id_col, "token_ids"])
+            for batch in slices(whole, "_text"):
+                ids = pc.binary_join_element_wise(ids_of(batch.column("_text")), end, pa.scalar(b"", pa.binary()))
+                yield pa.RecordBatch.from_arrays([batch.column(0), ids], [id_col, "token_ids"])
 
     given = docs.select(F.col(id_col), text_or_empty(text_col).alias("_text"))
     return given.mapInArrow(run, f"`{id_col}` {given.schema[id_col].dataType.simpleString()}, token_ids binary")
@@ -155,9 +208,11 @@ class Codes:
         spans = np.int64(1) << (self.bits - self.lengths)
         self.codes = (np.cumsum(spans) - spans) >> (self.bits - self.lengths)  # each code begins where the one before it ends
 
-    def writing(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        order = np.argsort(self.ids)
-        return self.ids[order], self.codes[order].astype(np.uint64), self.lengths[order]
+    def writing(self) -> tuple[np.ndarray, np.ndarray]:
+        """Code and length by id, as long as the largest id."""
+        codes, lengths = (np.zeros(int(self.ids.max(initial=-1)) + 1, kind) for kind in (np.uint64, np.int64))
+        codes[self.ids], lengths[self.ids] = self.codes, self.lengths
+        return codes, lengths
 
     def reading(self) -> tuple[np.ndarray, np.ndarray]:
         """Id and length of the code that the next `bits` bits begin with."""
@@ -182,11 +237,10 @@ def _stretches(n_tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.repeat(np.cumsum(n_tokens) - n_tokens, n) + within * STEP, np.minimum(np.repeat(n_tokens, n) - within * STEP, STEP)
 
 
-def packed(ids: np.ndarray, n_tokens: np.ndarray, writing: tuple[np.ndarray, np.ndarray, np.ndarray]) -> tuple[bytes, np.ndarray, np.ndarray]:
+def packed(ids: np.ndarray, n_tokens: np.ndarray, writing: tuple[np.ndarray, np.ndarray]) -> tuple[bytes, np.ndarray, np.ndarray]:
     """The documents' codes, each from a whole byte on; the byte at which each ends; the bit offset of each stretch in its document."""
-    known, codes, lengths = writing
-    place = np.searchsorted(known, ids)
-    code, length = codes[place], lengths[place]
+    codes, lengths = writing
+    code, length = codes[ids], lengths[ids]
     ends = np.cumsum(length)
     edges = np.cumsum(n_tokens)
     to = np.concatenate([[0], ends])

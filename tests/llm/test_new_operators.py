@@ -9,6 +9,7 @@ import zlib
 from itertools import permutations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -224,3 +225,23 @@ def test_orders_by_neighbours():
             order[place], order[place + 1] = order[place + 1], order[place]
             seen.add(tuple(order))
         assert len(seen) == math.factorial(n)
+
+
+def test_words_of_letters_go_to_the_model_and_get_the_ids_of_the_library():
+    with open(WORD_BPE, encoding="utf-8") as file:
+        ids = token_files.Ids(file.read())
+    whole, asked = ids.model, []
+
+    class Counted:
+        def encode(self, text, **options):
+            asked.append(text)
+            return whole.encode(text, **options)
+
+    ids.model = Counted()
+    got = lambda texts: [np.frombuffer(x, "<u4").tolist() for x in ids.of(pa.array(texts, pa.string())).to_pylist()]
+    expected = lambda texts: [whole.encode(text, add_special_tokens=False).ids for text in texts]
+    plain = ["Straße élan ñandú ÿ\nABC abc", "word, word. Word word!!! été,\nété\n\nword,"]
+    assert got(plain) == expected(plain)
+    assert not any(letter in text for text in asked for letter in "ßéñÿw")
+    odd = ["", " ", "don't 'tis it's, l'été d'un.", "été café́. İ ΣΑΣ ª5 µm 12. a1 b2, x", "<|endoftext|> </s>, œuvre Ÿ ﬁn", "\ta\r\nb.\x0b\n\nc,\x00 d" + "!" * 100]
+    assert got(odd) == expected(odd)

@@ -13,6 +13,9 @@ from itertools import count
 
 _numbers = count()
 
+# What ``(?U)\s`` matches.
+_WHITE_SPACE = "".join(f"\\u{c:04x}" for c in (*range(0x9, 0xe), 0x20, 0x85, 0xa0, 0x1680, *range(0x2000, 0x200b), 0x2028, 0x2029, 0x202f, 0x205f, 0x3000))
+
 
 def literal(text: str) -> str:
     """A string literal that is read back unchanged."""
@@ -88,8 +91,11 @@ def extract(value: str, pattern: str, group: int = 0) -> str:
 
 
 def strip(value: str) -> str:
-    """Remove all Unicode white space from both ends (``trim`` removes only spaces)."""
-    return replace_all(value, r"(?U)^\s+|\s+$", "")
+    """Remove all Unicode white space from both ends (``trim`` alone removes only spaces).
+
+    A pattern would look for its end behind every blank within the value.
+    """
+    return f"btrim({value}, '{_WHITE_SPACE}')"
 
 
 def null_if_empty(value: str) -> str:

@@ -21,6 +21,7 @@ _STAND_INS = [
 ]
 _STAND_IN_CHARS = "".join(s for _, s, _ in _STAND_INS)
 _LITERAL_CHARS = "".join(c for c, _, _ in _STAND_INS)
+_STAND_IN_BYTES = "X'EE80'"  # all stand-ins, and no character but U+E000 to U+E03F, begin with these in UTF-8
 _BOUND_PREFIX = r"xmlns:([\w.-]+)\s*=\s*[\x22\x27]" + TEI_NAMESPACE.replace(".", r"\.")
 
 
@@ -86,7 +87,9 @@ def normalise_tei(xml: str) -> str:
 def restore_entities(value: str) -> str:
     # Both kinds of quotes occur here, so they are written as escapes.
     chars = _LITERAL_CHARS.replace("'", "\\'")
-    return f"translate({value}, '{_STAND_IN_CHARS}', '{chars}')"
+    # translate makes a string of every character, so it is kept to the few texts with a stand-in.
+    return Q.bind(value, lambda v: f"if(contains(cast({v} AS binary), {_STAND_IN_BYTES}), "
+                                   f"translate({v}, '{_STAND_IN_CHARS}', '{chars}'), {v})")
 
 
 def element_text(inner_xml: str) -> str:
@@ -95,8 +98,8 @@ def element_text(inner_xml: str) -> str:
     ``inner_xml`` is the element's content as from_xml returns it for a STRING
     field. Adjacent tags form a single text-node boundary.
     """
-    spaced = Q.replace_all(inner_xml, r"(?:<[^>]*>)+", " ")
-    return f"coalesce({restore_entities(Q.strip(spaced))}, '')"
+    spaced = lambda x: f"if(contains({x}, '<'), {Q.replace_all(x, r'(?:<[^>]*>)+', ' ')}, {x})"
+    return f"coalesce({restore_entities(Q.strip(Q.bind(inner_xml, spaced)))}, '')"
 
 
 def leading_text(inner_xml: str) -> str:
@@ -128,10 +131,15 @@ def _elements(xml: str, tag: str, body) -> str:
 
     # Pieces start at an opening or a closing tag of this element; the leading
     # blank keeps the text before the first tag from looking like one.
-    paired = Q.replace_all(xml, rf"<{tag}((?:\s[^<>]*)?)/>", rf"<{tag}$1></{tag}>")
-    pieces = f"split(concat(' ', {paired}), {Q.literal(rf'(?=</?{tag}[\s>])')})"
-    found = Q.let(pieces, lambda p: Q.let(_depths(p), lambda d: build(p, d)))
-    return f"if(contains({xml}, '<{tag}'), {found}, {Q.empty('array<string>')})"
+    def found(x: str) -> str:
+        paired = f"if(contains({x}, '/>'), {Q.replace_all(x, rf'<{tag}((?:\s[^<>]*)?)/>', rf'<{tag}$1></{tag}>')}, {x})"
+        # The tags are marked and cut at the marks: a split at a lookahead would try it at every character. U+0001 is in no XML.
+        marked = rf"regexp_replace(concat(' ', {paired}), {Q.literal(rf'</?{tag}[\s>]')}, '\u0001$0')"
+        pieces = rf"split({marked}, '\u0001')"
+        cut = Q.bind(pieces, lambda p: Q.bind(_depths(p), lambda d: build(p, d)))
+        return f"if(contains({x}, '<{tag}'), {cut}, {Q.empty('array<string>')})"
+
+    return Q.bind(xml, found)
 
 
 def elements(xml: str, tag: str) -> str:
@@ -143,7 +151,7 @@ def own_content(xml: str, tag: str) -> str:
     """As :func:`elements`, but without the nested elements of the same tag."""
     def body(pieces: str, depth: str) -> str:
         own = Q.keep_indexed(pieces, lambda s, k: f"get({depth}, {k}) = get({depth}, 0)")
-        texts = Q.each(own, lambda s: Q.replace_all(s, rf"^</{tag}\s*>", ""))
+        texts = Q.each(own, lambda s: f"if(startswith({s}, '</'), {Q.replace_all(s, rf'^</{tag}\s*>', '')}, {s})")
         return f"concat(array_join({texts}, ''), '</{tag}>')"
 
     return _elements(xml, tag, body)

@@ -28,11 +28,18 @@ def _malformed(xml: str, normal: str) -> str:
     """True for what a strict XML parser rejects; ``normal`` is the normalised string."""
     broken = (f"from_xml({xml}, '_corrupt STRING', map('columnNameOfCorruptRecord', '_corrupt', "
               "'mode', 'PERMISSIVE'))._corrupt IS NOT NULL")
-    # from_xml stops behind the root element; content after it is found here.
-    closed = Q.replace_all(normal, r"\s*>\s*$", ">")
-    close_tag = f"concat('</', {Q.extract(normal, r'^<([^\s/>]+)', 1)}, '>')"
-    at_end = Q.let(closed, lambda c: Q.let(close_tag, lambda t: f"instr({c}, {t}) = length({c}) - length({t}) + 1"))
-    bare_root = Q.matches(normal, r"^<[^<>]*/>\s*$")
+    # from_xml stops behind the root element; content after it is found here: the closing tag stands at the end and
+    # nowhere else. Only the last tag is cut out as a string, what is before it is searched as bytes.
+    root = Q.extract(f"substring_index({normal}, '>', 1)", r"^<([^\s/>]+)", 1)
+
+    def closes(last: str, tag: str) -> str:
+        before = f"substring(cast({normal} AS binary), 1, octet_length({normal}) - octet_length({last}) - 1)"
+        return (f"concat('<', {Q.replace_all(last, r'\s*>\s*$', '>')}) = {tag} "
+                f"AND NOT contains({before}, cast({tag} AS binary))")
+
+    at_end = Q.bind(f"substring_index({normal}, '<', -1)", lambda last: Q.bind(
+        f"concat('</', {root}, '>')", lambda tag: closes(last, tag)))
+    bare_root = f"(endswith(substring_index({normal}, '>', 1), '/') AND {Q.matches(normal, r'^<[^<>]*/>\s*$')})"
     return f"coalesce({broken} OR NOT ({at_end} OR {bare_root}), true)"
 
 
@@ -59,7 +66,7 @@ def _authors(header: str) -> str:
     source = f"array_join({X.elements(header, 'sourceDesc')}, '')"
     people = Q.each(X.child_fields(source, "author", f"persName {_PEOPLE}"),
                     lambda a: Q.or_empty(f"{a}.persName", _PEOPLE))
-    part = lambda p, name: Q.null_if_empty(X.leading_text(f"get({p}.{name}, 0)"))
+    part = lambda p, name: Q.bind(X.leading_text(f"get({p}.{name}, 0)"), Q.null_if_empty)
     names = Q.each(f"flatten({people})", lambda p: f"concat_ws(' ', {part(p, 'forename')}, {part(p, 'surname')})")
     return Q.or_empty(Q.each(Q.keep(names, lambda n: f"{n} <> ''"), Q.strip), "ARRAY<STRING>")
 
@@ -68,10 +75,10 @@ def _sections(body: str) -> str:
     divs = Q.each(X.own_content(body, "div"), lambda d: X.from_xml(d, "head ARRAY<STRING>, p ARRAY<STRING>"))
 
     def section(d: str) -> str:
-        heading = Q.null_if_empty(X.element_text(f"get({d}.head, 0)"))
+        heading = Q.bind(X.element_text(f"get({d}.head, 0)"), lambda h: f"if({h} = '', '{UNTITLED}', {h})")
         paragraphs = Q.keep(Q.each(f"{d}.p", X.element_text), lambda p: f"{p} <> ''")
         return Q.named_struct({
-            "heading": f"coalesce({heading}, '{UNTITLED}')",
+            "heading": heading,
             "text": rf"coalesce(array_join({paragraphs}, '\n'), '')"})
 
     return Q.or_empty(Q.keep(Q.each(divs, section), lambda s: f"{s}.text <> ''"),
@@ -120,7 +127,7 @@ def parse_tei(tei: DataFrame) -> DataFrame:
             f"if(parse_error IS NULL AND contains(tei_xml, '{X.TEI_NAMESPACE}'), _normal, NULL)"))
         .withColumns({
             "_header": F.expr(f"if(_doc IS NULL, NULL, concat('<h>', array_join({headers}, ''), '</h>'))"),
-            "_text": F.expr(f"get(split(_doc, {Q.literal(r'(?=<text[\s>])')}, 2), 1)")})
+            "_text": F.expr(Q.null_if_empty(Q.extract("_doc", r"(?s).(<text[\s>].*)", 1)))})
         .withColumn("_body", F.expr(f"get({X.elements('_text', 'body')}, 0)"))
     )
     return prepared.withColumns({

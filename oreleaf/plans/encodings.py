@@ -52,7 +52,7 @@ def tei_documents(spark: SparkSession, sf_dir: str, cut_every: int | None = None
     """
     docs = read_spread(spark, sf_dir, "documents", "doc_id")
     labels = read(spark, sf_dir, "labels").withColumn("labelled", F.lit(True))
-    lines = F.split("text", "\n")
+    lines = F.col("_lines")  # a column of its own, so that a document is split once and not once per section
     doc_id = F.col("doc_id").cast("string")
     blocks = F.transform(
         F.sequence(F.lit(0), F.floor((F.size(lines) - 1) / BLOCK).cast("int")),
@@ -85,7 +85,8 @@ def tei_documents(spark: SparkSession, sf_dir: str, cut_every: int | None = None
     if cut_every:
         xml = F.when(F.col("doc_id") % cut_every == 0,
                      F.left(xml, F.length(xml) - F.length("text") % 20 - 5)).otherwise(xml)
-    return docs.join(labels, "doc_id", "left").select(doc_id.alias("paper_id"), "doc_id", xml.alias("tei_xml"))
+    return (docs.join(labels, "doc_id", "left").withColumn("_lines", F.split("text", "\n"))
+            .select(doc_id.alias("paper_id"), "doc_id", xml.alias("tei_xml")))
 
 
 # X2: ``orders`` as model responses. An order answers with o_orderkey % 4 records,

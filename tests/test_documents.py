@@ -1,6 +1,9 @@
 import pytest
 
+from oreleaf.functions import sqltext as Q
+from oreleaf.functions import xml as X
 from oreleaf.operators import documents as D
+from oreleaf.plans import encodings as E
 
 NS = 'xmlns="http://www.tei-c.org/ns/1.0"'
 
@@ -150,3 +153,36 @@ def test_truncation(spark, parsed):
     tei = spark.createDataFrame([("p", BASIC)], "paper_id string, tei_xml string")
     text = D.with_document_text(D.parse_tei(tei), max_chars=30).first()["llm_text"]
     assert text == parsed["basic"]["llm_text"][:30]
+
+
+def test_text_behind_or_within_the_root(spark):
+    a = "<a>{}</a>"
+    good = [a.format(""), "<a></a\n>\r\n", "<a/>\n", "<a></a ><!-- c --> <?p?>", a.format("&lt;/a&gt;")]
+    bad = ["", "/>", "abc</>", a.format("") + "x", a.format("") * 2, a.format("") + ">", "<a/>x", "<a></a>\u0085", a.format("\u0001"), None]
+    rows = [(str(i), xml) for i, xml in enumerate(good + bad)]
+    errors = D.parse_tei(spark.createDataFrame(rows, "paper_id string, tei_xml string")).select("paper_id", "parse_error").collect()
+    assert {int(r.paper_id): r.parse_error is not None for r in errors} == {i: i >= len(good) for i in range(len(rows))}
+
+
+def test_strip_knows_all_white_space(spark):
+    points = spark.range(1, 0x10000).where(f"id NOT BETWEEN {0xD800} AND {0xDFFF}")
+    values = points.selectExpr("decode(unhex(lpad(hex(id), 8, '0')), 'utf-32') AS c").selectExpr("concat(c, c, 'a', c, 'b', c) AS v")
+    assert values.where(f"NOT ({Q.strip('v')} <=> regexp_replace(v, r'(?U)^\\s+|\\s+$', ''))").count() == 0
+    assert values.where(f"{Q.strip('v')} <> v").count() == 25
+
+
+def test_an_expression_is_cut_into_elements_once():
+    # The argument may itself be costly, and a lookahead would be tried at every character of a document.
+    cut = X.elements("array_join(given, '')", "author")
+    assert cut.count("array_join(given, '')") == 1 and "(?=" not in cut
+
+
+def test_a_document_is_split_into_lines_once(spark, tmp_path):
+    text = "\n".join(f"line {i} & <b>" for i in range(12))
+    spark.createDataFrame([(1, text, "s"), (2, None, "s")], "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    tei = E.tei_documents(spark, str(tmp_path))
+    assert tei._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1
+    papers = {r.paper_id: r for r in D.parse_tei(tei).collect()}
+    assert [s.text.split("\n") for s in papers["1"].sections] == [text.split("\n")[i:i + 5] for i in (0, 5, 10)]
+    assert papers["2"].parse_error is not None

@@ -11,7 +11,8 @@ The filter on copies compares a document with the whole table: it fails where a
 are compared by their SHA-256. Filters on the text are the same for all copies, so a text needs one row for each part
 and label pair, with its smallest id there and the rows that have it: counts combine before they are shuffled and a
 text that makes up a third of all rows is spread by its ids first. Labels are joined by id and a salt, so that one id
-that many rows share is dealt out too.
+that many rows share is dealt out too. There is a label for each id and salt, and that join always merges sorted rows: they
+grow with the corpus, and the driver would have to hold them all to broadcast them.
 
 Defined results: a null text is the empty one; a null part is the empty string; a null id has no labels and no smaller
 id, and is smaller than none, so it neither fails the filter on copies nor makes others fail it; rows that
@@ -89,6 +90,7 @@ def mask_counts(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
             F.coalesce(F.max(F.col("_q") == 1), F.lit(False)).alias("_good"), F.coalesce(F.max(F.col("_t") == 1), F.lit(False)).alias("_toxic"),
         )
         .select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("_lsalt"))
+        .hint("merge")  # Spark's estimate of their size leaves out the salts, and would have them broadcast
     )
     rows = rows.join(marked, (F.col("_id") == F.col("_lid")) & (F.col("_salt") == F.col("_lsalt")), "left").select(
         "_id", "_part", "_text_key", "_mask", "_n", F.coalesce("_good", F.lit(False)).alias("_good"), F.coalesce("_toxic", F.lit(False)).alias("_toxic"),

@@ -218,6 +218,24 @@ def test_filter_audit_without_labels_and_with_hot_text(spark, labels):
     assert sorted(map(tuple, got)) == sorted(brute_audit(rows, []))
 
 
+def test_filter_audit_never_broadcasts_labels(spark):
+    ids = [*range(300), *[7] * 50, *[None] * 5]
+    rows = [(i, f"text {k % 170} of {k % 3}", ["en", "de", None][k % 3]) for k, i in enumerate(ids)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
+    marks = [(i, i % 2, i % 7 // 6) for i in [*range(20, 600), 7, 7]] + [(7, 0, 1), (None, 1, 1)]
+    labels = spark.createDataFrame(marks, "doc_id long, quality int, toxic int")
+    got = filter_audit.audit(df, labels)
+    for threshold in ("10m", "10g"):  # labels are far below either
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        try:
+            result = got.select("*")  # planned under this threshold
+            assert sorted(map(tuple, result.collect())) == sorted(brute_audit(rows, marks))
+            plan = result._jdf.queryExecution().executedPlan().toString()
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        assert "Broadcast" not in plan and plan.split("Initial Plan")[0].count("SortMergeJoin") == 1
+
+
 def test_orders_by_neighbours():
     for n in range(1, 6):
         order, seen = list(range(n)), {tuple(range(n))}

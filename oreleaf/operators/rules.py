@@ -47,6 +47,11 @@ def to_declared_unit(value: Column, unit: Column, dimension: str) -> Column:
     return _convert(value, _unit_key(unit), dimension)
 
 
+def scale_of_unit(unit: Column, dimension: str) -> tuple[Column, Column]:
+    """Factor and offset to the dimension's declared unit, as :func:`to_declared_unit` applies them."""
+    return _scale(_unit_key(unit), dimension)
+
+
 def number_value(token: str) -> str:
     """SQL: the value of a number token, null for a null or empty one."""
     plain = Q.replace_all(f"replace(replace({token}, ',', ''), '−', '-')", r"\s*[×x]\s*10\s*\^?\s*", "e")
@@ -64,10 +69,15 @@ def _unit_key(unit: Column) -> Column:
     return F.lower(F.regexp_replace(unit, r"(?U)\s+", ""))
 
 
-def _convert(value: Column, key: Column, dimension: str) -> Column:
+def _scale(key: Column, dimension: str) -> tuple[Column, Column]:
     units = UNITS[dimension]
     factor = F.coalesce(_literal_map({u: f for u, (f, _) in units.items()})[key], F.when(F.coalesce(key, F.lit("")) == "", 1.0))
     offset = F.coalesce(_literal_map({u: o for u, (_, o) in units.items()})[key], F.lit(0.0))
+    return factor, offset
+
+
+def _convert(value: Column, key: Column, dimension: str) -> Column:
+    factor, offset = _scale(key, dimension)
     return value * factor + offset
 
 

@@ -29,8 +29,8 @@ from pyspark.sql import types as T
 
 from oreleaf.functions import sqltext as Q
 from oreleaf.functions.frames import fan_out
-from oreleaf.functions.text import null_if_empty, strip
-from oreleaf.operators.rules import NUMBER, SPREAD, UNITS, cell_number, to_declared_unit
+from oreleaf.functions.text import null_if_empty
+from oreleaf.operators.rules import NUMBER, SPREAD, UNITS, cell_number, scale_of_unit, to_declared_unit
 from oreleaf.schemas import ADSORPTION, CATALYST, ExtractionSchema
 
 
@@ -343,74 +343,102 @@ def table_records(papers: DataFrame, rules: TableRules = ADSORPTION_TABLES) -> D
     caption = (lambda t: f"{t}.caption") if "caption" in parts else (lambda t: "''")
     tables = fan_out(papers, paper, F.expr(Q.each("tables", lambda t: _layout(t, caption(t), rules))), "table_idx", "h")
     # No field of a struct is used inside a generator: the optimizer extracts it below and then loses other columns.
-    layout = ["fields", "units", "labels", "caption"]
     tables = tables.where("h IS NOT NULL").select(*paper, "table_idx", "h.*")
-    tables = fan_out(tables, [*paper, "table_idx", "body", *layout], F.expr(f"array({_sets()})"), "_one", "sets").drop("_one")
-
-    # The column of a result in a set: its own, else the one without conditions.
-    results = "array({})".format(", ".join(f"'{r}'" for r in sorted(rules.results)))
-    place = lambda field, name: (
-        f"coalesce(get(filter(transform(labels, (x, i) -> if(x.name = {name} AND get(fields, i) = {field}, i, NULL)), i -> i IS NOT NULL), 0),"
-        f" get(filter(transform(labels, (x, i) -> if(x.name = '#0' AND get(fields, i) = {field}, i, NULL)), i -> i IS NOT NULL), 0))")
-    tables = tables.withColumn("places", F.expr(f"transform(sets, s -> transform({results}, f -> {place('f', 's.name')}))"))
-    rows = fan_out(tables, [*paper, "table_idx", *layout, "sets", "places"], F.when(F.size("sets") > 0, F.col("body")), "row_idx", "cells")
-    filled = f"transform(places, p -> exists(p, i -> coalesce(get(cells, i), '') RLIKE {Q.literal(rf'^(?U)\s*{NUMBER}{SPREAD}[^0-9]*$')}))"
-    kept = Q.bind(filled, lambda fl: f"if(exists({fl}, x -> x), filter(transform({fl}, (x, i) -> if(x, i, NULL)), i -> i IS NOT NULL), array(0))")
-    each = fan_out(rows, [*paper, "table_idx", "row_idx", *layout, "cells", "sets", "places"], F.expr(kept), "_n", "set_idx").drop("_n")
-    each = each.select("*", F.get("sets", F.col("set_idx")).alias("own"), F.get("places", F.col("set_idx")).alias("at"))
-    return _records(each, rules)
-
-
-def _records(each: DataFrame, rules: TableRules) -> DataFrame:
-    schema = rules.schema
-    results = sorted(rules.results)
-    own = {"study_metadata.year": "year", "study_metadata.doi": "doi", "study_metadata.title": "title"}
-    units_field = {unit: value for value, unit in rules.stated_units.items()}
-    condition_of = {path: name for name, path in rules.conditions.items()}
+    tables = tables.withColumn("sets", F.expr(_sets())).withColumn("places", F.expr(_places(rules)))
+    sets = fan_out(tables, [*paper, "table_idx", "body", "units", "caption", "sets", "places"], "places", "set_idx", "at")
+    sets = sets.withColumn("own", F.get("sets", F.col("set_idx")))
+    n = len(rules.results)
+    others = f"if(set_idx = 0, flatten(transform(slice(places, 2, size(places)), p -> slice(p, 1, {n}))), NULL)"
+    of_set = _of_set(rules)
+    sets = sets.select(*paper, "table_idx", "set_idx", "body", "at", F.expr(others).alias("others"), *[c.alias(name) for name, c in of_set.items()])
+    rows = fan_out(sets, [*paper, "table_idx", "set_idx", "at", "others", *of_set], "body", "row_idx", "cells")
+    filled = lambda i: Q.matches(f"coalesce(get(cells, {i}), '')", rf"^(?U)\s*{NUMBER}{SPREAD}[^0-9]*$")
+    own = " OR ".join(filled(f"get(at, {k})") for k in range(n))
+    return _records(rows.where(f"(set_idx = 0 AND NOT exists(others, i -> {filled('i')})) OR {own}"), rules)
 
-    def column_of(path: str) -> Column:
-        if path in rules.results:
-            return F.expr(f"get(at, {results.index(path)})")
-        places = F.expr(f"filter(transform(fields, (f, i) -> if(f = '{path}', i, NULL)), i -> i IS NOT NULL)")
-        return F.when(F.array_contains("fields", path), F.get(places, F.least(F.col("set_idx"), F.size(places) - 1)))
 
-    def cell(path: str) -> Column:
-        return null_if_empty(strip(F.get(F.col("cells"), column_of(path))))
+def _paths(rules: TableRules) -> list[str]:
+    """The fields that columns can hold, results first."""
+    return [*sorted(rules.results), *sorted(set(rules.phrases.values()) - rules.results)]
 
-    def unit(path: str) -> Column:
-        return F.get(F.col("units"), column_of(path))
 
-    def written(unit: Column) -> Column:
-        return F.coalesce(F.create_map(*[F.lit(x) for pair in _WRITTEN.items() for x in pair])[unit], null_if_empty(unit))
+def _places(rules: TableRules) -> str:
+    """SQL: for each set the column of each field.
 
-    def number(path: str) -> Column:
-        value = cell_number(cell(path))
-        if path not in rules.dimensions or path in rules.stated_units or rules.dimensions[path] not in UNITS:
-            return value
-        return to_declared_unit(value, unit(path), rules.dimensions[path])
+    Of a result its own column, else the one without conditions; of another field the column with the set's number, else the last one.
+    """
+    paths = _paths(rules)
+    array = lambda fields: "array({})".format(", ".join(f"'{f}'" for f in fields))
+    columns = lambda test: f"filter(transform(labels, (x, i) -> if({test}, i, NULL)), i -> i IS NOT NULL)"
+    named = lambda name: f"get({columns(f'x.name = {name} AND get(fields, i) = f')}, 0)"
+    results = f"transform({array(paths[:len(rules.results)])}, f -> coalesce({named('s.name')}, {named(repr('#0'))}))"
+    numbered = Q.bind(columns("get(fields, i) = f"), lambda c: f"get({c}, least(k, size({c}) - 1))")
+    return f"transform(sets, (s, k) -> concat({results}, transform({array(paths[len(rules.results):])}, f -> {numbered})))"
+
+
+def _scaled(path: str, rules: TableRules) -> bool:
+    """Are numbers of the field converted to its declared unit?"""
+    return path not in rules.stated_units and rules.dimensions.get(path) in UNITS
+
+
+def _of_set(rules: TableRules) -> dict[str, Column]:
+    """What holds for all rows of a set: scales or units of its columns, conditions of its headings and of the caption."""
+    paths = _paths(rules)
+    written = lambda unit: F.coalesce(
+        F.create_map(*[F.lit(x) for pair in _WRITTEN.items() for x in pair])[unit], null_if_empty(unit))
+    of_set = {}
+    for k, path in enumerate(paths):
+        unit = F.expr(f"get(units, get(at, {k}))")
+        if _scaled(path, rules):
+            of_set[f"factor_{k}"], of_set[f"offset_{k}"] = scale_of_unit(unit, rules.dimensions[path])
+        if path in rules.stated_units:
+            of_set[f"unit_{k}"] = written(unit)
+    for name, path in rules.conditions.items():
+        for place in ("own", "caption"):
+            said = F.col(f"{place}.{name}")
+            if path in rules.stated_units:
+                of_set[f"{place}_{name}"], of_set[f"{place}_{name}_unit"] = said["value"], written(said["unit"])
+            else:
+                of_set[f"{place}_{name}"] = to_declared_unit(said["value"], said["unit"], rules.dimensions[path])
+    return of_set
+
+
+def _records(rows: DataFrame, rules: TableRules) -> DataFrame:
+    schema = rules.schema
+    paths = _paths(rules)
+    kinds = dict(schema.leaves())
+    metadata = {"study_metadata.year": "year", "study_metadata.doi": "doi", "study_metadata.title": "title"}
+    units_field = {unit: value for value, unit in rules.stated_units.items()}
+    condition_of = {path: name for name, path in rules.conditions.items()}
 
-    def stated(place: str, path: str) -> Column:
-        said = F.col(f"{place}.{condition_of[path]}")
-        return said["value"] if path in rules.stated_units else to_declared_unit(said["value"], said["unit"], rules.dimensions[path])
+    # A cell is read and a number parsed once, in columns of their own, however many fields of the record use them.
+    rows = rows.select("*", *[F.expr(Q.null_if_empty(Q.strip(f"get(cells, get(at, {k}))"))).alias(f"cell_{k}") for k in range(len(paths))])
+    numbers = {}
+    for k, path in enumerate(paths):
+        if not isinstance(kinds[path], (T.StringType, T.ArrayType)):
+            value = cell_number(F.col(f"cell_{k}"))
+            numbers[f"number_{k}"] = value * F.col(f"factor_{k}") + F.col(f"offset_{k}") if _scaled(path, rules) else value
+    rows = rows.select("*", *[value.alias(name) for name, value in numbers.items()])
+    of = lambda prefix, path: F.col(f"{prefix}_{paths.index(path)}")
 
     def value(path: str, kind: T.DataType) -> Column:
-        if path in own:
-            return F.col(own[path]).cast(kind)
+        if path in metadata:
+            return F.col(metadata[path]).cast(kind)
         if path in units_field:
-            of = units_field[path]
-            from_cells = F.when(number(of).isNotNull(), written(unit(of)))
-            if of not in condition_of:
+            number, unit = of("number", units_field[path]), of("unit", units_field[path])
+            from_cells = F.when(number.isNotNull(), unit)
+            if units_field[path] not in condition_of:
                 return from_cells
-            name = condition_of[of]
-            return F.coalesce(
-                written(F.col(f"own.{name}.unit")), F.when(number(of).isNull(), written(F.col(f"caption.{name}.unit"))), from_cells)
+            name = condition_of[units_field[path]]
+            return F.coalesce(F.col(f"own_{name}_unit"), F.when(number.isNull(), F.col(f"caption_{name}_unit")), from_cells)
         if path in condition_of:
-            return F.coalesce(stated("own", path), number(path), stated("caption", path)).cast(kind)
-        if path not in set(rules.phrases.values()):
+            name = condition_of[path]
+            return F.coalesce(F.col(f"own_{name}"), of("number", path), F.col(f"caption_{name}")).cast(kind)
+        if path not in paths:
             return F.array().cast("array<string>") if isinstance(kind, T.ArrayType) else F.lit(None).cast(kind)
         if isinstance(kind, T.ArrayType):
-            return F.when(cell(path).isNull(), F.array().cast("array<string>")).otherwise(F.array(cell(path)))
-        return cell(path) if isinstance(kind, T.StringType) else number(path).cast(kind)
+            return F.when(of("cell", path).isNull(), F.array().cast("array<string>")).otherwise(F.array(of("cell", path)))
+        return of("cell", path) if isinstance(kind, T.StringType) else of("number", path).cast(kind)
 
     out = []
     for f in schema.record.fields:
@@ -419,5 +447,5 @@ def _records(each: DataFrame, rules: TableRules) -> DataFrame:
         else:
             out.append(value(f.name, f.dataType).alias(f.name))
     record_idx = F.col("table_idx").cast("long") * 1_000_000_000 + F.col("row_idx") * 1000 + F.col("set_idx")
-    return each.select(
+    return rows.select(
         "paper_id", record_idx.alias("record_idx"), "table_idx", "row_idx", "set_idx", F.struct(*out).alias("record"))

@@ -155,3 +155,30 @@ def test_headings_are_read_as_lines_of_one_text(spark):
     assert plain == [
         (1.0 + 0.1, "", None, None), (None, "", None, None), (1.35, "mg/g", None, None), (None, "", None, None), (1.35, "mmol/g", (25.0, "°c"), (1.0, "bar")),
         (None, "", None, None), (None, "%", None, None), (0.75, "kpa", None, None), (None, "", (-5.0, "°c"), None)]
+
+
+def test_a_set_is_read_once_for_all_its_rows(spark):
+    rows = [["Sample", "Uptake 25 °C (mmol/g)", "Uptake at 323 K (mg/g)", "P (kPa)"], ["A", "2", "1.5", "1"]]
+    papers = spark.createDataFrame([("p", "T", "D", 2020, [("1", "", rows)])], PAPER)
+    spark.conf.set("spark.sql.debug.maxToStringFields", "1000")
+    try:
+        for rules in (X.ADSORPTION_TABLES, X.CATALYST_TABLES):
+            plan = X.table_records(papers, rules)._jdf.queryExecution().optimizedPlan().toString()
+            of_rows = plan.split("Generate ")[0]
+            # Neither units are written alike nor columns looked for at each row; blanks are trimmed without a pattern.
+            assert plan.count("Generate ") == 3 and "regexp_extract" in of_rows
+            assert not any(x in of_rows for x in ("(?U)\\s+", "(?U)^\\s+|", "fields#", "units#"))
+    finally:
+        spark.conf.unset("spark.sql.debug.maxToStringFields")
+
+
+def test_odd_rows_of_several_sets(spark):
+    rows = [["Sample", "Uptake 25 °C (mmol/g)", "Uptake 50 °C (mg/g)", "T (K)", "T (K)"], [" A\n", "", "44.01", " 300.15 ", None],
+            [None, None, None, None, None], [" ", "-", "", "", "310.15"], ["B", "2", "88.02 mg", "x", ""], [], None]
+    want = [("A", 1.0, 50.0, None), (None, None, 25.0, None), (None, None, 25.0, None), ("B", 2.0, 25.0, None), ("B", 2.0, 50.0, None), (None, None, 25.0, None), (None, None, 25.0, None)]
+    got = read(spark, [rows, None, rows])
+    assert short(got) == want * 2 and [r[:3] for r in got] == [(t, *x) for t in (0, 2) for x in [(0, 1), (1, 0), (2, 0), (3, 0), (3, 1), (4, 0), (5, 0)]]
+    # A result without condition serves each set without one of its own; papers of one id stay apart.
+    made = [("1", "", [["Sample", "Conversion 300 °C (%)", "CO selectivity (%)"], ["A", "", "7"], ["B", "", ""]])]
+    twice = X.table_records(spark.createDataFrame([(None, None, None, None, made)] * 2, PAPER), X.CATALYST_TABLES).collect()
+    assert sorted((r["record"]["material_id"], r["record"]["performance"]["co_selectivity"], r["record_idx"]) for r in twice if r["paper_id"] is None) == [("A", 7.0, 0)] * 2 + [("B", None, 1000)] * 2

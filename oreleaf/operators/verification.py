@@ -47,22 +47,34 @@ def merge_verified(
     )
 
 
+def _field(record: Column, path: str) -> Column:
+    for part in path.split("."):
+        record = record[part]
+    return record
+
+
 def same_identity(a: Column, b: Column, schema: ExtractionSchema) -> Column:
     same = F.lit(True)
     for path in schema.identity:
-        left, right = a, b
-        for part in path.split("."):
-            left, right = left[part], right[part]
-        same = same & left.eqNullSafe(right)
+        same = same & _field(a, path).eqNullSafe(_field(b, path))
     return same
 
 
 def identity_check(first: DataFrame, verified: DataFrame, schema: ExtractionSchema) -> DataFrame:
-    """One row per verified record: is it still about the same material and condition?"""
-    joined = first.join(_as_verified(verified), ["paper_id", "row_idx"])
-    same = F.array(same_identity(F.col("record"), F.col("verified"), schema))
-    found = F.when(F.col("verified").isNotNull(), same)
-    return fan_out(joined, ["paper_id", "row_idx"], found, "i", "same_identity").drop("i")
+    """One row per verified record: is it still about the same material and condition?
+
+    The fields compared go to the join and no others, each a column of its own; answers without a record do not go there.
+    """
+    key = ["paper_id", "row_idx"]
+    fields = lambda side: [_field(F.col("record"), path).alias(f"{side}_{k}") for k, path in enumerate(schema.identity)]
+    answered = F.when(F.col("record").isNotNull(), F.array(F.struct(*fields("verified"))))
+    answers = fan_out(verified, key, answered, "i", "verified").select(*key, "verified.*")
+    # A merge at any size: Spark's estimate leaves out how many records a response has, so a side could look small and be broadcast.
+    joined = first.select(*key, *fields("first")).join(answers.hint("merge"), key)
+    same = F.lit(True)
+    for k in range(len(schema.identity)):
+        same = same & F.col(f"first_{k}").eqNullSafe(F.col(f"verified_{k}"))
+    return joined.select(*key, same.alias("same_identity"))
 
 
 def evidence_check(validated: DataFrame, docs: DataFrame, schema: ExtractionSchema) -> DataFrame:

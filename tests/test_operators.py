@@ -107,6 +107,24 @@ def test_merge_verified(spark):
     assert same == {0: True, 2: False}
 
 
+def test_identity_check_joins_only_what_it_compares(spark):
+    made = lambda rows: records(spark, [("p", 0, json) for json in rows], ADSORPTION).select("record")
+    a, b = (made([f'{{"material_id":"{m}","measurement":{{"pressure_bar":1,"wet_dry_air":true}}}}']).first()["record"] for m in "ab")
+    rows = lambda *r: spark.createDataFrame(r, "paper_id string, row_idx int, record " + ADSORPTION.record.simpleString())
+    first = rows(("p", 0, a), ("p", 0, b), ("p", 1, a), ("p", 2, None), ("p", 3, None), ("p", 4, a), (None, 0, a), ("q", None, a))
+    verified = rows(("p", 0, a), ("p", 1, None), ("p", 2, b), ("p", 4, a), ("p", 4, b), (None, 0, a), ("q", None, a), ("r", 0, a))
+    checked = V.identity_check(first, verified, ADSORPTION)
+    assert sorted(tuple(r) for r in checked.collect()) == [("p", 0, False), ("p", 0, True), ("p", 2, False), ("p", 4, False), ("p", 4, True)]
+    nothing = rows(("p", 2, made(["{}"]).first()["record"]))
+    assert [tuple(r) for r in V.identity_check(first, nothing, ADSORPTION).collect()] == [("p", 2, True)]
+    # Answers without a record are dropped below the join, nothing else than the key and the fields compared gets there, and no side is broadcast.
+    plan = checked._jdf.queryExecution().optimizedPlan()
+    joins = [plan] if plan.nodeName() == "Join" else [plan.children().apply(0)]
+    sides = [joins[0].children().apply(i) for i in (0, 1)]
+    assert joins[0].nodeName() == "Join" and all(side.output().size() == 2 + len(ADSORPTION.identity) for side in sides)
+    assert "Generate" in sides[1].toString() and "SortMergeJoin" in checked._jdf.queryExecution().executedPlan().toString()
+
+
 def test_evidence(spark):
     rows = records(spark, [("p", 0, '{"material_id":"Mg3 Al","measurement":{"pressure_bar":1,"adsorption_temperature_c":-20.5,'
                                     '"co2_adsorption_capacity_mmol_g":9},"material_properties":{"anions":["CO3","Cl"]}}')], ADSORPTION)

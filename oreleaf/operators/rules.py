@@ -61,8 +61,9 @@ def number_value(token: str) -> str:
 def cell_number(cell: Column) -> Column:
     """The number a cell is as a whole, unit and spread aside."""
     token = F.regexp_extract(cell, rf"^({NUMBER}){SPREAD}[^0-9]*$", 1)
-    plain = F.regexp_replace(F.translate(token, "−,", "-"), r"\s*[×x]\s*10\s*\^?\s*", "e")
-    return null_if_empty(plain).try_cast("double")
+    plain = F.translate(token, "−,", "-")
+    power = F.regexp_replace(plain, r"\s*[×x]\s*10\s*\^?\s*", "e")
+    return null_if_empty(F.when(F.contains(plain, F.lit("10")), power).otherwise(plain)).try_cast("double")
 
 
 def _unit_key(unit: Column) -> Column:

@@ -175,7 +175,8 @@ def _line(lines: str, i: str) -> str:
 
 def _unit_forms(units: str) -> str:
     """`mmol g-1` and the like as `mmol/g`, without spaces, in each line."""
-    return f"replace({Q.replace_all(units, _of_lines(r'\s*[·.]?\s*(k?g)\s*(?:\^?[-−]1|⁻¹)$'), '/$1')}, ' ', '')"
+    per_gram = lambda u: Q.replace_all(u, _of_lines(r"\s*[·.]?\s*(k?g)\s*(?:\^?[-−]1|⁻¹)$"), "/$1")
+    return Q.bind(units, lambda u: f"replace(if(contains({u}, '1') OR contains({u}, '¹'), {per_gram(u)}, {u}), ' ', '')")
 
 
 def _read_all(cells: str, rules: TableRules) -> str:
@@ -184,7 +185,7 @@ def _read_all(cells: str, rules: TableRules) -> str:
     names = rf"(?:{'|'.join(words)})(?:\s+(?:{'|'.join(words)}))*"
     any_condition = "|".join(_condition(d, "(?:") for d in _STATED)
     # The first bracket that holds neither names of fields alone nor a condition.
-    bracket = rf"([(\[])(?!{names}[)\]])(?![^()\[\]\n]*?(?:{any_condition}))([^()\[\]\n]*)[)\]]"
+    bracket = rf"([(\[])(?!{names}[)\]])(?!(?=[^()\[\]\n]*[0-9])[^()\[\]\n]*?(?:{any_condition}))([^()\[\]\n]*)[)\]]"
     slash = rf"/\s*({_KNOWN_UNITS}|mmol\s*g-1)\s*$"
     has_slash = lambda text: f"contains({text}, '/')"
 
@@ -212,14 +213,14 @@ def _read_all(cells: str, rules: TableRules) -> str:
         key = Q.replace_all(Q.replace_all(Q.replace_all(bare, r"[\p{Punct}]+", " "), r"\b(?:at|and|under|in|of|the|rt)\b", " "), " {2,}", " ")
         return Q.bind(key, lambda key: Q.bind(Q.named_struct({
             "keys": rf"split({key}, '\n')", "named": _phrases_in(rf"concat(' ', replace({key}, '\n', ' \n '), ' ')", rules),
-            **{d: rf"split({found}.{d}, '\n')" for d in _STATED}, "units": rf"split({found}.unit, '\n')"}), with_keys))
+            **{d: rf"if({found}.{d} = '', NULL, {Q.each(rf"split({found}.{d}, '\n')", _condition_of)})" for d in _STATED}, "units": rf"split({found}.unit, '\n')"}), with_keys))
 
     of = "map({})".format(", ".join(f"'{u}', '{d}'" for u, d in _UNIT_DIMENSION.items()))
 
     def with_keys(t: str) -> str:
         return Q.each_indexed(f"{t}.keys", lambda k, i: Q.bind(Q.named_struct({"key": f"trim({k})", "unit": _line(f"{t}.units", i)}), lambda h: Q.bind(
-            Q.named_struct({"key": f"{h}.key", "padded": f"concat(' ', {h}.key, ' ')", "dimension": f"{of}[{h}.unit]"}), lambda g: Q.named_struct({
-                "candidates": _candidates(g, f"{t}.named", rules), "unit": f"{h}.unit", **{d: Q.bind(_line(f"{t}.{d}", i), _condition_of) for d in _STATED}}))))
+            Q.named_struct({"key": f"{h}.key", "padded": f"concat(' ', {h}.key, ' ')", "dimension": f"if({h}.unit = '', NULL, {of}[{h}.unit])"}), lambda g: Q.named_struct({
+                "candidates": _candidates(g, f"{t}.named", rules), "unit": f"{h}.unit", **{d: f"get({t}.{d}, {i})" for d in _STATED}}))))
 
     column = "array<struct<candidates:array<struct<score:double,field:string>>,unit:string,temperature:struct<value:double,unit:string>,pressure:struct<value:double,unit:string>>>"
     return Q.bind(f"coalesce({cells}, array())", lambda c: f"if(size({c}) = 0, {Q.empty(column)}, {Q.bind(_plain_lines(c), with_text)})")
@@ -238,7 +239,8 @@ def _phrases_in(keys: str, rules: TableRules) -> str:
     phrases = "array({})".format(", ".join(
         f"named_struct('within', ' {p} ', 'phrase', '{p}', 'n', {len(p.split())}, 'field', '{f}', 'dimension', cast({quoted(rules.dimensions.get(f))} AS string))"
         for p, f in rules.phrases.items()))
-    return Q.bind(keys, lambda k: Q.keep(phrases, lambda c: f"contains({k}, {c}.within)"))
+    # Every blank of the text could begin a padded phrase, so the phrase alone is looked for first.
+    return Q.bind(keys, lambda k: Q.keep(phrases, lambda c: f"contains({k}, {c}.phrase) AND contains({k}, {c}.within)"))
 
 
 def _candidates(h: str, phrases: str, rules: TableRules) -> str:
@@ -275,7 +277,7 @@ def _assigned(headings: str, rules: TableRules) -> str:
     single = "array({})".format(", ".join(f"'{f}'" for f in once))
     pairs = f"flatten({Q.each_indexed(headings, lambda h, i: Q.each(f'{h}.candidates', lambda c: Q.named_struct({'score': f'-{c}.score', 'col': i, 'field': f'{c}.field'})))})"
     free = f"NOT exists(a, t -> t.col = p.col OR (t.field = p.field AND array_contains({single}, p.field)))"
-    taken = f"aggregate(array_sort({pairs}), cast(array() AS array<struct<score:double,col:int,field:string>>), (a, p) -> if({free}, array_append(a, p), a))"
+    taken = f"aggregate(sort_array({pairs}), cast(array() AS array<struct<score:double,col:int,field:string>>), (a, p) -> if({free}, array_append(a, p), a))"
     return Q.bind(taken, lambda t: Q.each_indexed(headings, lambda h, i: f"coalesce(get(filter({t}, x -> x.col = {i}), 0).field, '')"))
 
 
@@ -320,7 +322,7 @@ def _labels(head: str, fields: str, rules: TableRules) -> str:
     said = lambda h: f"({h}.temperature IS NOT NULL OR {h}.pressure IS NOT NULL)"
     earlier = lambda i: f"size(filter(sequence(0, {i}), k -> get({fields}, k) = get({fields}, {i}) AND NOT {said(f'get({head}, k)')})) - 1"
     return Q.each_indexed(head, lambda h, i: Q.named_struct({
-        "name": f"CASE WHEN NOT {is_result(f'get({fields}, {i})')} THEN NULL WHEN {said(h)} THEN to_json(struct({h}.temperature, {h}.pressure)) ELSE concat('#', {earlier(i)}) END",
+        "name": f"CASE WHEN NOT {is_result(f'get({fields}, {i})')} THEN NULL WHEN {said(h)} THEN cast(struct({h}.temperature, {h}.pressure) AS string) ELSE concat('#', {earlier(i)}) END",
         "temperature": f"{h}.temperature", "pressure": f"{h}.pressure"}))
 
 
@@ -371,8 +373,9 @@ def _places(rules: TableRules) -> str:
     array = lambda fields: "array({})".format(", ".join(f"'{f}'" for f in fields))
     columns = lambda test: f"filter(transform(labels, (x, i) -> if({test}, i, NULL)), i -> i IS NOT NULL)"
     named = lambda name: f"get({columns(f'x.name = {name} AND get(fields, i) = f')}, 0)"
-    results = f"transform({array(paths[:len(rules.results)])}, f -> coalesce({named('s.name')}, {named(repr('#0'))}))"
-    numbered = Q.bind(columns("get(fields, i) = f"), lambda c: f"get({c}, least(k, size({c}) - 1))")
+    held = lambda column: f"if(array_contains(fields, f), {column}, NULL)"
+    results = f"transform({array(paths[:len(rules.results)])}, f -> {held(f"coalesce({named('s.name')}, {named(repr('#0'))})")})"
+    numbered = held(Q.bind(columns("get(fields, i) = f"), lambda c: f"get({c}, least(k, size({c}) - 1))"))
     return f"transform(sets, (s, k) -> concat({results}, transform({array(paths[len(rules.results):])}, f -> {numbered})))"
 
 

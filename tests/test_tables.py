@@ -182,3 +182,23 @@ def test_odd_rows_of_several_sets(spark):
     made = [("1", "", [["Sample", "Conversion 300 °C (%)", "CO selectivity (%)"], ["A", "", "7"], ["B", "", ""]])]
     twice = X.table_records(spark.createDataFrame([(None, None, None, None, made)] * 2, PAPER), X.CATALYST_TABLES).collect()
     assert sorted((r["record"]["material_id"], r["record"]["performance"]["co_selectivity"], r["record_idx"]) for r in twice if r["paper_id"] is None) == [("A", 7.0, 0)] * 2 + [("B", None, 1000)] * 2
+
+
+def test_headings_are_read_without_needless_steps():
+    layout = X._layout("t", "t.caption", X.CATALYST_TABLES)
+    # Pairs have an order of their own, a set's name is no JSON, and conditions are worked out only where a table has one.
+    assert "array_sort(" not in layout and "to_json(" not in layout
+    assert all(f".{d} = '', NULL, transform(split(" in layout for d in ("temperature", "pressure"))
+    assert "if(array_contains(fields, f), " in X._places(X.CATALYST_TABLES)
+
+
+def test_odd_units_conditions_and_numbers(spark):
+    rows = [["Sample", "Uptake (mmol g⁻¹)", "Uptake (10 %, 1 bar) [mg·g^-1]", "Uptake [mg/g] at 1 bar", "Uptake 1,000 mbar (mol kg-1)", "pH"],
+            ["A", "1.2 × 10^-1", "88.02", "44.01", "10", "7 x"], ["B", "10 x", "", "2x10^0", "x", "1 × 10"], [None, "10", None, "1 x 10 3", "", "1 x 10"]]
+    got = read(spark, [rows])
+    values = [(m, c, p) for m, c, _, p in short(got)]
+    assert values == [("A", 2.0, 1.0), ("A", 10.0, 1.0), ("B", None, 1.0), (None, None, 1.0)] and [r[1:3] for r in got] == [(0, 0), (0, 1), (1, 0), (2, 0)]
+    assert [r[3]["synthesis_method"]["ph"] for r in got] == [7.0, 7.0, None, None]
+    two = [["Catalyst", "CO2 conversion (%)", "", "S CO / %"], [None, "300 °C", "300.0 ºC, 2 bar", ""], ["Ni", "1e1", "x", "5"], ["Cu", None, "2 ± 1", None]]
+    assert [(x[0], x[1], x[2], *x[5:]) for x in shown(read(spark, [two, [[None]], [["pH"], ["7"]]], X.CATALYST_TABLES))] == [
+        ("Ni", 10.0, 5.0, 300.0, "°C", None, None), ("Ni", None, 5.0, 300.0, "°C", 2.0, "bar"), ("Cu", 2.0, None, 300.0, "°C", 2.0, "bar")]
